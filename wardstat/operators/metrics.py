@@ -3,7 +3,7 @@ geographies are explodes in front of one aggregation, not loops of jobs."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.functions.dates import roll_months, window_start_days, window_start_months
@@ -204,7 +204,7 @@ def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column
     d = by_area(d, levels)
     cells = ["subgroup", *CELL, *WINDOW]
     tot = d.withColumn("_k", F.explode(kinds)).select(*cells, "_k.variant", "_k.v")
-    sums = agg.bootstrap_total(tot, ["variant", *cells], "v", reps=reps)
+    sums = agg.total_interval(tot, ["variant", *cells], "v", reps=reps)
     k = 1000.0 / F.col("parcels")
     sums = sums.join(parcels, CELL).select("variant", *cells, "n", "parcels", (F.col("total") * k).alias("value"),
                                            (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
@@ -326,9 +326,9 @@ def routes_above_floor(cls: DataFrame, through: Column, floor: float = MATCH_FLO
             .where(F.col("rate") >= floor))
 
 
-def on_time(arrivals: DataFrame, cls: DataFrame, stop_cells: DataFrame, through: Column) -> DataFrame:
+def on_time(arrivals: DataFrame, cls: DataFrame, stop_cells: DataFrame, through: Column, floor: float = MATCH_FLOOR) -> DataFrame:
     a = day_windows(arrivals.where("arrival is not null"), "service_date", through, TRANSIT_WINDOWS)
-    a = a.join(routes_above_floor(cls, through).drop("rate"), ["route_id", *WINDOW], "left_semi")
+    a = a.join(routes_above_floor(cls, through, floor).drop("rate"), ["route_id", *WINDOW], "left_semi")
     a = fan_out(a.join(stop_cells, "stop_id", "left"), ON_TIME, {"variant": "string", "early": "double", "late": "double"})
     d = by_area(a, transit_levels(True))
     return (agg.flag_proportion(d, ["variant", *CELL, *WINDOW], F.col("delay_s").between(F.col("early"), F.col("late")))
@@ -428,3 +428,90 @@ def restoration(ev: DataFrame, areas: DataFrame, levels: dict[str, Column], thro
     r = with_all_areas(m, sk, cells, {"n": 0, "suppressed": True})
     return r.withColumn("metric", F.lit("restoration_vs_estimate")).withColumn("subgroup", F.lit("all"))
 
+
+
+# --- slow requests and pooled groups -------------------------------------------------
+
+def flag_slow(d: DataFrame, min_n: int = 20) -> DataFrame:
+    """Eligible requests with ``slow``: not closed within their type's median time.
+
+    ``d`` has time (days to close, or age). Types with too few records or a
+    median never reached are left out; a request is eligible once its threshold
+    day has been observed.
+    """
+    thr = agg.km_median(agg.km_counts(d, ["type"], "time", F.col("is_closed")), ["type"], min_n)
+    thr = thr.where("not suppressed").select("type", F.col("value").alias("threshold"))
+    e = d.join(thr, "type").where(F.col("age_bd") >= F.col("threshold"))
+    return e.withColumn("slow", ~F.coalesce(F.col("is_closed") & (F.col("bd_to_close") <= F.col("threshold")), F.lit(False)))
+
+
+def pool_groups(e: DataFrame, classes: DataFrame, area: str) -> DataFrame:
+    """Observed and expected slow share, their ratio and the median time per group of areas.
+
+    ``classes``: area, grp - one row per area.
+    """
+    p = e.groupBy("type").agg(F.avg(F.col("slow").cast("int")).alias("p"))
+    # Counts per area and type carry everything the shares need.
+    c = e.groupBy(area, "type").agg(F.count(F.lit(1)).alias("m"), F.count_if("slow").alias("k")).join(p, "type").join(classes, area)
+    g = c.groupBy("grp").agg(F.count_distinct(area).alias("areas"), F.sum("m").alias("n"), (F.sum("k") / F.sum("m")).alias("o"),
+                             (F.sum(F.col("m") * F.col("p")) / F.sum("m")).alias("x"))
+    km = agg.km_median(agg.km_counts(e.join(classes, area), ["grp"], "time", F.col("is_closed")), ["grp"])
+    return g.join(km.select("grp", "value"), "grp").select(
+        "grp", "areas", "n", F.round("o", 6).alias("observed_share"), F.round("x", 6).alias("expected_share"),
+        F.round(F.col("o") / F.col("x"), 6).alias("ratio"), F.round("value", 6).alias("median_days"))
+
+
+def top_values(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:
+    """keys, top: the k most frequent values (count descending, then value) as an array.
+
+    Counts come first, so the array per group is over distinct values of a code
+    list and not over records.
+    """
+    n = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "value", "n")))
+    return n.groupBy(*keys).agg(F.slice(ranked, 1, k).alias("top"))
+
+
+def covering_values(df: DataFrame, group: str, value: str, share: float) -> DataFrame:
+    """Most common value per group, and the values that together stay within ``share`` of it."""
+    n = df.groupBy(group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(group)
+    order = w.orderBy(F.desc("n"), "v")
+    s = (n.withColumn("k", F.row_number().over(order))
+         .withColumn("cum", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(w)))
+    kept = F.when((F.col("cum") <= share) | (F.col("k") == 1), F.struct("k", "v"))
+    return s.groupBy(group).agg(F.max(F.when(F.col("k") == 1, F.col("v"))).alias("most"),
+                                F.array_join(F.sort_array(F.collect_list(kept))["v"], ",").alias("covering"))
+
+
+def address_report(addresses: DataFrame, cell_rows: DataFrame, area_rows: DataFrame) -> DataFrame:
+    """One row per address: the metric near it, citywide, in its ZIP area and in its district.
+
+    ``addresses``: id, cell, zcta, district; metric rows: geo_type, geo_id, value, n.
+    """
+    places = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(g).alias("geo_type"), c.alias("geo_id")) for lab, g, c in (
+        ("near", "h3_9", F.col("cell")), ("city", "citywide", F.lit("city")), ("zip", "zcta", F.col("zcta")),
+        ("district", "super_district", F.col("district")))])
+    long = addresses.select("id", F.inline(places))
+    rows = cell_rows.select(*CELL, "value", "n").unionByName(area_rows.select(*CELL, "value", "n"))
+    return (long.join(rows, CELL, "left").groupBy("id").pivot("label", ["near", "city", "zip", "district"])
+            .agg(F.first("value").alias("value"), F.coalesce(F.first("n"), F.lit(0)).alias("n")))
+
+
+def dispositions(closed: DataFrame, resolution: str, sub: str, type_col: str, shown_id: Column, types: int = 3, samples: int = 5) -> DataFrame:
+    """Every (resolution, sub-status) with its count, top types and a few sample ids in hash order.
+
+    The sample keeps the smallest hashes per group: 256 hash ranges per
+    group are cut to ``samples`` first, so no group is gathered whole.
+    """
+    clean = lambda c: F.when(F.col(c).isNull() | (F.trim(c) == ""), "(blank)").otherwise(F.col(c))
+    d = closed.select(clean(resolution).alias("resolution"), clean(sub).alias("sub"), F.col(type_col).alias("ty"), shown_id.alias("id"))
+    key = ["resolution", "sub"]
+    top = top_values(d, key, "ty", types)
+    n = d.groupBy(*key).agg(F.count(F.lit(1)).alias("closed_requests"))
+    h = d.withColumn("h", F.md5(F.col("id").cast("binary"))).withColumn("part", F.substring("h", 1, 2))
+    w = Window.partitionBy(*key, "part").orderBy("h")
+    few = h.withColumn("k", F.row_number().over(w)).where(F.col("k") <= samples)
+    ids = few.groupBy(*key).agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "id"))), 1, samples)["id"].alias("ids"))
+    return n.join(top, key).join(ids, key).select(*key, "closed_requests", F.array_join("top.value", "; ").alias("top_types"),
+                                                  F.array_join("ids", " ").alias("samples"))

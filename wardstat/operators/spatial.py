@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.functions import geo
-from wardstat.session import cut_lineage, small_side
+from wardstat.session import scratch_path, small_side, stored
 
 
 def _steps(k: int) -> list[tuple[int, int]]:
@@ -96,8 +96,10 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
             .withColumn("cy", geo.cell_index(F.col("y"), side))
             .withColumn("tb", F.floor(F.col("t") / days)))
     clique = ["type", "cx", "cy", "tb"]
-    undecided, primaries = cut_lineage(base), None
-    while True:
+    home, step = scratch_path(df.sparkSession, "near-duplicates"), 0
+    base = undecided = stored(base, f"{home}/base")
+    while not undecided.isEmpty():
+        step += 1
         heads = undecided.groupBy(*clique).agg(
             F.min(F.struct("t", "id", "x", "y")).alias("h"), F.max("t").alias("t_max"),
             F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
@@ -111,12 +113,13 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
         same = F.lit(True)
         for k in clique:
             same = same & (F.col(f"n.{k}") == F.col(f"m.{k}"))
-        new = cut_lineage(me.join(near, same & blocks, "left_anti")
-                          .select("type", "cx", "cy", "tb", "h.t", "h.id", "h.x", "h.y"))
-        primaries = new if primaries is None else primaries.unionByName(new)
-        undecided = cut_lineage(_in_range(undecided, new, clique, meters, days, "left_anti", drop_self=True))
-        if undecided.isEmpty():
-            break
+        new = stored(me.join(near, same & blocks, "left_anti")
+                     .select("type", "cx", "cy", "tb", "h.t", "h.id", "h.x", "h.y"), f"{home}/primaries/step={step}")
+        undecided = stored(_in_range(undecided, new, clique, meters, days, "left_anti", drop_self=True),
+                           f"{home}/undecided-{step}")
+    if not step:
+        return df.select("id", F.lit(None).cast(df.schema["id"].dataType).alias("duplicate_of"))
+    primaries = df.sparkSession.read.schema(new.schema).parquet(f"{home}/primaries")
     hits = _in_range(base, primaries, clique, meters, days, "inner", drop_self=False)
     link = hits.groupBy("id").agg(F.min(F.struct("p_t", "p_id")).alias("p"))
     return df.select("id").join(link.select("id", F.col("p.p_id").alias("duplicate_of")), "id", "left")
@@ -273,8 +276,11 @@ def nearest_neighbors(areas: DataFrame, k: int) -> DataFrame:
         return pts.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1).alias("rank")).limit(0)
     span = max(x1 - x0, y1 - y0, 1e-9)
     side = max(math.sqrt(max((x1 - x0) * (y1 - y0), span * span / n) * (k + 1) / n), 1e-9)
-    todo, done, width = pts, None, side
+    home, step = scratch_path(areas.sparkSession, "nearest"), 0
+    pts = todo = stored(pts, f"{home}/points")
+    width = side
     while True:
+        step += 1
         pairs = grid_pairs(todo, pts, width, group=False).where("a_id <> b_id")
         # Bounded state per point: only the k closest candidates are kept.
         ranked = pairs.withColumn("rank", F.row_number().over(
@@ -284,11 +290,10 @@ def nearest_neighbors(areas: DataFrame, k: int) -> DataFrame:
         else:
             enough = ranked.groupBy("a_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
             settled = ranked.join(enough.select("a_id"), "a_id", "left_semi")
-        settled = cut_lineage(settled.select(F.col("a_id").alias("i"), F.col("b_id").alias("j"), "rank"))
-        done = settled if done is None else done.unionByName(settled)
-        todo = cut_lineage(todo.join(settled.select(F.col("i").alias("id")).distinct(), "id", "left_anti"))
+        settled = stored(settled.select(F.col("a_id").alias("i"), F.col("b_id").alias("j"), "rank"), f"{home}/settled/step={step}")
+        todo = stored(todo.join(settled.select(F.col("i").alias("id")).distinct(), "id", "left_anti"), f"{home}/todo-{step}")
         if width > 2 * span or todo.isEmpty():
-            return done
+            return areas.sparkSession.read.schema(settled.schema).parquet(f"{home}/settled")
         width *= 2
 
 

@@ -78,9 +78,9 @@ def gtfs_time_to_seconds(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dates.hms_seconds(hms).alias("secs"))
 
 
-@query("scheduled_times", """WITH s AS (SELECT l_orderkey, timezone('UTC', timezone('America/Chicago', CAST(o_orderdate AS TIMESTAMP) + INTERVAL 12 HOUR)) - INTERVAL 12 HOUR + to_seconds(CAST(18000 + l_linenumber * 1200 + l_partkey % 600 AS INTEGER)) AS at,
+@query("scheduled_times", """WITH s AS (SELECT l_orderkey, timezone('UTC', timezone('America/Chicago', CAST(o_orderdate AS TIMESTAMP) + INTERVAL 12 HOUR)) - INTERVAL 12 HOUR + to_seconds(CAST(18000 + l_linenumber * 1200 + l_partkey % 600 AS INTEGER)) AS sched,
   l_returnflag = 'A' AS tp FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-  SELECT l_orderkey AS trip_id, min(at) AS first, max(at) AS last, count(*) AS n_stops, count(*) FILTER (WHERE tp) AS n_timepoints FROM s GROUP BY 1""")
+  SELECT l_orderkey AS trip_id, min(sched) AS first, max(sched) AS last, count(*) AS n_stops, count(*) FILTER (WHERE tp) AS n_timepoints FROM s GROUP BY 1""")
 def scheduled_times(t):
     j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     at = dates.scheduled_instant(F.to_date("o_orderdate"), 18000 + F.col("l_linenumber") * 1200 + F.col("l_partkey") % 600)

@@ -60,6 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a step of an iteration to the shared folder and go on from the table.
+
+    Like a checkpoint it outlives lost executors; unlike one it has file
+    statistics, so Catalyst can see when a step has become small.
+    """
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` if it is counted to be small, else leave the join to shuffle.
 
