@@ -11,6 +11,7 @@ from wardstat.operators import aggregates as agg
 from wardstat.operators.joins import by_area, fan_out, with_all_areas
 from wardstat.operators.sequences import headway_gaps, latest_per_key, scheduled_gaps
 from wardstat.operators.spatial import first_rereport
+from wardstat.session import attach, cut_lineage
 
 CELL = ["geo_type", "geo_id"]
 WINDOW = ["window_start", "window_end"]
@@ -515,3 +516,39 @@ def dispositions(closed: DataFrame, resolution: str, sub: str, type_col: str, sh
     ids = few.groupBy(*key).agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "id"))), 1, samples)["id"].alias("ids"))
     return n.join(top, key).join(ids, key).select(*key, "closed_requests", F.array_join("top.value", "; ").alias("top_types"),
                                                   F.array_join("ids", " ").alias("samples"))
+
+
+def closed_without_action(closed: DataFrame, mapping: dict[str, str], levels: dict[str, Column]) -> DataFrame:
+    """Share of closed requests whose resolution code means nothing was done.
+
+    ``mapping``: code -> 'strict' (certainly no action) or 'broad' (probably
+    none). The strict variant counts strict codes, the broad one both.
+    """
+    kind = F.try_element_at(F.create_map(*[F.lit(v) for kv in mapping.items() for v in kv]), F.col("code"))
+    d = fan_out(closed, [{"variant": "strict"}, {"variant": "broad"}], {"variant": "string"})
+    hit = F.coalesce((kind == "strict") | ((F.col("variant") == "broad") & (kind == "broad")), F.lit(False))
+    return agg.flag_proportion(by_area(d.withColumn("_hit", hit), levels), ["variant", *CELL], F.col("_hit"))
+
+
+def cluster_specification(base: DataFrame, nb: DataFrame, start: Column, end: Column, area: str,
+                          exclude_types: tuple[str, ...] = (), nsim: int = 9999, nsim_local: int | None = None) -> DataFrame:
+    """One row for one specification: record flow, global Moran and the smallest local p and q.
+
+    Slow requests against each area's own mix, empirical-Bayes z, then global
+    and local Moran over the areas that clear the minimum.
+    """
+    from wardstat.operators import spatial_stats as ss
+    w = base.where(F.col("opened").between(start, end))
+    d = w.where(F.col("close_problem").isNull())
+    if exclude_types:
+        d = d.where(~F.col("type").isin(*exclude_types))
+    d = d.withColumn("time", F.when(F.col("is_closed"), F.col("bd_to_close")).otherwise(F.col("age_bd"))).where("time is not null")
+    flow = w.agg(F.count(F.lit(1)).alias("in_window"), F.count("close_problem").alias("close_problem"))
+    kept = d.agg(F.count(F.lit(1)).alias("timing_records"))
+    ratios = cut_lineage(agg.standardized_ratio(flag_slow(d), area, "type", F.col("slow")).where("not suppressed"))
+    z = ss.eb_standardize(ratios).select(F.col(area).alias("id"), F.coalesce("z", F.lit(0.0)).alias("z"))
+    z = cut_lineage(z)
+    links = nb.join(z.select(F.col("id").alias("i")), "i", "left_semi").join(z.select(F.col("id").alias("j")), "j", "left_semi").select("i", "j")
+    g = ss.moran_global(z, links, "z", nsim).select("moran_i", F.col("p_perm").alias("moran_p"), F.col("n").alias("areas"))
+    loc = ss.lisa(z, links, "z", nsim_local or nsim).agg(F.min("p").alias("min_p"), F.min("q").alias("min_q"))
+    return flow.transform(attach, kept).transform(attach, g).transform(attach, loc)

@@ -286,6 +286,11 @@ def neighbors(t):
     return spatial.contiguity(spatial.rectangles_to_edges(P.areas_grid(t)))
 
 
+def areas_slow(t):
+    """Nations by the centre of their square."""
+    return P.areas_grid(t).select(F.col("geo_id").alias("id"), (F.col("x0") + 200).alias("x"), (F.col("y0") + 200).alias("y"))
+
+
 @query("spatial_lag", sql("bal nb", "SELECT i AS id, round(avg(v), 4) AS lag, count(*) AS neighbors FROM nb JOIN bal ON id = j GROUP BY 1"))
 def spatial_lag(t):
     return rnd(spatial_stats.spatial_lag(balances(t), neighbors(t), "v"), 4, "lag").drop("v")
