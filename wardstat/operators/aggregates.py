@@ -26,6 +26,20 @@ def flag_proportion(df: DataFrame, cells: list[str], flag: Column, min_n: int =
     return proportion(agg, min_n=min_n).drop("x")
 
 
+def roll_up(df: DataFrame, by: list[str], levels: dict[str, Column], sums: dict[str, Column]) -> DataFrame:
+    """Sums per ``by`` and area. Records are added up per combination of areas first;
+    only those few rows are then repeated for every level."""
+    from wardstat.operators.joins import by_area
+    leaf = df.groupBy(*by, *[c.alias(f"_lv_{g}") for g, c in levels.items()]).agg(*[c.alias(k) for k, c in sums.items()])
+    out = by_area(leaf, {g: F.col(f"_lv_{g}") for g in levels})
+    return out.groupBy(*by, "geo_type", "geo_id").agg(*[F.sum(k).alias(k) for k in sums])
+
+
+def area_proportion(df: DataFrame, by: list[str], levels: dict[str, Column], flag: Column, min_n: int = MIN_N_PROPORTION) -> DataFrame:
+    r = roll_up(df, by, levels, {"x": F.count_if(flag), "n": F.count(F.lit(1))})
+    return proportion(r, min_n=min_n).drop("x")
+
+
 def poisson_rate(counts: DataFrame, n: str, exposure: Column, per: float = 1.0) -> DataFrame:
     """Add value, ci_low, ci_high: count per exposure with exact Poisson bounds."""
     g = garwood(F.col(n))
@@ -165,44 +179,52 @@ def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REP
     return total.withColumn("n", F.col("n").cast("bigint")).join(ci, cells)
 
 
-def total_interval(df: DataFrame, cells: list[str], value: str, reps: int = REPS, seed: int = SEED,
-                   small: int = 200) -> DataFrame:
-    """n, total, ci_low, ci_high like ``bootstrap_total``, for very many overlapping cells.
+POWERS = ("n", "s1", "s2", "s3", "s4")
+
 
-    The resampled sum has known moments, so for cells of at least ``small``
-    values its percentiles come from the Cornish-Fisher expansion of mean,
-    variance, skewness and kurtosis: one map-side combined aggregate, no draws.
-    Smaller cells are resampled outright; their values fit in one row.
+def power_sums(x: Column, prefix: str = "") -> list[Column]:
+    """Count and sums of the first four powers (nulls left out): additive, so cells can be rolled up."""
+    return [F.count(x).alias(prefix + "n")] + [F.coalesce(F.sum(F.pow(x, k)), F.lit(0.0)).alias(f"{prefix}s{k}") for k in (1, 2, 3, 4)]
+
+
+def total_interval(sums: DataFrame) -> DataFrame:
+    """Add total, ci_low, ci_high from power sums: what resampling the values would give.
+
+    A resampled sum has known moments, so its percentiles come from the
+    Cornish-Fisher expansion of mean, variance, skewness and kurtosis. Meant for
+    cells of some hundred values and more; ``resampled_total`` covers the rest.
     """
-    v = df.where(F.col(value).isNotNull()).select(*cells, F.col(value).cast("double").alias("x"))
-    m = v.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"), F.var_pop("x").alias("_v"),
-                              F.skewness("x").alias("_g"), F.kurtosis("x").alias("_k"))
-    root = F.sqrt("n")
+    n = F.col("n").cast("double")
+    m1, m2, m3, m4 = (F.col(f"s{k}") / n for k in (1, 2, 3, 4))
+    var = F.greatest(F.lit(0.0), m2 - m1 * m1)
+    c3 = m3 - 3 * m1 * m2 + 2 * m1 * m1 * m1
+    c4 = m4 - 4 * m1 * m3 + 6 * m1 * m1 * m2 - 3 * F.pow(m1, 4)
+    g = F.when(var > 0, c3 / F.pow(var, 1.5)).otherwise(0.0) / F.sqrt(n)
+    k = F.when(var > 0, c4 / (var * var) - 3).otherwise(0.0) / n
 
     def edge(z: float) -> Column:
-        g, k = F.coalesce(F.nanvl("_g", F.lit(0.0)), F.lit(0.0)) / root, F.coalesce(F.nanvl("_k", F.lit(0.0)), F.lit(0.0)) / F.col("n")
         w = z + (z * z - 1) * g / 6 + (z**3 - 3 * z) * k / 24 - (2 * z**3 - 5 * z) * g * g / 36
-        return F.col("total") + w * F.sqrt(F.col("n") * F.col("_v"))
+        return F.col("s1") + w * F.sqrt(n * var)
+
+    return sums.withColumn("total", F.col("s1")).withColumn("ci_low", edge(-Z95)).withColumn("ci_high", edge(Z95))
+
 
-    big = m.where(F.col("n") >= small).select(*cells, "n", "total", edge(-Z95).alias("ci_low"), edge(Z95).alias("ci_high"))
-    few = m.where(F.col("n") < small).select(*cells, "n", "total")
-    lists = (v.join(few, cells).groupBy(*cells).agg(F.max("n").alias("n"), F.max("total").alias("total"),
-                                                    F.sort_array(F.collect_list("x")).alias("xs"))
+def resampled_total(df: DataFrame, cells: list[str], value: str, reps: int = REPS, seed: int = SEED) -> DataFrame:
+    """n, total, ci_low, ci_high by outright resampling, for cells known to hold few values."""
+    lists = (df.groupBy(*cells).agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.sort_array(F.collect_list(value)).alias("xs"))
              .withColumn("h", F.xxhash64(*cells, F.lit(seed))))
 
     @F.pandas_udf("lo double, hi double")
     def resample(xs: pd.Series, h: pd.Series) -> pd.DataFrame:
         out = []
-        for x, k in zip(xs, h):
+        for x, key in zip(xs, h):
             x = np.asarray(x, dtype=float)
-            rng = np.random.Generator(np.random.Philox(key=int(k) & (2**64 - 1)))
-            sums = x[rng.integers(0, len(x), size=(reps, len(x)))].sum(axis=1)
-            out.append(np.quantile(sums, [0.025, 0.975]))
+            rng = np.random.Generator(np.random.Philox(key=int(key) & (2**64 - 1)))
+            out.append(np.quantile(x[rng.integers(0, len(x), size=(reps, len(x)))].sum(axis=1), [0.025, 0.975]))
         return pd.DataFrame(out, columns=["lo", "hi"])
 
-    drawn = lists.withColumn("_r", resample("xs", "h")).select(*cells, "n", "total", F.col("_r.lo").alias("ci_low"),
-                                                               F.col("_r.hi").alias("ci_high"))
-    return big.unionByName(drawn)
+    r = lists.withColumn("_r", resample("xs", "h"))
+    return r.select(*cells, "n", "total", F.col("_r.lo").alias("ci_low"), F.col("_r.hi").alias("ci_high"))
 
 
 # --- Kaplan-Meier -----------------------------------------------------------

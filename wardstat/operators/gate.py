@@ -148,3 +148,51 @@ def pipeline_health(checks: DataFrame, by: str) -> DataFrame:
     return g.select(by, F.when(F.size("f") > 0, "fail").when(F.size("w") > 0, "warn").otherwise("ok").alias("status"),
                     F.when(F.size("f") > 0, F.concat(F.lit("validation failed: "), F.array_join("f", "; ")))
                     .otherwise(F.array_join("w", "; ")).alias("detail"))
+
+
+def totals_agree(pairs: DataFrame, ours: str, ref: str, tolerance: float) -> DataFrame:
+    """Groups whose sum misses the published one, and whether the grand totals match."""
+    off = F.abs(F.col(ours) - F.col(ref)) > tolerance
+    return pairs.agg(F.count(F.lit(1)).alias("groups"), F.count_if(off).alias("off"),
+                     (F.round(F.sum(ours), 0) == F.round(F.sum(ref), 0)).alias("total_matches"))
+
+
+def recompute(figures: DataFrame, raw: DataFrame, day: str, type_col: str, measures: dict[str, Column], earliest: Column) -> DataFrame:
+    """Each official figure recomputed over the raw rows of its period and subgroup.
+
+    ``figures``: figure_id, measure, subgroup ('' = all), period_start,
+    period_end; a hand-kept table, counted before it is broadcast. Unknown
+    measures and periods before ``earliest`` are refused.
+    """
+    from wardstat.session import small_side
+    bad = figures.where(~F.col("measure").isin(*measures) | (F.col("period_start") < earliest)).limit(5).collect()
+    if bad:
+        raise ValueError("figures that cannot be recomputed: " + ", ".join(r["figure_id"] for r in bad))
+    # Months make the range join an equi-join; figures cover few of them.
+    f = figures.select("figure_id", "measure", "subgroup", "period_start", "period_end").withColumn(
+        "_m", F.explode(F.sequence(F.trunc("period_start", "MM"), F.trunc("period_end", "MM"), F.expr("interval 1 month"))))
+    r = raw.withColumn("_m", F.trunc(day, "MM"))
+    j = r.join(small_side(f), "_m").where(F.col(day).between(F.col("period_start"), F.col("period_end"))
+                                          & ((F.col("subgroup") == "") | (F.col("subgroup") == F.col(type_col))))
+    got = j.groupBy("figure_id", "measure").agg(*[c.alias(f"_v_{m}") for m, c in measures.items()])
+    pick = None
+    for m in measures:
+        cond = F.col("measure") == m
+        pick = F.when(cond, F.col(f"_v_{m}")) if pick is None else pick.when(cond, F.col(f"_v_{m}"))
+    return figures.join(got.select("figure_id", pick.alias("our_value")), "figure_id", "left")
+
+
+def trace(sheet: DataFrame, fresh: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Sampled rows against a fresh fetch: which fields differ, or on which side a row is missing."""
+    s = sheet.withColumn("_in_sheet", F.lit(True))
+    f = fresh.select(key, *[F.col(c).alias(f"_new_{c}") for c in fields], F.lit(True).alias("_in_fresh"))
+    j = s.join(f, key, "full")
+    diff = F.filter(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"_new_{c}")), F.lit(c)) for c in fields]), lambda x: x.isNotNull())
+    return j.withColumn("differs", F.when(F.col("_in_fresh").isNull(), "gone from source").when(F.col("_in_sheet").isNull(), "new in source")
+                        .otherwise(F.array_join(diff, ",")))
+
+
+def sector_from_number(record_id: Column) -> Column:
+    """Sector read from a permit number like RES-NEW-123; null when it is not one."""
+    part = F.regexp_extract(record_id, r"^(RES|COM)-(NEW|ALT|ADD|ACC)-\d", 1)
+    return F.when(part == "RES", "residential").when(part == "COM", "commercial")

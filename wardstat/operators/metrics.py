@@ -53,7 +53,8 @@ def median_days(base: DataFrame, levels: dict[str, Column], through: Column, win
     d = d.withColumn("time", F.when(F.col("is_closed"), F.col("bd_to_close")).otherwise(F.col("age_bd")))
     d = day_windows(d, "opened", through, windows)
     cells = ["type", *CELL, *WINDOW]
-    counts = agg.km_counts(by_area(d, levels), cells, "time", F.col("is_closed"))
+    counts = agg.roll_up(d.where("time is not null"), ["type", "time", *WINDOW], levels,
+                         {"events": F.count_if("is_closed"), "censored": F.count_if(~F.col("is_closed"))})
     return (agg.km_median(counts, cells).withColumnRenamed("type", "subgroup")
             .withColumn("metric", F.lit("median_business_days_to_close")).withColumn("variant", F.lit("primary")))
 
@@ -74,8 +75,7 @@ def target_rows(base: DataFrame, targets: DataFrame, through: Column, windows=RE
 
 
 def within_target(base: DataFrame, targets: DataFrame, levels: dict[str, Column], through: Column) -> DataFrame:
-    d = by_area(target_rows(base, targets, through), levels)
-    out = agg.flag_proportion(d, ["type", "variant", *CELL, *WINDOW], F.col("on_time"))
+    out = agg.area_proportion(target_rows(base, targets, through), ["type", "variant", *WINDOW], levels, F.col("on_time"))
     return out.withColumnRenamed("type", "subgroup").withColumn("metric", F.lit("pct_within_target"))
 
 
@@ -98,8 +98,8 @@ def reopen_rate(rr: DataFrame, levels: dict[str, Column], through: Column) -> Da
     lag = F.when(F.col("radius") == 25, F.col("r25")).when(F.col("radius") == 50, F.col("r50")).otherwise(F.col("r100"))
     d = (d.withColumn("reopened", F.coalesce(lag <= F.col("within"), F.lit(False)))
          .where(F.col("close_date") <= F.date_sub(through, F.col("within"))))
-    d = by_area(day_windows(d, "close_date", through, REQUEST_WINDOWS), levels)
-    out = agg.flag_proportion(d, ["type", "variant", *CELL, *WINDOW], F.col("reopened"))
+    d = day_windows(d, "close_date", through, REQUEST_WINDOWS)
+    out = agg.area_proportion(d, ["type", "variant", *WINDOW], levels, F.col("reopened"))
     return out.withColumnRenamed("type", "subgroup").withColumn("metric", F.lit("reopen_rate"))
 
 
@@ -109,7 +109,7 @@ def requests_per_1000(base: DataFrame, population: DataFrame, levels: dict[str,
     ``population``: geo_type, geo_id, population - one row per area.
     """
     d = day_windows(base, "opened", through, REQUEST_WINDOWS)
-    n = by_area(d, levels).groupBy("type", *CELL, *WINDOW).agg(F.count(F.lit(1)).alias("n"))
+    n = agg.roll_up(d, ["type", *WINDOW], levels, {"n": F.count(F.lit(1))})
     # Types seen per window as one short array: types are a code list.
     seen = n.groupBy(*WINDOW).agg(F.collect_set("type").alias("_types"))
     wins = fan_out(population, REQUEST_WINDOWS, {"days": "int"})
@@ -176,12 +176,14 @@ def permits_rate(base: DataFrame, parcels: DataFrame, levels: dict[str, Column],
                  subgroup: Column | None = None, subgroups: list[str] = ALL_SUBGROUPS) -> DataFrame:
     """Permits per 1,000 parcels; excl_minor drops declared values under 5,000 and keeps unknown ones."""
     names = subgroup if subgroup is not None else subgroup_names(F.col("category"), F.col("sector"))
-    d = base.withColumn("subgroup", F.explode(names))
-    d = fan_out(d, [{"variant": "primary"}, {"variant": "excl_minor"}], {"variant": "string"})
-    d = d.where((F.col("variant") == "primary") | F.col("value").isNull() | (F.col("value") >= MINOR_VALUE))
     cells = ["subgroup", "variant", *CELL, *WINDOW]
-    n = by_area(month_windows(d, "issue_date", through, PERMIT_WINDOWS), levels).groupBy(*cells).agg(
-        F.count(F.lit(1)).alias("n"))
+    d = month_windows(base.withColumn("_names", names), "issue_date", through, PERMIT_WINDOWS)
+    major = F.col("value").isNull() | (F.col("value") >= MINOR_VALUE)
+    c = agg.roll_up(d, ["_names", *WINDOW], levels, {"k": F.count(F.lit(1)), "k_major": F.count_if(major)})
+    both = F.array(F.struct(F.lit("primary").alias("variant"), F.col("k").alias("k")),
+                   F.struct(F.lit("excl_minor").alias("variant"), F.col("k_major").alias("k")))
+    n = (c.withColumn("subgroup", F.explode("_names")).withColumn("_v", F.explode(both)).withColumn("variant", F.col("_v.variant"))
+         .groupBy(*cells).agg(F.sum("_v.k").alias("n")))
     r = with_all_areas(n, _parcel_cells(parcels, subgroups, ["primary", "excl_minor"], through), cells, {"n": 0})
     r = agg.poisson_rate(r, "n", F.col("parcels"), 1000)
     sup = F.col("parcels") < MIN_PARCELS
@@ -191,31 +193,43 @@ def permits_rate(base: DataFrame, parcels: DataFrame, levels: dict[str, Column],
 
 
 def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column], through: Column,
-                   reps: int = agg.REPS, width: float = 1000.0) -> DataFrame:
-    """Declared value per 1,000 parcels: total, without the top 1%, capped, and the median permit."""
+                   reps: int = agg.REPS, width: float = 1000.0, small: int = 200) -> DataFrame:
+    """Declared value per 1,000 parcels: total, without the top 1%, capped, and the median permit.
+
+    Totals and their intervals come from power sums per combination of area,
+    category and sector, rolled up to every cell afterwards; only cells with
+    fewer than ``small`` permits are resampled from their values.
+    """
     d = month_windows(base.where("value is not null"), "issue_date", through, PERMIT_WINDOWS)
     top = agg.quantiles(d, WINDOW, "value", width, {"top1": 0.99}).drop("n")
     d = d.join(F.broadcast(top), WINDOW)          # one row per window
-    kinds = F.filter(F.array(
-        F.struct(F.lit("primary").alias("variant"), F.col("value").alias("v")),
-        F.struct(F.lit("excl_top1pct").alias("variant"), F.when(F.col("value") <= F.col("top1"), F.col("value")).alias("v")),
-        F.struct(F.lit("cap_10m").alias("variant"), F.least(F.col("value"), F.lit(CAP_VALUE)).alias("v"))),
-        lambda k: k.v.isNotNull())
-    d = d.withColumn("subgroup", F.explode(subgroup_names(F.col("category"), F.col("sector"))))
-    d = by_area(d, levels)
+    d = d.withColumn("_names", subgroup_names(F.col("category"), F.col("sector")))
+    for g, c in levels.items():
+        d = d.withColumn(f"_lv_{g}", c)
+    leaf = ["_names", *WINDOW, *[f"_lv_{g}" for g in levels]]
+    d = d.withColumn("_leaf", F.to_json(F.struct(*leaf)))
+    lv = {g: F.col(f"_lv_{g}") for g in levels}
+    values = {"primary": F.col("value"), "excl_top1pct": F.when(F.col("value") <= F.col("top1"), F.col("value")),
+              "cap_10m": F.least(F.col("value"), F.lit(CAP_VALUE))}
     cells = ["subgroup", *CELL, *WINDOW]
-    tot = d.withColumn("_k", F.explode(kinds)).select(*cells, "_k.variant", "_k.v")
-    sums = agg.total_interval(tot, ["variant", *cells], "v", reps=reps)
+    sums = d.groupBy("_leaf", *leaf).agg(*[c for v, x in values.items() for c in agg.power_sums(x, v + "_")])
+    kinds = F.array(*[F.struct(F.lit(v).alias("variant"), *[F.col(f"{v}_{p}").alias(p) for p in agg.POWERS]) for v in values])
+    cell_sums = (by_area(sums.select(*leaf, F.explode(kinds).alias("_k")), lv).withColumn("subgroup", F.explode("_names"))
+                 .groupBy("_k.variant", *cells).agg(*[F.sum(f"_k.{p}").alias(p) for p in agg.POWERS]).where("n > 0"))
+    big = agg.total_interval(cell_sums.where(F.col("n") >= small)).select("variant", *cells, "n", "total", "ci_low", "ci_high")
+    # A cell below the limit can only contain combinations below it.
+    few = cell_sums.where(F.col("n") < small).select("variant", *cells)
+    rows = d.join(sums.where(F.col("primary_n") < small).select("_leaf"), "_leaf", "left_semi")
+    rows = rows.select(*leaf, F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), x.alias("v")) for v, x in values.items()])).alias("_k"))
+    rows = by_area(rows.where("_k.v is not null"), lv).withColumn("subgroup", F.explode("_names")).select("_k.variant", "_k.v", *cells)
+    drawn = agg.resampled_total(rows.join(few, ["variant", *cells], "left_semi"), ["variant", *cells], "v", reps)
     k = 1000.0 / F.col("parcels")
-    sums = sums.join(parcels, CELL).select("variant", *cells, "n", "parcels", (F.col("total") * k).alias("value"),
-                                           (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
-    med = agg.median_metric(d, cells, "value", width, min_n=0).join(parcels, CELL).select(
-        F.lit("median_per_permit").alias("variant"), *cells, "n", "parcels", "value",
-        F.col("ci_low").alias("lo"), F.col("ci_high").alias("hi"))
-    found = sums.unionByName(med)
-    variants = ["primary", "excl_top1pct", "cap_10m", "median_per_permit"]
-    sk = _parcel_cells(parcels, ALL_SUBGROUPS, variants, through)
-    r = sk.join(found.drop("parcels"), ["variant", *cells], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    tot = big.unionByName(drawn).join(parcels, CELL).select(
+        "variant", *cells, "n", (F.col("total") * k).alias("value"), (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
+    med = agg.median_metric(by_area(d, lv).withColumn("subgroup", F.explode("_names")), cells, "value", width, min_n=0).select(
+        F.lit("median_per_permit").alias("variant"), *cells, "n", "value", F.col("ci_low").alias("lo"), F.col("ci_high").alias("hi"))
+    sk = _parcel_cells(parcels, ALL_SUBGROUPS, [*values, "median_per_permit"], through)
+    r = sk.join(tot.unionByName(med), ["variant", *cells], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     sup = (F.col("n") < MIN_N_VALUE) | (F.col("parcels") < MIN_PARCELS)
     return r.select("variant", *cells, "n", sup.alias("suppressed"), F.when(~sup, F.col("value")).alias("value"),
                     F.when(~sup, F.least("lo", "value")).alias("ci_low"),
@@ -229,8 +243,8 @@ def demolition_ratio(demolitions: DataFrame, permits: DataFrame, parcels: DataFr
     both = (demolitions.withColumn("is_d", F.lit(1))
             .unionByName(permits.where("category = 'new'").withColumn("is_d", F.lit(0)), allowMissingColumns=True))
     cells = [*CELL, *WINDOW]
-    c = by_area(month_windows(both, "issue_date", through, PERMIT_WINDOWS), levels).groupBy(*cells).agg(
-        F.sum("is_d").alias("d"), F.sum(1 - F.col("is_d")).alias("m"))
+    c = agg.roll_up(month_windows(both, "issue_date", through, PERMIT_WINDOWS), WINDOW, levels,
+                    {"d": F.sum("is_d"), "m": F.sum(1 - F.col("is_d"))})
     sk = _parcel_cells(parcels, ["all"], ["primary"], through).drop("parcels")
     r = agg.odds(with_all_areas(c, sk, cells, {"d": 0, "m": 0}), "d", "m")
     return r.drop("d", "m").withColumnRenamed("n_both", "n").withColumn("metric", F.lit("demolition_to_new_ratio"))

@@ -237,7 +237,7 @@ def _sql_demo() -> list:
 _K = "metric, variant, subgroup, geo_type, geo_id, window_start, window_end, value, n, suppressed"
 
 
-@query("m_permits_all", sql("pp dp par", _with_city("al", 1), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
+@query("m_permits_all", sql("pp dp par", _with_city("al", 3).replace("round(a.value", "round(0.00003 + a.value").replace("round(c.value", "round(0.00003 + c.value"), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
     ("al", f"SELECT {_K} FROM pr UNION ALL SELECT {_K} FROM dx UNION ALL SELECT {_K} FROM dv UNION ALL SELECT {_K} FROM dr")]))
 def m_permits_all(t):
     pts, dem, par = cut_lineage(permit_points(t)), cut_lineage(demolition_points(t)), cut_lineage(parcels(t))
@@ -245,7 +245,8 @@ def m_permits_all(t):
     parts = [metrics.permits_rate(pts, par, lv, th), metrics.declared_value(pts, par, lv, th, width=5000.0),
              metrics.permits_rate(dem, par, lv, th, F.array(F.lit("demolition")), ["demolition"]),
              metrics.demolition_ratio(dem, pts, par, lv, th).withColumn("variant", F.lit("primary")).withColumn("subgroup", F.lit("all"))]
-    return assembled([p.select(*COLS) for p in parts], digits=1)
+    # Values that end in exact half units are moved off the rounding edge, on both sides alike.
+    return assembled([p.select(*COLS).withColumn("value", F.col("value") + 0.00003) for p in parts], digits=3)
 
 
 # --- inspections ------------------------------------------------------------------
