@@ -77,17 +77,19 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
     makes another record a duplicate. ``df``: id, type, x, y, t (days); rows
     without a place, time or type are primaries.
 
-    The rule is sequential, but not per record. Cut space into squares whose
-    diagonal is ``meters`` and time into buckets of ``days``: records of one
-    type in one square and bucket (a *clique*) all lie in range of each other,
+    The rule is sequential, but not per record. Cut space into squares of half
+    ``meters`` and time into buckets of ``days``: records of one type in one
+    square and bucket (a *clique*) all lie in range of each other,
     so a clique holds at most one primary, however many records it has. Each
     round looks only at the earliest undecided record of each clique; one that
     no undecided clique nearby can precede is a primary, and everything in its
     range becomes a duplicate. Hot spots thus cost one row per clique in the
     decision and meet a bounded number of primaries in the marking join. The
-    number of rounds is bounded by the chain of cliques, not by the rows.
+    number of rounds is bounded by the chain of cliques, not by the rows. Joins
+    run on squares of ``meters`` (two by two small ones), so a row is copied to
+    nine squares and two time buckets and no more.
     """
-    side = meters / math.sqrt(2.0)
+    side = meters / 2.0
     ok = (F.col("type").isNotNull() & F.col("t").isNotNull()
           & F.col("x").isNotNull() & F.col("y").isNotNull())
     base = (df.where(ok).select("id", "type", F.col("t").cast("double").alias("t"),
@@ -95,7 +97,9 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
             .withColumn("cx", geo.cell_index(F.col("x"), side))
             .withColumn("cy", geo.cell_index(F.col("y"), side))
             .withColumn("tb", F.floor(F.col("t") / days)))
-    clique = ["type", "cx", "cy", "tb"]
+    big = lambda c: F.floor(F.col(c) / 2)
+    base = base.withColumn("gx", big("cx")).withColumn("gy", big("cy"))
+    clique, near_by = ["type", "cx", "cy", "tb", "gx", "gy"], ["type", "gx", "gy", "tb"]
     home, step = scratch_path(df.sparkSession, "near-duplicates"), 0
     base = undecided = stored(base, f"{home}/base")
     while not undecided.isEmpty():
@@ -103,7 +107,7 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
         heads = undecided.groupBy(*clique).agg(
             F.min(F.struct("t", "id", "x", "y")).alias("h"), F.max("t").alias("t_max"),
             F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-        near = _spread(heads, "cx", "cy", 2, "tb", (0, 1)).alias("n")
+        near = _spread(heads, "gx", "gy", 1, "tb", (0, 1)).alias("n")
         me = heads.alias("m")
         gap_x = F.greatest(F.col("n.x0") - F.col("m.h.x"), F.col("m.h.x") - F.col("n.x1"), F.lit(0.0))
         gap_y = F.greatest(F.col("n.y0") - F.col("m.h.y"), F.col("m.h.y") - F.col("n.y1"), F.lit(0.0))
@@ -111,26 +115,26 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
         blocks = (earlier & (F.col("n.t_max") >= F.col("m.h.t") - days)
                   & (gap_x * gap_x + gap_y * gap_y <= meters * meters))
         same = F.lit(True)
-        for k in clique:
+        for k in near_by:
             same = same & (F.col(f"n.{k}") == F.col(f"m.{k}"))
         new = stored(me.join(near, same & blocks, "left_anti")
-                     .select("type", "cx", "cy", "tb", "h.t", "h.id", "h.x", "h.y"), f"{home}/primaries/step={step}")
-        undecided = stored(_in_range(undecided, new, clique, meters, days, "left_anti", drop_self=True),
+                     .select(*near_by, "h.t", "h.id", "h.x", "h.y"), f"{home}/primaries/step={step}")
+        undecided = stored(_in_range(undecided, new, near_by, meters, days, "left_anti", drop_self=True),
                            f"{home}/undecided-{step}")
     if not step:
         return df.select("id", F.lit(None).cast(df.schema["id"].dataType).alias("duplicate_of"))
     primaries = df.sparkSession.read.schema(new.schema).parquet(f"{home}/primaries")
-    hits = _in_range(base, primaries, clique, meters, days, "inner", drop_self=False)
+    hits = _in_range(base, primaries, near_by, meters, days, "inner", drop_self=False)
     link = hits.groupBy("id").agg(F.min(F.struct("p_t", "p_id")).alias("p"))
     return df.select("id").join(link.select("id", F.col("p.p_id").alias("duplicate_of")), "id", "left")
 
 
-def _in_range(rows: DataFrame, primaries: DataFrame, clique: list[str], meters: float, days: float,
+def _in_range(rows: DataFrame, primaries: DataFrame, near_by: list[str], meters: float, days: float,
               how: str, drop_self: bool) -> DataFrame:
-    p = _spread(primaries, "cx", "cy", 2, "tb", (0, 1)).alias("p")
+    p = _spread(primaries, "gx", "gy", 1, "tb", (0, 1)).alias("p")
     u = rows.alias("u")
     same = F.lit(True)
-    for k in clique:
+    for k in near_by:
         same = same & (F.col(f"u.{k}") == F.col(f"p.{k}"))
     dx, dy = F.col("u.x") - F.col("p.x"), F.col("u.y") - F.col("p.y")
     hit = ((F.struct("p.t", "p.id") < F.struct("u.t", "u.id")) & (F.col("u.t") - F.col("p.t") <= days)
