@@ -149,6 +149,17 @@ def with_business_days(df: DataFrame, start: str, end: str, cal: DataFrame, out:
             .drop("_ds", "_cs", "_de", "_ce"))
 
 
+def with_business_age(df: DataFrame, start: str, through: Column, cal: DataFrame, out: str) -> DataFrame:
+    """Business days from ``start`` to one fixed day; null when it starts later.
+
+    The fixed day's running count is a scalar, so only the start is joined.
+    """
+    upto = cal.where(F.col("date") == through).select("cum").scalar()
+    lo = F.broadcast(cal.select(F.col("date").alias("_ds"), F.col("cum").alias("_cs")))
+    return (df.join(lo, F.col(start) == F.col("_ds"), "left")
+            .withColumn(out, F.when(through >= F.col(start), upto - F.col("_cs"))).drop("_ds", "_cs"))
+
+
 def with_deadline(df: DataFrame, start: str, n: str, cal: DataFrame, out: str) -> DataFrame:
     """The date ``n`` business days after ``start``; the start itself for n = 0."""
     lo = F.broadcast(cal.select(F.col("date").alias("_ds"), F.col("cum").alias("_cs")))

@@ -516,7 +516,7 @@ def address_report(addresses: DataFrame, cell_rows: DataFrame, area_rows: DataFr
 def dispositions(closed: DataFrame, resolution: str, sub: str, type_col: str, shown_id: Column, types: int = 3, samples: int = 5) -> DataFrame:
     """Every (resolution, sub-status) with its count, top types and a few sample ids in hash order.
 
-    The sample keeps the smallest hashes per group: 256 hash ranges per
+    The sample keeps the smallest hashes per group: 4,096 hash ranges per
     group are cut to ``samples`` first, so no group is gathered whole.
     """
     clean = lambda c: F.when(F.col(c).isNull() | (F.trim(c) == ""), "(blank)").otherwise(F.col(c))
@@ -524,7 +524,7 @@ def dispositions(closed: DataFrame, resolution: str, sub: str, type_col: str, sh
     key = ["resolution", "sub"]
     top = top_values(d, key, "ty", types)
     n = d.groupBy(*key).agg(F.count(F.lit(1)).alias("closed_requests"))
-    h = d.withColumn("h", F.md5(F.col("id").cast("binary"))).withColumn("part", F.substring("h", 1, 2))
+    h = d.withColumn("h", F.md5(F.col("id").cast("binary"))).withColumn("part", F.substring("h", 1, 3))
     w = Window.partitionBy(*key, "part").orderBy("h")
     few = h.withColumn("k", F.row_number().over(w)).where(F.col("k") <= samples)
     ids = few.groupBy(*key).agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "id"))), 1, samples)["id"].alias("ids"))

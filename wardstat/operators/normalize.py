@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardstat.functions import text
-from wardstat.operators.calendar import with_business_days
+from wardstat.operators.calendar import with_business_age, with_business_days
 from wardstat.operators.sequences import latest_per_key
 
 
@@ -20,9 +20,9 @@ def request_records(raw: DataFrame, cal: DataFrame, states: dict[str, str], thro
     d = d.withColumn("close_problem", text.close_problem(F.col("state"), F.col("opened"), F.col("closed"),
                                                          through, system_start))
     d = d.withColumn("is_closed", (F.col("state") == "closed") & F.col("close_problem").isNull())
-    d = d.withColumn("close_date", F.when(F.col("is_closed"), F.col("closed"))).withColumn("_through", through)
+    d = d.withColumn("close_date", F.when(F.col("is_closed"), F.col("closed")))
     d = with_business_days(d, "opened", "close_date", cal, "bd_to_close")
-    d = with_business_days(d, "opened", "_through", cal, "age_bd").drop("_through")
+    d = with_business_age(d, "opened", through, cal, "age_bd")
     here = text.in_box(F.col("x"), F.col("y"), box)
     reason = text.first_reason([
         ("missing_request_type", text.blank(F.col("type"))),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardstat.functions import geo, intervals
+from wardstat.functions import intervals
 from wardstat.operators import aggregates as A
 from wardstat.operators import checks, joins, metrics, normalize, spatial, spatial_stats
 from wardstat.operators.sequences import latest_per_key
@@ -13,7 +13,6 @@ from wardstat.plans.q_mapping import inspections, permits
 from wardstat.plans.proxies import day, rnd, sql, w_high, w_low
 from wardstat.plans.registry import query
 from wardstat.session import attach, cut_lineage
-from wardstat.sources import sinks
 
 CI = ("value", "ci_low", "ci_high")
 
@@ -398,6 +397,3 @@ def declared_value(t):
 def odds_ratio_metric(t):
     g = lines(t).groupBy("nation").agg(F.count_if(F.col("l_returnflag") == "R").alias("d"), F.count_if(F.col("l_returnflag") == "N").alias("n"), F.count(F.lit(1)).alias("m"))
     return rnd(A.odds(g, "d", "n", min_n=800), 6, *CI)
-
-
-_ = (geo, sinks)

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardstat.functions import dates, geo, text
+from wardstat.functions import dates, text
 from wardstat.operators import metrics, normalize
 from wardstat.operators.joins import fan_out
-from wardstat.operators.sequences import latest_per_key
 from wardstat.plans import proxies as P
-from wardstat.plans.proxies import day, rnd, sql
+from wardstat.plans.proxies import day, sql
 from wardstat.plans.registry import query
-from wardstat.session import small_side
 from wardstat.sources import sinks
 
 
@@ -311,6 +309,3 @@ def subgroup_parse(t):
     names = ["", "ECONOMY|PROMO", "category:new"]
     hit = F.filter(F.array(*[F.when(normalize.subgroup_condition(s, F.col("p_type"), cat), F.lit(s)) for s in names]), lambda x: x.isNotNull())
     return t.part.select(F.explode(hit).alias("subgroup")).groupBy("subgroup").agg(F.count(F.lit(1)).alias("n"))
-
-
-_ = (geo, latest_per_key, rnd, small_side)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wardstat.functions import geo
 from wardstat.functions.dates import local_day
-from wardstat.operators import checks, metrics, normalize, spatial, spatial_stats
+from wardstat.operators import checks, metrics, normalize, spatial
 from wardstat.operators import aggregates as A
 from wardstat.operators.joins import by_area, classify_trips
 from wardstat.plans import proxies as P
@@ -14,7 +14,7 @@ from wardstat.plans.proxies import day, rnd, sql
 from wardstat.plans.q_aggregates import areas_slow, neighbors
 from wardstat.plans.q_joins import matched, sched_trips
 from wardstat.plans.q_mapping import demolitions, inspections, permits
-from wardstat.plans.q_sequences import food_places, headway_events, outage_events, peak_events
+from wardstat.plans.q_sequences import food_places, outage_events, peak_events
 from wardstat.plans.registry import query
 from wardstat.session import cut_lineage
 
@@ -500,6 +500,3 @@ def m_mix_table(t):
     pop = c.groupBy("nation").agg(F.count(F.lit(1)).alias("p"), F.round(F.avg((F.col("c_acctbal") >= 0).cast("int")), 3).alias("share_in_city"))
     return (wide.join(n, "nation", "left").join(pop, "nation").withColumn("requests_per_1000", F.round(F.col("requests_12m") * 1000 / F.col("p"), 4))
             .select("nation", "building", "machinery", "requests_12m", "requests_per_1000", "share_in_city"))
-
-
-_ = (spatial_stats, headway_events)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardstat.functions import geo
-from wardstat.operators import checks, metrics, normalize, sequences, spatial, tracks
+from wardstat.operators import checks, metrics, sequences, spatial, tracks
 from wardstat.operators.aggregates import even_share
 from wardstat.operators.joins import classify_trips
 from wardstat.plans import proxies as P
 from wardstat.plans.proxies import day, rnd, sql
-from wardstat.plans.q_joins import matched, poller_spans, polls, sched_trips, trip_reports
+from wardstat.plans.q_joins import matched, polls
 from wardstat.plans.q_spatial import order_points, order_shapes, order_tracks
 from wardstat.plans.registry import query
 from wardstat.session import cut_lineage
@@ -212,6 +212,3 @@ def recent_list(t):
 def fetch_completeness(t):
     announced = t.orders.groupBy(F.col("o_orderpriority").alias("feed")).agg(F.round(F.count_distinct("o_custkey") * 2.2).cast("bigint").alias("announced"))
     return checks.fetch_complete(t.orders.withColumnRenamed("o_orderpriority", "feed"), announced, "feed")
-
-
-_ = (normalize, poller_spans, sched_trips, trip_reports)

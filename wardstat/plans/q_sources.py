@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardstat.functions import geo
 from wardstat.functions.dates import from_epoch_ms, local_day
-from wardstat.operators import checks, metrics, spatial
+from wardstat.operators import checks, metrics
 from wardstat.operators.joins import asof_backward
 from wardstat.plans import proxies as P
-from wardstat.plans.proxies import day, rnd, sql
+from wardstat.plans.proxies import day, sql
 from wardstat.plans.registry import query
 from wardstat.session import scratch_path
 from wardstat.sources import files, sinks
-from wardstat.streaming import streams
 
 
 @query("scan_csv_typed", "SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS id, n_name AS name, CAST(n_regionkey AS INTEGER) AS region_id, "
@@ -149,13 +147,10 @@ def scan_geojson_boundaries(t):
     ring = F.array(pt("x0", "y0"), pt("x1", "y0"), pt("x1", "y1"), pt("x0", "y1"), pt("x0", "y0"))
     feat = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("geo_id").alias("GEOID")).alias("properties"),
                     F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    # One document per region of the grid, as boundary files come in pieces.
+    # One document per row of the grid and file, as boundary files come in pieces.
     doc = g.groupBy("y0").agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
                                                  F.collect_list(feat).alias("features"))).alias("value"))
-    doc.select("value").repartition(5).write.option("lineSep", "\n").text(path)
-    lines = t.spark.read.text(path)          # one document per line here, so no multi-line read is needed
-    one = scratch_path(t.spark, "geojson1")
-    lines.repartition(F.xxhash64("value")).write.text(one)
+    doc.repartition("y0").write.partitionBy("y0").text(path)
     return files.read_boundaries(t.spark, path, "tract", "GEOID", project=lambda lon, lat: (lon, lat))
 
 
@@ -283,6 +278,3 @@ def sink_results_tables(t):
     read = lambda n, s: files.read_csv(t.spark, f"{path}/{n}", s)
     wide = read("whole", "geo_id string, n_all bigint, price double").join(read("recent", "geo_id string, n_recent bigint"), "geo_id", "left")
     return wide.fillna({"n_recent": 0})
-
-
-_ = (geo, spatial, streams, rnd)

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardstat.operators.sequences import poll_index
-from wardstat.plans import proxies as P
 from wardstat.plans.proxies import sql
 from wardstat.plans.q_sequences import outage_obs, outage_polls
 from wardstat.plans.registry import query
-from wardstat.session import scratch_path
 from wardstat.streaming import streams
 
 # Landed files are read in any order, so replays keep state for the whole month.
@@ -109,6 +106,3 @@ def stream_poll_counts(t):
     s = streams.read_landed(t.spark, path, e.schema)
     out = streams.drain(streams.poll_counts(s, "ts", "30 minutes", DELAY, "value"), "counts", "update", ["window_start"])
     return out.withColumn("customers", F.round("customers", 2))
-
-
-_ = (poll_index, scratch_path, P)

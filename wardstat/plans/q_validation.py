@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from wardstat.operators import checks, gate, metrics, normalize
 from wardstat.plans import proxies as P
 from wardstat.plans.proxies import day, rnd, sql
-from wardstat.plans.q_aggregates import components
-from wardstat.plans.q_metrics import COLS, population, sql_med
+from wardstat.plans.q_metrics import sql_med
 from wardstat.plans.registry import query
 
 CONTRACT = {"o_orderkey": {"type": "integer", "nullable": False}, "o_orderstatus": {"type": "character", "allowed": ["F", "O"]},
@@ -251,6 +250,3 @@ def audit_trace(t):
         F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("price"))
     d = gate.trace(sheet, fresh, "o_orderkey", ["status", "price"])
     return d.select("o_orderkey", "differs", gate.sector_from_number(F.col("record_id")).alias("sector"))
-
-
-_ = (components, COLS, population)
