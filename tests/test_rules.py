@@ -162,3 +162,17 @@ def test_address_cache_and_annotations(spark):
     df = spark.createDataFrame([(1, -1.0, -555555555.0), (2, 5.0, -555555555.0), (3, 5.0, -222222222.0)], "id int, estimate double, moe double")
     got = {r["id"]: (r["estimate"], r["moe"]) for r in normalize.code_annotations(df).collect()}
     assert got == {1: (None, 0.0), 2: (5.0, 0.0), 3: (5.0, None)}
+
+
+def test_declared_value_keeps_cells_that_a_variant_makes_small(spark):
+    # 202 permits, three of them above the 99th percentile of the window: 199 remain in the trimmed variant.
+    rows = [(i, "new", "residential", 1000.0 + (i % 50) if i >= 3 else 9e6 + i, D(2026, 9, 1), "c") for i in range(202)]
+    df = spark.createDataFrame(rows, "id int, category string, sector string, value double, issue_date date, city string")
+    par = spark.createDataFrame([("citywide", "c", 1000)], "geo_type string, geo_id string, parcels bigint")
+    out = metrics.declared_value(df, par, {"citywide": F.col("city")}, TH())
+    got = {r["variant"]: r for r in out.where("subgroup = 'all' and window_start = '2025-09-25'").collect()}
+    kept = sorted(r[3] for r in rows)
+    assert got["primary"]["n"] == 202 and got["excl_top1pct"]["n"] == 199 and not got["excl_top1pct"]["suppressed"]
+    assert got["primary"]["value"] == pytest.approx(sum(kept)) and got["excl_top1pct"]["value"] == pytest.approx(sum(kept[:-3]))
+    for r in got.values():
+        assert r["ci_low"] <= r["value"] <= r["ci_high"]

@@ -217,9 +217,10 @@ def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column
     cell_sums = (by_area(sums.select(*leaf, F.explode(kinds).alias("_k")), lv).withColumn("subgroup", F.explode("_names"))
                  .groupBy("_k.variant", *cells).agg(*[F.sum(f"_k.{p}").alias(p) for p in agg.POWERS]).where("n > 0"))
     big = agg.total_interval(cell_sums.where(F.col("n") >= small)).select("variant", *cells, "n", "total", "ci_low", "ci_high")
-    # A cell below the limit can only contain combinations below it.
+    # A cell below the limit, in any variant, can only contain combinations below it in that variant.
     few = cell_sums.where(F.col("n") < small).select("variant", *cells)
-    rows = d.join(sums.where(F.col("primary_n") < small).select("_leaf"), "_leaf", "left_semi")
+    fewest = F.least(*[F.col(f"{v}_n") for v in values])
+    rows = d.join(sums.where(fewest < small).select("_leaf"), "_leaf", "left_semi")
     rows = rows.select(*leaf, F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), x.alias("v")) for v, x in values.items()])).alias("_k"))
     rows = by_area(rows.where("_k.v is not null"), lv).withColumn("subgroup", F.explode("_names")).select("_k.variant", "_k.v", *cells)
     drawn = agg.resampled_total(rows.join(few, ["variant", *cells], "left_semi"), ["variant", *cells], "v", reps)
