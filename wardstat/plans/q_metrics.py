@@ -474,7 +474,7 @@ def m_slow_clusters(t):
     nb = {"contiguity": cut_lineage(neighbors(t)), "knn": cut_lineage(spatial.nearest_neighbors(areas_slow(t), 6).select("i", "j"))}
     out = None
     for name, start, kind, ex in SPECS:
-        r = metrics.cluster_specification(base, nb[kind], day(start), day(P.THROUGH), "nation", ex, nsim=999)
+        r = metrics.cluster_specification(base, nb[kind], day(start), day(P.THROUGH), "nation", ex, nsim=9999, nsim_local=99999)
         r = r.withColumn("spec", F.lit(name))
         out = r if out is None else out.unionByName(r)
     ok = F.col("moran_p").between(0, 1) & F.col("moran_i").between(-1, 1) & (F.col("min_q") >= F.col("min_p") - 1e-9)
