@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import line_dedup, token_counts
+from wardstat.llm import line_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@query("op2_toxicity")
+def op2(t):
+    out = toxicity.score(t.documents, toxicity.learn_on_training_part(t.documents, t.labels))
+    return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "density")
+
+
 @query("op5_token_counts")
 def op5(t):
     out = token_counts.count_tokens(t.documents, public_tokenizers.path("piece_bpe_32k.model"))
