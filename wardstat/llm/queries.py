@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import line_dedup, token_counts, toxicity
+from wardstat.llm import line_dedup, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -18,6 +18,22 @@ def op2(t):
     return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "density")
 
 
+@query("op4_substring_dedup", rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as ws from documents),
+w as (select doc_id, unnest(range(1, greatest(len(ws) - 11, 1))) as i, ws from d),
+k as (select doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) as k from w),
+f as (select k, min(doc_id) as owner from k group by k),
+c as (select distinct doc_id, unnest(range(i, i + 13)) as p from k join f using (k) where doc_id > owner),
+p as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as p from d),
+m as (select p.doc_id, p.p, p.word, c.p is not null as gone from p left join c on p.doc_id = c.doc_id and p.p = c.p),
+r as (select doc_id, count(*) as n, count(*) filter (where gone) as g, string_agg(word, ' ' order by p) filter (where not gone) as kept from m group by doc_id)
+select d.doc_id, coalesce(r.n, 0) as n_words, coalesce(r.g, 0) as n_removed, sha256(coalesce(r.kept, '')) as kept_sha256
+from d left join r using (doc_id)""")
+def op4(t):
+    out = substring_dedup.remove_repeats(t.documents)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op5_token_counts")
 def op5(t):
     out = token_counts.count_tokens(t.documents, public_tokenizers.path("piece_bpe_32k.model"))
