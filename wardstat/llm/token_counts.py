@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Distinct pre-tokens whose piece counts a task remembers (about 150 MB); a fuller table is emptied and refilled.
 TABLE_ENTRIES = 500_000
+#: Texts whose new pre-tokens are counted together.
+TEXTS = 256
 _RUN = re.compile(r" *[^ ]+| +$")
 
 
@@ -45,15 +47,16 @@ class PieceTable:
             raise ValueError("this model's pieces cross spaces or it changes them; pre-tokens cannot be counted apart")
         self.count: dict[str, int] = {}
 
-    def total(self, frequencies: Counter) -> int:
-        """Tokens of a text from its pre-token frequencies."""
+    def totals(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text from its pre-token frequencies, after the new pre-tokens of all were counted at once."""
+        frequencies = [Counter(pre_tokens(t or "")) for t in texts]
         if len(self.count) > TABLE_ENTRIES:
             self.count = {}
-        new = list(frequencies.keys() - self.count.keys())
-        self.count |= zip(new, map(len, self.model.encode(new, num_threads=1)))
-        self.count[""] = 1                      # a lone space mark at the end of a text
         known = self.count
-        return sum(known[t] * n for t, n in frequencies.items())
+        new = [t for t in set().union(*frequencies) if t not in known]
+        known.update(zip(new, map(len, self.model.encode(new, num_threads=1))))
+        known[""] = 1                           # a lone space mark at the end of a text
+        return [sum([known[t] * n for t, n in f.items()]) for f in frequencies]
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -61,7 +64,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PieceTable(model_path)
         for batch in batches:
-            found = [table.total(Counter(pre_tokens(t.as_py() or ""))) for t in batch.column("t")]
+            texts = batch.column("t")
+            found = [n for i in range(0, len(texts), TEXTS) for n in table.totals(texts.slice(i, TEXTS).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(found, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
