@@ -25,7 +25,7 @@ def planted(n=400):
         bad = i % 8 == 0
         if bad:
             body[5] = rng.choice(["zonk", "Ζ0nk", "grumpel" + rng.choice("abc")])
-        elif i % 8 == 1:
+        elif i % 24 == 1:
             body[5:7] = ["zonk", "island"]
         rows.append((i, " ".join(body)))
         labels.append((i, 1, int(bad)))

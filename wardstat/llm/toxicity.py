@@ -29,7 +29,7 @@ from wardstat.session import scratch_path, stored
 LOOK_ALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p",
     "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԝ": "w", "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o",
-    "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɡ": "g", "ł": "l", "ø": "o", "đ": "d",
+    "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ζ": "z", "ı": "i", "ɡ": "g", "ł": "l", "ø": "o", "đ": "d",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
 
