@@ -5,13 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import line_dedup, substring_dedup, token_counts, toxicity
+from wardstat.llm import line_dedup, minhash_dedup, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@query("op1_minhash_dedup", rf"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}'), '{WORD}') as ws from documents),
+w as (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i from d where len(ws) > 0),
+s as (select distinct doc_id, md5(array_to_string(ws[i:i + 4], ' ')) as h from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as m from s a join s b on a.h = b.h and a.doc_id < b.doc_id group by 1, 2),
+l as materialized (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * m >= 85 * (x.n + y.n - m)),
+e as materialized (select a, b from l union all select b, a from l),
+c(doc_id, c) as (with recursive r(doc_id, c) as (select a, a from e union select e.b, r.c from r join e on e.a = r.doc_id) select doc_id, min(c) from r group by doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.c, d.doc_id) as component_id, coalesce(c.c, d.doc_id) = d.doc_id as kept
+from d left join n using (doc_id) left join c using (doc_id)""")
+def op1(t):
+    return minhash_dedup.near_duplicates(t.documents)
+
+
 @query("op2_toxicity")
 def op2(t):
     out = toxicity.score(t.documents, toxicity.learn_on_training_part(t.documents, t.labels))
