@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import line_dedup, minhash_dedup, substring_dedup, token_counts, toxicity
+from wardstat.llm import decontamination, line_dedup, minhash_dedup, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -55,6 +55,11 @@ def op5(t):
     return out.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@query("op8_decontamination")
+def op8(t):
+    return decontamination.find_leaks(t.documents, t.benchmark)
+
+
 @query("op9_line_dedup", rf"""
 with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents),
 k as (select *, translate(regexp_replace(regexp_replace(line, '^{BLANK}+', ''), '{BLANK}+$', ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}') as key from l),
