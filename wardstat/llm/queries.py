@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontamination, line_dedup, minhash_dedup, substring_dedup, token_counts, toxicity
+from wardstat.llm import decontamination, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -55,6 +55,34 @@ def op5(t):
     return out.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def _level(parent: str, name: str, nodes: str) -> str:
+    """SQL for one level of budgets: water filling among the children of a parent, in integers."""
+    over = f"partition by {parent}"
+    fill = f"({over} order by cap / w, {name} rows between unbounded preceding and 1 preceding)"
+    return f"""(select *, case when "full" then cap else ((given - taken) * w) // greatest(open, 1) end as budget from
+  (select *, coalesce(sum(case when "full" then cap end) over ({over}), 0)::bigint as taken, coalesce(sum(case when not "full" then w end) over ({over}), 0)::bigint as open from
+    (select *, cap * (sum(w) over ({over}) - coalesce(sum(w) over {fill}, 0))::bigint <= (given - coalesce(sum(cap) over {fill}, 0)::bigint) * w as "full" from ({nodes}))))"""
+
+
+_MIX = rf"""
+with d as materialized (select doc_id, case when regexp_extract(source, '(\d+)$', 1) = '' then 'other' when regexp_extract(source, '(\d+)$', 1) = '0' then 'web'
+    when regexp_extract(source, '(\d+)$', 1)::bigint % 2 = 1 then 'forum' else 'books' end as domain, lang, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) as n_tokens from documents),
+l as materialized (select domain, lang, source, sum(n_tokens)::bigint as n_tokens, 3 * sum(n_tokens)::bigint as cap from d group by all),
+t as (select sum(n_tokens)::bigint * 3 // 5 as given from l),
+a as materialized (select domain, budget as given from {_level("root", "domain", "select domain, 0 as root, case domain when 'web' then 2 when 'forum' then 3 when 'books' then 5 else 1 end as w, sum(cap)::bigint as cap, any_value(t.given) as given from l, t where cap > 0 group by domain")}),
+b as materialized (select domain, lang, budget as given from {_level("domain", "lang", "select l.domain, lang, case lang when 'en' then 4 when 'de' then 2 when 'fr' then 2 when 'es' then 2 else 1 end as w, sum(cap)::bigint as cap, any_value(a.given) as given from l join a using (domain) where cap > 0 group by l.domain, lang")}),
+c as materialized (select domain, lang, source, budget from {_level("domain, lang", "source", "select l.domain, l.lang, source, 1 as w, cap, b.given from l join b on l.domain = b.domain and l.lang = b.lang where cap > 0")}),
+p as (select l.domain, l.lang, l.source, coalesce(budget // nullif(n_tokens, 0), 0) as epochs, coalesce(budget % nullif(n_tokens, 0), 0) as rest, coalesce(budget, 0) > 0 as paid from l left join c using (domain, lang, source)),
+r as (select d.*, epochs, rest, paid, sum(n_tokens) over (partition by domain, lang, source order by md5('7:' || epochs || ':' || doc_id), doc_id, n_tokens rows unbounded preceding) as ends from d join p using (domain, lang, source))
+select doc_id, domain, lang, source, n_tokens, (epochs + case when ends <= rest and paid then 1 else 0 end)::bigint as copies from r"""
+
+
+@query("op6_mixing", _MIX)
+def op6(t):
+    domain, weights = mixing.stage_settings()
+    return mixing.mix(t.documents, domain, weights, share=(3, 5), max_epochs=3, seed=7)
+
+
 @query("op8_decontamination")
 def op8(t):
     return decontamination.find_leaks(t.documents, t.benchmark)
