@@ -102,15 +102,15 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int,
         yield from cut()
 
 
-def questions(chunk: int, keys: np.ndarray, plan: Layout, counts: np.ndarray | None = None) -> pa.RecordBatch:
-    """Rows (bucket, chunk, keys, counts) for one piece's sorted distinct keys."""
+def questions(chunk: int, keys: np.ndarray, plan: Layout, counts: np.ndarray | None = None, kind: int = 0) -> pa.RecordBatch:
+    """Rows (bucket, chunk, keys, counts) for one piece's sorted distinct keys; each kind has buckets of its own."""
     starts = plan.bucket_starts()
     at = np.searchsorted(keys, starts)
     ends = np.append(at[1:], len(keys))
     used = np.flatnonzero(ends > at)
     packed = [pack(keys[at[b] : ends[b]], starts[b]) for b in used]
     extra = [None if counts is None else counts[at[b] : ends[b]].astype("<u4").tobytes() for b in used]
-    return pa.RecordBatch.from_pydict({"bucket": pa.array(used, pa.int32()), "chunk": pa.array(np.full(len(used), chunk), pa.int32()), "keys": pa.array(packed, pa.binary()), "counts": pa.array(extra, pa.binary())})
+    return pa.RecordBatch.from_pydict({"bucket": pa.array(used + kind * plan.buckets, pa.int32()), "chunk": pa.array(np.full(len(used), chunk), pa.int32()), "keys": pa.array(packed, pa.binary()), "counts": pa.array(extra, pa.binary())})
 
 
 QUESTION = "bucket int, chunk int, keys binary, counts binary"
@@ -119,7 +119,7 @@ QUESTION = "bucket int, chunk int, keys binary, counts binary"
 def gathered(table: pa.Table, plan: Layout) -> tuple[int, np.ndarray, np.ndarray, np.ndarray | None]:
     """(bucket, keys, chunks, counts) of all questions to one bucket, ordered by key, then chunk; one entry for each."""
     bucket = table["bucket"][0].as_py()
-    start = plan.bucket_starts()[bucket]
+    start = plan.bucket_starts()[bucket % plan.buckets]
     rows = sorted(zip(table["chunk"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist()), key=lambda r: r[0])
     parts = [unpack(k, start) for _, k, _ in rows]
     keys, chunks = np.concatenate(parts), np.repeat(np.array([c for c, _, _ in rows], np.int32), [len(p) for p in parts])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontamination, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from wardstat.llm import decontamination, line_dedup, lm_scoring, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -33,6 +33,13 @@ def op2(t):
     return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "density")
 
 
+@query("op3_lm_scoring")
+def op3(t):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    out = lm_scoring.score_texts(t.documents, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op4_substring_dedup", rf"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as ws from documents),
 w as (select doc_id, unnest(range(1, greatest(len(ws) - 11, 1))) as i, ws from d),
