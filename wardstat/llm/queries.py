@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontamination, line_dedup, lm_scoring, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from wardstat.llm import decontamination, embedding_dedup, line_dedup, lm_scoring, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -90,6 +90,18 @@ def op6(t):
     return mixing.mix(t.documents, domain, weights, share=(3, 5), max_epochs=3, seed=7)
 
 
+@query("op7_embedding_dedup", """
+with v as (select vec_id, label, embedding::double[] as e from embeddings where label is not null and embedding is not null),
+g as (select *, sqrt(list_dot_product(e, e)) as n from v where list_dot_product(e, e) > 0),
+l as materialized (select a.vec_id as a, b.vec_id as b from g a join g b on a.label = b.label and a.vec_id <> b.vec_id where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+c(vec_id, c) as (with recursive r(vec_id, c) as (select a, a from l union select l.b, r.c from r join l on l.a = r.vec_id) select vec_id, min(c) from r group by vec_id),
+n as (select a as vec_id, count(*) as n from l group by a)
+select e.vec_id, coalesce(n.n, 0) as n_links, coalesce(c.c, e.vec_id) as component_id, coalesce(c.c, e.vec_id) = e.vec_id as kept
+from embeddings e left join n using (vec_id) left join c using (vec_id)""")
+def op7(t):
+    return embedding_dedup.near_duplicates(t.embeddings)
+
+
 @query("op8_decontamination")
 def op8(t):
     return decontamination.find_leaks(t.documents, t.benchmark)
