@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import decontamination, embedding_dedup, line_dedup, lm_scoring, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from wardstat.llm import chat_format, decontamination, embedding_dedup, line_dedup, lm_scoring, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -118,3 +118,8 @@ from m group by doc_id""")
 def op9(t):
     out = line_dedup.dedupe_lines(t.documents)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op10_chat_format")
+def op10(t):
+    return chat_format.repair_roles(t.conversations)
