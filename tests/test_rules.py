@@ -39,10 +39,10 @@ def problems(m):
 def test_metrics_contract(spark):
     good = metric_rows(spark)
     assert problems(good) == {} and good.columns == checks.METRIC_COLUMNS
-    assert problems(good.unionByName(good)) == {"duplicate metric keys": 1}
-    assert problems(metric_rows(spark, geo_type="moon", n=-1)) == {"unknown geo_type": 1, "n missing or negative": 1}
-    assert problems(metric_rows(spark, value=0.7)) == {"value outside its interval": 1}
-    assert problems(metric_rows(spark, ci_high=None)) == {"published rows missing value or interval": 1}
+    assert problems(good.unionByName(good)) == {"repeated_key": 1}
+    assert problems(metric_rows(spark, geo_type="moon", n=-1)) == {"area_kind_unlisted": 1, "count_invalid": 1}
+    assert problems(metric_rows(spark, value=0.7)) == {"interval_misses_value": 1}
+    assert problems(metric_rows(spark, ci_high=None)) == {"shown_value_incomplete": 1}
     s = metric_rows(spark, suppressed=True)
     assert s.first()["value"] is None and problems(s) == {}
     assert problems(metric_rows(spark, ci_high=float("inf"))) == {}
@@ -77,18 +77,18 @@ def test_gate_lists_everything_missing(spark):
     ddl = "id string, blocked string, frozen_valid boolean, report_status string, tests_passed boolean, published_cells bigint, cells_without_interval bigint, reconciled_on date, gap_documented boolean, audit_problem string"
     ev = lambda **o: gate.publish_gate(spark.createDataFrame([row | o], ddl), TH()).first()
     assert ev()["publishable"] and ev()["missing"] == []
-    assert ev(reconciled_on=D(2026, 6, 23))["missing"] == ["reconciliation is missing or older than one quarter"]
+    assert ev(reconciled_on=D(2026, 6, 23))["missing"] == ["official_comparison_stale"]
     assert ev(reconciled_on=D(2026, 6, 24))["publishable"]
     bad = ev(blocked=" no source", frozen_valid=False, report_status=None, tests_passed=None, published_cells=0, gap_documented=False, audit_problem=None)
-    assert bad["missing"] == ["blocked: no source", "spec is not frozen and versioned", "source validation did not pass for the current run",
-                              "metric tests or golden files have not passed", "no cell clears the minimum n with an interval",
-                              "reconciliation gap is not documented", "pre-launch manual audit is not committed"]
+    assert bad["missing"] == ["on_hold: no source", "definition_open", "source_checks_failed",
+                              "tests_open", "nothing_publishable",
+                              "official_gap_unexplained", "audit_absent"]
 
 
 def test_blank_sheet_is_no_audit(spark):
     blank = spark.range(100).select(F.lit("audit_2026-09-01").alias("sheet"), F.lit("").alias("auditor"), F.lit("").alias("notes"), F.lit("").alias("1_found"))
     r = gate.audit_summary(blank, ["1_found"]).first()
-    assert r["problems"] == ["auditor is missing on some rows", "100 check answers are blank or not yes/no/n/a"]
+    assert r["problems"] == ["rows_without_auditor", "100 unusable answers"]
     done = spark.range(100).select(F.lit("audit_2026-09-02").alias("sheet"), F.lit("ann").alias("auditor"), F.when(F.col("id") == 0, "moved").alias("notes"),
                                    F.when(F.col("id") == 0, " No").otherwise("YES").alias("1_found"))
     assert gate.audit_summary(done, ["1_found"]).first()["problems"] == []

@@ -131,3 +131,24 @@ def test_knn_equals_brute_force(spark):
     for i, x, y in rows:
         order = sorted((math.hypot(x - a, y - b), j) for j, a, b in rows if j != i)
         assert [got[(i, k + 1)] for k in range(4)] == [j for _, j in order[:4]]
+
+
+@pytest.mark.parametrize("block_rows", [50_000, 300])
+def test_near_duplicates_over_years_at_one_spot(spark, monkeypatch, block_rows):
+    """Ten years of reports every two days, and a dense place, take few rounds however the blocks are cut."""
+    rng = random.Random(8)
+    spot = [(k, "a", 10.0, 10.0, float(k * 2)) for k in range(1820)]
+    dense = [(5000 + k, "b", rng.uniform(900, 1100), rng.uniform(900, 1100), float(rng.randint(0, 400))) for k in range(1500)]
+    rounds = []
+    keep = S.stored
+    monkeypatch.setattr(S, "stored", lambda df, path: (rounds.append(path) if "/todo" in path else None, keep(df, path))[1])
+    monkeypatch.setattr(S, "BLOCK_ROWS", block_rows)
+    df = spark.createDataFrame(spot + dense, "id long, type string, x double, y double, t double")
+    got = {r["id"]: r["duplicate_of"] for r in S.near_duplicates(df, 50, 7).collect()}
+    primaries, want = {}, {}
+    for i, g, x, y, t in sorted(spot + dense, key=lambda r: (r[4], r[0])):
+        near = [p for p in primaries.setdefault(g, []) if p[4] >= t - 7 and (p[2] - x) ** 2 + (p[3] - y) ** 2 <= 2500]
+        want[i] = near[0][0] if near else None
+        if not near:
+            primaries[g].append((i, g, x, y, t))
+    assert got == want and len(rounds) < 10

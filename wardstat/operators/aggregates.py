@@ -327,8 +327,8 @@ def derive_measures(components: DataFrame, measures: list[tuple]) -> DataFrame:
     '+'. Fails on an unknown or repeated variable.
     """
     from wardstat.functions.intervals import acs_moe_proportion, acs_moe_ratio, acs_reliability
-    have = {r[0] for r in components.select("variable").distinct().limit(10_000).collect()}
     need = {v for _, _, num, den in measures for v in (num + ("+" + den if den else "")).split("+")}
+    have = {r[0] for r in components.where(F.col("variable").isin(*need)).select("variable").distinct().collect()}
     if need - have:
         raise ValueError("missing variables: " + ", ".join(sorted(need - have)))
     spec = F.array(*[F.struct(F.lit(i).alias("measure"), F.lit(u).alias("unit"), F.lit(part).alias("part"),

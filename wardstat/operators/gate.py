@@ -53,17 +53,17 @@ def spec_problems(specs: DataFrame) -> DataFrame:
     filled = lambda c: F.coalesce(c, F.lit("")) != ""
     answered = F.size(F.filter("objections", lambda o: filled(o.objection) & filled(o.response)))
     thin = F.transform(F.filter("thresholds", lambda t: t.arbitrary & (t.alternatives < 2)),
-                       lambda t: F.concat(F.lit("threshold '"), t["name"], F.lit("' needs >= 2 alternatives")))
+                       lambda t: F.concat(F.lit("alternatives_few: "), t["name"]))
     single = F.array(
-        F.when(F.size(gone) > 0, F.concat(F.lit("missing fields: "), F.array_join(gone, ", "))),
-        F.when(~F.col("status").isin(*SPEC_STATUSES), F.lit("status must be one of " + "/".join(SPEC_STATUSES))),
-        F.when(~F.col("version").rlike(r"^\d+\.\d+$"), F.lit("version must look like MAJOR.MINOR")),
-        F.when(~F.col("promise_kind").isin(*PROMISE_KINDS), F.lit("promise.kind must be 'official' or 'comparison'")),
+        F.when(F.size(gone) > 0, F.concat(F.lit("absent: "), F.array_join(gone, ", "))),
+        F.when(~F.col("status").isin(*SPEC_STATUSES), F.lit("status_unknown, known: " + "/".join(SPEC_STATUSES))),
+        F.when(~F.col("version").rlike(r"^\d+\.\d+$"), F.lit("version_format")),
+        F.when(~F.col("promise_kind").isin(*PROMISE_KINDS), F.lit("promise_kind_unknown")),
         F.when(frozen & (F.col("promise_kind") == "official") & ~has("source_url"),
-               F.lit("frozen official promise needs promise.source_url")),
+               F.lit("promise_source_absent")),
         F.when(frozen & ((F.coalesce(F.size("measures"), F.lit(0)) < 1) | ~has("text")),
-               F.lit("frozen spec needs reconciliation.measures and reconciliation.text")),
-        F.when(frozen & (F.coalesce(answered, F.lit(0)) < 3), F.lit("frozen spec needs >= 3 answered objections")))
+               F.lit("reconciliation_absent")),
+        F.when(frozen & (F.coalesce(answered, F.lit(0)) < 3), F.lit("objections_few")))
     rules = F.filter(single, lambda x: x.isNotNull())
     return specs.withColumn("problems", F.when(frozen, F.concat(rules, F.coalesce(thin, F.array().cast("array<string>"))))
                             .otherwise(rules))
@@ -79,10 +79,10 @@ def audit_summary(sheets: DataFrame, checks: list[str], min_rows: int = AUDIT_MI
                                F.sum("_bad").alias("bad"), F.count_if(F.col("_no") & empty("notes")).alias("unexplained"))
     text = lambda c, t: F.concat(c.cast("string"), F.lit(t))
     probs = F.array(
-        F.when(F.col("rows") < min_rows, text(F.col("rows"), f" records traced, {min_rows} needed")),
-        F.when(F.col("no_auditor") > 0, F.lit("auditor is missing on some rows")),
-        F.when(F.col("bad") > 0, text(F.col("bad"), " check answers are blank or not yes/no/n/a")),
-        F.when(F.col("unexplained") > 0, text(F.col("unexplained"), " rows answer no without a note")))
+        F.when(F.col("rows") < min_rows, text(F.col("rows"), f" rows, {min_rows} expected")),
+        F.when(F.col("no_auditor") > 0, F.lit("rows_without_auditor")),
+        F.when(F.col("bad") > 0, text(F.col("bad"), " unusable answers")),
+        F.when(F.col("unexplained") > 0, text(F.col("unexplained"), " unexplained refusals")))
     return g.select("sheet", "rows", F.filter(probs, lambda x: x.isNotNull()).alias("problems"))
 
 
@@ -101,18 +101,18 @@ def publish_gate(cells: DataFrame, as_of: Column) -> DataFrame:
     stale = F.col("reconciled_on").isNull() | (F.date_diff(as_of, F.col("reconciled_on")) > RECONCILE_MAX_AGE_DAYS)
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
     probs = F.array(
-        F.when(F.coalesce(F.col("blocked"), F.lit("")) != "", F.concat(F.lit("blocked: "), F.trim("blocked"))),
-        F.when(~yes("frozen_valid"), "spec is not frozen and versioned"),
+        F.when(F.coalesce(F.col("blocked"), F.lit("")) != "", F.concat(F.lit("on_hold: "), F.trim("blocked"))),
+        F.when(~yes("frozen_valid"), "definition_open"),
         F.when(~F.coalesce(F.col("report_status") == "pass", F.lit(False)),
-               "source validation did not pass for the current run"),
-        F.when(~yes("tests_passed"), "metric tests or golden files have not passed"),
+               "source_checks_failed"),
+        F.when(~yes("tests_passed"), "tests_open"),
         F.when((F.coalesce("published_cells", F.lit(0)) == 0) | (F.coalesce("cells_without_interval", F.lit(0)) > 0),
-               "no cell clears the minimum n with an interval"),
-        F.when(stale, "reconciliation is missing or older than one quarter")
-         .when(~yes("gap_documented"), "reconciliation gap is not documented"),
-        F.when(F.col("audit_problem").isNull(), "pre-launch manual audit is not committed")
+               "nothing_publishable"),
+        F.when(stale, "official_comparison_stale")
+         .when(~yes("gap_documented"), "official_gap_unexplained"),
+        F.when(F.col("audit_problem").isNull(), "audit_absent")
          .when(F.col("audit_problem") != "",
-               F.concat(F.lit("pre-launch manual audit is incomplete: "), F.col("audit_problem"))))
+               F.concat(F.lit("audit_open: "), F.col("audit_problem"))))
     return (cells.withColumn("missing", F.filter(probs, lambda x: x.isNotNull()))
             .withColumn("publishable", F.size("missing") == 0))
 
@@ -121,8 +121,8 @@ def interval_verdict(lo_a: Column, hi_a: Column, sup_a: Column, lo_b: Column, hi
     """Two estimates differ only when their intervals do not overlap; '' when either is suppressed."""
     top = lambda h: F.when(h == -1, F.lit(float("inf"))).otherwise(h)
     return (F.when(sup_a | sup_b, "")
-            .when((lo_a <= top(hi_b)) & (lo_b <= top(hi_a)), "Intervals overlap: not clearly different.")
-            .otherwise("Intervals do not overlap: the difference is larger than the uncertainty."))
+            .when((lo_a <= top(hi_b)) & (lo_b <= top(hi_a)), "overlap")
+            .otherwise("apart"))
 
 
 def feed_status(polls: DataFrame, feed: str, t: str, ok: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +70,47 @@ def grid_pairs(a: DataFrame, b: DataFrame, meters: float, *, group: bool = True,
 
 # --- near duplicates ------------------------------------------------------
 
+#: Edge of the smallest tile in search radii, how often it may double, the windows of a stretch of time, and the places
+#: and times that one block should hold.
+TILE_RADII, DOUBLINGS, STRETCH, BLOCK_ROWS = 20, 16, 10, 50_000
+
+
+def _tile(c: Column, side: float) -> Column:
+    return F.floor(c / side).cast("long")
+
+
+def _decide_block(meters: float, days: float):
+    """Greedy rule for the rows of one block, given the primaries around it: the link of each row, null for primaries."""
+    def run(rows: pa.Table, around: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("t", "ascending"), ("id", "ascending")])
+        held: dict[tuple[int, int], list[tuple]] = {}
+
+        def put(t, i, x, y):
+            held.setdefault((math.floor(x / meters), math.floor(y / meters)), []).append((t, i, x, y))
+
+        outside = sorted(zip(*(around[c].to_pylist() for c in ("t", "id", "x", "y"))))
+        taken, link = 0, []
+        for t, i, x, y in zip(*(rows[c].to_pylist() for c in ("t", "id", "x", "y"))):
+            while taken < len(outside) and outside[taken][:2] < (t, i):
+                put(*outside[taken])
+                taken += 1
+            cx, cy, first = math.floor(x / meters), math.floor(y / meters), None
+            for key in [(cx + dx, cy + dy) for dx, dy in _steps(1)]:
+                near = held.get(key)
+                if near:
+                    if near[0][0] < t - days:
+                        near = held[key] = [p for p in near if p[0] >= t - days]
+                    for p in near:
+                        if (x - p[2]) ** 2 + (y - p[3]) ** 2 <= meters * meters:
+                            first = p if first is None or p < first else first
+            link.append(None if first is None else first[1])
+            if first is None:
+                put(t, i, x, y)
+        return rows.append_column("link", pa.array(link, rows.schema.field("id").type))
+
+    return run
+
+
 def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> DataFrame:
     """id, duplicate_of: the primary each record duplicates (null for primaries).
 
@@ -77,74 +119,78 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
     makes another record a duplicate. ``df``: id, type, x, y, t (days); rows
     without a place, time or type are primaries.
 
-    The rule is sequential, but not per record. Cut space into squares of half
-    ``meters`` and time into buckets of ``days``: records of one type in one
-    square and bucket (a *clique*) all lie in range of each other,
-    so a clique holds at most one primary, however many records it has. Each
-    round looks only at the earliest undecided record of each clique; one that
-    no undecided clique nearby can precede is a primary, and everything in its
-    range becomes a duplicate. Hot spots thus cost one row per clique in the
-    decision and meet a bounded number of primaries in the marking join. The
-    number of rounds is bounded by the chain of cliques, not by the rows. Joins
-    run on squares of ``meters`` (two by two small ones), so a row is copied to
-    nine squares and two time buckets and no more.
+    Records of one type, place and time are decided as one. The rest is cut into
+    blocks: a type, a tile, and stretches of ``STRETCH`` windows with about
+    ``BLOCK_ROWS`` rows. A type's tiles are as large as they can be without one
+    stretch of a tile exceeding that, so most types have a single tile and a hot
+    tile has many blocks. All blocks decide in parallel, given the primaries around
+    them as the last round left them; a block whose surroundings changed decides
+    again, until none has. The greedy result is the only fixed point: the earliest
+    wrong decision gets right in each round. How many rounds that takes depends on
+    how far a changed decision at a block's edge carries, not on rows or weeks.
     """
-    side = meters / 2.0
+    spark, side = df.sparkSession, meters * TILE_RADII
     ok = (F.col("type").isNotNull() & F.col("t").isNotNull()
           & F.col("x").isNotNull() & F.col("y").isNotNull())
-    base = (df.where(ok).select("id", "type", F.col("t").cast("double").alias("t"),
-                                F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-            .withColumn("cx", geo.cell_index(F.col("x"), side))
-            .withColumn("cy", geo.cell_index(F.col("y"), side))
-            .withColumn("tb", F.floor(F.col("t") / days)))
-    big = lambda c: F.floor(F.col(c) / 2)
-    base = base.withColumn("gx", big("cx")).withColumn("gy", big("cy"))
-    clique, near_by = ["type", "cx", "cy", "tb", "gx", "gy"], ["type", "gx", "gy", "tb"]
-    home, step = scratch_path(df.sparkSession, "near-duplicates"), 0
-    base = undecided = stored(base, f"{home}/base")
-    while not undecided.isEmpty():
-        step += 1
-        heads = undecided.groupBy(*clique).agg(
-            F.min(F.struct("t", "id", "x", "y")).alias("h"), F.max("t").alias("t_max"),
-            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-        near = _spread(heads, "gx", "gy", 1, "tb", (0, 1)).alias("n")
-        me = heads.alias("m")
-        gap_x = F.greatest(F.col("n.x0") - F.col("m.h.x"), F.col("m.h.x") - F.col("n.x1"), F.lit(0.0))
-        gap_y = F.greatest(F.col("n.y0") - F.col("m.h.y"), F.col("m.h.y") - F.col("n.y1"), F.lit(0.0))
-        earlier = F.struct("n.h.t", "n.h.id") < F.struct("m.h.t", "m.h.id")
-        blocks = (earlier & (F.col("n.t_max") >= F.col("m.h.t") - days)
-                  & (gap_x * gap_x + gap_y * gap_y <= meters * meters))
-        same = F.lit(True)
-        for k in near_by:
-            same = same & (F.col(f"n.{k}") == F.col(f"m.{k}"))
-        new = stored(me.join(near, same & blocks, "left_anti")
-                     .select(*near_by, "h.t", "h.id", "h.x", "h.y"), f"{home}/primaries/step={step}")
-        undecided = stored(_in_range(undecided, new, near_by, meters, days, "left_anti", drop_self=True),
-                           f"{home}/undecided-{step}")
-    if not step:
-        return df.select("id", F.lit(None).cast(df.schema["id"].dataType).alias("duplicate_of"))
-    primaries = df.sparkSession.read.schema(new.schema).parquet(f"{home}/primaries")
-    hits = _in_range(base, primaries, near_by, meters, days, "inner", drop_self=False)
-    link = hits.groupBy("id").agg(F.min(F.struct("p_t", "p_id")).alias("p"))
-    return df.select("id").join(link.select("id", F.col("p.p_id").alias("duplicate_of")), "id", "left")
-
-
-def _in_range(rows: DataFrame, primaries: DataFrame, near_by: list[str], meters: float, days: float,
-              how: str, drop_self: bool) -> DataFrame:
-    p = _spread(primaries, "gx", "gy", 1, "tb", (0, 1)).alias("p")
-    u = rows.alias("u")
-    same = F.lit(True)
-    for k in near_by:
-        same = same & (F.col(f"u.{k}") == F.col(f"p.{k}"))
-    dx, dy = F.col("u.x") - F.col("p.x"), F.col("u.y") - F.col("p.y")
-    hit = ((F.struct("p.t", "p.id") < F.struct("u.t", "u.id")) & (F.col("u.t") - F.col("p.t") <= days)
-           & (dx * dx + dy * dy <= meters * meters))
-    if drop_self:
-        hit = hit | (F.col("p.id") == F.col("u.id"))
-    out = u.join(p, same & hit, how)
-    if how == "inner":
-        return out.select(F.col("u.id").alias("id"), F.col("p.t").alias("p_t"), F.col("p.id").alias("p_id"))
-    return out.select("u.*")
+    place = [F.col("type"), *(F.col(c).cast("double").alias(c) for c in ("t", "x", "y"))]
+    heads = df.where(ok).groupBy(*place).agg(F.min("id").alias("id")).withColumns(
+        {"gx": _tile(F.col("x"), side), "gy": _tile(F.col("y"), side), "tb": F.floor(F.col("t") / days)})
+    heads = stored(heads, scratch_path(spark, "places"))
+    tile = ["type", "gx", "gy"]
+    up = lambda c: F.expr(f"shiftright({c}, level)")
+    weeks = heads.groupBy(*tile, "tb").agg(F.count("*").alias("n")).withColumn("stretch", F.floor(F.col("tb") / STRETCH))
+    fits = (weeks.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(DOUBLINGS)))).groupBy("type", "level", "stretch", up("gx"), up("gy"))
+            .agg(F.sum("n").alias("n")).groupBy("type", "level").agg(F.max("n").alias("n")))
+    level = stored(fits.groupBy("type").agg(F.coalesce(F.max(F.when(F.col("n") <= BLOCK_ROWS, F.col("level"))), F.lit(0)).alias("level")),
+                   scratch_path(spark, "levels"))
+    weeks = weeks.join(small_side(level), "type").select("type", "level", up("gx").alias("gx"), up("gy").alias("gy"), "tb", "stretch", "n")
+    weeks = weeks.groupBy(*tile, "level", "tb", "stretch").agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*tile).orderBy("stretch").rangeBetween(Window.unboundedPreceding, -1))
+    weeks = stored(weeks.select(*tile, "level", "tb", F.floor(F.coalesce(before, F.lit(0)) / BLOCK_ROWS).cast("long").alias("slab")),
+                   scratch_path(spark, "blocks"))
+    block = [*tile, "slab"]
+    heads = heads.join(small_side(level), "type").withColumns({"gx": up("gx"), "gy": up("gy")})
+    own = stored(heads.join(weeks.drop("level"), [*tile, "tb"]).select(*block, "id", "t", "x", "y", "level"), scratch_path(spark, "places"))
+    kinds = {c: own.schema[c].dataType.simpleString() for c in own.columns}
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + f", link {kinds['id']}"
+    decide = _decide_block(float(meters), float(days))
+
+    def around(primaries: DataFrame) -> DataFrame:
+        """Primaries at the blocks whose rows they can reach, other than their own."""
+        level_of = lambda c: F.floor(_tile(c, side) / F.pow(F.lit(2.0), F.col("level"))).cast("long")
+        ends = [F.array_distinct(F.array(level_of(F.col(c) - meters), level_of(F.col(c) + meters))) for c in ("x", "y")]
+        reach = (primaries.withColumnsRenamed({c: f"own_{c}" for c in block if c != "type"})
+                 .withColumn("gx", F.explode(ends[0])).withColumn("gy", F.explode(ends[1]))
+                 .withColumn("tb", F.explode(F.array(F.floor(F.col("t") / days), F.floor(F.col("t") / days) + 1))))
+        there = reach.join(weeks.drop("level"), [*tile, "tb"])
+        moved = (F.col("gx") != F.col("own_gx")) | (F.col("gy") != F.col("own_gy")) | (F.col("slab") != F.col("own_slab"))
+        return there.where(moved).select(*block, "id", "t", "x", "y", "level").distinct()
+
+    def seal(near: DataFrame) -> DataFrame:
+        h = F.xxhash64("id", "t", "x", "y")
+        return near.groupBy(*block).agg(F.count("*").alias("n"), F.sum(h % 1_000_000_007).alias("h"), F.sum(h % 998_244_353).alias("g"))
+
+    none = own.limit(0)
+    made = stored(own.groupBy(*block).cogroup(none.groupBy(*block)).applyInArrow(decide, schema), scratch_path(spark, "decided"))
+    seals = None
+    while True:
+        near = stored(around(made.where("link is null").drop("link")), scratch_path(spark, "around"))
+        new = stored(seal(near), scratch_path(spark, "seals"))
+        if seals is None:
+            todo = new.select(*block)
+        else:
+            changed = new.alias("a").join(seals.alias("b"), [F.col(f"a.{c}") == F.col(f"b.{c}") for c in block], "full").where(
+                ~(F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.h").eqNullSafe(F.col("b.h")) & F.col("a.g").eqNullSafe(F.col("b.g"))))
+            todo = changed.select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in block])
+        todo = stored(todo, scratch_path(spark, "todo"))
+        if todo.isEmpty():
+            break
+        seals = new
+        again = own.join(todo, block, "left_semi").groupBy(*block).cogroup(near.join(todo, block, "left_semi").groupBy(*block)).applyInArrow(decide, schema)
+        made = stored(made.join(todo, block, "left_anti").unionByName(again), scratch_path(spark, "decided"))
+    found = made.select("type", "t", "x", "y", F.col("id").alias("head"), "link")
+    out = df.select("id", *place).join(found, ["type", "t", "x", "y"], "left")
+    return out.select("id", F.when(F.col("id") == F.col("head"), F.col("link")).otherwise(F.coalesce("link", "head")).alias("duplicate_of"))
 
 
 def first_rereport(closed: DataFrame, reports: DataFrame, radii: list[float], max_days: int = 60) -> DataFrame:

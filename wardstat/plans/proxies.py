@@ -6,6 +6,8 @@ whole tables with arithmetic that is exact in both engines.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,7 +122,9 @@ def sql(needs: str, body: str, extra: list[tuple[str, str]] = ()) -> str:
         order.append(n)
     for n in needs.split():
         visit(n)
-    parts = [f"{n} AS ({CTES[n][1]})" for n in order] + [f"{n} AS ({b})" for n, b in extra]
+    steps = [(n, CTES[n][1]) for n in order] + list(extra)
+    # each step is computed once, however often it is named; one that names itself recurses and cannot be marked
+    parts = [f"{n} AS {'' if re.search(rf'\\b{n}\\b', b) else 'MATERIALIZED '}({b})" for n, b in steps]
     return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
@@ -287,21 +291,20 @@ def sql_disk(cell: str) -> str:
                            for a, b in steps) + "]"
 
 
-def sql_dedupe(src: str, meters: float, days: float, rounds: int = 8, name: str = "dd") -> list[tuple[str, str]]:
-    """CTEs ending in <name>: id, duplicate_of - the greedy rule with its rounds written out.
+def sql_dedupe(src: str, meters: float, days: float, name: str = "dd") -> list[tuple[str, str]]:
+    """CTEs ending in <name>: id, duplicate_of - the greedy rule, decided round by round until nothing is open.
 
     ``src``: id, type, x, y, t (days).
     """
-    out = [(f"{name}_pairs", f"SELECT a.id AS i, a.t AS ti, b.id AS j FROM {src} a JOIN {src} b ON a.type = b.type "
-            f"AND (a.t < b.t OR (a.t = b.t AND a.id < b.id)) AND b.t - a.t <= {days} "
-            f"AND (a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) <= {meters * meters}"),
-           (f"{name}_s0", f"SELECT id, CASE WHEN id IN (SELECT j FROM {name}_pairs) THEN 'U' ELSE 'P' END AS st "
-                          f"FROM (SELECT i AS id FROM {name}_pairs UNION SELECT j FROM {name}_pairs)")]
-    for k in range(rounds):
-        s = f"{name}_s{k}"
-        out.append((f"{name}_s{k + 1}", f"SELECT s.id, CASE WHEN s.st <> 'U' THEN s.st WHEN a.hp THEN 'D' WHEN NOT a.hu THEN 'P' ELSE 'U' END AS st "
-                    f"FROM {s} s LEFT JOIN (SELECT j, bool_or(st = 'P') AS hp, bool_or(st = 'U') AS hu FROM {name}_pairs "
-                    f"JOIN {s} ON i = id GROUP BY j) a ON a.j = s.id"))
-    out.append((name, f"SELECT s.id, d.p AS duplicate_of FROM {src} s LEFT JOIN (SELECT j, arg_min(i, (ti, i)) AS p FROM {name}_pairs "
-                f"JOIN {name}_s{rounds} ON i = id AND st = 'P' GROUP BY j) d ON d.j = s.id"))
-    return out
+    return [
+        (f"{name}_pairs", f"SELECT a.id AS i, a.t AS ti, b.id AS j FROM {src} a JOIN {src} b ON a.type = b.type "
+         f"AND (a.t < b.t OR (a.t = b.t AND a.id < b.id)) AND b.t - a.t <= {days} "
+         f"AND (a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) <= {meters * meters}"),
+        (f"{name}_r", f"""SELECT id, CASE WHEN id IN (SELECT j FROM {name}_pairs) THEN 'U' ELSE 'P' END AS st, 0 AS it
+  FROM (SELECT i AS id FROM {name}_pairs UNION SELECT j FROM {name}_pairs)
+  UNION ALL SELECT s.id, CASE WHEN s.st <> 'U' THEN s.st WHEN a.hp THEN 'D' WHEN NOT a.hu THEN 'P' ELSE 'U' END, s.it + 1
+  FROM {name}_r s LEFT JOIN (SELECT j, bool_or(st = 'P') AS hp, bool_or(st = 'U') AS hu FROM {name}_pairs JOIN {name}_r ON i = id GROUP BY j) a ON a.j = s.id
+  WHERE EXISTS (SELECT 1 FROM {name}_r WHERE st = 'U')"""),
+        (f"{name}_p", f"SELECT id FROM {name}_r WHERE st = 'P' AND it = (SELECT max(it) FROM {name}_r)"),
+        (name, f"SELECT s.id, d.p AS duplicate_of FROM {src} s LEFT JOIN (SELECT j, arg_min(i, (ti, i)) AS p FROM {name}_pairs "
+               f"JOIN {name}_p ON i = id GROUP BY j) d ON d.j = s.id")]

@@ -67,10 +67,10 @@ def proportion_metric(t):
 
 
 @query("poisson_rate", sql("pl", "SELECT nation, r.n, round(r.n * 1000.0 / pop, 6) AS value, round(lo * 1000 / pop, 4) AS ci_low, round(hi * 1000 / pop, 4) AS ci_high FROM r JOIN gw ON gw.n = r.n",
-                           [("r", "SELECT nation, count(o_orderkey) AS n, count(DISTINCT custkey) * 40 AS pop FROM pl LEFT JOIN orders ON o_custkey = custkey AND o_totalprice > 440000 GROUP BY 1")] + P.sql_garwood("r")))
+                           [("r", "SELECT nation, count(o_orderkey) AS n, count(DISTINCT custkey) * 40 AS pop FROM pl LEFT JOIN orders ON o_custkey = custkey GROUP BY 1")] + P.sql_garwood("r")))
 def poisson_rate(t):
     pl = P.places(t)
-    o = t.orders.where("o_totalprice > 440000").groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("k"))
+    o = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("k"))
     g = pl.join(o, "custkey", "left").groupBy("nation").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"), (F.count(F.lit(1)) * 40).alias("pop"))
     return rnd(rnd(A.poisson_rate(g, "n", F.col("pop"), 1000), 6, "value"), 4, "ci_low", "ci_high").drop("pop")
 

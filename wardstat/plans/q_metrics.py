@@ -151,19 +151,19 @@ def m_address_report(t):
     return metrics.address_report(addr, near, area)
 
 
-def _with_city(src: str, digits: int = 4) -> str:
-    return (f"SELECT a.metric, a.variant, a.subgroup, a.geo_type, a.geo_id, a.window_start, a.window_end, round(a.value, {digits}) AS value, a.n, a.suppressed, round(c.value, {digits}) AS citywide_median "
+def _with_city(src: str, digits: int = 6, ci: bool = True) -> str:
+    return (f"SELECT a.metric, a.variant, a.subgroup, a.geo_type, a.geo_id, a.window_start, a.window_end, round(a.value, {digits}) AS value, {"" if not ci else f"round(a.ci_low, {digits}) AS ci_low, round(a.ci_high, {digits}) AS ci_high, "}a.n, a.suppressed, round(c.value, {digits}) AS citywide_median "
             f"FROM {src} a LEFT JOIN {src} c ON c.geo_type = 'citywide' AND c.metric = a.metric AND c.variant = a.variant AND c.subgroup = a.subgroup AND c.window_start = a.window_start")
 
 
-def assembled(parts, skip=(), digits: int = 4):
+def assembled(parts, skip=(), digits: int = 6, ci: bool = True):
     """Union of metric frames as a checked metrics table with the citywide reference."""
     m = parts[0]
     for p in parts[1:]:
         m = m.unionByName(p)
     m = checks.as_metrics(m, "0.1", day(P.THROUGH), F.lit("2001-07-16 00:00:00").cast("timestamp"))
-    return rnd(checks.citywide_reference(m, skip), digits, "value", "citywide_median").select(
-        "metric", "variant", "subgroup", "geo_type", "geo_id", "window_start", "window_end", "value", "n", "suppressed", "citywide_median")
+    return rnd(checks.citywide_reference(m, skip), digits, *CI, "citywide_median").select(
+        "metric", "variant", "subgroup", "geo_type", "geo_id", "window_start", "window_end", "value", *(CI[1:] if ci else ()), "n", "suppressed", "citywide_median")
 
 
 @query("m_all_requests", sql("base", _with_city("al"), sql_link() + sql_med("bl") + sql_tgt("bl") + sql_reo() + sql_req("bl") + [
@@ -237,7 +237,7 @@ def _sql_demo() -> list:
 _K = "metric, variant, subgroup, geo_type, geo_id, window_start, window_end, value, n, suppressed"
 
 
-@query("m_permits_all", sql("pp dp par", _with_city("al", 3).replace("round(a.value", "round(0.00003 + a.value").replace("round(c.value", "round(0.00003 + c.value"), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
+@query("m_permits_all", sql("pp dp par", _with_city("al", ci=False), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
     ("al", f"SELECT {_K} FROM pr UNION ALL SELECT {_K} FROM dx UNION ALL SELECT {_K} FROM dv UNION ALL SELECT {_K} FROM dr")]))
 def m_permits_all(t):
     pts, dem, par = cut_lineage(permit_points(t)), cut_lineage(demolition_points(t)), cut_lineage(parcels(t))
@@ -245,8 +245,8 @@ def m_permits_all(t):
     parts = [metrics.permits_rate(pts, par, lv, th), metrics.declared_value(pts, par, lv, th, width=5000.0),
              metrics.permits_rate(dem, par, lv, th, F.array(F.lit("demolition")), ["demolition"]),
              metrics.demolition_ratio(dem, pts, par, lv, th).withColumn("variant", F.lit("primary")).withColumn("subgroup", F.lit("all"))]
-    # Values that end in exact half units are moved off the rounding edge, on both sides alike.
-    return assembled([p.select(*COLS).withColumn("value", F.col("value") + 0.00003) for p in parts], digits=3)
+    # SQL has no counterpart of the declared value's interval, so the comparison leaves the intervals out.
+    return assembled([p.select(*COLS) for p in parts], ci=False)
 
 
 # --- inspections ------------------------------------------------------------------
@@ -454,7 +454,7 @@ def m_restoration(t):
     return shaped(_restore(t, outages(t)))
 
 
-@query("m_power_all", sql("oev den", _with_city("al").replace("round(c.value, 4)", "CASE WHEN a.metric <> 'outage_events_per_year' THEN round(c.value, 4) END"), _sql_outages() + [
+@query("m_power_all", sql("oev den", _with_city("al").replace("round(c.value, 6)", "CASE WHEN a.metric <> 'outage_events_per_year' THEN round(c.value, 6) END"), _sql_outages() + [
     ("al", f"SELECT {_C} FROM p1 UNION ALL SELECT {_C} FROM p2 UNION ALL SELECT {_C} FROM p3")]))
 def m_power_all(t):
     ev = cut_lineage(outages(t))

@@ -55,9 +55,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A step that several branches read: written once, pruned by each reader, and safe from lost executors."""
+    return stored(df, scratch_path(df.sparkSession, "step"))
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
