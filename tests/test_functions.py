@@ -113,3 +113,15 @@ def test_hexagons(spark):
 def test_segment_distance(spark):
     d = lambda *v: one(spark, geo.segment_distance(*[F.lit(float(x)) for x in v]))
     assert d(0, 5, -1, 0, 1, 0) == 5 and d(4, 4, 0, 0, 1, 0) == 5 and d(3, 4, 0, 0, 0, 0) == 5
+
+
+def test_poisson_bounds_have_one_formula_at_every_size():
+    import numpy as np
+
+    from wardstat.functions.intervals import _gamma_quantile, _lower_gamma
+    a = np.array([1.0, 2, 5, 30, 199, 200, 9_999, 1_000_000, 1_000_001, 50_000_000])
+    for p in (0.025, 0.975):
+        x = _gamma_quantile(a, p)
+        assert np.allclose(_lower_gamma(a, x)[0], p, rtol=1e-7)
+        assert abs((x[8] - x[7]) - 1.0) < 0.01
+    assert abs(_gamma_quantile(np.array([1.0]), 0.025)[0] - 0.0253178) < 1e-6 and abs(_gamma_quantile(np.array([4.0]), 0.975)[0] - 8.76727) < 1e-4

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -45,31 +47,36 @@ def acs_reliability(estimate: Column, moe: Column) -> Column:
             .when(cv < 0.12, "high").when(cv <= 0.40, "medium").when(cv.isNotNull(), "low"))
 
 
-def _gamma_quantile(a: np.ndarray, p: float) -> np.ndarray:
-    """x with P(a, x) = p for integer a, where P is a Poisson upper tail.
+def _lower_gamma(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(P(a, x), density at x) of the gamma distribution, for a >= 1 of any size.
 
-    P(a, x) = 1 - sum_{k<a} e^-x x^k / k!, summed in logs over the terms within
-    some fourteen standard deviations and bisected around the Wilson-Hilferty
-    cube. Above a = 1,000,000 that cube alone is closer than the digits shown.
+    P(a, x) is x^a e^-x / Gamma(a + 1) times the sum of x^n / ((a + 1) ... (a + n)), whose terms are all positive. The
+    factor is written around x = a, where its large logarithms cancel; some ten times sqrt(a) terms are needed.
     """
+    far = np.array([math.lgamma(v + 1) - (v * math.log(v) - v + 0.5 * math.log(2 * math.pi * v)) if v < 20 else 1 / (12 * v) - 1 / (360 * v**3) for v in a])
+    off = (x - a) / a
+    factor = np.exp(-a * (off - np.log1p(off)) - far) / np.sqrt(2 * np.pi * a)
+    term, total, n = np.ones_like(a), np.ones_like(a), 0
+    while True:
+        n += 1
+        term = term * (x / (a + n))
+        total = total + term
+        if n % 64 == 0 and (term <= 1e-17 * total).all():
+            return factor * total, factor * a / x
+
+
+def _gamma_quantile(a: np.ndarray, p: float) -> np.ndarray:
+    """x with P(a, x) = p: Newton steps from the Wilson-Hilferty cube, one way for every size."""
     z = {0.025: -Z95, 0.975: Z95}[p]
-    guess = a * np.power(np.maximum(0.0, 1 - 1 / (9 * a) + z / (3 * np.sqrt(a))), 3)
-    exact = a <= 1_000_000
-    top = int(a[exact].max()) if exact.any() else 0
-    log_fact = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, top + 1)))))
-    for i in np.flatnonzero(exact):
-        ai = int(a[i])
-        k = np.arange(max(0, int(ai - 14 * np.sqrt(ai) - 60)), ai)
-        lf = log_fact[k]
-        lo, hi = max(0.0, guess[i] * 0.9 - 2), guess[i] * 1.1 + 4
-        for _ in range(60):
-            mid = (lo + hi) / 2
-            if 1.0 - np.exp(k * np.log(mid) - lf - mid).sum() < p:
-                lo = mid
-            else:
-                hi = mid
-        guess[i] = (lo + hi) / 2
-    return guess
+    x = np.maximum(a * np.power(np.maximum(0.0, 1 - 1 / (9 * a) + z / (3 * np.sqrt(a))), 3), 1e-3)
+    for _ in range(50):
+        below, density = _lower_gamma(a, x)
+        new = np.clip(x - (below - p) / density, x / 2, x * 2)
+        done = np.abs(new - x) <= 1e-14 * x
+        x = new
+        if done.all():
+            break
+    return x
 
 
 def garwood(count: Column) -> Column:

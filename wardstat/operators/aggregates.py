@@ -191,8 +191,8 @@ def total_interval(sums: DataFrame) -> DataFrame:
     """Add total, ci_low, ci_high from power sums: what resampling the values would give.
 
     A resampled sum has known moments, so its percentiles come from the
-    Cornish-Fisher expansion of mean, variance, skewness and kurtosis. Meant for
-    cells of some hundred values and more; ``resampled_total`` covers the rest.
+    Cornish-Fisher expansion of mean, variance, skewness and kurtosis, for cells
+    of any size.
     """
     n = F.col("n").cast("double")
     m1, m2, m3, m4 = (F.col(f"s{k}") / n for k in (1, 2, 3, 4))
@@ -209,24 +209,6 @@ def total_interval(sums: DataFrame) -> DataFrame:
     return sums.withColumn("total", F.col("s1")).withColumn("ci_low", edge(-Z95)).withColumn("ci_high", edge(Z95))
 
 
-def resampled_total(df: DataFrame, cells: list[str], value: str, reps: int = REPS, seed: int = SEED) -> DataFrame:
-    """n, total, ci_low, ci_high by outright resampling, for cells known to hold few values."""
-    lists = (df.groupBy(*cells).agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.sort_array(F.collect_list(value)).alias("xs"))
-             .withColumn("h", F.xxhash64(*cells, F.lit(seed))))
-
-    @F.pandas_udf("lo double, hi double")
-    def resample(xs: pd.Series, h: pd.Series) -> pd.DataFrame:
-        out = []
-        for x, key in zip(xs, h):
-            x = np.asarray(x, dtype=float)
-            rng = np.random.Generator(np.random.Philox(key=int(key) & (2**64 - 1)))
-            out.append(np.quantile(x[rng.integers(0, len(x), size=(reps, len(x)))].sum(axis=1), [0.025, 0.975]))
-        return pd.DataFrame(out, columns=["lo", "hi"])
-
-    r = lists.withColumn("_r", resample("xs", "h"))
-    return r.select(*cells, "n", "total", F.col("_r.lo").alias("ci_low"), F.col("_r.hi").alias("ci_high"))
-
-
 # --- Kaplan-Meier -----------------------------------------------------------
 
 KM_TOL = 1.5e-8

@@ -26,9 +26,15 @@ HOLIDAYS = [
     ("christmas_day", "christmas_day", 2015, None),
 ]
 
-# The dimension spans these years unless told otherwise: some 18,600 rows, a
-# size set here and not by the data, so it is always safe to broadcast.
-FIRST_YEAR, LAST_YEAR = 1990, 2040
+# The dimension spans these years unless told otherwise: some 110,000 rows, a
+# size set here and not by the data, so it is always safe to broadcast. A date
+# outside is an error, never a silent null.
+FIRST_YEAR, LAST_YEAR = 1900, 2200
+
+
+def _within(day: Column, found: Column) -> Column:
+    outside = F.raise_error(F.concat(F.lit("outside the calendar's years: "), day.cast("string"))).cast("bigint")
+    return F.when(day.isNotNull() & found.isNull(), outside).otherwise(found)
 
 
 def _on(y: Column, month: int, day: int) -> Column:
@@ -145,7 +151,7 @@ def with_business_days(df: DataFrame, start: str, end: str, cal: DataFrame, out:
     lo = F.broadcast(cal.select(F.col("date").alias("_ds"), F.col("cum").alias("_cs")))
     hi = F.broadcast(cal.select(F.col("date").alias("_de"), F.col("cum").alias("_ce")))
     return (df.join(lo, F.col(start) == F.col("_ds"), "left").join(hi, F.col(end) == F.col("_de"), "left")
-            .withColumn(out, F.when(F.col(end) >= F.col(start), F.col("_ce") - F.col("_cs")))
+            .withColumn(out, F.when(F.col(end) >= F.col(start), _within(F.col(end), F.col("_ce")) - _within(F.col(start), F.col("_cs"))))
             .drop("_ds", "_cs", "_de", "_ce"))
 
 
@@ -157,14 +163,16 @@ def with_business_age(df: DataFrame, start: str, through: Column, cal: DataFrame
     upto = cal.where(F.col("date") == through).select("cum").scalar()
     lo = F.broadcast(cal.select(F.col("date").alias("_ds"), F.col("cum").alias("_cs")))
     return (df.join(lo, F.col(start) == F.col("_ds"), "left")
-            .withColumn(out, F.when(through >= F.col(start), upto - F.col("_cs"))).drop("_ds", "_cs"))
+            .withColumn(out, F.when(through >= F.col(start), upto - _within(F.col(start), F.col("_cs")))).drop("_ds", "_cs"))
 
 
 def with_deadline(df: DataFrame, start: str, n: str, cal: DataFrame, out: str) -> DataFrame:
     """The date ``n`` business days after ``start``; the start itself for n = 0."""
     lo = F.broadcast(cal.select(F.col("date").alias("_ds"), F.col("cum").alias("_cs")))
     hi = F.broadcast(cal.where("is_bd").select(F.col("cum").alias("_ct"), F.col("date").alias("_dt")))
+    ends = F.raise_error(F.concat(F.lit("the deadline is outside the calendar's years: "), F.col(start).cast("string"))).cast("date")
     return (df.join(lo, F.col(start) == F.col("_ds"), "left")
             .join(hi, F.col("_cs") + F.col(n) == F.col("_ct"), "left")
-            .withColumn(out, F.when(F.col(n) == 0, F.col(start)).otherwise(F.col("_dt")))
+            .withColumn(out, F.when(F.col(n) == 0, F.col(start)).when(F.col(start).isNotNull() & (F.col(n) > 0) & F.col("_dt").isNull(), ends)
+                        .otherwise(F.col("_dt")))
             .drop("_ds", "_cs", "_ct", "_dt"))

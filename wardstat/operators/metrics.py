@@ -192,13 +192,11 @@ def permits_rate(base: DataFrame, parcels: DataFrame, levels: dict[str, Column],
     return r.withColumn("suppressed", sup).drop("parcels").withColumn("metric", F.lit("permits_per_1000_parcels"))
 
 
-def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column], through: Column,
-                   reps: int = agg.REPS, width: float = 1000.0, small: int = 200) -> DataFrame:
+def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column], through: Column, width: float = 1000.0) -> DataFrame:
     """Declared value per 1,000 parcels: total, without the top 1%, capped, and the median permit.
 
-    Totals and their intervals come from power sums per combination of area,
-    category and sector, rolled up to every cell afterwards; only cells with
-    fewer than ``small`` permits are resampled from their values.
+    Totals and their intervals come from sums of powers per combination of area, category and sector, rolled up to every
+    cell afterwards: one method for cells of any size. The totals themselves are added up as decimals.
     """
     d = month_windows(base.where("value is not null"), "issue_date", through, PERMIT_WINDOWS)
     top = agg.quantiles(d, WINDOW, "value", width, {"top1": 0.99}).drop("n")
@@ -207,26 +205,18 @@ def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column
     for g, c in levels.items():
         d = d.withColumn(f"_lv_{g}", c)
     leaf = ["_names", *WINDOW, *[f"_lv_{g}" for g in levels]]
-    d = d.withColumn("_leaf", F.to_json(F.struct(*leaf)))
     lv = {g: F.col(f"_lv_{g}") for g in levels}
     values = {"primary": F.col("value"), "excl_top1pct": F.when(F.col("value") <= F.col("top1"), F.col("value")),
               "cap_10m": F.least(F.col("value"), F.lit(CAP_VALUE))}
-    cells = ["subgroup", *CELL, *WINDOW]
-    sums = d.groupBy("_leaf", *leaf).agg(*[c for v, x in values.items() for c in agg.power_sums(x, v + "_")])
-    kinds = F.array(*[F.struct(F.lit(v).alias("variant"), *[F.col(f"{v}_{p}").alias(p) for p in agg.POWERS]) for v in values])
+    cells, parts = ["subgroup", *CELL, *WINDOW], [*agg.POWERS, "exact"]
+    exact = lambda x: F.coalesce(F.sum(x.cast("decimal(20,4)")), F.lit(0).cast("decimal(30,4)"))
+    sums = d.groupBy(*leaf).agg(*[c for v, x in values.items() for c in [*agg.power_sums(x, v + "_"), exact(x).alias(v + "_exact")]])
+    kinds = F.array(*[F.struct(F.lit(v).alias("variant"), *[F.col(f"{v}_{p}").alias(p) for p in parts]) for v in values])
     cell_sums = (by_area(sums.select(*leaf, F.explode(kinds).alias("_k")), lv).withColumn("subgroup", F.explode("_names"))
-                 .groupBy("_k.variant", *cells).agg(*[F.sum(f"_k.{p}").alias(p) for p in agg.POWERS]).where("n > 0"))
-    big = agg.total_interval(cell_sums.where(F.col("n") >= small)).select("variant", *cells, "n", "total", "ci_low", "ci_high")
-    # A cell below the limit, in any variant, can only contain combinations below it in that variant.
-    few = cell_sums.where(F.col("n") < small).select("variant", *cells)
-    fewest = F.least(*[F.col(f"{v}_n") for v in values])
-    rows = d.join(sums.where(fewest < small).select("_leaf"), "_leaf", "left_semi")
-    rows = rows.select(*leaf, F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), x.alias("v")) for v, x in values.items()])).alias("_k"))
-    rows = by_area(rows.where("_k.v is not null"), lv).withColumn("subgroup", F.explode("_names")).select("_k.variant", "_k.v", *cells)
-    drawn = agg.resampled_total(rows.join(few, ["variant", *cells], "left_semi"), ["variant", *cells], "v", reps)
+                 .groupBy("_k.variant", *cells).agg(*[F.sum(f"_k.{p}").alias(p) for p in parts]).where("n > 0"))
     k = 1000.0 / F.col("parcels")
-    tot = big.unionByName(drawn).join(parcels, CELL).select(
-        "variant", *cells, "n", (F.col("total") * k).alias("value"), (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
+    tot = agg.total_interval(cell_sums).join(parcels, CELL).select(
+        "variant", *cells, "n", (F.col("exact").cast("double") * k).alias("value"), (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
     med = agg.median_metric(by_area(d, lv).withColumn("subgroup", F.explode("_names")), cells, "value", width, min_n=0).select(
         F.lit("median_per_permit").alias("variant"), *cells, "n", "value", F.col("ci_low").alias("lo"), F.col("ci_high").alias("hi"))
     sk = _parcel_cells(parcels, ALL_SUBGROUPS, [*values, "median_per_permit"], through)

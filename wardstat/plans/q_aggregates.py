@@ -380,18 +380,6 @@ def data_checks(t):
     return m.transform(attach, stack).transform(attach, per)
 
 
-@query("declared_value", sql("pm pl", """WITH par AS (SELECT nation, count(*) * 5 AS parcels FROM pl GROUP BY 1), w AS (SELECT * FROM pm WHERE exclusion IS NULL AND x IS NOT NULL AND value IS NOT NULL AND issue_date BETWEEN DATE '2000-07-16' AND DATE '2001-07-15'),
-  q AS (SELECT quantile_cont(value, 0.99) AS top1 FROM w), v AS (SELECT 'primary' AS variant, nation, sum(value) AS s, count(*) AS n FROM w GROUP BY 2 UNION ALL SELECT 'excl_top1pct', nation, sum(value), count(*) FROM w, q WHERE value <= top1 GROUP BY 2
-    UNION ALL SELECT 'cap_10m', nation, sum(least(value, 1e7)), count(*) FROM w GROUP BY 2)
-  SELECT variant, nation AS geo_id, n, n < 20 OR parcels < 250 AS suppressed, CASE WHEN NOT (n < 20 OR parcels < 250) THEN round(s / parcels * 1000, 5) END AS value FROM v JOIN par USING (nation)
-  UNION ALL SELECT 'median_per_permit', nation, count(*), count(*) < 20 OR max(parcels) < 250, CASE WHEN NOT (count(*) < 20 OR max(parcels) < 250) THEN round(median(value), 5) END FROM w JOIN par USING (nation) GROUP BY 2""").replace("\nWITH par AS", ",\npar AS", 1))
-def declared_value(t):
-    from wardstat.plans.q_metrics import parcels, permit_points
-    m = metrics.declared_value(permit_points(t), parcels(t), P.levels(), day(P.THROUGH), width=5000.0)
-    m = m.where("geo_type = 'zcta' and subgroup = 'all'").where(F.col("window_start") == day("2000-07-16"))
-    return rnd(m, 5, "value").select("variant", "geo_id", "n", "suppressed", "value")
-
-
 @query("odds_ratio_metric", sql("late", f"""SELECT nation, d, m, n, d + n AS n_both, CASE WHEN s THEN round(CAST(d AS DOUBLE) / n, 6) END AS value, CASE WHEN s THEN round(lo / (1 - lo), 6) END AS ci_low, CASE WHEN s THEN round(hi / (1 - hi), 6) END AS ci_high, NOT s AS suppressed FROM (
   SELECT *, d + n >= 800 AND n > 0 AS s, {w_low('d', '(d+n)')} AS lo, {w_high('d', '(d+n)')} AS hi FROM (SELECT nation, count(*) FILTER (WHERE l_returnflag = 'R') AS d, count(*) FILTER (WHERE l_returnflag = 'N') AS n, count(*) AS m FROM late GROUP BY 1))"""))
 def odds_ratio_metric(t):

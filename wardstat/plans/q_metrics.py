@@ -222,9 +222,9 @@ def _sql_value() -> list:
     return [("dv0", f"SELECT s.*, window_start FROM pp s, {_PW} WHERE issue_date BETWEEN window_start AND DATE '{P.THROUGH}' AND value IS NOT NULL"),
             ("dv1", f"SELECT d.*, top1, unnest({_SUBLIST}) AS subgroup FROM dv0 d JOIN (SELECT window_start, quantile_cont(value, 0.99) AS top1 FROM dv0 GROUP BY 1) q USING (window_start)"),
             ("dv2", P.sql_levels("dv1")),
-            ("dv3", """SELECT 'primary' AS variant, subgroup, geo_type, geo_id, window_start, count(*) AS n, sum(value) AS s FROM dv2 GROUP BY ALL UNION ALL SELECT 'excl_top1pct', subgroup, geo_type, geo_id, window_start, count(*), sum(value) FROM dv2 WHERE value <= top1 GROUP BY ALL
-  UNION ALL SELECT 'cap_10m', subgroup, geo_type, geo_id, window_start, count(*), sum(least(value, 1e7)) FROM dv2 GROUP BY ALL UNION ALL SELECT 'median_per_permit', subgroup, geo_type, geo_id, window_start, count(*), median(value) FROM dv2 GROUP BY ALL"""),
-            ("dv", f"""SELECT 'declared_value_per_1000_parcels' AS metric, variant, subgroup, geo_type, geo_id, window_start, DATE '{P.THROUGH}' AS window_end, CASE WHEN n >= 20 AND parcels >= 250 THEN CASE WHEN variant = 'median_per_permit' THEN s ELSE s / parcels * 1000 END END AS value, n, n < 20 OR parcels < 250 AS suppressed
+            ("dv3", """SELECT 'primary' AS variant, subgroup, geo_type, geo_id, window_start, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(20,4))) AS DOUBLE) AS s FROM dv2 GROUP BY ALL UNION ALL SELECT 'excl_top1pct', subgroup, geo_type, geo_id, window_start, count(*), CAST(sum(CAST(value AS DECIMAL(20,4))) AS DOUBLE) FROM dv2 WHERE value <= top1 GROUP BY ALL
+  UNION ALL SELECT 'cap_10m', subgroup, geo_type, geo_id, window_start, count(*), CAST(sum(CAST(least(value, 1e7) AS DECIMAL(20,4))) AS DOUBLE) FROM dv2 GROUP BY ALL UNION ALL SELECT 'median_per_permit', subgroup, geo_type, geo_id, window_start, count(*), median(value) FROM dv2 GROUP BY ALL"""),
+            ("dv", f"""SELECT 'declared_value_per_1000_parcels' AS metric, variant, subgroup, geo_type, geo_id, window_start, DATE '{P.THROUGH}' AS window_end, CASE WHEN n >= 20 AND parcels >= 250 THEN CASE WHEN variant = 'median_per_permit' THEN s ELSE s * (1000.0::DOUBLE / parcels) END END AS value, n, n < 20 OR parcels < 250 AS suppressed
   FROM (SELECT p.*, s.subgroup, v.variant, w.window_start, coalesce(k.n, 0) AS n, k.s FROM par p, {sk} LEFT JOIN dv3 k ON k.geo_type = p.geo_type AND k.geo_id = p.geo_id AND k.subgroup = s.subgroup AND k.variant = v.variant AND k.window_start = w.window_start)""")]
 
 
@@ -237,6 +237,12 @@ def _sql_demo() -> list:
 _K = "metric, variant, subgroup, geo_type, geo_id, window_start, window_end, value, n, suppressed"
 
 
+@query("declared_value", sql("pp par", f"SELECT {_K.replace(' value,', ' round(value, 6) AS value,')} FROM dv", _sql_value()))
+def declared_value(t):
+    m = metrics.declared_value(permit_points(t), parcels(t), P.levels(), day(P.THROUGH), width=5000.0)
+    return rnd(m, 6, "value").select(*[c.strip() for c in _K.split(",")])
+
+
 @query("m_permits_all", sql("pp dp par", _with_city("al", ci=False), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
     ("al", f"SELECT {_K} FROM pr UNION ALL SELECT {_K} FROM dx UNION ALL SELECT {_K} FROM dv UNION ALL SELECT {_K} FROM dr")]))
 def m_permits_all(t):
