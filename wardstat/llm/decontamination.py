@@ -5,8 +5,9 @@ words is at word edit distance n // 5 or less. Item-sized windows are embedded b
 edit distance becomes a small Hamming distance, and looked up by bit sampling; rounds repeat until simulated edits of
 the benchmark's own items reach ``recall``. Every hit is then verified by the exact edit distance.
 
-Before that a lossless filter drops windows: e edits touch at most 2e of an item's n - 1 word pairs, so a window without
-n - 1 - 2e pairs of the benchmark cannot match. Documents are scanned once without a shuffle; the benchmark is sent to the
+Before that a lossless filter drops windows: e edits touch at most 2e of an item's n - 1 word pairs, so one of any 2e + 1
+of them is left in a match, about where the item has it, and n - 1 - 2e pairs of the benchmark are. Only windows that
+begin where one of an item's 2e + 1 rarest pairs puts it are looked up. Documents are scanned once without a shuffle; the benchmark is sent to the
 workers in parts of at most ``PART_BYTES`` of text, one scan for each part.
 
 Items with fewer than ``min_words`` words are no evidence and are never found. Null texts have no words; every row is
@@ -16,7 +17,6 @@ judged by itself, repeated or without an id; an empty documents or benchmark tab
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -76,15 +76,19 @@ def _keys(windows: np.ndarray, seed: int) -> np.ndarray:
 def rounds_for(items: list[np.ndarray], recall: float) -> int:
     """Rounds of lookups after which items with all allowed, random, edits are found with probability ``recall``."""
     rng, hits = np.random.default_rng(5), []
-    for words in items[:: max(1, len(items) // 200)]:
-        n, k = len(words), allowed(len(words))
-        edited = list(words)
-        for _ in range(k):
-            p, kind = int(rng.integers(len(edited))), int(rng.integers(3))
-            edited[p : p + (kind != 1)] = [] if kind == 2 else [np.uint64(rng.integers(1 << 62))]
-        edited = np.array((edited + [_PAD] * n)[:n], np.uint64)
-        hits.append([_keys(words[None], s)[0] == _keys(edited[None], s)[0] for s in range(MOST_ROUNDS)])
-    found = np.maximum.accumulate(np.array(hits), 1).mean(0) if hits else np.ones(MOST_ROUNDS)
+    for words in items[:: max(1, len(items) // 24)]:
+        n, block = len(words), [words]
+        for _ in range(24):
+            edited = list(words)
+            for _ in range(allowed(n)):
+                p, kind = int(rng.integers(len(edited))), int(rng.integers(3))
+                edited[p : p + (kind != 1)] = [] if kind == 2 else [np.uint64(rng.integers(1 << 62))]
+            block.append(np.array((edited + [_PAD] * n)[:n], np.uint64))
+        keys = [_keys(np.stack(block), s) for s in range(MOST_ROUNDS)]
+        hits.append([k[1:] == k[0] for k in keys])
+    if not hits:
+        return 1
+    found = np.maximum.accumulate(np.concatenate(hits, 1), 0).mean(1)
     enough = np.flatnonzero(found >= recall)
     return int(enough[0]) + 1 if len(enough) else MOST_ROUNDS
 
@@ -107,63 +111,75 @@ def nearest(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end
 
 
-@dataclass
+def word_pairs(words: np.ndarray) -> np.ndarray:
+    return mix(words[:-1] * np.uint64(31) + words[1:])
+
+
 class Items:
-    """A part of the benchmark, ready for lookups: ids and word hashes, word pairs, and keys by length and round."""
-
-    ids: list
-    words: list[np.ndarray]
-    rounds: int
-    pairs: np.ndarray = None
-    table: dict = None
-
-    def __post_init__(self):
-        every = [mix(w[:-1] * np.uint64(31) + w[1:]) for w in self.words]
-        self.pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *every]))
-        self.table = {}
-        for n in sorted({len(w) for w in self.words}):
-            own = np.array([i for i, w in enumerate(self.words) if len(w) == n])
-            block = np.stack([self.words[i] for i in own])
-            looked = []
-            for s in range(self.rounds):
-                key = _keys(block, s)
-                order = np.argsort(key, kind="stable")
-                looked.append((key[order], own[order]))
-            self.table[n] = looked
-
-    def find(self, words: np.ndarray, flags: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, distance, start, end) of every item in a document; ``flags`` marks its pairs that the benchmark has."""
-        sums, out = np.concatenate([[0], np.cumsum(flags)]), []
-        for n, looked in self.table.items():
-            k = allowed(n)
-            if sums[-1] < n - 1 - 2 * k or len(words) < n - k:
-                continue
-            s = np.arange(len(words))
-            some = sums[np.minimum(s + n + k, len(flags))] - sums[np.maximum(s - k, 0)] >= n - 1 - 2 * k
-            starts = np.flatnonzero(some)
-            if not len(starts):
-                continue
-            tail = np.concatenate([words, np.full(n, _PAD)])
-            near: dict[int, set[int]] = {}
-            for lo in range(0, len(starts), 4096):
-                part = starts[lo : lo + 4096]
-                windows = tail[part[:, None] + np.arange(n)]
-                for seed, (keys, owners) in enumerate(looked):
-                    key = _keys(windows, seed)
-                    a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                    for w in np.flatnonzero(b > a):
-                        for i in owners[a[w] : b[w]]:
-                            near.setdefault(int(i), set()).add(int(part[w]))
-            for i, at in near.items():
-                best = None
-                for low, high in _regions(sorted(at), n + k):
-                    low, high = max(0, low - 2 * k), min(len(words), high + n + 2 * k)
-                    d, x, y = nearest(self.words[i], words[low:high])
-                    if d <= k and (best is None or d < best[0]):
-                        best = (d, x + low, y + low)
-                if best:
-                    out.append((i, *best))
-        return out
+    """A part of the benchmark, ready for lookups."""
+
+    def __init__(self, ids: list, words: list[np.ndarray], rounds: int):
+        self.ids, self.words = ids, words
+        self.size = np.array([len(w) for w in words])
+        self.slack = np.array([allowed(len(w)) for w in words])
+        own = [word_pairs(w) for w in words]
+        self.pairs, known = np.unique(np.concatenate(own), return_inverse=True)
+        vocabulary, times = np.unique(np.concatenate(words), return_counts=True)
+        common = [times[np.searchsorted(vocabulary, w)] for w in words]
+        spots = []
+        for i, c in enumerate(common):
+            # the pairs whose rarer word is rarest in the benchmark, then whose other word is
+            rank = np.lexsort((np.maximum(c[:-1], c[1:]), np.minimum(c[:-1], c[1:])))[: 2 * self.slack[i] + 1]
+            spots += [(own[i][o], i, o) for o in rank]
+        spots.sort(key=lambda x: x[0])
+        self.seed = np.array([x[0] for x in spots], np.uint64)
+        self.seed_item, self.seed_at = np.array([x[1] for x in spots]), np.array([x[2] for x in spots])
+        self.keys = np.zeros((rounds, len(words)), np.uint64)
+        for n in np.unique(self.size):
+            at = np.flatnonzero(self.size == n)
+            for r in range(rounds):
+                self.keys[r, at] = _keys(np.stack([words[i] for i in at]), r)
+
+    def begins(self, w, pair: np.ndarray, flags: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, first word) of every window of a slice of texts that the lossless filter leaves."""
+        a, b = np.searchsorted(self.seed, pair, "left"), np.searchsorted(self.seed, pair, "right")
+        hit = np.flatnonzero((b > a) & flags)
+        n = (b - a)[hit]
+        at = np.repeat(hit, n)
+        seed = np.repeat(a[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        item = self.seed_item[seed]
+        width = 2 * self.slack[item] + 1
+        move = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+        at, item, offset = np.repeat(at, width), np.repeat(item, width), np.repeat(self.seed_at[seed] + self.slack[item], width)
+        first = np.clip(at - offset + move, low[w.doc[at]], None)
+        both = np.unique(np.stack([item, first], 1), axis=0)
+        item, first = both[:, 0], both[:, 1]
+        sums, k, doc = np.concatenate([[0], np.cumsum(flags)]), self.slack[item], w.doc[first]
+        held = sums[np.clip(first + self.size[item] + k, None, high[doc] - 1)] - sums[np.maximum(first - k, low[doc])]
+        ok = held >= self.size[item] - 1 - 2 * k
+        return item[ok], first[ok]
+
+    def looked_up(self, hashes: np.ndarray, item: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which windows share a key with their item in some round; ``end`` is where the window's text ends."""
+        found = np.zeros(len(item), bool)
+        for n in np.unique(self.size[item]):
+            own = np.flatnonzero(self.size[item] == n)
+            start, back = np.unique(first[own], return_inverse=True)
+            stop = np.zeros(len(start), np.int64)
+            stop[back] = end[own]
+            for lo in range(0, len(start), 1 << 16):
+                at = start[lo : lo + (1 << 16), None] + np.arange(n)
+                windows = np.where(at < stop[lo : lo + (1 << 16), None], hashes[np.minimum(at, len(hashes) - 1)], _PAD)
+                part = own[(back >= lo) & (back < lo + (1 << 16))]
+                row = back[(back >= lo) & (back < lo + (1 << 16))] - lo
+                for r in range(len(self.keys)):
+                    left = ~found[part]
+                    if not left.any():
+                        break
+                    part, row = part[left], row[left]
+                    need, row_of = np.unique(row, return_inverse=True)
+                    found[part] = _keys(windows[need], r)[row_of] == self.keys[r, item[part]]
+        return found
 
 
 def _regions(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
@@ -196,26 +212,49 @@ def benchmark_parts(benchmark: DataFrame, min_words: int, recall: float, id_col:
             yield Items(ids, words, rounds_for(words, recall))
 
 
-def _scan(items: Items, texts: pa.Array) -> Iterator[tuple[int, list]]:
-    """(row, leaks) of the texts that hold an item."""
+def _scan(items: Items, texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, int, int]]]]:
+    """(row, [(item, distance, start, end), ...]) of the texts that hold an item."""
     small = np.zeros(1 << 20, bool)
     small[items.pairs >> np.uint64(44)] = True
-    least = min(n - 1 - 2 * allowed(n) for n in items.table)
+    held: list[np.ndarray] = []                 # words of the texts that the filter leaves, to be looked up together
+    base, owner, places = [0], [], []
     for w in slices(plain(texts)):
         h = w.hashes()
-        pair = mix(h[:-1] * np.uint64(31) + h[1:])
-        flags = small[pair >> np.uint64(44)]
-        maybe = np.flatnonzero(flags)
-        hit = items.pairs[np.minimum(np.searchsorted(items.pairs, pair[maybe]), len(items.pairs) - 1)] == pair[maybe]
-        flags = np.zeros(len(h), bool)
-        flags[maybe[hit]] = True
-        flags[:-1] &= w.doc[:-1] == w.doc[1:]
+        if len(h) < 2:
+            continue
+        pair = word_pairs(h)
+        maybe = np.flatnonzero(small[pair >> np.uint64(44)] & (w.doc[:-1] == w.doc[1:]))
+        flags = np.zeros(len(pair), bool)
+        flags[maybe] = items.pairs[np.minimum(np.searchsorted(items.pairs, pair[maybe]), len(items.pairs) - 1)] == pair[maybe]
         bounds = np.searchsorted(w.doc, np.arange(w.docs + 1))
-        sums = np.concatenate([[0], np.cumsum(flags)])
-        for d in np.flatnonzero(sums[bounds[1:]] - sums[bounds[:-1]] >= max(1, least)):
-            a, b = bounds[d], bounds[d + 1]
-            if leaks := items.find(h[a:b], flags[a:b]):
-                yield w.first + int(d), leaks
+        item, first = items.begins(w, pair, flags, bounds[:-1], bounds[1:])
+        docs, of = np.unique(w.doc[first], return_inverse=True)
+        places.append(np.stack([item, first - bounds[docs][of], of + len(owner)]))
+        for d in docs:
+            held.append(h[bounds[d] : bounds[d + 1]])
+            base.append(base[-1] + len(held[-1]))
+            owner.append(w.first + int(d))
+    if not owner:
+        return
+    item, at, of = np.concatenate(places, 1)
+    start = np.array(base)
+    ok = items.looked_up(np.concatenate(held), item, at + start[of], start[of + 1])
+    near: dict[int, dict[int, list[int]]] = {}
+    for d, i, x in zip(of[ok].tolist(), item[ok].tolist(), at[ok].tolist()):
+        near.setdefault(d, {}).setdefault(i, []).append(x)
+    for d in sorted(near):
+        leaks = []
+        for i, at in near[d].items():
+            n, k, best = int(items.size[i]), int(items.slack[i]), None
+            for low, high in _regions(sorted(at), n + k):
+                low, high = max(0, low - 2 * k), min(len(held[d]), high + n + 2 * k)
+                gap, x, y = nearest(items.words[i], held[d][low:high])
+                if gap <= k and (best is None or gap < best[0]):
+                    best = (gap, int(x + low), int(y + low))
+            if best:
+                leaks.append((i, *best))
+        if leaks:
+            yield owner[d], leaks
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = 5, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text",
