@@ -1,22 +1,21 @@
 """Empirical-Bayes ratios, spatial lag, Moran's I and local Moran on an area table.
 
-Areas are districts or tracts: hundreds to a few thousand rows, never a
-function of the record count. The permutation tests are split over Spark by
-area and block of simulations; each task gets the area values as one array,
-whose length is checked.
+The permutation tests order the areas of each simulation by a hash of seed,
+simulation and area, so any engine with the same hash draws alike. Simulations
+are independent rows: nothing is gathered, and the work is simulations times
+areas (global: times links).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.operators.aggregates import SEED
 from wardstat.session import attach, cut_lineage
 
-MAX_AREAS = 20_000
+#: Simulated statistics this near the observed one tie with it: sums in another order differ by less.
+TIE = 1e-9
 
 
 def eb_standardize(t: DataFrame) -> DataFrame:
@@ -47,16 +46,15 @@ def _centred(areas: DataFrame, value: str) -> DataFrame:
     return areas.select("id", value).transform(attach, (mean)).select("id", (F.col(value) - F.col("_mean")).alias("z"))
 
 
-def _area_array(z: DataFrame) -> DataFrame:
-    """All centred values in id order as one row; refuses more areas than expected."""
-    arr = z.agg(F.sort_array(F.collect_list(F.struct("id", "z"))).alias("all"), F.count(F.lit(1)).alias("n"))
-    ok = F.when(F.col("n") <= MAX_AREAS, F.col("all")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_AREAS} areas")).cast(arr.schema["all"].dataType))
-    return arr.select(ok.alias("all"), "n")
+def _orders(z: DataFrame, nsim: int, seed: int, kind: str) -> DataFrame:
+    """r, id, z, place (1..n), upto (sum of z up to the place): the areas of each simulation in random order."""
+    o = z.select("id", "z", F.explode(F.sequence(F.lit(1), F.lit(nsim))).alias("r")).repartition("r")
+    o = o.withColumn("key", F.md5(F.concat_ws(":", F.lit(f"{kind}:{seed}"), "r", F.col("id").cast("string"))))
+    w = Window.partitionBy("r").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0)
+    return o.withColumn("place", F.count(F.lit(1)).over(w)).withColumn("upto", F.sum("z").over(w)).drop("key")
 
 
-def moran_global(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 9999, seed: int = SEED,
-                 block: int = 500) -> DataFrame:
+def moran_global(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 9999, seed: int = SEED) -> DataFrame:
     """One row: Moran's I, its analytic mean and sd under randomisation, z and permutation p."""
     areas, nb = cut_lineage(areas), cut_lineage(nb)
     z = _centred(areas, value)
@@ -80,31 +78,13 @@ def moran_global(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 9999,
     var = (first - second) / ((n - 1) * (n - 2) * (n - 3) * F.pow("s0", 2)) - ei * ei
     m = m.withColumn("moran_i", F.col("zl") / F.col("z2")).withColumn("expected", ei).withColumn("sd", F.sqrt(var))
 
-    # Simulations: neighbour positions travel with the values, one row per block.
-    order = z.select("id", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("id")) - 1).alias("pos"))
-    links = (nb.join(order.withColumnsRenamed({"id": "i", "pos": "pi"}), "i")
-             .join(order.withColumnsRenamed({"id": "j", "pos": "pj"}), "j")
-             .agg(F.sort_array(F.collect_list(F.struct("pi", "pj"))).alias("links")))
-    jobs = (_area_array(z).transform(attach, (links)).transform(attach, (m.select("moran_i")))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((nsim - 1) // block)))).repartition("block"))
-
-    @F.pandas_udf("long")
-    def count_extreme(zz: pd.Series, links: pd.Series, observed: pd.Series, blk: pd.Series) -> pd.Series:
-        out = []
-        for vals, ln, obs, b in zip(zz, links, observed, blk):
-            v = np.asarray(vals, dtype=float)
-            pi = np.array([x["pi"] for x in ln])
-            pj = np.array([x["pj"] for x in ln])
-            deg = np.bincount(pi, minlength=len(v))[pi]
-            reps = min(block, nsim - b * block)
-            rng = np.random.Generator(np.random.Philox(key=(int(seed) << 20) + int(b)))
-            sims = rng.permuted(np.tile(v, (reps, 1)), axis=1)
-            stat = (sims[:, pi] * sims[:, pj] / deg).sum(axis=1) / (v * v).sum()
-            out.append(int((stat >= obs).sum()))
-        return pd.Series(out)
-
-    hits = jobs.select(count_extreme(F.col("all.z"), "links", "moran_i", "block").alias("h")).agg(F.sum("h").alias("h"))
-    return m.transform(attach, (hits)).select(
+    # Simulations: an area gets the value of the area at its place in a second order.
+    given = (_orders(z, nsim, seed, "a").select("r", "place", "id").join(_orders(z, nsim, seed, "b").select("r", "place", "z"), ["r", "place"]))
+    given = given.select("r", "id", "z")
+    pairs = (given.join(w.select(F.col("i").alias("id"), "j", "w"), "id").select("r", F.col("j").alias("id"), F.col("z").alias("zi"), "w")
+             .join(given, ["r", "id"]).groupBy("r").agg(F.sum(F.col("zi") * F.col("z") * F.col("w")).alias("s")))
+    hits = pairs.transform(attach, m.select("moran_i", "z2")).agg(F.count_if(F.col("s") / F.col("z2") >= F.col("moran_i") - TIE).alias("h"))
+    return m.transform(attach, hits).select(
         "moran_i", "expected", "sd", ((F.col("moran_i") - F.col("expected")) / F.col("sd")).alias("z"),
         ((F.col("h") + 1) / (nsim + 1.0)).alias("p_perm"), F.lit(nsim).alias("nsim"),
         n.cast("bigint").alias("n"), "mean_neighbors")
@@ -120,42 +100,28 @@ def bh_adjust(df: DataFrame, p: str, out: str = "q", within: list[str] = ()) ->
         part.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0)))).drop("_adj")
 
 
-def lisa(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 99999, seed: int = SEED, alpha: float = 0.05,
-         block: int = 10_000) -> DataFrame:
-    """Local Moran per area: ii, lag, z, p (conditional permutation), q, quadrant, class."""
+def lisa(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 99999, seed: int = SEED, alpha: float = 0.05) -> DataFrame:
+    """Local Moran per area: ii, lag, z, p (conditional permutation), q, quadrant, class.
+
+    In each simulation an area's k neighbours are the first k other areas of one
+    random order: k different areas, every set as likely. Their mean comes from
+    the order's running sums at k, or at k + 1 less the area's own value.
+    """
     areas, nb = cut_lineage(areas), cut_lineage(nb)
     z = _centred(areas, value)
     base = spatial_lag(z, nb, "z").where("neighbors is not null")
     m2 = z.agg(F.avg(F.pow("z", 2)).alias("m2"))
     base = base.transform(attach, (m2)).withColumn("ii", F.col("z") * F.col("lag") / F.col("m2"))
-    jobs = (base.transform(attach, (_area_array(z)))
-            .withColumn("others", F.transform(F.filter("all", lambda a: a.id != F.col("id")), lambda a: a.z))
-            .drop("all", "n")
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((nsim - 1) // block))))
-            .repartition("id", "block"))
-
-    @F.pandas_udf("lo long, hi long")
-    def tails(others: pd.Series, k: pd.Series, zi: pd.Series, m2: pd.Series, ii: pd.Series, h: pd.Series,
-              blk: pd.Series) -> pd.DataFrame:
-        rows = []
-        for o, kk, z1, m, obs, hh, b in zip(others, k, zi, m2, ii, h, blk):
-            o, kk = np.asarray(o, dtype=float), int(kk)
-            reps = min(block, nsim - int(b) * block)
-            rng = np.random.Generator(np.random.Philox(key=(int(hh) & (2**64 - 1))))
-            idx = rng.integers(0, len(o), size=(reps, kk))
-            while kk > 1:
-                s = np.sort(idx, axis=1)
-                bad = np.flatnonzero((s[:, 1:] == s[:, :-1]).any(axis=1))
-                if not len(bad):
-                    break
-                idx[bad] = rng.integers(0, len(o), size=(len(bad), kk))
-            sim = z1 * o[idx].mean(axis=1) / m
-            rows.append(((sim <= obs).sum(), (sim >= obs).sum()))
-        return pd.DataFrame(rows, columns=["lo", "hi"])
-
-    t = jobs.select("id", tails("others", "neighbors", "z", "m2", "ii",
-                                F.xxhash64("id", "block", F.lit(seed)), "block").alias("t"))
-    p = t.groupBy("id").agg(F.least(F.lit(1.0), 2 * (F.least(F.sum("t.lo"), F.sum("t.hi")) + 1) / (nsim + 1.0)).alias("p"))
+    most = base.agg(F.max("neighbors").alias("most"))
+    order = _orders(z, nsim, seed, "l")
+    sums = order.transform(attach, most).where(F.col("place") <= F.col("most") + 1).groupBy("r").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("place"), F.col("upto")))).alias("sums"))
+    one = order.select("r", "id", "place").join(sums, "r").join(base.select("id", "z", "m2", "ii", F.col("neighbors").alias("k")), "id")
+    drawn = F.when(F.col("place") > F.col("k"), F.element_at("sums", F.col("k"))).otherwise(F.element_at("sums", F.col("k") + 1) - F.col("z"))
+    sim = F.col("z") * drawn / F.col("k") / F.col("m2")
+    t = one.select("id", (sim <= F.col("ii") + TIE).alias("lo"), (sim >= F.col("ii") - TIE).alias("hi")).groupBy("id").agg(
+        F.count_if("lo").alias("lo"), F.count_if("hi").alias("hi"))
+    p = t.select("id", F.least(F.lit(1.0), 2 * (F.least("lo", "hi") + 1) / (nsim + 1.0)).alias("p"))
     out = bh_adjust(base.join(p, "id"), "p")
     quad = quadrant(F.col("z"), F.col("lag"))
     cls = (F.when(F.col("q") < alpha, quad).when(F.col("p") < alpha, F.concat(quad, F.lit("_unadj"))).otherwise("ns"))

@@ -299,21 +299,43 @@ P.cte("zz", "SELECT id, v - avg(v) OVER () AS z FROM bal", "bal")
 P.cte("lagz", "SELECT zz.id, zz.z, avg(y.z) AS lag FROM zz JOIN nb ON nb.i = zz.id JOIN zz y ON y.id = nb.j GROUP BY 1, 2", "zz", "nb")
 
 
-@query("moran_global", sql("lagz", """WITH w AS (SELECT i, j, 1.0 / count(*) OVER (PARTITION BY i) AS w FROM nb), s AS (SELECT (SELECT sum(w) FROM w) AS s0,
-    (SELECT 0.5 * sum((coalesce(a.w, 0) + coalesce(b.w, 0))**2) FROM w a FULL JOIN w b ON a.i = b.j AND a.j = b.i) AS s1, (SELECT sum(q * q) FROM (SELECT id, sum(w) AS q FROM (SELECT i AS id, w FROM w UNION ALL SELECT j, w FROM w) GROUP BY 1)) AS s2),
-  m AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(z * lag) / sum(z * z) AS mi, count(*) * sum(z**4) / sum(z*z)**2 AS k FROM lagz)
-  SELECT round(mi, 6) AS moran_i, round(-1/(n-1), 6) AS expected, round(sqrt((n*((n*n-3*n+3)*s1 - n*s2 + 3*s0*s0) - k*((n*n-n)*s1 - 2*n*s2 + 6*s0*s0)) / ((n-1)*(n-2)*(n-3)*s0*s0) - 1/(n-1)**2), 6) AS sd, true AS p_ok FROM m, s""").replace("\nWITH w AS", ",\nw AS", 1))
+def sql_orders(z: str, nsim: int, kind: str, name: str) -> list[tuple[str, str]]:
+    """CTE <name>: r, id, z, place, upto - the areas of each simulation in the order of a hash."""
+    return [(f"{name}k", f"SELECT id, z, r, md5('{kind}:{A.SEED}:' || r || ':' || id) AS key FROM {z}, range(1, {nsim + 1}) g(r)"),
+            (name, f"SELECT r, id, z, row_number() OVER w AS place, sum(z) OVER w AS upto FROM {name}k WINDOW w AS (PARTITION BY r ORDER BY key, id ROWS UNBOUNDED PRECEDING)")]
+
+
+def sql_moran(z: str, lag: str, nb: str, nsim: int, p: str) -> list[tuple[str, str]]:
+    """CTEs ending in <p>: one row moran_i, expected, sd, zscore, p_perm, n. ``z``: id, z centred; ``lag``: id, z, lag."""
+    return [(f"{p}w", f"SELECT i, j, 1.0::DOUBLE / count(*) OVER (PARTITION BY i) AS w FROM {nb}"),
+            (f"{p}s", f"SELECT (SELECT sum(w) FROM {p}w) AS s0, (SELECT 0.5 * sum((coalesce(a.w, 0) + coalesce(b.w, 0))**2) FROM {p}w a FULL JOIN {p}w b ON a.i = b.j AND a.j = b.i) AS s1, (SELECT sum(q * q) FROM (SELECT id, sum(w) AS q FROM (SELECT i AS id, w FROM {p}w UNION ALL SELECT j, w FROM {p}w) GROUP BY 1)) AS s2"),
+            (f"{p}m", f"SELECT CAST(count(*) AS DOUBLE) AS n, sum(z * lag) / sum(z * z) AS mi, sum(z * z) AS z2, count(*) * sum(z**4) / sum(z*z)**2 AS k FROM {lag}")] + sql_orders(z, nsim, "a", f"{p}a") + sql_orders(z, nsim, "b", f"{p}b") + [
+            (f"{p}g", f"SELECT a.r, a.id, b.z FROM {p}a a JOIN {p}b b USING (r, place)"),
+            (f"{p}h", f"SELECT count(*) FILTER (WHERE s / z2 >= mi - 1e-9) AS h FROM (SELECT x.r, sum(x.z * y.z * w.w) AS s FROM {p}g x JOIN {p}w w ON w.i = x.id JOIN {p}g y ON y.r = x.r AND y.id = w.j GROUP BY 1), {p}m"),
+            (p, f"SELECT mi AS moran_i, -1/(n-1) AS expected, sd, (mi + 1/(n-1)) / sd AS zscore, (h + 1) / {nsim + 1}.0 AS p_perm, CAST(n AS BIGINT) AS n FROM (SELECT *, sqrt((n*((n*n-3*n+3)*s1 - n*s2 + 3*s0*s0) - k*((n*n-n)*s1 - 2*n*s2 + 6*s0*s0)) / ((n-1)*(n-2)*(n-3)*s0*s0) - 1/(n-1)**2) AS sd FROM {p}m, {p}s, {p}h)")]
+
+
+def sql_lisa(z: str, nb: str, nsim: int, p: str) -> list[tuple[str, str]]:
+    """CTEs ending in <p>: id, ii, lag, z, p, q, quadrant, class."""
+    return [(f"{p}l", f"SELECT a.id, a.z, avg(y.z) AS lag, count(*) AS k, (SELECT avg(z * z) FROM {z}) AS m2 FROM {z} a JOIN {nb} b ON b.i = a.id JOIN {z} y ON y.id = b.j GROUP BY 1, 2"),
+            (f"{p}i", f"SELECT *, z * lag / m2 AS ii FROM {p}l")] + sql_orders(z, nsim, "l", f"{p}o") + [
+            (f"{p}t", f"""SELECT id, count(*) FILTER (WHERE sim <= ii + 1e-9) AS lo, count(*) FILTER (WHERE sim >= ii - 1e-9) AS hi FROM (SELECT i.id, i.ii, i.z * CASE WHEN o.place > i.k THEN a.upto ELSE b.upto - i.z END / i.k / i.m2 AS sim
+  FROM {p}o o JOIN {p}i i ON i.id = o.id JOIN {p}o a ON a.r = o.r AND a.place = i.k JOIN {p}o b ON b.r = o.r AND b.place = i.k + 1) GROUP BY 1"""),
+            (f"{p}p", f"SELECT i.*, least(1.0, 2 * (least(lo, hi) + 1) / {nsim + 1}.0) AS p, CASE WHEN z > 0 AND lag > 0 THEN 'HH' WHEN z < 0 AND lag < 0 THEN 'LL' WHEN z > 0 THEN 'HL' ELSE 'LH' END AS quadrant FROM {p}i i JOIN {p}t USING (id)"),
+            (f"{p}q", f"SELECT *, p * count(*) OVER () / (SELECT count(*) FROM {p}p b WHERE b.p <= a.p) AS adj FROM {p}p a"),
+            (p, f"SELECT id, ii, lag, z, p, q, quadrant, CASE WHEN q < 0.05 THEN quadrant WHEN p < 0.05 THEN quadrant || '_unadj' ELSE 'ns' END AS class FROM (SELECT *, least(1.0, (SELECT min(adj) FROM {p}q b WHERE b.p >= a.p)) AS q FROM {p}q a)")]
+
+
+@query("moran_global", sql("lagz", "SELECT round(moran_i, 6) AS moran_i, round(expected, 6) AS expected, round(sd, 6) AS sd, round(zscore, 5) AS z, round(p_perm, 6) AS p_perm, n FROM mg", sql_moran("zz", "lagz", "nb", 999, "mg")))
 def moran_global(t):
-    m = spatial_stats.moran_global(balances(t), neighbors(t), "v")
-    ok = (F.col("p_perm") > 0) & (F.col("p_perm") <= 1) & ((F.col("p_perm") < 0.5) == (F.col("z") > -0.2)) | (F.abs("z") < 0.4)
-    return m.select(F.round("moran_i", 6).alias("moran_i"), F.round("expected", 6).alias("expected"), F.round("sd", 6).alias("sd"), ok.alias("p_ok"))
+    m = spatial_stats.moran_global(balances(t), neighbors(t), "v", nsim=999)
+    return rnd(rnd(m, 6, "moran_i", "expected", "sd", "p_perm"), 5, "z").select("moran_i", "expected", "sd", "z", "p_perm", "n")
 
 
-@query("lisa", sql("lagz", """SELECT id, round(z * lag / (SELECT avg(z*z) FROM zz), 5) AS ii, CASE WHEN z > 0 AND lag > 0 THEN 'HH' WHEN z < 0 AND lag < 0 THEN 'LL' WHEN z > 0 THEN 'HL' ELSE 'LH' END AS quadrant, true AS p_ok FROM lagz"""))
+@query("lisa", sql("lagz", "SELECT id, round(ii, 5) AS ii, round(lag, 4) AS lag, round(p, 6) AS p, round(q, 6) AS q, quadrant, class FROM li", sql_lisa("zz", "nb", 9999, "li")))
 def lisa(t):
-    r = spatial_stats.lisa(balances(t), neighbors(t), "v")
-    ok = F.col("p").between(0, 1) & (F.col("q") >= F.col("p") - 1e-12)
-    return r.select("id", F.round("ii", 5).alias("ii"), "quadrant", ok.alias("p_ok"))
+    r = spatial_stats.lisa(balances(t), neighbors(t), "v", nsim=9999)
+    return rnd(rnd(rnd(r, 5, "ii"), 4, "lag"), 6, "p", "q").select("id", "ii", "lag", "p", "q", "quadrant", "class")
 
 
 @query("bh_adjust", """WITH p AS (SELECT n_name AS id, (count(*) FILTER (WHERE c_acctbal > 9000) + 1.0) / (count(*) + 1) AS p FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
