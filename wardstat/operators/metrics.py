@@ -537,10 +537,13 @@ def closed_without_action(closed: DataFrame, mapping: dict[str, str], levels: di
 
 def cluster_specification(base: DataFrame, nb: DataFrame, start: Column, end: Column, area: str,
                           exclude_types: tuple[str, ...] = (), nsim: int = 9999, nsim_local: int | None = None) -> DataFrame:
-    """One row for one specification: record flow, global Moran and the smallest local p and q.
+    """One row for one specification: record flow, global Moran, and how many areas have each local class.
 
     Slow requests against each area's own mix, empirical-Bayes z, then global
-    and local Moran over the areas that clear the minimum.
+    and local Moran over the areas that clear the minimum. ``slow_cores`` and
+    ``fast_cores`` are areas high or low among their like after adjustment,
+    ``unadjusted`` those only before it, ``outliers`` those unlike their
+    surroundings.
     """
     from wardstat.operators import spatial_stats as ss
     w = base.where(F.col("opened").between(start, end))
@@ -554,6 +557,9 @@ def cluster_specification(base: DataFrame, nb: DataFrame, start: Column, end: Co
     z = ss.eb_standardize(ratios).select(F.col(area).alias("id"), F.coalesce("z", F.lit(0.0)).alias("z"))
     z = cut_lineage(z)
     links = nb.join(z.select(F.col("id").alias("i")), "i", "left_semi").join(z.select(F.col("id").alias("j")), "j", "left_semi").select("i", "j")
-    g = ss.moran_global(z, links, "z", nsim).select("moran_i", F.col("p_perm").alias("moran_p"), F.col("n").alias("areas"))
-    loc = ss.lisa(z, links, "z", nsim_local or nsim).agg(F.min("p").alias("min_p"), F.min("q").alias("min_q"))
+    g = ss.moran_global(z, links, "z", nsim).select("moran_i", "expected", "sd", F.col("z").alias("moran_z"), F.col("p_perm").alias("moran_p"), F.col("n").alias("areas"))
+    c = F.col("class")
+    loc = ss.lisa(z, links, "z", nsim_local or nsim).agg(
+        F.count_if(c == "HH").alias("slow_cores"), F.count_if(c == "LL").alias("fast_cores"), F.count_if(c.endswith("_unadj")).alias("unadjusted"),
+        F.count_if(c.isin("HL", "LH")).alias("outliers"), F.min("p").alias("min_p"), F.min("q").alias("min_q"))
     return flow.transform(attach, kept).transform(attach, g).transform(attach, loc)

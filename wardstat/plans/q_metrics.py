@@ -11,7 +11,7 @@ from wardstat.operators import aggregates as A
 from wardstat.operators.joins import by_area, classify_trips
 from wardstat.plans import proxies as P
 from wardstat.plans.proxies import day, rnd, sql
-from wardstat.plans.q_aggregates import areas_slow, neighbors
+from wardstat.plans.q_aggregates import areas_slow, neighbors, sql_lisa, sql_moran
 from wardstat.plans.q_joins import matched, sched_trips
 from wardstat.plans.q_mapping import demolitions, inspections, permits
 from wardstat.plans.q_sequences import food_places, outage_events, peak_events
@@ -472,19 +472,42 @@ def m_power_all(t):
 SPECS = [("primary", "2000-07-16", "contiguity", ()), ("two_years", "1999-07-16", "contiguity", ()), ("knn", "2000-07-16", "knn", ()), ("no_low", "2000-07-16", "contiguity", ("5-LOW",))]
 
 
-@query("m_slow_clusters", sql("base", " UNION ALL ".join(
-    f"""SELECT '{n}' AS spec, count(*) AS in_window, count(*) FILTER (WHERE close_problem IS NOT NULL) AS close_problem, count(*) FILTER (WHERE close_problem IS NULL AND {('type NOT IN (' + ', '.join(repr(x) for x in ex) + ')') if ex else 'true'}) AS timing_records, true AS moran_ok, CAST(25 AS BIGINT) AS areas FROM base WHERE opened BETWEEN DATE '{a}' AND DATE '{P.THROUGH}'"""
-    for n, a, _nb, ex in SPECS)))
+LOCAL_SIMULATIONS, GLOBAL_SIMULATIONS = 9999, 999
+P.cte("xy", "SELECT n_name AS id, n_nationkey % 5 * 400 + 200.0 AS x, n_nationkey // 5 * 400 + 200.0 AS y FROM nation")
+P.cte("knn", "SELECT i, j FROM (SELECT a.id AS i, b.id AS j, row_number() OVER (PARTITION BY a.id ORDER BY (a.x-b.x)**2 + (a.y-b.y)**2, b.id) AS rank FROM xy a JOIN xy b ON a.id <> b.id) WHERE rank <= 6", "xy")
+
+
+def sql_cluster(name: str, start: str, nb: str, exclude: tuple[str, ...], p: str) -> list[tuple[str, str]]:
+    """CTEs ending in <p>: one row for a specification."""
+    types = f" AND type NOT IN ({', '.join(repr(x) for x in exclude)})" if exclude else ""
+    return [(f"{p}w", f"SELECT * FROM base WHERE opened BETWEEN DATE '{start}' AND DATE '{P.THROUGH}'"),
+            (f"{p}0", f"SELECT type AS g, nation AS area, is_closed, bd_to_close, age_bd, CASE WHEN is_closed THEN bd_to_close ELSE age_bd END AS time, CAST(is_closed AS INTEGER) AS ev FROM {p}w WHERE close_problem IS NULL{types}"),
+            (f"{p}1", f"SELECT * FROM {p}0 WHERE time IS NOT NULL")] + P.sql_km(f"{p}1", "g", name=f"{p}k") + [
+            (f"{p}2", f"SELECT s.*, NOT coalesce(is_closed AND bd_to_close <= t.value, false) AS is_slow FROM {p}1 s JOIN {p}k t ON t.g = s.g AND NOT t.suppressed WHERE age_bd >= t.value"),
+            (f"{p}3", f"SELECT area, count(*) AS n, CAST(count(*) FILTER (WHERE is_slow) AS DOUBLE) AS observed, sum(p) AS expected, sum(p*(1-p)) AS null_var FROM {p}2 JOIN (SELECT g, avg(CAST(is_slow AS INTEGER)) AS p FROM {p}2 GROUP BY 1) q USING (g) GROUP BY area HAVING count(*) >= 30"),
+            (f"{p}4", f"SELECT area, observed/expected AS r, sum(observed) OVER () / sum(expected) OVER () AS b, expected / sum(expected) OVER () AS w, null_var / expected**2 AS samp FROM {p}3"),
+            (f"{p}5", f"SELECT *, greatest(0, sum(w * (r-b)**2) OVER () - sum(w * samp) OVER ()) AS a FROM {p}4"),
+            (f"{p}6", f"SELECT area AS id, coalesce((r - b) / sqrt(nullif(a + samp, 0)), 0) AS v FROM {p}5"),
+            (f"{p}z", f"SELECT id, v - avg(v) OVER () AS z FROM {p}6"),
+            (f"{p}n", f"SELECT i, j FROM {nb} WHERE i IN (SELECT id FROM {p}z) AND j IN (SELECT id FROM {p}z)"),
+            (f"{p}y", f"SELECT a.id, a.z, avg(b.z) AS lag FROM {p}z a JOIN {p}n n ON n.i = a.id JOIN {p}z b ON b.id = n.j GROUP BY 1, 2")
+            ] + sql_moran(f"{p}z", f"{p}y", f"{p}n", GLOBAL_SIMULATIONS, f"{p}m") + sql_lisa(f"{p}z", f"{p}n", LOCAL_SIMULATIONS, f"{p}l") + [
+            (p, f"""SELECT '{name}' AS spec, (SELECT count(*) FROM {p}w) AS in_window, (SELECT count(close_problem) FROM {p}w) AS close_problem, (SELECT count(*) FROM {p}1) AS timing_records, m.*, l.*
+  FROM (SELECT round(moran_i, 6) AS moran_i, round(expected, 6) AS expected, round(sd, 6) AS sd, round(zscore, 5) AS moran_z, round(p_perm, 6) AS moran_p, n AS areas FROM {p}m) m,
+  (SELECT count(*) FILTER (WHERE class = 'HH') AS slow_cores, count(*) FILTER (WHERE class = 'LL') AS fast_cores, count(*) FILTER (WHERE class LIKE '%_unadj') AS unadjusted, count(*) FILTER (WHERE class IN ('HL', 'LH')) AS outliers, round(min(p), 6) AS min_p, round(min(q), 6) AS min_q FROM {p}l) l""")]
+
+
+@query("m_slow_clusters", sql("base nb knn", " UNION ALL ".join(f"SELECT * FROM sc{k}" for k in range(len(SPECS))),
+                              [c for k, (n, a, kind, ex) in enumerate(SPECS) for c in sql_cluster(n, a, "knn" if kind == "knn" else "nb", ex, f"sc{k}")]))
 def m_slow_clusters(t):
     base = cut_lineage(normalize.base_records(P.tickets(t)))
     nb = {"contiguity": cut_lineage(neighbors(t)), "knn": cut_lineage(spatial.nearest_neighbors(areas_slow(t), 6).select("i", "j"))}
     out = None
     for name, start, kind, ex in SPECS:
-        r = metrics.cluster_specification(base, nb[kind], day(start), day(P.THROUGH), "nation", ex, nsim=9999, nsim_local=99999)
+        r = metrics.cluster_specification(base, nb[kind], day(start), day(P.THROUGH), "nation", ex, nsim=GLOBAL_SIMULATIONS, nsim_local=LOCAL_SIMULATIONS)
         r = r.withColumn("spec", F.lit(name))
         out = r if out is None else out.unionByName(r)
-    ok = F.col("moran_p").between(0, 1) & F.col("moran_i").between(-1, 1) & (F.col("min_q") >= F.col("min_p") - 1e-9)
-    return out.select("spec", "in_window", "close_problem", "timing_records", ok.alias("moran_ok"), "areas")
+    return rnd(rnd(out, 6, "moran_i", "expected", "sd", "moran_p", "min_p", "min_q"), 5, "moran_z")
 
 
 @query("m_closed_without_action", sql("base", f"SELECT variant, geo_type, geo_id, n, {P.sql_proportion()} FROM (SELECT variant, geo_type, geo_id, count(*) FILTER (WHERE hit) AS x, count(*) AS n FROM lv GROUP BY ALL)", [
