@@ -62,14 +62,15 @@ def test_outage_documents(spark):
     docs = spark.createDataFrame([(1, json.dumps(good)), (2, json.dumps(lacking)), (3, "<html>"), (4, '{"type":"FeatureCollection","features":[]}')], "poll int, body string")
     got = {r["poll"]: r for r in streams.parse_outages(docs, "poll", "body").collect()}
     assert got[1]["ok"] and got[1]["outage_no"] == "7" and (got[1]["lon"], got[1]["lat"]) == (-90.1, 35.2)
-    assert got[2]["problem"] == "feature missing properties: CUR_CUST_AFF, EST_REPAIR_TIME, STATUS, TIME_STAMP" and not got[3]["ok"]
+    assert got[2]["problem"] == "properties_absent: CUR_CUST_AFF, EST_REPAIR_TIME, STATUS, TIME_STAMP" and not got[3]["ok"]
     assert got[4]["ok"] and got[4]["outage_no"] is None          # an empty snapshot is still a poll
 
 
 def test_summary_page(spark):
     html = "<p>99.5% <b>Customers With Power</b> 437,100</p><p>0.5% Customers Without Power 2,200</p> foo CURRENT AS OF 09/24/2026 10:05 AM"
     r = streams.parse_summary(spark.createDataFrame([(1, html), (2, "<p>down</p>")], "id int, html string")).orderBy("id").collect()
-    assert tuple(r[0])[1:] == (99.5, 437100, 0.5, 2200, "09/24/2026 10:05 AM") and r[1]["customers_with_power"] is None
+    assert tuple(r[0])[1:] == (99.5, 437100, 0.5, 2200, "09/24/2026 10:05 AM", None, True)
+    assert r[1]["customers_with_power"] is None and not r[1]["ok"] and r[1]["problem"].startswith("figures_absent: pct_with_power")
 
 
 def test_broken_last_line_is_left_out(spark, tmp_path):

@@ -146,7 +146,7 @@ def hex_metrics(base: DataFrame, rr: DataFrame, targets: DataFrame, headline: li
         "reopened", F.coalesce(F.col("r50") <= 30, F.lit(False)))
     reo = disk_share(c, "reopened", "reopen_rate")
     return (med.unionByName(tgt).unionByName(reo).withColumnRenamed("type", "subgroup")
-            .withColumn("geo_type", F.lit("h3_9")).withColumn("variant", F.lit("primary")))
+            .withColumn("geo_type", F.lit("hex_174m")).withColumn("variant", F.lit("primary")))
 
 
 # --- permits ----------------------------------------------------------------
@@ -300,7 +300,7 @@ def food_reinspection(places: DataFrame, ins: DataFrame, levels: dict[str, Colum
 def transit_levels(stops: bool) -> dict[str, Column]:
     lv = {"citywide": F.lit("city"), "route": F.col("route_id")}
     if stops:
-        lv |= {"stop": F.col("stop_id"), "h3_8": F.col("h8")}
+        lv |= {"stop": F.col("stop_id"), "hex_461m": F.col("h8")}
     return lv
 
 
@@ -316,7 +316,7 @@ def ghost_rate(cls: DataFrame, stop_times: DataFrame, stop_cells: DataFrame, thr
     at = (d.join(stop_times.select("service_date", "trip_id", "stop_id").distinct(), ["service_date", "trip_id"])
           .join(stop_cells, "stop_id", "left"))
     lv = transit_levels(True)
-    stops = agg.flag_proportion(by_area(at, {k: lv[k] for k in ("stop", "h3_8")}), cells, F.col("ghost"))
+    stops = agg.flag_proportion(by_area(at, {k: lv[k] for k in ("stop", "hex_461m")}), cells, F.col("ghost"))
     return trips.unionByName(stops).withColumn("metric", F.lit("ghost_bus_rate"))
 
 
@@ -394,7 +394,7 @@ def outage_counts(ev: DataFrame, areas: DataFrame, levels: dict[str, Column], th
     if cell:
         by = ["variant", "subgroup", *WINDOW]
         per = d.groupBy(F.col(cell).alias("cell"), *by).agg(F.count(F.lit(1)).alias("n"))
-        r = r.unionByName(agg.over_disk(per, "cell", by, ["n"]).withColumn("geo_type", F.lit("h3_9")))
+        r = r.unionByName(agg.over_disk(per, "cell", by, ["n"]).withColumn("geo_type", F.lit("hex_174m")))
     r = agg.poisson_rate(r, "n", F.lit(days / 365.0))
     return r.withColumn("suppressed", F.lit(False)).withColumn("metric", F.lit("outage_events_per_year"))
 
@@ -496,7 +496,7 @@ def address_report(addresses: DataFrame, cell_rows: DataFrame, area_rows: DataFr
     ``addresses``: id, cell, zcta, district; metric rows: geo_type, geo_id, value, n.
     """
     places = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(g).alias("geo_type"), c.alias("geo_id")) for lab, g, c in (
-        ("near", "h3_9", F.col("cell")), ("city", "citywide", F.lit("city")), ("zip", "zcta", F.col("zcta")),
+        ("near", "hex_174m", F.col("cell")), ("city", "citywide", F.lit("city")), ("zip", "zcta", F.col("zcta")),
         ("district", "super_district", F.col("district")))])
     long = addresses.select("id", F.inline(places))
     rows = cell_rows.select(*CELL, "value", "n").unionByName(area_rows.select(*CELL, "value", "n"))

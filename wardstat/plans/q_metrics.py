@@ -113,7 +113,7 @@ HEADLINE = ["1-URGENT", "2-HIGH", "4-NOT SPECIFIED"]
 
 
 def sql_hexm() -> list:
-    disk = f"SELECT * EXCLUDE (h9), unnest({P.sql_disk('h9')}) AS geo_id, 'h3_9' AS geo_type"
+    disk = f"SELECT * EXCLUDE (h9), unnest({P.sql_disk('h9')}) AS geo_id, 'hex_174m' AS geo_type"
     cells = "type, geo_id, window_start, window_end"
     return sql_link() + [
         ("bh", P.sql_hex("(SELECT * FROM bl WHERE type IN ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED'))", 174.0, "h9", "h9")),
@@ -123,7 +123,7 @@ def sql_hexm() -> list:
         ("htw", P.sql_windows("ht0", "opened")), ("htd", f"{disk} FROM htw"), ("ht", sql_prop("htd", "pct_within_target", "coalesce(on_time, false)")),
         ("hr0", P.sql_hex(f"(SELECT *, type AS subgroup, 'primary' AS variant, coalesce(r50 <= 30, false) AS reopened FROM rr WHERE type IN ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED') AND close_date <= DATE '{P.THROUGH}' - 30)", 174.0, "h9", "h9")),
         ("hrw", P.sql_windows("hr0", "close_date")), ("hrd", f"{disk} FROM hrw"), ("hr", sql_prop("hrd", "reopen_rate", "reopened")),
-        ("hm", f"SELECT 'median_business_days_to_close' AS metric, 'primary' AS variant, type AS subgroup, 'h3_9' AS geo_type, geo_id, window_start, window_end, value, ci_low, ci_high, n, suppressed FROM hk "
+        ("hm", f"SELECT 'median_business_days_to_close' AS metric, 'primary' AS variant, type AS subgroup, 'hex_174m' AS geo_type, geo_id, window_start, window_end, value, ci_low, ci_high, n, suppressed FROM hk "
                f"UNION ALL SELECT {_C} FROM ht UNION ALL SELECT {_C} FROM hr")]
 
 
@@ -145,7 +145,7 @@ def m_address_report(t):
     d = metrics.day_windows(b.where("close_problem is null"), "opened", day(P.THROUGH), [{"days": 365}])
     d = d.withColumn("time", F.when(F.col("is_closed"), F.col("bd_to_close")).otherwise(F.col("age_bd")))
     per = A.km_counts(d, ["h9"], "time", F.col("is_closed"))
-    near = A.km_median(A.over_disk(per, "h9", ["time"], ["events", "censored"]), ["geo_id"]).withColumn("geo_type", F.lit("h3_9"))
+    near = A.km_median(A.over_disk(per, "h9", ["time"], ["events", "censored"]), ["geo_id"]).withColumn("geo_type", F.lit("hex_174m"))
     x, y = P.hashed_xy(F.col("custkey"))
     addr = P.places(t).select(F.col("custkey").alias("id"), geo.hex_cell(x, y, "h9").alias("cell"), F.col("nation").alias("zcta"), F.col("region").alias("district"))
     return metrics.address_report(addr, near, area)
@@ -317,7 +317,7 @@ P.cte("stt", "SELECT CAST(o_orderdate AS DATE) AS service_date, CAST(l_orderkey
 
 def sql_transit_levels(src: str, stops: bool, trips: bool = True) -> str:
     """One row per record and transit geography."""
-    lv = ([("citywide", "'city'"), ("route", "route_id")] if trips else []) + ([("stop", "stop_id"), ("h3_8", "h8")] if stops else [])
+    lv = ([("citywide", "'city'"), ("route", "route_id")] if trips else []) + ([("stop", "stop_id"), ("hex_461m", "h8")] if stops else [])
     return " UNION ALL ".join(f"SELECT *, '{g}' AS geo_type, {c} AS geo_id FROM {src} WHERE {c} IS NOT NULL" for g, c in lv)
 
 
@@ -421,7 +421,7 @@ def _sql_outages() -> list:
     return [("w0", f"SELECT * FROM oev WHERE day BETWEEN DATE '{ET}' - 364 AND DATE '{ET}'"),
             ("v0", f"SELECT w0.*, variant FROM w0, {_OV} WHERE CASE variant WHEN 'primary' THEN max_cust >= 1 WHEN 'min_10_customers' THEN max_cust >= 10 ELSE duration_s >= 300 END"),
             ("c0", f"SELECT d.geo_type, d.geo_id, s.subgroup, v.variant, coalesce(n, 0) AS n FROM den d, {_SG}, {_OV} LEFT JOIN (SELECT geo_type, geo_id, subgroup, variant, count(*) AS n FROM ({P.sql_levels('v0')}) GROUP BY ALL) k ON k.geo_type = d.geo_type AND k.geo_id = d.geo_id AND k.subgroup = s.subgroup AND k.variant = v.variant"
-                   f" UNION ALL SELECT 'h3_9', geo_id, subgroup, variant, count(*) FROM (SELECT subgroup, variant, unnest({P.sql_disk('h9')}) AS geo_id FROM v0 WHERE h9 IS NOT NULL) GROUP BY ALL")
+                   f" UNION ALL SELECT 'hex_174m', geo_id, subgroup, variant, count(*) FROM (SELECT subgroup, variant, unnest({P.sql_disk('h9')}) AS geo_id FROM v0 WHERE h9 IS NOT NULL) GROUP BY ALL")
             ] + P.sql_garwood("c0", "cg") + [
             ("p1", f"SELECT 'outage_events_per_year' AS metric, variant, subgroup, geo_type, geo_id, {_OW}, CAST(c0.n AS DOUBLE) AS value, lo AS ci_low, hi AS ci_high, c0.n, false AS suppressed FROM c0 JOIN cg ON cg.n = c0.n"),
             ("p2", f"""SELECT 'customer_hours_per_1000' AS metric, 'primary' AS variant, s.subgroup, d.geo_type, d.geo_id, {_OW}, CASE WHEN population >= 1000 THEN (coalesce(lo, 0) + coalesce(hi, 0)) / 2 / households * 1000 END AS value, CASE WHEN population >= 1000 THEN coalesce(lo, 0) / households * 1000 END AS ci_low,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardstat.plans.proxies import sql
+from wardstat.plans.proxies import rnd, sql
 from wardstat.plans.q_sequences import outage_obs, outage_polls
 from wardstat.plans.registry import query
 from wardstat.streaming import streams
@@ -43,7 +43,7 @@ def stream_decode_reports(t):
 
 @query("stream_outage_parse", """WITH d AS (SELECT event_id // 5 AS poll, event_id, user_id, value, bool_or(value > 300) OVER (PARTITION BY event_id // 5) AS lacks, bool_or(value < 0.1) OVER (PARTITION BY event_id // 5) AS odd FROM events)
   SELECT poll, true AS ok, NULL AS problem, CAST(event_id AS VARCHAR) AS outage_no, value AS lon FROM d WHERE NOT lacks AND NOT odd
-  UNION ALL SELECT DISTINCT poll, false, CASE WHEN odd THEN 'not a FeatureCollection' ELSE 'feature missing properties: STATUS' END, NULL, NULL FROM d WHERE lacks OR odd""")
+  UNION ALL SELECT DISTINCT poll, false, CASE WHEN odd THEN 'not_features' ELSE 'properties_absent: STATUS' END, NULL, NULL FROM d WHERE lacks OR odd""")
 def stream_outage_parse(t):
     e = t.events.withColumn("poll", F.floor(F.col("event_id") / 5))
     prop = {"OUTAGE_NO": F.concat(F.lit(" "), F.col("event_id").cast("string")), "TIME_STAMP": F.lit("01/01/2024 01:00:00 AM"), "EST_REPAIR_TIME": F.lit(""),
@@ -62,15 +62,22 @@ def stream_outage_parse(t):
 _FOOT = r"\(c\) (\S+) \| "
 
 
-@query("stream_summary_parse", r"""SELECT page_id, length(x) AS chars, regexp_extract(x, '\(c\) (\S+) \| ', 1) AS host, CAST(NULL AS DOUBLE) AS pct_with_power FROM (SELECT page_id,
+@query("stream_summary_parse", r"""SELECT page_id, page_id % 3 <> 0 AS ok, CASE WHEN page_id % 3 <> 0 THEN (page_id % 1000) / 10.0::DOUBLE END AS pct_with_power, CASE WHEN page_id % 3 <> 0 THEN page_id * 37 + 1000 END AS customers_with_power,
+  CASE WHEN page_id % 3 <> 0 THEN 100.0 - (page_id % 1000) / 10.0::DOUBLE END AS pct_without_power, CASE WHEN page_id % 3 <> 0 THEN page_id * 3 END AS customers_without_power,
+  CASE WHEN page_id % 3 <> 0 THEN '09/24/2026 10:' || lpad(CAST(page_id % 60 AS VARCHAR), 2, '0') || ' AM' END AS current_as_of_local, regexp_extract(x, '\(c\) (\S+) \| ', 1) AS host FROM (SELECT page_id,
   replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&copy;', '(c)'), '&middot;', '|'), '&amp;', '&') AS x FROM pages)""")
 def stream_summary_parse(t):
-    pages = t.pages.select("page_id", "html")
+    """Two pages of three carry the summary's wording, with figures made from the page's id."""
+    k, tenth = F.col("page_id"), (F.col("page_id") % 1000).cast("decimal(10,1)") / 10
+    wording = F.concat(F.lit("<p>"), F.format_string("%.1f", tenth.cast("double")), F.lit("% <b>Customers With Power</b>&nbsp;"), F.format_number(k * 37 + 1000, 0), F.lit("</p><p>"),
+                       F.format_string("%.1f", 100.0 - tenth.cast("double")), F.lit("% Customers Without Power "), F.format_number(k * 3, 0), F.lit("</p><i>CURRENT AS OF 09/24/2026 10:"),
+                       F.lpad((k % 60).cast("string"), 2, "0"), F.lit(" AM</i>"))
+    pages = t.pages.select("page_id", F.concat("html", F.when(k % 3 != 0, wording).otherwise("")).alias("html"))
     path = streams.land(pages, "pages", "page_id")
     s = streams.read_landed(t.spark, path, pages.schema)
-    text = streams.page_text(F.col("html"))
-    s = s.withColumn("chars", F.length(text).cast("bigint")).withColumn("host", F.regexp_extract(text, _FOOT, 1))
-    return streams.drain(streams.parse_summary(s), "summary").select("page_id", "chars", "host", "pct_with_power")
+    s = s.withColumn("host", F.regexp_extract(streams.page_text(F.col("html")), _FOOT, 1))
+    out = streams.drain(streams.parse_summary(s), "summary")
+    return rnd(out, 6, "pct_with_power", "pct_without_power").select("page_id", "ok", *[f"{a}_{b}" for b in ("with_power", "without_power") for a in ("pct", "customers")], "current_as_of_local", "host")
 
 
 def _user_spans_sql() -> str:
