@@ -491,17 +491,18 @@ def covering_values(df: DataFrame, group: str, value: str, share: float) -> Data
 
 
 def address_report(addresses: DataFrame, cell_rows: DataFrame, area_rows: DataFrame) -> DataFrame:
-    """One row per address: the metric near it, citywide, in its ZIP area and in its district.
+    """One row per address and type: the metric near it, citywide, in its ZIP area and in its district.
 
-    ``addresses``: id, cell, zcta, district; metric rows: geo_type, geo_id, value, n.
+    ``addresses``: id, cell, zcta, district; metric rows: type, geo_type, geo_id, value, n. A type is listed for every
+    address as soon as it has a citywide row.
     """
-    places = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(g).alias("geo_type"), c.alias("geo_id")) for lab, g, c in (
-        ("near", "hex_174m", F.col("cell")), ("city", "citywide", F.lit("city")), ("zip", "zcta", F.col("zcta")),
-        ("district", "super_district", F.col("district")))])
-    long = addresses.select("id", F.inline(places))
-    rows = cell_rows.select(*CELL, "value", "n").unionByName(area_rows.select(*CELL, "value", "n"))
-    return (long.join(rows, CELL, "left").groupBy("id").pivot("label", ["near", "city", "zip", "district"])
-            .agg(F.first("value").alias("value"), F.coalesce(F.first("n"), F.lit(0)).alias("n")))
+    labels = ["near", "city", "zip", "district"]
+    places = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(g).alias("geo_type"), c.alias("geo_id")) for lab, g, c in zip(
+        labels, ("hex_174m", "citywide", "zcta", "super_district"), (F.col("cell"), F.lit("city"), F.col("zcta"), F.col("district")))])
+    rows = cell_rows.select("type", *CELL, "value", "n").unionByName(area_rows.select("type", *CELL, "value", "n"))
+    wide = (addresses.select("id", F.inline(places)).join(rows, CELL).groupBy("id", "type").pivot("label", labels)
+            .agg(F.first("value").alias("value"), F.first("n").alias("n")))
+    return wide.fillna(0, [f"{lab}_n" for lab in labels])
 
 
 def dispositions(closed: DataFrame, resolution: str, sub: str, type_col: str, shown_id: Column, types: int = 3, samples: int = 5) -> DataFrame:

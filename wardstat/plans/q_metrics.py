@@ -133,19 +133,19 @@ def m_hex_metrics(t):
     return shaped(metrics.hex_metrics(normalize.base_records(k), metrics.rereports(k), P.targets(t), HEADLINE, day(P.THROUGH)))
 
 
-@query("m_address_report", sql("base", """SELECT a.id, h.value AS near_value, coalesce(h.n, 0) AS near_n, c.value AS city_value, coalesce(c.n, 0) AS city_n, z.value AS zip_value, coalesce(z.n, 0) AS zip_n, d.value AS district_value, coalesce(d.n, 0) AS district_n
-  FROM (SELECT id, h9, nation, region FROM ah) a LEFT JOIN hk h ON h.geo_id = a.h9 LEFT JOIN lk c ON c.geo_type = 'citywide' LEFT JOIN lk z ON z.geo_type = 'zcta' AND z.geo_id = a.nation LEFT JOIN lk d ON d.geo_type = 'super_district' AND d.geo_id = a.region""", [
+@query("m_address_report", sql("base", """SELECT a.id, c.type, h.value AS near_value, coalesce(h.n, 0) AS near_n, c.value AS city_value, coalesce(c.n, 0) AS city_n, z.value AS zip_value, coalesce(z.n, 0) AS zip_n, d.value AS district_value, coalesce(d.n, 0) AS district_n
+  FROM ah a JOIN lk c ON c.geo_type = 'citywide' LEFT JOIN hk h ON h.geo_id = a.h9 AND h.type = c.type LEFT JOIN lk z ON z.geo_type = 'zcta' AND z.geo_id = a.nation AND z.type = c.type LEFT JOIN lk d ON d.geo_type = 'super_district' AND d.geo_id = a.region AND d.type = c.type""", [
     ("ah", P.sql_hex("(SELECT custkey AS id, nation, region, CAST((custkey * 7919) % 1999 AS DOUBLE) AS x, CAST((custkey * 104729) % 2003 AS DOUBLE) AS y FROM pl)", 174.0, "h9", "h9")),
-    ("b1", f"SELECT *, CASE WHEN is_closed THEN bd_to_close ELSE age_bd END AS time, CAST(is_closed AS INTEGER) AS ev FROM base WHERE close_problem IS NULL AND opened BETWEEN DATE '{P.THROUGH}' - 364 AND DATE '{P.THROUGH}' AND type = '1-URGENT'"),
-    ("bx", P.sql_hex("b1", 174.0, "h9", "h9")), ("bd", f"SELECT unnest({P.sql_disk('h9')}) AS geo_id, time, ev FROM bx"), ("bl", P.sql_levels("b1"))]
-    + P.sql_km("bd", "geo_id", "hk") + P.sql_km("bl", "geo_type, geo_id", "lk")))
+    ("b1", f"SELECT *, CASE WHEN is_closed THEN bd_to_close ELSE age_bd END AS time, CAST(is_closed AS INTEGER) AS ev FROM base WHERE close_problem IS NULL AND opened BETWEEN DATE '{P.THROUGH}' - 364 AND DATE '{P.THROUGH}'"),
+    ("bx", P.sql_hex("b1", 174.0, "h9", "h9")), ("bd", f"SELECT type, unnest({P.sql_disk('h9')}) AS geo_id, time, ev FROM bx"), ("bl", P.sql_levels("b1"))]
+    + P.sql_km("bd", "type, geo_id", "hk") + P.sql_km("bl", "type, geo_type, geo_id", "lk")))
 def m_address_report(t):
-    b = normalize.base_records(P.tickets(t)).where("type = '1-URGENT'")
-    area = metrics.median_days(b, P.levels(), day(P.THROUGH), [{"days": 365}])
+    b = normalize.base_records(P.tickets(t))
+    area = metrics.median_days(b, P.levels(), day(P.THROUGH), [{"days": 365}]).withColumnRenamed("subgroup", "type")
     d = metrics.day_windows(b.where("close_problem is null"), "opened", day(P.THROUGH), [{"days": 365}])
     d = d.withColumn("time", F.when(F.col("is_closed"), F.col("bd_to_close")).otherwise(F.col("age_bd")))
-    per = A.km_counts(d, ["h9"], "time", F.col("is_closed"))
-    near = A.km_median(A.over_disk(per, "h9", ["time"], ["events", "censored"]), ["geo_id"]).withColumn("geo_type", F.lit("hex_174m"))
+    per = A.km_counts(d, ["type", "h9"], "time", F.col("is_closed"))
+    near = A.km_median(A.over_disk(per, "h9", ["type", "time"], ["events", "censored"]), ["type", "geo_id"]).withColumn("geo_type", F.lit("hex_174m"))
     x, y = P.hashed_xy(F.col("custkey"))
     addr = P.places(t).select(F.col("custkey").alias("id"), geo.hex_cell(x, y, "h9").alias("cell"), F.col("nation").alias("zcta"), F.col("region").alias("district"))
     return metrics.address_report(addr, near, area)
