@@ -59,18 +59,19 @@ def _places(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
 
 
 def build_share(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    """The bits of one bucket's share of the filter."""
+    """The bits of one bucket's share of the filter, eight to a byte."""
     levels = np.frexp(counts.astype(np.float64))[1]         # 1 + floor(log2 c)
     order = np.argsort(-counts, kind="stable")
     room = int(size * np.log(2) / PROBES)
     fits = order[np.cumsum(levels[order]) <= room]
     if 0 < len(fits) < len(order):                          # all bigrams of one count go together
         fits = fits[counts[fits] > counts[order[len(fits)]]]
-    keys, levels, bits = keys[fits], levels[fits], np.zeros(size, bool)
+    keys, levels, bits = keys[fits], levels[fits], np.zeros(size // 8, np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
         some = keys[levels >= level]
         for probe in range(PROBES):
-            bits[_places(some, level, probe, size)] = True
+            at = _places(some, level, probe, size)
+            np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
     return bits
 
 
@@ -101,8 +102,7 @@ def _answer(plan: chunks.Layout, size: int):
         heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         total = np.add.reduceat(counts, heads)
         if bucket >= plan.buckets:
-            bits = build_share(keys[heads], total, size)
-            return pa.table({"chunk": [None], "bucket": [bucket], "answer": [np.packbits(bits, bitorder="little").tobytes()]}, schema)
+            return pa.table({"chunk": [None], "bucket": [bucket], "answer": [build_share(keys[heads], total, size).tobytes()]}, schema)
         each = np.repeat(total, np.diff(np.append(heads, len(keys))))
         rows = chunks.answers(bucket, owner, each, lambda v: v.astype("<i8").tobytes())
         rows["chunk"].append(None)
@@ -131,6 +131,7 @@ def _score(plan: chunks.Layout, model, n: int, v: int):
         seen = Filter(bits, size, plan.bucket_starts()).counts(bigrams(before(stream, offsets)[some], stream[some]))
         two[some] = np.minimum(seen, np.minimum(c[some], prev[some])) / prev[some]
         sums = lambda x: np.add.reduceat(x, offsets[:-1])  # noqa: E731  no text is without its end token
+        del stream, unique, inverse, known, some, seen, prev
         logs = np.stack([sums(np.log10(w * two + (1 - w) * one)) for w in WEIGHTS])
         top = logs.max(0)
         score = top + np.log10(np.mean(10.0 ** (logs - top), 0))
@@ -139,7 +140,7 @@ def _score(plan: chunks.Layout, model, n: int, v: int):
     return run
 
 
-def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20,
+def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20,
                 filter_bits: int = FILTER_BITS) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row; log10 probabilities."""
     spark = docs.sparkSession
