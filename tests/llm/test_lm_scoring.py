@@ -1,3 +1,4 @@
+import inspect
 import math
 import zlib
 from collections import Counter
@@ -69,6 +70,14 @@ def test_a_small_filter_keeps_frequent_bigrams_and_errs_rarely():
     assert (f.counts(rng.integers(0, 1 << 63, 20_000).astype(np.uint64)) > 0).mean() < 0.05
 
 
+def test_no_bigram_is_dropped(spark):
+    rows = documents()[:100]
+    # whatever room a bigram store is given must not matter to the scores
+    room = {"filter_bits": 1 << 12} if "filter_bits" in inspect.signature(lm.score_texts).parameters else {}
+    got, want = sorted(result(frame(spark, rows), chunk_bytes=30_000, bucket_bytes=20_000, **room)), sorted(brute(rows))
+    assert np.allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-9)
+
+
 def test_empty_and_untaught(spark):
     assert result(frame(spark, [])) == []
     assert [r[:4] for r in result(frame(spark, [(None, "a b")]))] == [(None, 3, 0, 0)]

@@ -1,10 +1,12 @@
-"""Scores of a bigram model whose counts sit in a log-frequency Bloom filter.
+"""Scores of a bigram model whose counts are quantised by their logarithm.
 
-Unigram counts are exact: each chunk of documents asks for the training counts of its distinct tokens and is answered (see
-``chunks``). Bigram counts of all training texts are added up in the same exchange; each bucket writes its share of one
-filter of fixed size: a bigram of quantised count q = 1 + floor(log2 c) is entered at levels 1..q. A share keeps the most
-frequent bigrams that fit half full, so singletons go first when a corpus outgrows the filter. The filter is bounded by
-``FILTER_BITS`` and broadcast; probing level after level until one is missing gives q, and 2^(q-1) never exceeds the count.
+Each chunk of documents asks for the training counts of its distinct tokens and of its distinct bigrams and is answered (see
+``chunks``). Both are added up over all training texts. A token is answered by its count, a bigram of count c by one byte
+q = 1 + floor(log2 c), 0 if it was never seen; 2^(q-1) never exceeds the count. No bigram is dropped, however many there
+are: a bucket answers what it was asked and nothing is broadcast.
+
+``build_share`` and ``Filter`` are the log-frequency Bloom filter that held the bigrams before, in a fixed number of bits;
+the scores don't use them.
 
 A token's probability mixes the bigram estimate with the add-one unigram estimate. The weight of the bigrams is not
 fitted: a text's probability is the mean over the fixed ``WEIGHTS``, so it follows how much of the text is known.
@@ -24,7 +26,7 @@ from wardstat.llm import chunks
 from wardstat.llm.hashing import mix, slices
 from wardstat.session import scratch_path, stored
 
-FILTER_BITS, PROBES = 1 << 28, 6
+PROBES = 6
 WEIGHTS = (0.0, 0.03, 0.1, 0.3, 0.6, 0.9)
 END, START = np.uint64(0xE0D), np.uint64(0x57A127)
 
@@ -94,16 +96,21 @@ class Filter:
         return found
 
 
-def _answer(plan: chunks.Layout, size: int):
+def quantised(counts: np.ndarray) -> np.ndarray:
+    """1 + floor(log2 c) as a byte; 0 for 0."""
+    return np.frexp(counts.astype(np.float64))[1].astype(np.uint8)
+
+
+def _answer(plan: chunks.Layout):
     schema = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("answer", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
         bucket, keys, owner, counts = chunks.gathered(table, plan)
         heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         total = np.add.reduceat(counts, heads)
-        if bucket >= plan.buckets:
-            return pa.table({"chunk": [None], "bucket": [bucket], "answer": [build_share(keys[heads], total, size).tobytes()]}, schema)
         each = np.repeat(total, np.diff(np.append(heads, len(keys))))
+        if bucket >= plan.buckets:
+            return pa.table(chunks.answers(bucket, owner, quantised(each), lambda v: v.tobytes()), schema)
         rows = chunks.answers(bucket, owner, each, lambda v: v.astype("<i8").tobytes())
         rows["chunk"].append(None)
         rows["bucket"].append(bucket)
@@ -113,25 +120,30 @@ def _answer(plan: chunks.Layout, size: int):
     return run
 
 
-def _score(plan: chunks.Layout, model, n: int, v: int):
+def _score(plan: chunks.Layout, n: int, v: int):
     def run(rows: pa.Table, replies: pa.Table) -> pa.Table:
         stream, offsets = tokens(rows["text"])
-        unique, inverse = np.unique(stream, return_inverse=True)
         told = dict(zip(replies["bucket"].to_pylist(), replies["answer"].to_pylist()))
-        sizes = np.diff(np.append(np.searchsorted(unique, plan.bucket_starts()), len(unique)))
-        known = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(told[b], "<i8") for b, k in enumerate(sizes) if k)])
+
+        def answered(unique: np.ndarray, kind: int, dtype: str) -> np.ndarray:
+            sizes = np.diff(np.append(np.searchsorted(unique, plan.bucket_starts()), len(unique)))
+            return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(told[b + kind * plan.buckets], dtype) for b, k in enumerate(sizes) if k)])
+
+        unique, inverse = np.unique(stream, return_inverse=True)
+        known = answered(unique, 0, "<i8")
         end = known[np.searchsorted(unique, END)] if len(unique) else 0
         c = known[inverse]
+        unique, inverse = np.unique(bigrams(before(stream, offsets), stream), return_inverse=True)
+        level = answered(unique, 1, "u1")[inverse].astype(np.int32)
         one = (c + 1.0) / (n + v + 1.0)
         prev = np.empty_like(c)
         prev[1:] = c[:-1]
         prev[offsets[:-1]] = end                            # as many starts as ends
         two, some = np.zeros(len(c)), np.flatnonzero((c > 0) & (prev > 0))
-        bits, size = model.value
-        seen = Filter(bits, size, plan.bucket_starts()).counts(bigrams(before(stream, offsets)[some], stream[some]))
+        seen = np.where(level[some] > 0, np.ldexp(1.0, level[some] - 1), 0.0)
         two[some] = np.minimum(seen, np.minimum(c[some], prev[some])) / prev[some]
         sums = lambda x: np.add.reduceat(x, offsets[:-1])  # noqa: E731  no text is without its end token
-        del stream, unique, inverse, known, some, seen, prev
+        del stream, unique, inverse, known, level, some, seen, prev, told
         logs = np.stack([sums(np.log10(w * two + (1 - w) * one)) for w in WEIGHTS])
         top = logs.max(0)
         score = top + np.log10(np.mean(10.0 ** (logs - top), 0))
@@ -140,12 +152,10 @@ def _score(plan: chunks.Layout, model, n: int, v: int):
     return run
 
 
-def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20,
-                filter_bits: int = FILTER_BITS) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row; log10 probabilities."""
     spark = docs.sparkSession
     plan = chunks.layout(docs, id_col, text_col, chunk_bytes, bucket_bytes)
-    size = max(64, filter_bits // plan.buckets // 8 * 8)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"), plan.chunk_column(id_col, F.xxhash64(text_col)).alias("chunk"))
 
@@ -155,22 +165,15 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             taught = np.repeat(piece["train"].to_numpy(), np.diff(offsets))
             keys, inverse = np.unique(stream, return_inverse=True)
             yield chunks.questions(chunk, keys, plan, np.bincount(inverse[taught], minlength=len(keys)))
-            pairs, counts = np.unique(bigrams(before(stream, offsets), stream)[taught], return_counts=True)
-            if len(pairs):
-                yield chunks.questions(chunk, pairs, plan, counts, kind=1)
+            keys, inverse = np.unique(bigrams(before(stream, offsets), stream), return_inverse=True)
+            yield chunks.questions(chunk, keys, plan, np.bincount(inverse[taught], minlength=len(keys)), kind=1)
 
-    replies = rows.mapInArrow(ask, chunks.QUESTION).groupBy("bucket").applyInArrow(_answer(plan, size), "chunk int, bucket int, answer binary")
+    replies = rows.mapInArrow(ask, chunks.QUESTION).groupBy("bucket").applyInArrow(_answer(plan), "chunk int, bucket int, answer binary")
     replies = stored(replies, scratch_path(spark, "lm-replies"))
-    bits = np.zeros(plan.buckets * size // 8, np.uint8)     # at most filter_bits, or 64 bits a bucket
     n = v = 0
     for r in replies.filter("chunk is null").toLocalIterator():
-        if r.bucket >= plan.buckets:
-            at = (r.bucket - plan.buckets) * size // 8
-            bits[at : at + size // 8] = np.frombuffer(r.answer, np.uint8)
-        else:
-            own = np.frombuffer(r.answer, "<i8")
-            n, v = n + int(own[0]), v + int(own[1])
-    model = spark.sparkContext.broadcast((bits, size))
+        own = np.frombuffer(r.answer, "<i8")
+        n, v = n + int(own[0]), v + int(own[1])
     out = (rows.select("id", "text", "chunk").groupBy("chunk").cogroup(replies.filter("chunk is not null").groupBy("chunk"))
-           .applyInArrow(_score(plan, model, n, v), f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+           .applyInArrow(_score(plan, n, v), f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     return out.withColumnRenamed("id", id_col)
