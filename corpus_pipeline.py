@@ -26,8 +26,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    gone = minhash_dedup.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    """One document of each group whose sets of five words are similar by 0.8 or more, the one with the smallest id."""
+    gone = minhash_dedup.near_duplicates(docs, size=5, percent=80).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 

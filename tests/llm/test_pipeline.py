@@ -5,7 +5,7 @@ from tests.llm import test_decontamination as leaks
 from tests.llm import test_line_dedup as lines
 from tests.llm import test_minhash_dedup as near
 from tests.llm import test_mixing as mixing
-from tests.llm.common import SF
+from tests.llm.common import SF, documents, frame
 from wardstat.llm import toxicity
 from wardstat.session import scratch_path, stored
 
@@ -47,6 +47,20 @@ def test_stages_in_order(spark):
     assert sum(seen) > 0
 
 
+def test_near_duplicates_from_four_fifths(spark):
+    rows = documents()
+    for i in range(40):                                     # pairs that share 40 of 50 shingles
+        base = " ".join(f"shared{i}x{j}" for j in range(44))
+        rows += [(10_000 + 2 * i + k, base + "".join(f" own{i}x{k}x{j}" for j in range(5))) for k in range(2)]
+    want = {i for i, _, _, kept in near.brute(rows, 80) if kept}
+    assert not want & set(range(10_001, 10_080, 2)) and want < {i for i, _, _, kept in near.brute(rows) if kept}
+    assert {r.doc_id for r in cp.drop_near_duplicates(spark, frame(spark, rows), SF).collect()} == want
+
+
+def test_matches_follow_from_the_similarity():
+    assert (near.mh.matches_for(85), near.mh.matches_for(80), near.mh.matches_for(100)) == (42, 37, 64)
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(SF + "/documents.parquet").filter("false")
     for _, stage in cp.STAGES:

@@ -9,7 +9,8 @@ connected already or cannot reach the similarity by size and shared shingles, an
 full sets. Only a spanning forest of the confirmed links comes back, so no group is expanded into all its pairs, and every
 pair that passes ``match`` and the similarity is connected. A head with much text is cut into blocks that meet pairwise.
 
-With 64 coordinates and 42 matches a pair at similarity 0.85 is missed with probability 1e-5.
+The matches asked for follow from the similarity: a pair right at it is missed with probability ``MISS`` at most. Of 64
+coordinates that is 42 matches at 0.85 (missed with probability 3.0e-5) and 37 at 0.80 (1.4e-5).
 
 Null and empty texts have no shingles and link with nothing. Rows without an id have no component and are kept. Rows that
 repeat an id are one node: what any of them links to is connected. An empty table gives an empty result.
@@ -17,6 +18,8 @@ repeat an id are one node: what any of them links to is connected. An empty tabl
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,13 +29,23 @@ from wardstat.llm.components import components
 from wardstat.llm.hashing import mix, slices
 from wardstat.session import scratch_path, stored
 
-COORDINATES, MATCH = 64, 42
+COORDINATES, MISS = 64, 3e-5
 #: Text that meets in one task.
 BLOCK_BYTES = 8 << 20
 _A = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(11)) | np.uint64(1)
 _B = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(7777))
 
 
+def matches_for(percent: int, miss: float = MISS) -> int:
+    """The most matches to ask for such that a pair at this similarity has fewer with probability ``miss`` at most."""
+    p, tail = percent / 100, 0.0
+    for match in range(COORDINATES + 1):
+        tail += comb(COORDINATES, match) * p**match * (1 - p) ** (COORDINATES - match)
+        if tail > miss:
+            return max(1, match)
+    return COORDINATES
+
+
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, offsets): the sorted distinct shingle hashes of each text, one after the other."""
     values, counts = [np.zeros(0, np.uint64)], []
@@ -149,10 +162,10 @@ def confirm(met: DataFrame, docs: DataFrame, size: int, percent: int, match: int
     return placed.join(rows, "rep").groupBy("head", "i", "j").applyInArrow(run, "a long, b long").select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, match: int = MATCH, id_col: str = "doc_id", text_col: str = "text",
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, match: int | None = None, id_col: str = "doc_id", text_col: str = "text",
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row; documents whose similarity reaches ``percent`` are linked."""
-    spark = docs.sparkSession
+    spark, match = docs.sparkSession, matches_for(percent) if match is None else match
     base = stored(sketches(docs, size, id_col, text_col), scratch_path(spark, "sketches"))
     keyed = base.filter("id is not null and n > 0")
     classes = stored(keyed.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.any_value("tokens").alias("tokens")), scratch_path(spark, "classes"))
