@@ -81,6 +81,26 @@ def test_real_texts_against_brute_force(spark):
     assert kept == {i for i, _ in rows} - {i for i, _ in want}
 
 
+def test_texts_that_end_with_the_beginning_of_an_item(spark):
+    bench = [(n, " ".join(f"item{n}x{j}" for j in range(n))) for n in (16, 40)]
+    rows = [(0, "some words and then " + bench[0][1]), (1, bench[1][1] + " and more"), (2, "the text breaks off " + " ".join(bench[1][1].split()[:5]))]
+    df = frame(spark, rows).coalesce(1).orderBy("doc_id")
+    found = dc.find_leaks(df, spark.createDataFrame(bench, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in found.collect()) == [(0, 16, 0), (1, 40, 0)]
+
+
+def test_windows_stay_in_the_text_of_their_pair():
+    n = 40
+    words = np.arange(1, n + 1).astype(np.uint64)
+    items = dc.Items([0], [words], 1)
+    for w in dc.slices(dc.pa.array(["a b c d e", "f " * 50])):
+        pair, flags = np.zeros(54, np.uint64), np.zeros(54, bool)
+        pair[3], flags[3] = dc.word_pairs(words)[0], True   # the first text's last pair
+        flags[5:] = True
+        item, first = items.begins(w, pair, flags, np.array([0, 5]), np.array([5, 55]))
+        assert (first < 5).all()
+
+
 def test_odd_rows(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (1, "alpha beta gamma delta epsilon zeta"), (2, None), (3, ""), (4, "in in"), (None, "one two three four five six")], "item_id long, text string")
     rows = [(1, None), (2, ""), (3, "ALPHA, beta! gamma; delta: epsilon zeta"), (3, "ALPHA, beta! gamma; delta: epsilon zeta"), (None, "x one two three four five six"), (4, "in " * 30_000), (5, "alpha beta gamma " * 3)]

@@ -151,7 +151,9 @@ class Items:
         width = 2 * self.slack[item] + 1
         move = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
         at, item, offset = np.repeat(at, width), np.repeat(item, width), np.repeat(self.seed_at[seed] + self.slack[item], width)
-        first = np.clip(at - offset + move, low[w.doc[at]], None)
+        first = np.maximum(at - offset + move, low[w.doc[at]])
+        inside = first < high[w.doc[at]]                    # a pair near its text's end puts starts beyond it
+        item, first = item[inside], first[inside]
         both = np.unique(np.stack([item, first], 1), axis=0)
         item, first = both[:, 0], both[:, 1]
         sums, k, doc = np.concatenate([[0], np.cumsum(flags)]), self.slack[item], w.doc[first]
