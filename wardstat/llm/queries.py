@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import chat_format, decontamination, embedding_dedup, line_dedup, lm_scoring, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from wardstat.llm import chat_format, decontamination, embedding_dedup, line_dedup, lm_scoring, merkle_manifest, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -123,3 +123,42 @@ def op9(t):
 @query("op10_chat_format")
 def op10(t):
     return chat_format.repair_roles(t.conversations)
+
+
+def _merkle_sql(levels: int = 9, top_levels: int = 4) -> str:
+    """SQL of the manifest for up to 8^levels rows of a language and 8^top_levels languages."""
+    field = lambda c: f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+    leaf = lambda text: f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', 'n_chars')))} || {field(text)})"
+    lower = f"translate(text, '{line_dedup.UPPER}', '{line_dedup.LOWER}')"
+    parts = [f"""t as (select list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) as tbl),
+d as (select *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda ch: ascii(ch)::bigint)), lambda c, b: xor(c // 256, tbl[xor(c, b) % 256 + 1])), 4294967295) % 3 = 0 as hit from documents, t),
+g as materialized (select doc_id, coalesce('=' || lang, '') as k, {leaf("text")} as leaf, case when hit and text is not null then {leaf(lower)} end as other from d),
+x0 as (select *, row_number() over (partition by k order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by k) as m, '' as proof, coalesce(other, leaf) as f from g),
+n0 as (select k, i, m, leaf as h from x0)"""]
+
+    def climb(node: str, row: str, n: int, first: int) -> None:
+        for j in range(first, first + n):
+            run = "partition by k, i // 8 order by i rows between"
+            parts.append(f"""s{j} as materialized (select *, case when m > 1 then coalesce(string_agg(h, '') over ({run} unbounded preceding and 1 preceding), '') end as l, case when m > 1 then coalesce(string_agg(h, '') over ({run} 1 following and unbounded following), '') end as r from {node}{j}),
+{node}{j + 1} as (select k, i // 8 as i, any_value((m + 7) // 8) as m, case when any_value(m) > 1 then sha256(string_agg(h, '' order by i)) else any_value(h) end as h from {node}{j} group by k, i // 8),
+{row}{j + 1} as materialized (select x.* replace (x.i // 8 as i, x.proof || coalesce(l || r, '') as proof, case when l is null then f else sha256(l || f || r) end as f) from {row}{j} x join s{j} s on x.k = s.k and x.i = s.i)""")
+
+    climb("n", "x", levels, 0)
+    parts.append(f"n{levels}_top as (select k, h as subroot, row_number() over (order by k) - 1 as pos, count(*) over () as m from n{levels})")
+    parts.append(f"n{100} as (select '' as k, pos as i, m, subroot as h from n{levels}_top)")
+    parts.append(f"x{100} as (select x.doc_id, '' as k, u.pos as i, x.leaf, x.proof, x.f, u.subroot from x{levels} x join n{levels}_top u on x.k = u.k)")
+    climb("n", "x", top_levels, 100)
+    last = 100 + top_levels
+    return "with " + ",\n".join(parts) + f"\nselect doc_id, leaf, subroot, (select h from n{last}) as root, sha256(proof) as proof_sha256, f as folded_root, f = (select h from n{last}) as verified from x{last}"
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(t):
+    text = F.col("text")
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, line_dedup.UPPER, line_dedup.LOWER))
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    out = merkle_manifest.manifest(t.documents, F.when(hit, lowered))
+    folded = merkle_manifest.fold(F.coalesce("other", "leaf"), F.col("path"))
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle_manifest.proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
