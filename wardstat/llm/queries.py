@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import chat_format, decontamination, embedding_dedup, line_dedup, lm_scoring, merkle_manifest, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from wardstat.llm import chat_format, decontamination, divergence, embedding_dedup, line_dedup, lm_scoring, merkle_manifest, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -162,3 +162,26 @@ def op11(t):
     folded = merkle_manifest.fold(F.coalesce("other", "leaf"), F.col("path"))
     out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle_manifest.proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query("op13_divergence", rf"""
+with d as materialized (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, translate(coalesce(text, ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}') as text from documents),
+t as materialized (select r, lang, source, unnest(regexp_extract_all(text, '{_TERM}')) as term from d),
+k as materialized (select lang, term, count(*) as total from t group by lang, term having count(distinct r) >= 10),
+v as materialized (select lang, count(*) as v, sum(total) as total from k group by lang),
+s as materialized (select distinct lang, source from d),
+n as (select lang, source, term, count(*) as n from t group by lang, source, term),
+c as materialized (select s.lang, s.source, k.term, k.total, coalesce(n.n, 0) as n from s join k on s.lang = k.lang left join n on n.lang = s.lang and n.source = s.source and n.term = k.term),
+o as (select lang, source, sum(n) as own from c group by lang, source),
+p as materialized (select c.lang, c.source, c.term, c.n, (1 + (1000000000::hugeint * (c.n + 2)) // (o.own + 2 * v.v))::bigint as p, (1 + (1000000000::hugeint * (c.total + 2)) // (v.total + 2 * v.v))::bigint as q
+  from c join o using (lang, source) join v using (lang)),
+f as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+u as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0)::bigint as value from s a join s b on a.lang = b.lang and a.source <> b.source left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+  union all select lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::bigint from p where n > 0 and p > q),
+r as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from u)
+select * from r where part = 'pair' or rank <= 10""")
+def op13(t):
+    return divergence.audit(t.documents)
