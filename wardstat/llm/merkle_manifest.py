@@ -166,7 +166,7 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     rows, totals = ranked(leaves)
     nodes = rows.join(totals, "lk").select(F.col("lk").alias("key"), "pos", F.col("leaf").alias("node"), "total", "doc_id", "other")
     groups, subroots = reduce_levels(nodes, ["doc_id", "other"])
-    subroots = subroots.select(F.lit("").alias("all"), F.substring("key", 1, 4).alias("chunk"), F.col("key").alias("lk"), "node", F.lit(1).alias("one"))
+    subroots = subroots.select(F.substring("key", 1, 0).alias("all"), F.substring("key", 1, 4).alias("chunk"), F.col("key").alias("lk"), "node", F.lit(1).alias("one"))
     tops = ordered(subroots, ["all"], "chunk", ["lk"], running=["one"])
     tops = tops.join(subroots.groupBy("all").agg(F.count("*").alias("total")), "all").select(F.col("all").alias("key"), (F.col("run_one") - 1).alias("pos"), "node", "total", "lk")
     top_rounds, root = reduce_levels(tops, ["lk"])
