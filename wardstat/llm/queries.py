@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import chat_format, decontamination, divergence, embedding_dedup, line_dedup, lm_scoring, merkle_manifest, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from wardstat.llm import chat_format, decontamination, divergence, embedding_dedup, line_dedup, lm_scoring, merkle_manifest, minhash_dedup, mixing, pii, substring_dedup, token_counts, toxicity
 from wardstat.plans.registry import query
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -185,3 +185,10 @@ r as (select *, (row_number() over (partition by lang, source, part order by val
 select * from r where part = 'pair' or rank <= 10""")
 def op13(t):
     return divergence.audit(t.documents)
+
+
+@query("op12_pii")
+def op12(t):
+    out = pii.find(t.documents)
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", *(n(k) for k in pii.KINDS), F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
