@@ -33,7 +33,7 @@ BLOCK = 2048
 CHUNK = 32
 SCALE = 1_000_000_000
 #: Distinct terms a task holds before it hands them on.
-HELD = 400_000
+HELD = 250_000
 #: Bytes of terms are kept, A-Z as a-z; all others part them.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -50,23 +50,32 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               "n": pa.array([*n.values(), 0], pa.int64()), "docs": pa.array([*map(docs.__getitem__, n), 0], pa.int64())})
 
     for b in batches:
-        for lang, source, text in zip(b["lang"].to_pylist(), b["source"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            size -= len(n)
-            words = text.translate(TERM_BYTES).split()
-            n.update(words)
-            docs.update(set(words))
-            size += len(n)
-            if size > HELD:
-                yield from hand_on()
-                held, size = {}, 0
+        for i in range(0, b.num_rows, 128):
+            part = b.slice(i, 128)
+            for lang, source, text in zip(part["lang"].to_pylist(), part["source"].to_pylist(), part["text"].cast(pa.binary()).to_pylist()):
+                n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(n)
+                words = text.translate(TERM_BYTES).split()
+                n.update(words)
+                docs.update(set(words))
+                size += len(n)
+                if size > HELD:
+                    yield from hand_on()
+                    held, size = {}, 0
     yield from hand_on()
 
 
-def count_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of each term; every group has a row of the null term."""
+def count_terms(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, source, term, n, all_n): occurrences of each kept term in the source and in the language.
+
+    Every group also has a row of the null term. The tasks' sums are dealt by term once; both the sums of a source and
+    those of the language are then made where they are.
+    """
     rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    return rows.mapInArrow(_count, "lang string, source string, term string, n long, docs long").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    dealt = rows.mapInArrow(_count, "lang string, source string, term string, n long, docs long").repartition("lang", "term")
+    of_term = Window.partitionBy("lang", "term")
+    counted = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).withColumns({"all_n": F.sum("n").over(of_term), "all_docs": F.sum("docs").over(of_term)})
+    return counted.filter(F.col("term").isNull() | (F.col("all_docs") >= min_docs)).select("lang", "source", "term", "n", "all_n")
 
 
 def shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -149,15 +158,14 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     ``min_docs`` of the language's documents; ``term`` rows are the ``top`` terms whose share in the source exceeds the
     language's by the highest price. Rank 1 is the highest value.
     """
-    counted = cut_lineage(count_terms(docs))
-    kept = counted.filter("term is not null").groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).drop("docs")
-    kept = cut_lineage(kept)
+    counted = cut_lineage(count_terms(docs, min_docs))
+    kept = counted.filter("term is not null").groupBy("lang", "term").agg(F.first("all_n").alias("all_n"))
     langs = counted.select("lang").distinct().join(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_n").alias("all_total")), "lang", "left").fillna(0, ["v", "all_total"])
     langs = langs.withColumns({"blocks": F.greatest(F.lit(1), F.ceil(F.col("v") / BLOCK)).cast("int"), "all_total": F.col("all_total") + 2 * F.col("v")})
     placed = kept.join(langs, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("place", F.row_number().over(Window.partitionBy("lang", "block").orderBy(F.desc("all_n"), "term")) - 1)
     placed = cut_lineage(placed.select("lang", "term", "all_n", "all_total", "block", "place"))
-    counts = cut_lineage(counted.drop("docs").join(placed, ["lang", "term"]).select("lang", "source", "term", "n", "all_n", "all_total", "block", "place"))
+    counts = cut_lineage(counted.drop("all_n").join(placed, ["lang", "term"]).select("lang", "source", "term", "n", "all_n", "all_total", "block", "place"))
 
     groups = counted.select("lang", "source").distinct().join(counts.groupBy("lang", "source").agg(F.sum("n").alias("own")), ["lang", "source"], "left").join(langs, "lang")
     in_order = Window.partitionBy("lang").orderBy("source")
