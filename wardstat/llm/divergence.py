@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstat.session import cut_lineage
+from wardstat.session import cut_lineage, small_side
 
 BLOCK = 2048
 CHUNK = 32
@@ -162,6 +162,7 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     kept = counted.filter("term is not null").groupBy("lang", "term").agg(F.first("all_n").alias("all_n"))
     langs = counted.select("lang").distinct().join(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_n").alias("all_total")), "lang", "left").fillna(0, ["v", "all_total"])
     langs = langs.withColumns({"blocks": F.greatest(F.lit(1), F.ceil(F.col("v") / BLOCK)).cast("int"), "all_total": F.col("all_total") + 2 * F.col("v")})
+    langs = small_side(langs)
     placed = kept.join(langs, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("place", F.row_number().over(Window.partitionBy("lang", "block").orderBy(F.desc("all_n"), "term")) - 1)
     placed = cut_lineage(placed.select("lang", "term", "all_n", "all_total", "block", "place"))
@@ -176,19 +177,19 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     there = counts.groupBy("lang", "source", "block").agg(F.collect_list("place").alias("places"), F.collect_list("n").alias("counts"))
     sizes = placed.groupBy("lang", "block").agg(F.count("*").cast("int").alias("size"))
     chunks = groups.groupBy("lang").agg((F.max("chunk") + 1).alias("chunks"))
-    trees = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(there, ["lang", "source", "block"], "left").join(sizes, ["lang", "block"], "left").join(chunks, "lang")
+    trees = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(there, ["lang", "source", "block"], "left").join(sizes, ["lang", "block"], "left").join(small_side(chunks), "lang")
     meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(F.least(o, "chunk").alias("low"), F.greatest(o, "chunk").alias("high")))
     trees = trees.select("lang", "block", "number", "chunk", F.greatest("total", F.lit(1)).alias("total"), F.coalesce("size", F.lit(0)).alias("size"), "places", "counts", F.inline(meets))
     pairs = trees.groupBy("lang", "block", "low", "high").applyInArrow(_price, "lang string, a int, b int, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     sides = F.explode(F.array(F.struct(F.col("a").alias("number"), F.col("b").alias("other")), F.struct(F.col("b").alias("number"), F.col("a").alias("other"))))
-    names = groups.select("lang", "number", "source")
+    names = small_side(groups.select("lang", "number", "source"))
     pairs = (pairs.select("lang", "value", sides.alias("side")).select("lang", "value", "side.*").join(names, ["lang", "number"])
              .join(names.withColumnsRenamed({"number": "other", "source": "item"}), ["lang", "other"]))
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(ranked).alias("rank"))
 
     share = lambda n, total: F.expr(f"1 + (cast({SCALE} as decimal(10,0)) * cast({n} + 2 as decimal(19,0))) div cast({total} as decimal(19,0))")
-    terms = counts.filter("n > 0").join(groups.select("lang", "source", "total"), ["lang", "source"]).withColumns({"p": share("n", "total"), "q": share("all_n", "all_total")}).filter("p > q")
+    terms = counts.filter("n > 0").join(small_side(groups.select("lang", "source", "total")), ["lang", "source"]).withColumns({"p": share("n", "total"), "q": share("all_n", "all_total")}).filter("p > q")
     terms = terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr("((p - q) * (p - q)) div (p + q)").alias("value"))
     terms = terms.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)
     return pairs.unionByName(terms)

@@ -140,9 +140,9 @@ def occurrences(found: DataFrame) -> DataFrame:
 
     each = F.concat(*(fixed(k) for k in KINDS), F.filter(F.transform("loose", looser), lambda m: F.size(m["kinds"]) > 0))
     rows = found.withColumn("each", each).filter(F.size("each") > 0).select("key", F.inline("each")).distinct()
-    by_start = Window.partitionBy("key").orderBy("start", "end")
-    held = F.max(F.when(F.col("state").isNotNull(), F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.min(F.when(F.col("state").isNotNull(), F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
+    earlier, later = (Window.partitionBy("key").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1) for o in ((F.col("start"), F.col("end"), F.col("state").asc_nulls_last()), (F.desc("start"), F.desc("end"))))
+    held = F.max(F.when(F.col("state").isNotNull(), F.col("end"))).over(earlier)
+    ahead = F.min(F.when(F.col("state").isNotNull(), F.col("start"))).over(later)
     rows = rows.withColumns({"_held": held, "_ahead": ahead})
     free = F.col("state").isNotNull() | ((F.coalesce("_held", F.lit(0)) <= F.col("start")) & (F.coalesce("_ahead", F.col("end")) >= F.col("end")))
     rows = rows.filter(free).select("key", F.explode("kinds").alias("kind"), "form", "start", "end", "left", "right", "state")
