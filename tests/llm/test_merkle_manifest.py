@@ -42,6 +42,8 @@ def brute(rows):
     for lang, own in groups.items():
         own.sort(key=lambda r: (-(2**63) if r[0] is None else r[0], leaf(r, r[1])))
         trees[lang] = (own, *climb([leaf(r, r[1]) for r in own]))
+    if not rows:
+        return []
     order = sorted(trees)
     root, above = climb([trees[k][1] for k in order])
     out = []
