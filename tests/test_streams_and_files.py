@@ -4,6 +4,8 @@ import gzip
 import json
 
 import pytest
+
+from wardstat.operators import polygons
 from pyspark.sql import functions as F
 
 from wardstat import session
@@ -108,14 +110,17 @@ def test_shards_keep_every_row_of_a_hot_shard(spark):
     assert sorted(ids) == list(range(1000)) and len([r for r in d if r["p"] == "hot"]) == 9 and len([r for r in d if r["p"] == "cold"]) == 1
 
 
-def test_open_ring_stops_the_read(spark, tmp_path):
-    doc = {"features": [{"properties": {"GEOID": "1"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}}]}
-    (tmp_path / "b.json").write_text(json.dumps(doc))
-    with pytest.raises(Exception, match="open ring"):
-        files.read_boundaries(spark, str(tmp_path), "t", "GEOID").collect()
-    doc["features"][0]["geometry"] = {"type": "MultiPolygon", "coordinates": [[[[-90, 35], [-89, 35], [-89, 36], [-90, 35]]], [[[-88, 35], [-87, 35], [-87, 36], [-88, 35]]]]}
+def test_bad_rings_are_repaired(spark, tmp_path):
+    rings = {"open": [[0, 0], [10, 0], [10, 10], [0, 10]], "twice": [[0, 0], [10, 0], [10, 0], [10, 10], [0, 10], [0, 0]], "bow": [[0, 0], [10, 10], [10, 0], [0, 10], [0, 0]],
+             "spike": [[0, 0], [10, 0], [10, 10], [15, 10], [10, 10], [0, 10], [0, 0]], "none": []}
+    doc = {"features": [{"properties": {"GEOID": k}, "geometry": {"type": "Polygon", "coordinates": [r]}} for k, r in rings.items()]}
+    doc["features"].append({"properties": {"GEOID": "two"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [4, 0], [4, 4]]], [[[6, 0], [9, 0], [9, 4]]]]}})
+    doc["features"].append({"properties": {"GEOID": "half over"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [4, 0], [4, 4], [0, 4]]], [[[4, 1], [8, 1], [8, 3], [4, 3]]], [[[2, 2], [3, 2], [3, 6], [2, 6]]]]}})
     (tmp_path / "b.json").write_text(json.dumps(doc))
-    assert files.read_boundaries(spark, str(tmp_path), "t", "GEOID").count() == 6
+    e = files.read_boundaries(spark, str(tmp_path), "t", "GEOID", project=lambda lon, lat: (lon, lat))
+    got = {r.geo_id: round(r.area, 9) for r in polygons.polygon_areas(e, 3.0).collect()}
+    assert got == {"open": 100, "twice": 100, "bow": 50, "spike": 100, "two": 14, "half over": 16 + 8 + 4 - 4}
+    assert e.where("geo_id = 'bow'").count() == 6
 
 
 def test_shared_folder_and_size_check(spark):

@@ -122,9 +122,3 @@ def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column,
     ex, ey = px - x1 - u * dx, py - y1 - u * dy
     return F.sqrt(ex * ex + ey * ey)
 
-
-def crosses_ray(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """1 when a ray from the point to the east crosses the edge, else 0."""
-    spans = (y1 > py) != (y2 > py)
-    at = x1 + (py - y1) * (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0))
-    return F.when(spans & (px < at), 1).otherwise(0)

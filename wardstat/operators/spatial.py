@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.functions import geo
+from wardstat.operators.polygons import point_relations
 from wardstat.session import scratch_path, small_side, stored
 
 
@@ -231,38 +232,6 @@ def ring_edges(rings: DataFrame) -> DataFrame:
             .where("x1 <> x2 or y1 <> y2"))
 
 
-def point_relations(points: DataFrame, edges: DataFrame, cell: float = 100.0,
-                    tolerance: float = 1.0) -> DataFrame:
-    """x, y, geo_type, geo_id, inside, near for every point-area relation that holds.
-
-    inside: even-odd ray casting over all rings (holes flip the parity), or on
-    the boundary itself. near: inside or within ``tolerance`` of the boundary.
-    Points are reduced to distinct places. Ray casting needs only the edges of
-    the point's y-strip, the distance test only those of its cell.
-    """
-    p = points.select("x", "y").where("x is not null and y is not null").distinct()
-    p = p.withColumn("_sy", geo.cell_index(F.col("y"), cell)).withColumn("_sx", geo.cell_index(F.col("x"), cell))
-    key = ["x", "y", "geo_type", "geo_id"]
-    xy = [F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]
-    lo_y, hi_y = F.least("y1", "y2"), F.greatest("y1", "y2")
-    lo_x, hi_x = F.least("x1", "x2"), F.greatest("x1", "x2")
-    strips = edges.where("y1 <> y2").withColumn("_sy", F.explode(F.sequence(
-        geo.cell_index(lo_y, cell), geo.cell_index(hi_y, cell))))
-    cast = (p.join(small_side(strips), "_sy")
-            .groupBy(*key).agg((F.sum(geo.crosses_ray(*xy)) % 2 == 1).alias("odd"))
-            .where("odd").select(*key, F.lit(True).alias("odd"), F.lit(None).cast("double").alias("d")))
-    grown = (edges.withColumn("_sx", F.explode(F.sequence(geo.cell_index(lo_x - tolerance, cell),
-                                                          geo.cell_index(hi_x + tolerance, cell))))
-             .withColumn("_sy", F.explode(F.sequence(geo.cell_index(lo_y - tolerance, cell),
-                                                     geo.cell_index(hi_y + tolerance, cell)))))
-    touch = (p.join(small_side(grown), ["_sx", "_sy"]).withColumn("d", geo.segment_distance(*xy))
-             .where(F.col("d") <= tolerance)
-             .select(*key, F.lit(False).alias("odd"), "d"))
-    return (cast.unionByName(touch).groupBy(*key)
-            .agg((F.max("odd") | (F.coalesce(F.min("d"), F.lit(1.0)) == 0)).alias("inside"))
-            .withColumn("near", F.lit(True)))
-
-
 def assign_geography(points: DataFrame, edges: DataFrame, geo_types: list[str], tolerance: float = 1.0,
                      cell: float = 100.0) -> DataFrame:
     """Add <geo_type> and <geo_type>_on_boundary for every boundary set in one pass.
@@ -292,24 +261,6 @@ def assignment_summary(points: DataFrame, geo_type: str, located: Column) -> Dat
         F.count_if(F.col(f"{geo_type}_on_boundary")).alias("on_boundary"))
 
 
-def overlap_by_sampling(a: DataFrame, b: DataFrame, edges: DataFrame, step: float, extent: DataFrame) -> DataFrame:
-    """Share of each a-area lying in each b-area, from the centres of a fine grid.
-
-    Spark cannot clip polygons; a grid of ``step`` metres gives shares good to
-    about perimeter x step / area. ``extent`` holds x0, y0, x1, y1.
-    """
-    axis = lambda lo, hi: F.sequence(F.lit(0), F.ceil((F.col(hi) - F.col(lo)) / step).cast("int") - 1)
-    cells = (extent.withColumn("_i", F.explode(axis("x0", "x1"))).withColumn("_j", F.explode(axis("y0", "y1")))
-             .select((F.col("x0") + (F.col("_i") + 0.5) * step).alias("x"),
-                     (F.col("y0") + (F.col("_j") + 0.5) * step).alias("y")))
-    rel = point_relations(cells, edges).where("inside")
-    in_a = rel.where(F.col("geo_type") == a).select("x", "y", F.col("geo_id").alias("a_id"))
-    in_b = rel.where(F.col("geo_type") == b).select("x", "y", F.col("geo_id").alias("b_id"))
-    total = in_a.groupBy("a_id").agg(F.count(F.lit(1)).alias("n_a"))
-    both = in_a.join(in_b, ["x", "y"]).groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("n_ab"))
-    return both.join(total, "a_id").withColumn("share", F.col("n_ab") / F.col("n_a"))
-
-
 # --- neighbours -----------------------------------------------------------
 
 def nearest_neighbors(areas: DataFrame, k: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardstat.functions import geo
-from wardstat.operators import aggregates, spatial, tracks
+from wardstat.operators import aggregates, polygons, spatial, tracks
 from wardstat.plans import proxies as P
 from wardstat.plans.proxies import rnd, sql
 from wardstat.plans.registry import query
@@ -66,11 +66,20 @@ def assign_geography(t):
     return spatial.assign_geography(customer_points(t), e, ["zcta"]).select("id", "zcta", "zcta_on_boundary")
 
 
+def tilted(t, radius: float = 1000.5):
+    """A square on its corner around the middle of the city, as edges."""
+    c = (t.nation.agg(F.count("*").alias("n")).withColumn("m", 200.0 * F.sqrt("n")))
+    pts = F.array(*[F.struct((F.col("m") + dx * radius).alias("x"), (F.col("m") + dy * radius).alias("y")) for dx, dy in ((0, -1), (1, 0), (0, 1), (-1, 0), (0, -1))])
+    return spatial.ring_edges(c.select(F.lit("tilted").alias("geo_type"), F.lit("core").alias("geo_id"), F.lit(0).alias("ring"), pts.alias("pts")))
+
+
 @query("point_in_polygon", sql("cp", """SELECT id, x > 0 AND x < 2000 AND y > 0 AND y < 2000 AND NOT (x > 900 AND x < 1100 AND y > 900 AND y < 1100)
-  OR ((x = 0 OR x = 2000) AND y <= 2000) OR ((y = 0 OR y = 2000) AND x <= 2000) OR ((x = 900 OR x = 1100) AND y BETWEEN 900 AND 1100) OR ((y = 900 OR y = 1100) AND x BETWEEN 900 AND 1100) AS inside FROM cp"""))
+  OR ((x = 0 OR x = 2000) AND y <= 2000) OR ((y = 0 OR y = 2000) AND x <= 2000) OR ((x = 900 OR x = 1100) AND y BETWEEN 900 AND 1100) OR ((y = 900 OR y = 1100) AND x BETWEEN 900 AND 1100) AS inside,
+  abs(x - 1000) + abs(y - 1000) < 1000.5 AS in_core FROM cp"""))
 def point_in_polygon(t):
-    rel = spatial.point_relations(customer_points(t), city_edges(t).where("geo_type = 'citywide'")).where("inside").select("x", "y", "inside")
-    return customer_points(t).join(rel, ["x", "y"], "left").select("id", F.coalesce("inside", F.lit(False)).alias("inside"))
+    rel = polygons.point_relations(customer_points(t), city_edges(t).where("geo_type = 'citywide'").unionByName(tilted(t))).where("inside")
+    flags = rel.groupBy("x", "y").agg(F.bool_or(F.col("geo_type") == "citywide").alias("inside"), F.bool_or(F.col("geo_type") == "tilted").alias("in_core"))
+    return customer_points(t).join(flags, ["x", "y"], "left").select("id", F.coalesce("inside", F.lit(False)).alias("inside"), F.coalesce("in_core", F.lit(False)).alias("in_core"))
 
 
 @query("attach_geographies", sql("assigned", f"""WITH a AS ({P.sql_hex('assigned', 174.0, 'h9', 'h9')}),
@@ -89,7 +98,7 @@ def attach_geographies(t):
 @query("invert_index", sql("near", "SELECT id, array_to_string(list_sort(list(DISTINCT geo_id)), ',') AS areas FROM near GROUP BY id"))
 def invert_index(t):
     pts = customer_points(t)
-    rel = spatial.point_relations(pts, spatial.rectangles_to_edges(P.areas_grid(t)))
+    rel = polygons.point_relations(pts, spatial.rectangles_to_edges(P.areas_grid(t)))
     listed = pts.join(rel, ["x", "y"]).select("geo_id", "id")
     return listed.groupBy("id").agg(F.array_join(F.sort_array(F.collect_set("geo_id")), ",").alias("areas"))     # few areas per point
 
@@ -164,29 +173,34 @@ def neighborhood_map(t):
 
 
 def _service_areas(t):
-    """One box per region of the world, overlapping several nations' squares; sizes come from the table."""
+    """One box per region of the world, off every grid and over several nations' squares."""
     k = F.col("r_regionkey")
-    return t.region.select(F.lit("service").alias("geo_type"), F.col("r_name").alias("geo_id"), (k * 300.0 + 100).alias("x0"), (k * 250.0 + 50).alias("y0"), (k * 300.0 + 900).alias("x1"), (k * 250.0 + 650).alias("y1"))
+    return t.region.select(F.lit("service").alias("geo_type"), F.col("r_name").alias("geo_id"), (k * 300.0 + 103.37).alias("x0"), (k * 250.0 + 51.93).alias("y0"), (k * 300.0 + 897.11).alias("x1"), (k * 250.0 + 648.59).alias("y1"))
 
 
-@query("area_overlap_shares", sql("grid", """SELECT r_name AS area, count(*) AS areas, string_agg(geo_id || ' ' || CAST(CAST(round(100 * share) AS INTEGER) AS VARCHAR) || '%', '; ' ORDER BY share DESC, geo_id) AS shares FROM (
+@query("area_overlap_shares", sql("grid", """SELECT r_name AS area, count(*) AS areas, round(max(share), 6) AS largest, round(sum(share), 6) AS covered, string_agg(geo_id || ' ' || CAST(CAST(round(100 * share) AS INTEGER) AS VARCHAR) || '%', '; ' ORDER BY share DESC, geo_id) AS shares FROM (
   SELECT r_name, geo_id, greatest(0, least(ax1, x0 + 400) - greatest(ax0, x0)) * greatest(0, least(ay1, y0 + 400) - greatest(ay0, y0)) / ((ax1 - ax0) * (ay1 - ay0)) AS share
-  FROM (SELECT r_name, r_regionkey * 300.0 + 100 AS ax0, r_regionkey * 250.0 + 50 AS ay0, r_regionkey * 300.0 + 900 AS ax1, r_regionkey * 250.0 + 650 AS ay1 FROM region), grid) WHERE share >= 0.02 GROUP BY 1"""))
+  FROM (SELECT r_name, r_regionkey * 300.0 + 103.37 AS ax0, r_regionkey * 250.0 + 51.93 AS ay0, r_regionkey * 300.0 + 897.11 AS ax1, r_regionkey * 250.0 + 648.59 AS ay1 FROM region), grid) WHERE share >= 0.02 GROUP BY 1"""))
 def area_overlap_shares(t):
-    boxes = _service_areas(t).unionByName(P.areas_grid(t))
-    extent = boxes.agg(*[f(c).alias(c) for c, f in (("x0", F.min), ("y0", F.min), ("x1", F.max), ("y1", F.max))])
-    s = spatial.overlap_by_sampling("service", "zcta", spatial.rectangles_to_edges(boxes), 10.0, extent).where("share >= 0.02")
+    s = polygons.overlap_areas(spatial.rectangles_to_edges(_service_areas(t)), spatial.rectangles_to_edges(P.areas_grid(t))).where("share >= 0.02")
     item = F.concat("b_id", F.lit(" "), F.round(100 * F.col("share")).cast("int").cast("string"), F.lit("%"))
-    return s.groupBy(F.col("a_id").alias("area")).agg(F.count(F.lit(1)).alias("areas"), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("k"), "b_id", item.alias("t")))), lambda r: r.t), "; ").alias("shares"))
+    return s.groupBy(F.col("a_id").alias("area")).agg(F.count(F.lit(1)).alias("areas"), F.round(F.max("share"), 6).alias("largest"), F.round(F.sum("share"), 6).alias("covered"), F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct((-F.round("share", 9)).alias("k"), "b_id", item.alias("t")))), lambda r: r.t), "; ").alias("shares"))
 
 
-@query("clip_areas_to_city", sql("grid", """SELECT geo_id, round((400 * 400 - greatest(0, least(1100, x0 + 400) - greatest(900, x0)) * greatest(0, least(1100, y0 + 400) - greatest(900, y0))) / 1e6, 4) AS area_km2 FROM grid"""))
+@query("clip_areas_to_city", sql("grid", """SELECT geo_id, round((400 * 400 - greatest(0, least(1100, x0 + 400) - greatest(900, x0)) * greatest(0, least(1100, y0 + 400) - greatest(900, y0))) / 1e6, 6) AS area_km2, round(coalesce(core, 0) / 1e6, 6) AS core_km2
+  FROM grid LEFT JOIN (SELECT geo_id, sum((v + lead_v) / 2 * (lead_x - x)) AS core FROM (
+    SELECT geo_id, x, v, lead(x) OVER w AS lead_x, lead(v) OVER w AS lead_v FROM (
+      SELECT DISTINCT geo_id, x, greatest(0, least(y0 + 400, 1000 + (1000.5 - abs(x - 1000))) - greatest(y0, 1000 - (1000.5 - abs(x - 1000)))) AS v FROM (
+        SELECT geo_id, y0, unnest(list_transform([x0, x0 + 400, 1000, 1000 - (1000.5 - (y0 - 600)), 1000 + (1000.5 - (y0 - 600)), 1000 - (1000.5 - (1000 - y0)), 1000 + (1000.5 - (1000 - y0)),
+          1000 - (1000.5 - (y0 - 1000)), 1000 + (1000.5 - (y0 - 1000)), 1000 - (1000.5 - (600 - y0)), 1000 + (1000.5 - (600 - y0))], lambda b: least(greatest(b, x0), x0 + 400))) AS x FROM grid))
+    WINDOW w AS (PARTITION BY geo_id ORDER BY x)) WHERE lead_x IS NOT NULL GROUP BY geo_id) USING (geo_id)"""))
 def clip_areas_to_city(t):
-    e = city_edges(t)
-    extent = P.areas_grid(t).agg(*[f(c).alias(c) for c, f in (("x0", F.min), ("y0", F.min), ("x1", F.max), ("y1", F.max))])
-    s = spatial.overlap_by_sampling("zcta", "citywide", e, 10.0, extent)
-    return s.select(F.col("a_id").alias("geo_id"), F.round(F.col("n_ab") * 100.0 / 1e6, 4).alias("area_km2"))
+    areas = spatial.rectangles_to_edges(P.areas_grid(t))
+    city = polygons.overlap_areas(areas, city_edges(t).where("geo_type = 'citywide'")).select(F.col("a_id").alias("geo_id"), F.col("area").alias("city"))
+    core = polygons.overlap_areas(areas, tilted(t)).select(F.col("a_id").alias("geo_id"), F.col("area").alias("core"))
+    km2 = lambda c: F.round(F.coalesce(c, F.lit(0.0)) / 1e6, 6).alias(f"{'area' if c == 'city' else c}_km2")
+    return city.join(core, "geo_id", "left").select("geo_id", km2("city"), km2("core"))
 
 
 def supplier_points(t):

@@ -132,9 +132,11 @@ def active_services(days: DataFrame, calendar: DataFrame, exceptions: DataFrame)
 def read_boundaries(spark: SparkSession, path: str, geo_type: str, id_field: str, project=None) -> DataFrame:
     """GeoJSON polygons to edge rows in metres (geo_type, geo_id, ring, x1, y1, x2, y2).
 
-    Rings must be closed; an open one stops the read.
+    Open rings are closed, repeated vertices dropped, and rings that cross or touch themselves cut into edges that bound
+    the same even-odd region (``polygons.repair``).
     """
     from wardstat.functions import geo
+    from wardstat.operators.polygons import repair
     from wardstat.operators.spatial import ring_edges
     ring = "array<array<array<double>>>"
     schema = (f"features array<struct<properties map<string,string>, geometry struct<type string, coordinates string>>>")
@@ -145,13 +147,14 @@ def read_boundaries(spark: SparkSession, path: str, geo_type: str, id_field: str
     many = F.from_json("coordinates", f"array<{ring}>")
     rings = F.when(F.col("type") == "Polygon", one).otherwise(F.flatten(many))
     r = f.select("geo_id", F.posexplode(rings).alias("ring", "c"))
+    r = r.where(F.size("c") > 0)
     closed = F.element_at("c", 1) == F.element_at("c", -1)
-    r = r.withColumn("c", F.when(closed, F.col("c")).otherwise(F.raise_error(F.lit("open ring")).cast("array<array<double>>")))
+    r = r.withColumn("c", F.when(closed, F.col("c")).otherwise(F.concat("c", F.slice("c", 1, 1))))
 
     def xy(p):
         x, y = (project or geo.project)(p[0], p[1])
         return F.struct(x.alias("x"), y.alias("y"))
-    return ring_edges(r.select(F.lit(geo_type).alias("geo_type"), "geo_id", "ring", F.transform("c", xy).alias("pts")))
+    return repair(ring_edges(r.select(F.lit(geo_type).alias("geo_type"), "geo_id", "ring", F.transform("c", xy).alias("pts"))))
 
 
 def current_component_file(spark: SparkSession, folder: str) -> str:
