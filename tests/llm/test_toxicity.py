@@ -1,4 +1,5 @@
 import random
+import time
 
 from tests.llm.common import SF, frame
 from wardstat.llm import toxicity as tox
@@ -67,3 +68,31 @@ def test_odd_rows_and_no_labels(spark):
     assert lex.weights == {} and tox.score(docs, lex).count() == 5
     assert sorted(tox.reject_toxic(docs, lex).columns) == sorted(docs.columns) and tox.reject_toxic(docs, lex).count() == 5
     assert tox.score(frame(spark, []), lex).collect() == []
+
+
+def test_weights_against_a_naive_matcher():
+    rng = random.Random(2)
+    for _ in range(300):
+        terms = {" " + "".join(rng.choice("ab") for _ in range(rng.randrange(1, 4))) + rng.choice(["", " "]): rng.random() for _ in range(4)}
+        phrases = tuple({f" {rng.choice(['a', 'ab', 'b'])} {rng.choice(['a', 'ba', 'bb'])} " for _ in range(3)} - set(terms))
+        folded = " " + " ".join("".join(rng.choice("ab") for _ in range(rng.randrange(1, 4))) for _ in range(30)) + " "
+        places = lambda p: [i for i in range(len(folded)) if folded.startswith(p, i)]
+        shields = [(i, i + len(p)) for p in phrases for i in places(p)]
+        want = sum(w for p, w in terms.items() for i in places(p) if not any(x <= i and i + len(p) <= y for x, y in shields))
+        got, n = tox.Lexicon(terms, phrases).weigh(folded)
+        assert abs(got - want) < 1e-9 and n == 30
+
+
+def test_very_long_texts_take_linear_time():
+    lex = tox.Lexicon({" idiot ": 2.0}, (" the idiot novel ",))
+    t0 = time.time()
+    assert lex.weigh(" " + "the idiot novel an idiot x " * 70_000)[0] == 140_000.0
+    assert time.time() - t0 < 10
+
+
+def test_copies_with_different_labels_do_not_depend_on_partitions(spark):
+    rows, labels = planted()
+    copies = [(10_000 + i, t) for i, t in rows[:160]]
+    lab = spark.createDataFrame(labels + [(10_000 + i, 1, i % 2) for i in range(160)], "doc_id long, quality int, toxic int")
+    one, many = (tox.learn_on_training_part(frame(spark, rows + copies).repartition(k), lab.repartition(k), min_odds=1.0) for k in (1, 17))
+    assert one.weights == many.weights and one.exceptions == many.exceptions and one.curve == many.curve

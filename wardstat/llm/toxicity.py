@@ -12,11 +12,13 @@ taken by hash); every text is scored whole. Null and empty texts have no matches
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -80,10 +82,13 @@ class Lexicon:
         n = len(folded.split())
         if not len(self.machine()):
             return 0.0, n
-        found, shield = [], []
+        found, shield = [], []                                # (first, last, weight) of terms and phrases
         for end, (size, weight) in self.machine().iter(folded):
-            (found if weight is not None else shield).append((end - size + 1, end, weight))
-        return sum(w for a, b, w in found if not any(x <= a and b <= y for x, y, _ in shield)), n
+            (found if weight is not None else shield).append((end - size + 1, end, weight or 0.0))
+        # a match is shielded if, of the phrases that begin no later, the one that reaches farthest ends no earlier
+        shield.sort()
+        starts, reach = [x for x, _, _ in shield], list(accumulate((y for _, y, _ in shield), max))
+        return sum(w for a, b, w in found if not (k := bisect_right(starts, a)) or reach[k - 1] < b), n
 
     def probability(self, total: float, words: int) -> float:
         """The curve at the weight, normalised by the length: a power of the number of words divides the weight."""
@@ -144,14 +149,14 @@ def learn(docs: DataFrame, labels: DataFrame, max_labels: int = 24_000, min_docs
 
     A term's weight is the log of how much more often it occurs for each word of toxic documents. Terms are chosen
     greedily: each time the one that adds most weight over the toxic documents that fewer than ``COVERS`` chosen terms
-    cover, as long as its weight is ``min_odds`` and those documents are ``min_docs`` (or a 200th of all) at least; copies of one text count once. Word pairs
+    cover, as long as its weight is ``min_odds`` and those documents are ``min_docs`` (or a 200th of all) at least; copies of one text count once, as toxic if any is. Word pairs
     around a term that are mostly found in clean documents become exceptions. All tables here are bounded by ``max_labels``.
     """
     spark = docs.sparkSession
     chosen = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
               .orderBy(F.xxhash64("id"), "id").limit(max_labels))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id")
-    rows = stored(rows, scratch_path(spark, "toxic-sample")).dropDuplicates(["t"])
+    rows = stored(rows, scratch_path(spark, "toxic-sample")).groupBy("t").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"))
     sample = stored(_folded(rows, ["id", "toxic"]), scratch_path(spark, "toxic-folded")).repartition(spark.sparkContext.defaultParallelism)
     words = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.sum(F.size(F.split("folded", " ")) - 2).alias("n")).collect()}
 
