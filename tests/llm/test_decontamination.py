@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -92,7 +93,7 @@ def test_texts_that_end_with_the_beginning_of_an_item(spark):
 def test_windows_stay_in_the_text_of_their_pair():
     n = 40
     words = np.arange(1, n + 1).astype(np.uint64)
-    items = dc.Items([0], [words], 1)
+    items = dc.Items([0], [words], {n // dc.LENGTH_STEP: 1})
     for w in dc.slices(dc.pa.array(["a b c d e", "f " * 50])):
         pair, flags = np.zeros(54, np.uint64), np.zeros(54, bool)
         pair[3], flags[3] = dc.word_pairs(words)[0], True   # the first text's last pair
@@ -113,5 +114,41 @@ def test_odd_rows(spark):
 
 def test_recall_is_calibrated():
     rng = np.random.default_rng(1)
-    words = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in range(10, 60)]
-    assert 1 <= dc.rounds_for(words, 0.5) <= dc.rounds_for(words, 0.999) <= dc.MOST_ROUNDS
+    short = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in range(16, 24)]
+    half, most = dc.rounds_for(short, 0.5), dc.rounds_for(short, 0.999)
+    assert 1 <= half <= most <= dc.MOST_ROUNDS
+    # lengths whose target the rounds don't reach, and long ones, are verified without a lookup
+    by_length = dc.rounds_by_length([rng.integers(0, 1 << 62, n).astype(np.uint64) for n in (16, 60, 200, 800, 1500)], 0.999)
+    assert by_length[16 // dc.LENGTH_STEP] and by_length[800 // dc.LENGTH_STEP] is None and by_length[1500 // dc.LENGTH_STEP] is None
+
+
+@pytest.mark.parametrize("n,items,plants", [(16, 40, 600), (60, 20, 300), (200, 8, 96), (800, 3, 24), (1500, 2, 12)])
+def test_long_items_are_found_end_to_end(n, items, plants):
+    """Every planted item with all its allowed edits is found, whatever its length."""
+    rng = np.random.default_rng(n)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 5000, k)]
+    bench = [word(n) for _ in range(items)]
+    hashed = []
+    for w in dc.slices(dc.plain(dc.pa.array([" ".join(b) for b in bench]))):
+        hashed += np.split(w.hashes(), np.cumsum(w.counts())[:-1])
+    part = dc.Items(list(range(items)), hashed, dc.rounds_by_length(hashed, 0.999))
+    texts, want = [], []
+    for i in range(plants):
+        body = list(bench[i % items])
+        for _ in range(dc.allowed(n)):
+            p, kind = int(rng.integers(len(body))), int(rng.integers(3))
+            body[p : p + (kind != 1)] = [] if kind == 2 else word(1)
+        texts.append(" ".join(word(40) + body + word(40)))
+        want.append(i % items)
+    found = {row: {i for i, *_ in leaks} for row, leaks in dc._scan(part, dc.pa.array(texts))}
+    assert sum(w in found.get(i, ()) for i, w in enumerate(want)) >= 0.999 * plants
+
+
+def test_parts_of_the_benchmark_share_a_scan(spark, monkeypatch):
+    bench = spark.createDataFrame([(k, " ".join(f"b{k}w{j}" for j in range(20 + 40 * (k % 3)))) for k in range(12)], "item_id long, text string")
+    rows = [(k, f"before {r.text} after") for k, r in enumerate(bench.collect())]
+    monkeypatch.setattr(dc, "PART_BYTES", 1500)
+    out = dc.find_leaks(frame(spark, rows), bench)
+    assert sorted((r.doc_id, r.item_id) for r in out.collect()) == [(k, k) for k in range(12)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 2
+    assert dc.remove_leaking(frame(spark, rows + [(99, "clean")]), bench).count() == 1

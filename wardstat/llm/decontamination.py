@@ -2,13 +2,15 @@
 
 Words are runs of letters and digits, lower-cased. An item of n words is found in a document if some run of the document's
 words is at word edit distance n // 5 or less. Item-sized windows are embedded by the CGK random walk, under which a small
-edit distance becomes a small Hamming distance, and looked up by bit sampling; rounds repeat until simulated edits of
-the benchmark's own items reach ``recall``. Every hit is then verified by the exact edit distance.
+edit distance becomes a small Hamming distance, and looked up by bit sampling; for items of each length, rounds repeat
+until simulated edits of the benchmark's own items of that length reach ``recall``. Every hit is then verified by the exact
+edit distance. Where ``MOST_ROUNDS`` are not enough for a length, as for all over ``LOOKED_UP`` words, none of its windows
+is dropped by the lookup: all that the filter below leaves are verified, so recall is not lost with length.
 
 Before that a lossless filter drops windows: e edits touch at most 2e of an item's n - 1 word pairs, so one of any 2e + 1
 of them is left in a match, about where the item has it, and n - 1 - 2e pairs of the benchmark are. Only windows that
 begin where one of an item's 2e + 1 rarest pairs puts it are looked up. Documents are scanned once without a shuffle; the benchmark is sent to the
-workers in parts of at most ``PART_BYTES`` of text, one scan for each part.
+workers in parts of at most ``PART_BYTES`` of text, up to ``PARTS_A_SCAN`` parts in one scan.
 
 Items with fewer than ``min_words`` words are no evidence and are never found. Null texts have no words; every row is
 judged by itself, repeated or without an id; an empty documents or benchmark table gives no leaks.
@@ -17,6 +19,7 @@ judged by itself, repeated or without an id; an empty documents or benchmark tab
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +29,11 @@ from pyspark.sql import functions as F
 
 from wardstat.llm.hashing import mix, slices
 
-PART_BYTES = 8 << 20
+PART_BYTES, PARTS_A_SCAN = 8 << 20, 4
 #: Positions of the embedding that one lookup compares, and the most rounds of lookups.
 SAMPLED, MOST_ROUNDS = 2, 64
+#: Longest items whose windows are looked up; lengths are calibrated in steps of ``LENGTH_STEP``.
+LOOKED_UP, LENGTH_STEP = 240, 8
 _PAD = np.uint64(0x5EED)
 _SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -73,24 +78,36 @@ def _keys(windows: np.ndarray, seed: int) -> np.ndarray:
     return key
 
 
-def rounds_for(items: list[np.ndarray], recall: float) -> int:
-    """Rounds of lookups after which items with all allowed, random, edits are found with probability ``recall``."""
+def rounds_for(items: list[np.ndarray], recall: float, trials: int = 1200) -> int | None:
+    """Rounds of lookups after which these items with all allowed, random, edits are found with probability ``recall``.
+
+    None if ``MOST_ROUNDS`` don't reach it. ``trials`` edits in all are simulated.
+    """
     rng, hits = np.random.default_rng(5), []
-    for words in items[:: max(1, len(items) // 24)]:
+    chosen = items[:: max(1, len(items) // 12)]
+    for words in chosen:
         n, block = len(words), [words]
-        for _ in range(24):
+        for _ in range(-(-trials // len(chosen))):
             edited = list(words)
             for _ in range(allowed(n)):
                 p, kind = int(rng.integers(len(edited))), int(rng.integers(3))
                 edited[p : p + (kind != 1)] = [] if kind == 2 else [np.uint64(rng.integers(1 << 62))]
             block.append(np.array((edited + [_PAD] * n)[:n], np.uint64))
-        keys = [_keys(np.stack(block), s) for s in range(MOST_ROUNDS)]
-        hits.append([k[1:] == k[0] for k in keys])
+        block = np.stack(block)
+        hits.append(np.stack([(k := _keys(block, s))[1:] == k[0] for s in range(MOST_ROUNDS)]))
     if not hits:
         return 1
     found = np.maximum.accumulate(np.concatenate(hits, 1), 0).mean(1)
     enough = np.flatnonzero(found >= recall)
-    return int(enough[0]) + 1 if len(enough) else MOST_ROUNDS
+    return int(enough[0]) + 1 if len(enough) else None
+
+
+def rounds_by_length(items: list[np.ndarray], recall: float) -> dict[int, int | None]:
+    """``rounds_for`` of each step of lengths; None beyond ``LOOKED_UP`` words."""
+    steps: dict[int, list[np.ndarray]] = {}
+    for words in items:
+        steps.setdefault(len(words) // LENGTH_STEP, []).append(words)
+    return {k: rounds_for(sorted(own, key=len), recall) if (k + 1) * LENGTH_STEP <= LOOKED_UP else None for k, own in steps.items()}
 
 
 def nearest(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -118,7 +135,7 @@ def word_pairs(words: np.ndarray) -> np.ndarray:
 class Items:
     """A part of the benchmark, ready for lookups."""
 
-    def __init__(self, ids: list, words: list[np.ndarray], rounds: int):
+    def __init__(self, ids: list, words: list[np.ndarray], rounds: dict[int, int | None]):
         self.ids, self.words = ids, words
         self.size = np.array([len(w) for w in words])
         self.slack = np.array([allowed(len(w)) for w in words])
@@ -134,10 +151,11 @@ class Items:
         spots.sort(key=lambda x: x[0])
         self.seed = np.array([x[0] for x in spots], np.uint64)
         self.seed_item, self.seed_at = np.array([x[1] for x in spots]), np.array([x[2] for x in spots])
-        self.keys = np.zeros((rounds, len(words)), np.uint64)
+        self.rounds = {int(n): rounds[int(n) // LENGTH_STEP] for n in np.unique(self.size)}
+        self.keys = np.zeros((max((r or 0 for r in self.rounds.values()), default=0), len(words)), np.uint64)
         for n in np.unique(self.size):
             at = np.flatnonzero(self.size == n)
-            for r in range(rounds):
+            for r in range(self.rounds[int(n)] or 0):
                 self.keys[r, at] = _keys(np.stack([words[i] for i in at]), r)
 
     def begins(self, w, pair: np.ndarray, flags: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,6 +184,9 @@ class Items:
         found = np.zeros(len(item), bool)
         for n in np.unique(self.size[item]):
             own = np.flatnonzero(self.size[item] == n)
+            if self.rounds[int(n)] is None:                 # lookups would lose some of these: all go on to be verified
+                found[own] = True
+                continue
             start, back = np.unique(first[own], return_inverse=True)
             stop = np.zeros(len(start), np.int64)
             stop[back] = end[own]
@@ -174,7 +195,7 @@ class Items:
                 windows = np.where(at < stop[lo : lo + (1 << 16), None], hashes[np.minimum(at, len(hashes) - 1)], _PAD)
                 part = own[(back >= lo) & (back < lo + (1 << 16))]
                 row = back[(back >= lo) & (back < lo + (1 << 16))] - lo
-                for r in range(len(self.keys)):
+                for r in range(self.rounds[int(n)]):
                     left = ~found[part]
                     if not left.any():
                         break
@@ -211,7 +232,7 @@ def benchmark_parts(benchmark: DataFrame, min_words: int, recall: float, id_col:
                     ids.append(got["i"][w.first + d].as_py())
                     words.append(run)
         if words:
-            yield Items(ids, words, rounds_for(words, recall))
+            yield Items(ids, words, rounds_by_length(words, recall))
 
 
 def _scan(items: Items, texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, int, int]]]]:
@@ -266,10 +287,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = 5, recall
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     schema = f"id {kind}, item {item_kind}, start long, end long, distance long"
 
-    def scan(items: Items):
+    def scan(parts: tuple[Items, ...]):
         def run(batches):
             for b in batches:
-                found = [(b.column("id")[r].as_py(), items.ids[i], x, y, d) for r, leaks in _scan(items, b.column("t")) for i, d, x, y in leaks]
+                found = [(b.column("id")[r].as_py(), items.ids[i], x, y, d) for items in parts for r, leaks in _scan(items, b.column("t")) for i, d, x, y in leaks]
                 cols = list(zip(*found)) if found else [[]] * 5
                 types = [b.schema.field("id").type, pa.from_numpy_dtype(np.int64) if item_kind == "bigint" else None, pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) if t else pa.array(c) for c, t in zip(cols, types)], ["id", "item", "start", "end", "distance"])
@@ -277,8 +298,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = 5, recall
         return rows.mapInArrow(run, schema)
 
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in benchmark_parts(benchmark, min_words, recall, item_col, item_text_col):
-        out = out.union(scan(items))
+    for parts in batched(benchmark_parts(benchmark, min_words, recall, item_col, item_text_col), PARTS_A_SCAN):
+        out = out.union(scan(parts))
     return out.groupBy("id", "item").agg(F.min(F.struct("distance", "start", "end")).alias("m")).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "m.start", "m.end", "m.distance")
 
 
@@ -287,15 +308,16 @@ def remove_leaking(docs: DataFrame, benchmark: DataFrame, min_words: int = 5, re
     """The rows of ``docs`` that hold no benchmark item, all columns as they were."""
     place, out = docs.columns.index(text_col), docs
 
-    def without(items: Items):
+    def without(parts: tuple[Items, ...]):
         def run(batches):
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
-                keep[[r for r, _ in _scan(items, b.column(place))]] = False
+                for items in parts:
+                    keep[[r for r, _ in _scan(items, b.column(place))]] = False
                 yield b.filter(pa.array(keep))
 
         return run
 
-    for items in benchmark_parts(benchmark, min_words, recall, item_col, item_text_col):
-        out = out.mapInArrow(without(items), docs.schema)
+    for parts in batched(benchmark_parts(benchmark, min_words, recall, item_col, item_text_col), PARTS_A_SCAN):
+        out = out.mapInArrow(without(parts), docs.schema)
     return out
