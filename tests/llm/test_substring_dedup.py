@@ -64,3 +64,22 @@ def test_questions_round_trip(keys, buckets):
     got = chunks.questions(3, sorted_keys, plan).to_pylist()
     back = [chunks.unpack(r["keys"], plan.bucket_starts()[r["bucket"]]) for r in got]
     assert np.array_equal(np.concatenate([np.zeros(0, np.uint64), *back]), sorted_keys) and len({r["bucket"] for r in got}) == len(got)
+
+
+def test_chunks_hold_equal_amounts_however_the_ids_lie(spark):
+    ids = [base * 10**15 + k for base in range(10) for k in range(2000)] + [2**62, -(2**62)]
+    docs = spark.createDataFrame([(i, "x" * (500 + i % 7)) for i in ids], "doc_id long, text string")
+    plan = chunks.layout(docs, "doc_id", "text", chunk_bytes=50_000)
+    sizes = sorted(r["count"] for r in docs.groupBy(plan.chunk_column("doc_id", chunks.F.xxhash64("text")).alias("c")).count().collect())
+    assert len(sizes) > 150 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    order = [(r.doc_id, r.c) for r in docs.select("doc_id", plan.chunk_column("doc_id", chunks.F.xxhash64("text")).alias("c")).orderBy("doc_id").collect()]
+    assert [c for _, c in order] == sorted(c for _, c in order)
+
+
+def test_a_chunk_visits_only_the_buckets_it_uses():
+    plan = chunks.Layout((0, 1), 1, 1_000_000)
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64))
+    runs = plan.bucket_runs(keys)
+    assert len(runs) <= 50 and [k for _, a, b in runs for k in keys[a:b]] == keys.tolist() and plan.bucket_runs(keys[:0]) == []
+    starts = plan.bucket_starts()
+    assert all(starts[x] <= keys[a] and (x + 1 == len(starts) or keys[b - 1] < starts[x + 1]) for x, a, b in runs)

@@ -17,8 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Quantiles of the ids that bound the chunks; each interval is cut evenly as often as the amount of text asks for.
-QUANTILES = 256
+from wardstat.session import cut_lineage
+
+#: Intervals of ids that have bounds of their own; beyond, each is cut evenly as often as the amount of text asks for.
+MOST_EDGES = 2048
+#: Intervals that a pass over the ids adds up text in.
+BINS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -28,6 +32,7 @@ class Layout:
     edges: tuple[int, ...]
     slices: int
     buckets: int
+    total_bytes: int = 0
 
     @property
     def chunks(self) -> int:
@@ -39,25 +44,79 @@ class Layout:
             return F.lit(0)
         edges = F.array(*(F.lit(e) for e in self.edges))
         at = F.least(F.greatest(F.size(F.filter(edges, lambda e: e <= F.col(id_col))) - 1, F.lit(0)), F.lit(len(self.edges) - 2))
-        low, high = F.element_at(edges, at + 1), F.element_at(edges, at + 2)
-        part = F.floor((F.col(id_col) - low).cast("double") * self.slices / F.greatest(high - low, F.lit(1)).cast("double"))
-        part = F.least(F.greatest(part, F.lit(0)), F.lit(self.slices - 1))
+        part = F.lit(0)
+        if self.slices > 1:
+            low, high = (F.element_at(edges, at + i).cast("double") for i in (1, 2))
+            part = F.floor((F.col(id_col) - low) * self.slices / F.greatest(high - low, F.lit(1.0)))
+            part = F.least(F.greatest(part, F.lit(0)), F.lit(self.slices - 1))
         return F.coalesce((at * self.slices + part).cast("int"), (-1 - F.pmod(other, F.lit(max(1, self.chunks)))).cast("int"))
 
     def bucket_starts(self) -> np.ndarray:
         return (np.arange(self.buckets, dtype=np.float64) * (2.0**64 / self.buckets)).astype(np.uint64)
 
+    def bucket_runs(self, keys: np.ndarray) -> list[tuple[int, int, int]]:
+        """(bucket, first, end) of each bucket that some of the sorted keys fall into."""
+        if not len(keys):
+            return []
+        of = np.searchsorted(self.bucket_starts(), keys, side="right") - 1
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        return list(zip(of[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]))
+
+
+def _text_between(sizes: DataFrame, starts: list[int]) -> np.ndarray:
+    """Bytes of text from each of the sorted starts to the next."""
+    starts = np.array(starts, np.int64)
+
+    def run(batches):
+        total = np.zeros(len(starts), np.int64)
+        for b in batches:
+            np.add.at(total, np.searchsorted(starts, b["id"].to_numpy(), side="right") - 1, b["n"].to_numpy())
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["bin", "n"])
+
+    out = np.zeros(len(starts), np.int64)
+    for r in sizes.mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r.bin] = r.n
+    return out
+
+
+def id_edges(sizes: DataFrame, low: int, high: int, total: int, n: int) -> list[int]:
+    """Bounds of about ``n`` ranges of ids from ``low`` to ``high`` with equal amounts of text.
+
+    Text is added up in ``BINS`` even intervals; those that hold much more than their share are divided in proportion to
+    it and added up again, until none is or it is a single id. Clustered ids thus get fine intervals where they are.
+    """
+    starts = sorted({low + (high - low + 1) * i // BINS for i in range(BINS)})
+    while True:
+        held = _text_between(sizes, starts)
+        ends = [*starts[1:], high + 1]
+        heavy = [i for i in np.flatnonzero(held > max(4 * total // BINS, total // (8 * n))) if ends[i] - starts[i] > 1]
+        if not heavy:
+            break
+        more = set()
+        for i in heavy:
+            parts = min(ends[i] - starts[i], max(2, int(held[i]) * BINS // total))
+            more |= {starts[i] + (ends[i] - starts[i]) * j // parts for j in range(1, parts)}
+        starts = sorted(more | {x for x, h in zip(starts, held) if h} | {low})
+    share = (np.cumsum(held) - held) * n // max(1, total)
+    first = np.flatnonzero(np.diff(share, prepend=-1))
+    return [low, *(starts[i] for i in first if starts[i] > low), high + 1]
+
 
 def layout(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> Layout:
-    """A layout for the amount of text there is: one pass over ids and text lengths."""
-    share = [i / QUANTILES for i in range(QUANTILES + 1)]
-    row = docs.filter(F.col(id_col).isNotNull()).agg(F.sum(F.octet_length(text_col)).alias("n"), F.percentile_approx(id_col, share, 20 * QUANTILES).alias("q"), F.min(id_col).alias("a"), F.max(id_col).alias("b")).first()
+    """A layout for the amount of text there is: one pass over the texts for their lengths, a few over ids and lengths.
+
+    Chunks hold about ``chunk_bytes`` however the ids lie; only one id that is repeated can't be divided.
+    """
+    sizes = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n")))
+    row = sizes.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("id").isNotNull(), F.col("n"))).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).first()
+    buckets = max(1, math.ceil((row.all or 0) / bucket_bytes))
     if row.a is None:
-        return Layout((), 1, 1)
-    total = row.n or 0
-    n = max(1, math.ceil(total / chunk_bytes))
-    edges = sorted({row.a, *(row.q[round(i * QUANTILES / min(n, QUANTILES))] for i in range(1, min(n, QUANTILES))), row.b + 1})
-    return Layout(tuple(edges), max(1, math.ceil(n / QUANTILES)), max(1, math.ceil(total / bucket_bytes)))
+        return Layout((), 1, buckets, row.all or 0)
+    n = max(1, math.ceil(row.n / chunk_bytes))
+    edges = id_edges(sizes.filter("id is not null"), row.a, row.b, row.n, min(n, MOST_EDGES)) if n > 1 else [row.a, row.b + 1]
+    edges[-1] = min(edges[-1], 2**63 - 1)
+    return Layout(tuple(edges), max(1, math.ceil(n / MOST_EDGES)), buckets, row.all)
 
 
 def pack(keys: np.ndarray, start: np.uint64) -> bytes:
@@ -104,12 +163,10 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int,
 
 def questions(chunk: int, keys: np.ndarray, plan: Layout, counts: np.ndarray | None = None, kind: int = 0) -> pa.RecordBatch:
     """Rows (bucket, chunk, keys, counts) for one piece's sorted distinct keys; each kind has buckets of its own."""
-    starts = plan.bucket_starts()
-    at = np.searchsorted(keys, starts)
-    ends = np.append(at[1:], len(keys))
-    used = np.flatnonzero(ends > at)
-    packed = [pack(keys[at[b] : ends[b]], starts[b]) for b in used]
-    extra = [None if counts is None else counts[at[b] : ends[b]].astype("<u4").tobytes() for b in used]
+    starts, runs = plan.bucket_starts(), plan.bucket_runs(keys)
+    used = np.array([b for b, _, _ in runs], np.int64)
+    packed = [pack(keys[x:y], starts[b]) for b, x, y in runs]
+    extra = [None if counts is None else counts[x:y].astype("<u4").tobytes() for _, x, y in runs]
     return pa.RecordBatch.from_pydict({"bucket": pa.array(used + kind * plan.buckets, pa.int32()), "chunk": pa.array(np.full(len(used), chunk), pa.int32()), "keys": pa.array(packed, pa.binary()), "counts": pa.array(extra, pa.binary())})
 
 

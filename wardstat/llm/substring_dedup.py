@@ -58,8 +58,7 @@ def _remove(size: int, kind: pa.DataType, plan: chunks.Layout):
             ids = rows["id"].to_numpy()
             unique, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
             told = {b: a for b, a in zip(replies["bucket"].to_pylist(), replies["answer"].to_pylist())}
-            counts = np.diff(np.append(np.searchsorted(unique, plan.bucket_starts()), len(unique)))
-            bits = [np.unpackbits(np.frombuffer(told[b], np.uint8))[:n] for b, n in enumerate(counts) if n]
+            bits = [np.unpackbits(np.frombuffer(told[b], np.uint8))[: y - x] for b, x, y in plan.bucket_runs(unique)]
             gone = np.concatenate(bits).astype(bool)[inverse] | (ids[doc] > ids[doc[at]][inverse])
             np.add.at(cover, first[gone], 1)
             np.add.at(cover, first[gone] + size, -1)
