@@ -53,12 +53,13 @@ def test_km_equals_single_record_form(spark, seed):
     assert out["half"]["value"] == 2
 
 
-@pytest.mark.parametrize("width", [0.5, 1000.0])
-def test_quantiles_equal_numpy(spark, width):
+@pytest.mark.parametrize("opened", [50_000, 40])
+def test_quantiles_equal_numpy(spark, monkeypatch, opened):
+    monkeypatch.setattr(A, "OPENED", opened)
     rng = random.Random(5)
     vals = [("hot", 7.25)] * 300 + [("hot", round(rng.lognormvariate(2, 2), 2)) for _ in range(101)] + [("b", float(i)) for i in range(4)] + [("one", -3.5)]
     df = spark.createDataFrame(vals, "g string, v double").repartition(5)
-    got = {r["g"]: r for r in A.quantiles(df, ["g"], "v", width, {"m": 0.5, "q": 0.99}).collect()}
+    got = {r["g"]: r for r in A.quantiles(df, ["g"], "v", {"m": 0.5, "q": 0.99}).collect()}
     for g in ("hot", "b", "one"):
         x = [v for k, v in vals if k == g]
         assert got[g]["n"] == len(x) and got[g]["m"] == pytest.approx(np.median(x)) and got[g]["q"] == pytest.approx(np.quantile(x, 0.99))
@@ -67,11 +68,11 @@ def test_quantiles_equal_numpy(spark, width):
 def test_median_interval_matches_resampling(spark):
     rng = np.random.default_rng(7)
     x = np.sort(rng.gamma(2, 10, 101))
-    r = A.median_metric(spark.createDataFrame([("g", float(v)) for v in x], "g string, v double"), ["g"], "v", 5.0).first()
+    r = A.median_metric(spark.createDataFrame([("g", float(v)) for v in x], "g string, v double"), ["g"], "v").first()
     sims = np.median(rng.choice(x, (20000, 101)), axis=1)
     lo, hi = np.quantile(sims, [0.025, 0.975])
     assert abs(np.searchsorted(x, r["ci_low"]) - np.searchsorted(x, lo)) <= 1 and abs(np.searchsorted(x, r["ci_high"]) - np.searchsorted(x, hi)) <= 1
-    few = A.median_metric(spark.createDataFrame([("g", 1.0)] * 19, "g string, v double"), ["g"], "v", 5.0).first()
+    few = A.median_metric(spark.createDataFrame([("g", 1.0)] * 19, "g string, v double"), ["g"], "v").first()
     assert few["suppressed"] and few["value"] is None and few["n"] == 19
 
 
@@ -144,3 +145,18 @@ def test_moran_and_lisa_find_a_planted_cluster(spark):
     assert cls["1-1"] == "HH" and cls["0-0"].startswith("HH") and cls["6-6"] not in ("HH", "HL")
     again = SS.lisa(areas.repartition(5), nb.repartition(3), "v", nsim=4999)
     assert {r["id"]: r["class"] for r in again.collect()} == cls
+
+
+def test_selection_among_values_that_lie_close(spark, monkeypatch):
+    """Clusters far apart, each within one part of the whole stretch, need several passes."""
+    monkeypatch.setattr(A, "OPENED", 60)
+    monkeypatch.setattr(A, "PARTS", 16)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(1e9, 1e-3, 3000), rng.normal(5.0, 1e-6, 3000), rng.exponential(1.0, 3000), np.full(500, -7.25)])
+    df = spark.createDataFrame([(None if i % 2 else "g", float(v)) for i, v in enumerate(x)], "g string, v double").repartition(5)
+    ranks = {"a": F.lit(1), "b": F.col("n") / 4, "c": F.col("n") / 2, "d": F.col("n"), "none": F.col("n") + 1}
+    got = {r.g: r for r in A.order_statistics(df, ["g"], "v", ranks).collect()}
+    for k, part in (("g", x[::2]), (None, x[1::2])):
+        s, n = np.sort(part), len(part)
+        assert [got[k].n, got[k].a, got[k].b, got[k].c, got[k].d, got[k].none] == [n, s[0], s[n // 4 - 1], s[n // 2 - 1], s[-1], None]
+    assert A.order_statistics(df, [], "v", {"m": F.lit(4750)}).first().m == np.sort(x)[4749]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.functions.intervals import MIN_N_MEDIAN, MIN_N_PROPORTION, Z95, garwood, wilson
+from wardstat.session import cut_lineage
 
 REPS, SEED = 2000, 20260923
 
@@ -62,37 +63,46 @@ def odds(counts: DataFrame, d: str, n: str, min_n: int = 20) -> DataFrame:
 
 # --- exact order statistics -----------------------------------------------
 
-def order_statistics(df: DataFrame, cells: list[str], value: str, width: float,
-                     ranks: dict[str, Column]) -> DataFrame:
+#: Distinct values that a rank is looked for among, and the parts that a stretch with more is divided into.
+OPENED, PARTS = 50_000, 1024
+
+
+def order_statistics(df: DataFrame, cells: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
     """One row per cell: n and, for each named rank (an expression of n), the value at it.
 
-    Exact and free of large sorts. Equal values are counted first; counts are
-    summed into buckets of ``width``; only the bucket a rank falls in is opened
-    and ordered. No task ever holds more of a cell than one bucket's distinct
-    values, so a citywide cell costs no more than a small one.
+    Exact selection, however the values are spread. Equal values are counted first. A rank starts with its cell's whole
+    stretch of values; while some stretch has more than ``OPENED`` distinct values it is divided into ``PARTS`` equal
+    ones, their counts are added up, and each rank goes on with the part it falls into, from that part's least to its
+    largest value. Only then are the stretches put in order. No task orders more than ``OPENED`` distinct values.
     """
-    v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("_v"))
-         .agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", F.floor(F.col("_v") / width)))
-    per = v.groupBy(*cells, "_b").agg(F.sum("_c").alias("_bc"))
-    w = Window.partitionBy(*(cells or [F.lit(0)]))
-    per = (per.withColumn("n", F.sum("_bc").over(w))
-           .withColumn("_before", F.sum("_bc").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-                       - F.col("_bc")))
+    v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    v = cut_lineage(v.withColumn("_cell", F.struct(*cells, *([] if cells else [F.lit(0).alias("_all")]))))
+    whole = v.groupBy("_cell").agg(F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_d"))
     wanted = F.array(*[F.struct(F.lit(k).alias("name"), e.cast("bigint").alias("rank")) for k, e in ranks.items()])
-    hit = F.filter(wanted, lambda r: (r.rank > F.col("_before")) & (r.rank <= F.col("_before") + F.col("_bc")))
-    opened = per.withColumn("_want", hit).where(F.size("_want") > 0)
-    key = [*cells, "_b"]
-    inner = Window.partitionBy(*key).orderBy("_v")
-    rows = (v.join(opened, key)
-            .withColumn("_upto", F.col("_before") + F.sum("_c").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_want", F.filter("_want", lambda r: (r.rank <= F.col("_upto"))
-                                          & (r.rank > F.col("_upto") - F.col("_c"))))
+    at = whole.select("_cell", "n", "_lo", "_hi", "_d", F.lit(0).cast("bigint").alias("_before"), F.inline(wanted)).where("rank between 1 and n")
+    at = cut_lineage(at)
+    stretch = ["_cell", "_lo", "_hi"]
+    while (at.agg(F.max("_d")).first()[0] or 0) > OPENED:
+        wide = at.where(F.col("_d") > OPENED)
+        step = (F.col("_hi") - F.col("_lo")) / PARTS
+        part = F.least(F.lit(PARTS - 1), F.floor((F.col("_v") - F.col("_lo")) / step))
+        divided = (v.join(wide.select(*stretch).distinct(), "_cell").where("_v between _lo and _hi").withColumn("_part", part)
+                   .groupBy(*stretch, "_part").agg(F.sum("_c").alias("_pc"), F.min("_v").alias("_plo"), F.max("_v").alias("_phi"), F.count("*").alias("_pd")))
+        upto = F.sum("_pc").over(Window.partitionBy(*stretch).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+        narrowed = (wide.drop("_d").join(divided.withColumn("_upto", upto), stretch)
+                    .where((F.col("rank") - F.col("_before") <= F.col("_upto")) & (F.col("rank") - F.col("_before") > F.col("_upto") - F.col("_pc"))))
+        narrowed = narrowed.select("_cell", "n", F.col("_plo").alias("_lo"), F.col("_phi").alias("_hi"), F.col("_pd").alias("_d"), (F.col("_before") + F.col("_upto") - F.col("_pc")).alias("_before"), "name", "rank")
+        at = cut_lineage(at.where(F.col("_d") <= OPENED).unionByName(narrowed))
+    asked = at.groupBy(*stretch, "n", "_before").agg(F.collect_list(F.struct("name", "rank")).alias("_want"))
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*stretch).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = (v.join(asked, "_cell").where("_v between _lo and _hi").withColumn("_upto", upto)
+            .withColumn("_want", F.filter("_want", lambda r: (r.rank <= F.col("_upto")) & (r.rank > F.col("_upto") - F.col("_c"))))
             .where(F.size("_want") > 0).withColumn("_w", F.explode("_want")))
-    return rows.groupBy(*cells).agg(F.max("n").alias("n"), *[
-        F.max(F.when(F.col("_w.name") == k, F.col("_v"))).alias(k) for k in ranks])
+    return rows.groupBy("_cell").agg(F.max("n").alias("n"), *[
+        F.max(F.when(F.col("_w.name") == k, F.col("_v"))).alias(k) for k in ranks]).select(*[F.col(f"_cell.{c}").alias(c) for c in cells], "n", *ranks)
 
 
-def quantiles(df: DataFrame, cells: list[str], value: str, width: float, probs: dict[str, float],
+def quantiles(df: DataFrame, cells: list[str], value: str, probs: dict[str, float],
               extra: dict[str, Column] | None = None) -> DataFrame:
     """Linear-interpolation quantiles, h = (n - 1) p, plus any extra ranks asked for."""
     ranks = dict(extra or {})
@@ -100,7 +110,7 @@ def quantiles(df: DataFrame, cells: list[str], value: str, width: float, probs:
         h = (F.col("n") - 1) * F.lit(p)
         ranks[f"_{name}_lo"] = F.floor(h) + 1
         ranks[f"_{name}_hi"] = F.ceil(h) + 1
-    out = order_statistics(df, cells, value, width, ranks)
+    out = order_statistics(df, cells, value, ranks)
     for name, p in probs.items():
         h = (F.col("n") - 1) * F.lit(p)
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
@@ -121,11 +131,11 @@ def bootstrap_ranks(z: float = Z95) -> dict[str, Column]:
             "rank_high": F.least(F.col("n"), F.ceil(n / 2 + half))}
 
 
-def median_metric(df: DataFrame, cells: list[str], value: str, width: float,
+def median_metric(df: DataFrame, cells: list[str], value: str,
                   min_n: int = MIN_N_MEDIAN) -> DataFrame:
     """value, ci_low, ci_high, n, suppressed for the median of each cell."""
     ranks = bootstrap_ranks()
-    q = quantiles(df, cells, value, width, {"median": 0.5},
+    q = quantiles(df, cells, value, {"median": 0.5},
                   {"low": ranks["rank_low"], "high": ranks["rank_high"]})
     shown = F.col("n") >= min_n
     return q.select(*cells, F.when(shown, F.col("median")).alias("value"), F.when(shown, F.col("low")).alias("ci_low"),

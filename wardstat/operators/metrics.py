@@ -192,14 +192,14 @@ def permits_rate(base: DataFrame, parcels: DataFrame, levels: dict[str, Column],
     return r.withColumn("suppressed", sup).drop("parcels").withColumn("metric", F.lit("permits_per_1000_parcels"))
 
 
-def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column], through: Column, width: float = 1000.0) -> DataFrame:
+def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column], through: Column) -> DataFrame:
     """Declared value per 1,000 parcels: total, without the top 1%, capped, and the median permit.
 
     Totals and their intervals come from sums of powers per combination of area, category and sector, rolled up to every
     cell afterwards: one method for cells of any size. The totals themselves are added up as decimals.
     """
     d = month_windows(base.where("value is not null"), "issue_date", through, PERMIT_WINDOWS)
-    top = agg.quantiles(d, WINDOW, "value", width, {"top1": 0.99}).drop("n")
+    top = agg.quantiles(d, WINDOW, "value", {"top1": 0.99}).drop("n")
     d = d.join(F.broadcast(top), WINDOW)          # one row per window
     d = d.withColumn("_names", subgroup_names(F.col("category"), F.col("sector")))
     for g, c in levels.items():
@@ -217,7 +217,7 @@ def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column
     k = 1000.0 / F.col("parcels")
     tot = agg.total_interval(cell_sums).join(parcels, CELL).select(
         "variant", *cells, "n", (F.col("exact").cast("double") * k).alias("value"), (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
-    med = agg.median_metric(by_area(d, lv).withColumn("subgroup", F.explode("_names")), cells, "value", width, min_n=0).select(
+    med = agg.median_metric(by_area(d, lv).withColumn("subgroup", F.explode("_names")), cells, "value", min_n=0).select(
         F.lit("median_per_permit").alias("variant"), *cells, "n", "value", F.col("ci_low").alias("lo"), F.col("ci_high").alias("hi"))
     sk = _parcel_cells(parcels, ALL_SUBGROUPS, [*values, "median_per_permit"], through)
     r = sk.join(tot.unionByName(med), ["variant", *cells], "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -244,13 +244,13 @@ def demolition_ratio(demolitions: DataFrame, permits: DataFrame, parcels: DataFr
 # --- inspections --------------------------------------------------------------
 
 def food_scores(places: DataFrame, ins: DataFrame, levels: dict[str, Column], through: Column, months: int = 12,
-                thresholds: tuple[int, ...] = (70, 80, 85), data_from: Column | None = None, width: float = 1.0) -> DataFrame:
+                thresholds: tuple[int, ...] = (70, 80, 85), data_from: Column | None = None) -> DataFrame:
     """Median latest routine score, and share below each threshold (the first is primary)."""
     r = ins.where((F.col("kind") == "routine") & F.col("score").isNotNull() & F.col("exclusion").isNull())
     r = month_windows(r, "date", through, [{"months": months}], data_from)
     last = latest_per_key(r, ["place", *WINDOW], [F.col("date"), F.col("score")], ["date", "score"])
     d = by_area(last.join(places, "place"), levels)
-    med = (agg.median_metric(d, [*CELL, *WINDOW], "score", width)
+    med = (agg.median_metric(d, [*CELL, *WINDOW], "score")
            .withColumn("metric", F.lit("median_latest_score")).withColumn("variant", F.lit("primary")))
     sets = [{"variant": "primary" if i == 0 else f"below_{t}", "limit": t} for i, t in enumerate(thresholds)]
     b = fan_out(d, sets, {"variant": "string", "limit": "double"})
@@ -344,18 +344,18 @@ def on_time(arrivals: DataFrame, cls: DataFrame, stop_cells: DataFrame, through:
 HEADWAY_KEY = ["service_date", "route_id", "direction_id", "stop_id"]
 
 
-def headway_ratio(events: DataFrame, stop_cells: DataFrame, through: Column, width: float = 60.0, windows=None) -> DataFrame:
+def headway_ratio(events: DataFrame, stop_cells: DataFrame, through: Column, windows=None) -> DataFrame:
     """Median observed over median scheduled gap on routes scheduled every 30 minutes or better."""
     windows = windows or TRANSIT_WINDOWS
     ob = day_windows(headway_gaps(events, HEADWAY_KEY), "service_date", through, windows)
     sc = day_windows(scheduled_gaps(events, HEADWAY_KEY), "service_date", through, windows)
-    route = agg.quantiles(sc, ["route_id", *WINDOW], "gap", width, {"med": 0.5}).where(F.col("med") <= FREQUENT_S)
+    route = agg.quantiles(sc, ["route_id", *WINDOW], "gap", {"med": 0.5}).where(F.col("med") <= FREQUENT_S)
     lv = transit_levels(True)
     cells = [*CELL, *WINDOW]
     ready = lambda d: by_area(d.join(route.select("route_id", *WINDOW), ["route_id", *WINDOW], "left_semi")
                               .join(stop_cells, "stop_id", "left"), lv)
-    sched = agg.quantiles(ready(sc), cells, "gap", width, {"sched": 0.5}).select(*cells, "sched")
-    obs = agg.median_metric(ready(ob), cells, "gap", width)
+    sched = agg.quantiles(ready(sc), cells, "gap", {"sched": 0.5}).select(*cells, "sched")
+    obs = agg.median_metric(ready(ob), cells, "gap")
     r = obs.join(sched, cells)
     for c in ("value", "ci_low", "ci_high"):
         r = r.withColumn(c, F.col(c) / F.col("sched"))
@@ -418,7 +418,7 @@ def customer_hours(ev: DataFrame, denominators: DataFrame, levels: dict[str, Col
 
 
 def restoration(ev: DataFrame, areas: DataFrame, levels: dict[str, Column], through: Column, days: int = 365,
-                width: float = 10.0, span_max_s: int = RESTORATION_SPAN_S) -> DataFrame:
+                span_max_s: int = RESTORATION_SPAN_S) -> DataFrame:
     """Median minutes between restoration and the estimate, for three reference estimates."""
     d = _outage_rows(ev, through, days).where(
         ~F.col("planned") & F.col("confirmed") & (F.col("restoration_span_s") <= span_max_s))
@@ -427,7 +427,7 @@ def restoration(ev: DataFrame, areas: DataFrame, levels: dict[str, Column], thro
     d = d.withColumn("_e", F.explode(F.filter(refs, lambda r: r.etr.isNotNull())))
     d = d.withColumn("variant", F.col("_e.variant")).withColumn("late_min", (F.col("restored_mid") - F.col("_e.etr")) / 60.0)
     cells = ["variant", *CELL, *WINDOW]
-    m = agg.median_metric(by_area(d.drop("_e"), levels), cells, "late_min", width, MIN_N_RESTORATION)
+    m = agg.median_metric(by_area(d.drop("_e"), levels), cells, "late_min", MIN_N_RESTORATION)
     sk = fan_out(areas, [{"variant": v} for v in ("primary", "etr_60m", "final_etr")], {"variant": "string"})
     sk = (sk.withColumn("window_start", window_start_days(through, F.lit(days))).withColumn("window_end", through)
           .select(*cells))

@@ -2,8 +2,8 @@
 
 The permutation tests order the areas of each simulation by a hash of seed,
 simulation and area, so any engine with the same hash draws alike. Simulations
-are independent rows: nothing is gathered, and the work is simulations times
-areas (global: times links).
+are independent rows. A global one needs a whole order, a local one only its
+first few places.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstat.operators.aggregates import SEED
-from wardstat.session import attach, cut_lineage
+from wardstat.operators.sequences import ordered
+from wardstat.session import attach, cut_lineage, small_side
 
 #: Simulated statistics this near the observed one tie with it: sums in another order differ by less.
 TIE = 1e-9
@@ -90,14 +91,54 @@ def moran_global(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 9999,
         n.cast("bigint").alias("n"), "mean_neighbors")
 
 
-def bh_adjust(df: DataFrame, p: str, out: str = "q", within: list[str] = ()) -> DataFrame:
-    """Benjamini-Hochberg over one row per area: the least p m / rank from the largest p down."""
-    part = Window.partitionBy(*(within or [F.lit(0)]))
-    m = F.count(p).over(part)
-    rank = F.rank().over(part.orderBy(F.col(p))) + F.count(F.lit(1)).over(part.orderBy(p).rangeBetween(0, 0)) - 1
-    ranked = df.withColumn("_adj", F.col(p) * m / rank)
-    return ranked.withColumn(out, F.least(F.lit(1.0), F.min("_adj").over(
-        part.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, 0)))).drop("_adj")
+#: Ranges of p-values that are adjusted side by side.
+RANGES = 256
+
+
+def bh_adjust(df: DataFrame, p: str, out: str = "q", within: list[str] = (), ranges: int = RANGES) -> DataFrame:
+    """Benjamini-Hochberg over one row per area: the least p m / rank from the largest p down.
+
+    Equal p-values are one row. The rest is cut into ranges of about equal size: ranks are running counts carried from
+    range to range, and the least value from above is each range's own minimum carried down.
+    """
+    within = list(within)
+    given = df.where(F.col(p).isNotNull()).select(*within, F.col(p).cast("double").alias("_p"))
+    cuts = given.agg(F.percentile_approx("_p", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("cuts"))
+    v = given.groupBy(*within, "_p").agg(F.count("*").alias("_c")).transform(attach, cuts)
+    v = cut_lineage(v.withColumn("_range", F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda c: c <= F.col("_p")))).drop("cuts").withColumn("_all", F.lit(0)))
+    key = ["_all", *within]
+    total = v.groupBy(*key).agg(F.sum("_c").alias("_m"))
+    v = ordered(v, key, "_range", ["_p"], running=["_c"]).join(total, key).withColumn("_adj", F.col("_p") * F.col("_m") / F.col("run__c"))
+    above = Window.partitionBy(*key).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = v.groupBy(*key, "_range").agg(F.min("_adj").alias("_own")).withColumn("_above", F.min("_own").over(above)).drop("_own")
+    here = F.min("_adj").over(Window.partitionBy(*key, "_range").orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0))
+    v = v.withColumn("_here", here).join(carried, [*key, "_range"]).select(*within, "_p", F.least(F.lit(1.0), "_here", "_above").alias(out))
+    return df.withColumn("_p", F.col(p).cast("double")).join(v, [*within, "_p"], "left").drop("_p")
+
+
+#: Simulations that one block of rows stands for before they are drawn.
+BLOCK_SIMULATIONS = 500
+
+
+def first_places(z: DataFrame, places: int, nsim: int, seed: int, kind: str) -> DataFrame:
+    """r, firsts: the first ``places`` areas (key, id, z) of each simulation's random order.
+
+    Keys are spread evenly, so only those below a bound that lets about twice the places through are gathered. The few
+    simulations that are left short are drawn once more without the bound.
+    """
+    n = z.count()
+    places = min(places, n)
+    blocks = z.select("id", "z", F.explode(F.sequence(F.lit(0), F.lit((nsim - 1) // BLOCK_SIMULATIONS))).alias("b")).repartition("b")
+    drawn = blocks.withColumn("r", F.explode(F.sequence(F.col("b") * BLOCK_SIMULATIONS + 1, F.least((F.col("b") + 1) * BLOCK_SIMULATIONS, F.lit(nsim)))))
+    keyed = drawn.select("r", "id", "z", F.md5(F.concat_ws(":", F.lit(f"{kind}:{seed}"), "r", F.col("id").cast("string"))).alias("key"))
+    gather = lambda d: d.groupBy("r").agg(F.slice(F.array_sort(F.collect_list(F.struct("key", "id", "z"))), 1, places).alias("firsts"))
+    share = (2 * places + 12) / max(n, 1)
+    if share >= 1:
+        return gather(keyed)
+    near = cut_lineage(gather(keyed.where(F.col("key") < f"{int(share * 16**8):08x}")))
+    full = near.where(F.size("firsts") >= places)
+    short = z.sparkSession.range(1, nsim + 1).select(F.col("id").cast("int").alias("r")).join(full.select("r"), "r", "left_anti")
+    return full.unionByName(gather(keyed.join(small_side(short), "r")))
 
 
 def lisa(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 99999, seed: int = SEED, alpha: float = 0.05) -> DataFrame:
@@ -105,24 +146,32 @@ def lisa(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 99999, seed: i
 
     In each simulation an area's k neighbours are the first k other areas of one
     random order: k different areas, every set as likely. Their mean comes from
-    the order's running sums at k, or at k + 1 less the area's own value.
+    the order's sum at k, or at k + 1 less the area's own value if that is among
+    the first k. Only the first places of an order are ever gathered: each
+    simulation counts for all areas with k neighbours by its sum at k, and for the
+    k areas that it has among its first the count is put right.
     """
     areas, nb = cut_lineage(areas), cut_lineage(nb)
-    z = _centred(areas, value)
+    z = cut_lineage(_centred(areas, value))
     base = spatial_lag(z, nb, "z").where("neighbors is not null")
     m2 = z.agg(F.avg(F.pow("z", 2)).alias("m2"))
-    base = base.transform(attach, (m2)).withColumn("ii", F.col("z") * F.col("lag") / F.col("m2"))
-    most = base.agg(F.max("neighbors").alias("most"))
-    order = _orders(z, nsim, seed, "l")
-    sums = order.transform(attach, most).where(F.col("place") <= F.col("most") + 1).groupBy("r").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("place"), F.col("upto")))).alias("sums"))
-    one = order.select("r", "id", "place").join(sums, "r").join(base.select("id", "z", "m2", "ii", F.col("neighbors").alias("k")), "id")
-    drawn = F.when(F.col("place") > F.col("k"), F.element_at("sums", F.col("k"))).otherwise(F.element_at("sums", F.col("k") + 1) - F.col("z"))
-    sim = F.col("z") * drawn / F.col("k") / F.col("m2")
-    t = one.select("id", (sim <= F.col("ii") + TIE).alias("lo"), (sim >= F.col("ii") - TIE).alias("hi")).groupBy("id").agg(
-        F.count_if("lo").alias("lo"), F.count_if("hi").alias("hi"))
-    p = t.select("id", F.least(F.lit(1.0), 2 * (F.least("lo", "hi") + 1) / (nsim + 1.0)).alias("p"))
-    out = bh_adjust(base.join(p, "id"), "p")
+    base = cut_lineage(base.transform(attach, m2).withColumn("ii", F.col("z") * F.col("lag") / F.col("m2")))
+    most = base.agg(F.max("neighbors")).first()[0] or 0
+    firsts = first_places(z.where("z is not null"), most + 1, nsim, seed, "l")
+    sums = F.aggregate("firsts", F.array(F.lit(0.0)), lambda acc, a: F.concat(acc, F.array(F.element_at(acc, -1) + a["z"])))
+    ks = base.agg(F.collect_set("neighbors").alias("ks"))
+    sims = firsts.withColumn("sums", sums).transform(attach, ks).select("firsts", "sums", F.explode("ks").alias("k"))
+    at_k = F.get("sums", F.col("k").cast("int"))
+    mine = base.select("id", F.col("z").alias("own"), "m2", "ii", F.col("neighbors").alias("k"))
+    everywhere = sims.select("k", at_k.alias("drawn"), F.lit(1).alias("sign")).join(small_side(mine), "k")
+    among = sims.select("k", at_k.alias("with"), F.get("sums", F.col("k").cast("int") + 1).alias("next"), F.explode(F.slice("firsts", F.lit(1), F.col("k").cast("int"))).alias("a"))
+    among = among.withColumn("id", F.col("a.id")).join(small_side(mine), ["k", "id"])
+    among = among.select(*mine.columns, F.inline(F.array(F.struct(F.col("with").alias("drawn"), F.lit(-1).alias("sign")), F.struct((F.col("next") - F.col("own")).alias("drawn"), F.lit(1).alias("sign")))))
+    sim = F.col("own") * F.col("drawn") / F.col("k") / F.col("m2")
+    counted = everywhere.select(*among.columns).unionByName(among).groupBy("id").agg(
+        F.sum(F.when(sim <= F.col("ii") + TIE, F.col("sign")).otherwise(0)).alias("lo"), F.sum(F.when(sim >= F.col("ii") - TIE, F.col("sign")).otherwise(0)).alias("hi"))
+    p = counted.select("id", F.least(F.lit(1.0), 2 * (F.least("lo", "hi") + 1) / (nsim + 1.0)).alias("p"))
+    out = bh_adjust(cut_lineage(base.join(p, "id")), "p")
     quad = quadrant(F.col("z"), F.col("lag"))
     cls = (F.when(F.col("q") < alpha, quad).when(F.col("p") < alpha, F.concat(quad, F.lit("_unadj"))).otherwise("ns"))
     return out.select("id", "ii", "lag", "z", "p", "q", quad.alias("quadrant"), cls.alias("class"))

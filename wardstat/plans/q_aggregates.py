@@ -77,13 +77,13 @@ def poisson_rate(t):
 
 @query("median_metric", sql("late", P.sql_median("late", "nation, p_type", "l_quantity", floor=350)))
 def median_metric(t):
-    return rnd(A.median_metric(lines(t), ["nation", "p_type"], "l_quantity", 5.0, min_n=350), 6, *CI)
+    return rnd(A.median_metric(lines(t), ["nation", "p_type"], "l_quantity", min_n=350), 6, *CI)
 
 
 @query("bootstrap_median", sql("pl", P.sql_median("(SELECT nation, o_totalprice FROM orders JOIN pl ON o_custkey = custkey)", "nation", "o_totalprice", digits=4)))
 def bootstrap_median(t):
     o = t.orders.join(P.places(t), F.col("o_custkey") == F.col("custkey"))
-    return rnd(A.median_metric(o, ["nation"], "o_totalprice", 5000.0), 4, *CI)
+    return rnd(A.median_metric(o, ["nation"], "o_totalprice"), 4, *CI)
 
 
 @query("bootstrap_total", sql("pl", """SELECT nation, count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS plausible FROM orders JOIN pl ON o_custkey = custkey GROUP BY nation"""))
@@ -326,15 +326,15 @@ def sql_lisa(z: str, nb: str, nsim: int, p: str) -> list[tuple[str, str]]:
             (p, f"SELECT id, ii, lag, z, p, q, quadrant, CASE WHEN q < 0.05 THEN quadrant WHEN p < 0.05 THEN quadrant || '_unadj' ELSE 'ns' END AS class FROM (SELECT *, least(1.0, (SELECT min(adj) FROM {p}q b WHERE b.p >= a.p)) AS q FROM {p}q a)")]
 
 
-@query("moran_global", sql("lagz", "SELECT round(moran_i, 6) AS moran_i, round(expected, 6) AS expected, round(sd, 6) AS sd, round(zscore, 5) AS z, round(p_perm, 6) AS p_perm, n FROM mg", sql_moran("zz", "lagz", "nb", 999, "mg")))
+@query("moran_global", sql("lagz", "SELECT round(moran_i, 6) AS moran_i, round(expected, 6) AS expected, round(sd, 6) AS sd, round(zscore, 5) AS z, round(p_perm, 6) AS p_perm, n FROM mg", sql_moran("zz", "lagz", "nb", 9999, "mg")))
 def moran_global(t):
-    m = spatial_stats.moran_global(balances(t), neighbors(t), "v", nsim=999)
+    m = spatial_stats.moran_global(balances(t), neighbors(t), "v")
     return rnd(rnd(m, 6, "moran_i", "expected", "sd", "p_perm"), 5, "z").select("moran_i", "expected", "sd", "z", "p_perm", "n")
 
 
-@query("lisa", sql("lagz", "SELECT id, round(ii, 5) AS ii, round(lag, 4) AS lag, round(p, 6) AS p, round(q, 6) AS q, quadrant, class FROM li", sql_lisa("zz", "nb", 9999, "li")))
+@query("lisa", sql("lagz", "SELECT id, round(ii, 5) AS ii, round(lag, 4) AS lag, round(p, 6) AS p, round(q, 6) AS q, quadrant, class FROM li", sql_lisa("zz", "nb", 99999, "li")))
 def lisa(t):
-    r = spatial_stats.lisa(balances(t), neighbors(t), "v", nsim=9999)
+    r = spatial_stats.lisa(balances(t), neighbors(t), "v")
     return rnd(rnd(rnd(r, 5, "ii"), 4, "lag"), 6, "p", "q").select("id", "ii", "lag", "p", "q", "quadrant", "class")
 
 

@@ -10,7 +10,7 @@ from wardstat.operators import checks, metrics, normalize, spatial
 from wardstat.operators import aggregates as A
 from wardstat.operators.joins import by_area, classify_trips
 from wardstat.plans import proxies as P
-from wardstat.plans.proxies import day, rnd, sql
+from wardstat.plans.proxies import day, rnd, sql, w_high, w_low
 from wardstat.plans.q_aggregates import areas_slow, neighbors, sql_lisa, sql_moran
 from wardstat.plans.q_joins import matched, sched_trips
 from wardstat.plans.q_mapping import demolitions, inspections, permits
@@ -151,19 +151,19 @@ def m_address_report(t):
     return metrics.address_report(addr, near, area)
 
 
-def _with_city(src: str, digits: int = 6, ci: bool = True) -> str:
-    return (f"SELECT a.metric, a.variant, a.subgroup, a.geo_type, a.geo_id, a.window_start, a.window_end, round(a.value, {digits}) AS value, {"" if not ci else f"round(a.ci_low, {digits}) AS ci_low, round(a.ci_high, {digits}) AS ci_high, "}a.n, a.suppressed, round(c.value, {digits}) AS citywide_median "
+def _with_city(src: str, digits: int = 6) -> str:
+    return (f"SELECT a.metric, a.variant, a.subgroup, a.geo_type, a.geo_id, a.window_start, a.window_end, round(a.value, {digits}) AS value, round(a.ci_low, {digits}) AS ci_low, round(a.ci_high, {digits}) AS ci_high, a.n, a.suppressed, round(c.value, {digits}) AS citywide_median "
             f"FROM {src} a LEFT JOIN {src} c ON c.geo_type = 'citywide' AND c.metric = a.metric AND c.variant = a.variant AND c.subgroup = a.subgroup AND c.window_start = a.window_start")
 
 
-def assembled(parts, skip=(), digits: int = 6, ci: bool = True):
+def assembled(parts, skip=(), digits: int = 6):
     """Union of metric frames as a checked metrics table with the citywide reference."""
     m = parts[0]
     for p in parts[1:]:
         m = m.unionByName(p)
     m = checks.as_metrics(m, "0.1", day(P.THROUGH), F.lit("2001-07-16 00:00:00").cast("timestamp"))
     return rnd(checks.citywide_reference(m, skip), digits, *CI, "citywide_median").select(
-        "metric", "variant", "subgroup", "geo_type", "geo_id", "window_start", "window_end", "value", *(CI[1:] if ci else ()), "n", "suppressed", "citywide_median")
+        "metric", "variant", "subgroup", "geo_type", "geo_id", "window_start", "window_end", *CI, "n", "suppressed", "citywide_median")
 
 
 @query("m_all_requests", sql("base", _with_city("al"), sql_link() + sql_med("bl") + sql_tgt("bl") + sql_reo() + sql_req("bl") + [
@@ -217,42 +217,60 @@ def m_permits_rate(t):
     return shaped(metrics.permits_rate(permit_points(t), parcels(t), P.levels(), day(P.THROUGH)), 4)
 
 
+_DK = "subgroup, geo_type, geo_id, window_start"
+
+
+def _edge(z: str) -> str:
+    """A percentile of the resampled total: Cornish-Fisher with skewness g and kurtosis k."""
+    return f"s1 + ({z} + ({z}*{z} - 1) * g / 6 + (pow({z}, 3) - 3*{z}) * k / 24 - (2*pow({z}, 3) - 5*{z}) * g * g / 36) * sqrt(n * var)"
+
+
 def _sql_value() -> list:
     sk = f"(VALUES {_SUBS}) s(subgroup), (VALUES ('primary'), ('excl_top1pct'), ('cap_10m'), ('median_per_permit')) v(variant), {_PW}"
     return [("dv0", f"SELECT s.*, window_start FROM pp s, {_PW} WHERE issue_date BETWEEN window_start AND DATE '{P.THROUGH}' AND value IS NOT NULL"),
             ("dv1", f"SELECT d.*, top1, unnest({_SUBLIST}) AS subgroup FROM dv0 d JOIN (SELECT window_start, quantile_cont(value, 0.99) AS top1 FROM dv0 GROUP BY 1) q USING (window_start)"),
             ("dv2", P.sql_levels("dv1")),
-            ("dv3", """SELECT 'primary' AS variant, subgroup, geo_type, geo_id, window_start, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(20,4))) AS DOUBLE) AS s FROM dv2 GROUP BY ALL UNION ALL SELECT 'excl_top1pct', subgroup, geo_type, geo_id, window_start, count(*), CAST(sum(CAST(value AS DECIMAL(20,4))) AS DOUBLE) FROM dv2 WHERE value <= top1 GROUP BY ALL
-  UNION ALL SELECT 'cap_10m', subgroup, geo_type, geo_id, window_start, count(*), CAST(sum(CAST(least(value, 1e7) AS DECIMAL(20,4))) AS DOUBLE) FROM dv2 GROUP BY ALL UNION ALL SELECT 'median_per_permit', subgroup, geo_type, geo_id, window_start, count(*), median(value) FROM dv2 GROUP BY ALL"""),
-            ("dv", f"""SELECT 'declared_value_per_1000_parcels' AS metric, variant, subgroup, geo_type, geo_id, window_start, DATE '{P.THROUGH}' AS window_end, CASE WHEN n >= 20 AND parcels >= 250 THEN CASE WHEN variant = 'median_per_permit' THEN s ELSE s * (1000.0::DOUBLE / parcels) END END AS value, n, n < 20 OR parcels < 250 AS suppressed
-  FROM (SELECT p.*, s.subgroup, v.variant, w.window_start, coalesce(k.n, 0) AS n, k.s FROM par p, {sk} LEFT JOIN dv3 k ON k.geo_type = p.geo_type AND k.geo_id = p.geo_id AND k.subgroup = s.subgroup AND k.variant = v.variant AND k.window_start = w.window_start)""")]
+            ("dv3", " UNION ALL ".join(f"SELECT '{v}' AS variant, {_DK}, count(v) AS n, CAST(sum(CAST(v AS DECIMAL(20,4))) AS DOUBLE) AS s, sum(v) AS s1, sum(pow(v, 2)) AS s2, sum(pow(v, 3)) AS s3, sum(pow(v, 4)) AS s4, NULL::DOUBLE AS lo, NULL::DOUBLE AS hi FROM (SELECT {_DK}, {x} AS v FROM dv2) GROUP BY ALL HAVING count(v) > 0"
+                               for v, x in (("primary", "value"), ("excl_top1pct", "CASE WHEN value <= top1 THEN value END"), ("cap_10m", "least(value, 1e7)")))
+             + f""" UNION ALL SELECT 'median_per_permit', {_DK}, n, s, 0, 0, 0, 0, l[greatest(1, CAST(ceil(n / 2.0::DOUBLE - {P.Z} * sqrt(n) / 2) AS BIGINT))], l[least(n, CAST(ceil(n / 2.0::DOUBLE + {P.Z} * sqrt(n) / 2) AS BIGINT))]
+  FROM (SELECT {_DK}, count(*) AS n, median(value) AS s, list_sort(list(value)) AS l FROM dv2 GROUP BY ALL)"""),
+            ("dv4", f"SELECT *, s1 / n AS m1, greatest(0, s2 / n - (s1 / n) * (s1 / n)) AS var FROM dv3"),
+            ("dv5", """SELECT *, CASE WHEN var > 0 THEN (s3 / n - 3 * m1 * (s2 / n) + 2 * m1 * m1 * m1) / pow(var, 1.5) ELSE 0 END / sqrt(n) AS g,
+  CASE WHEN var > 0 THEN (s4 / n - 4 * m1 * (s3 / n) + 6 * m1 * m1 * (s2 / n) - 3 * pow(m1, 4)) / (var * var) - 3 ELSE 0 END / n AS k FROM dv4"""),
+            ("dv6", f"SELECT * REPLACE (coalesce(lo, {_edge('-' + P.Z)}) AS lo, coalesce(hi, {_edge(P.Z)}) AS hi) FROM dv5"),
+            ("dv7", f"""SELECT p.geo_type, p.geo_id, s.subgroup, v.variant, w.window_start, coalesce(k.n, 0) AS n, coalesce(k.n, 0) < 20 OR parcels < 250 AS suppressed, CASE WHEN v.variant = 'median_per_permit' THEN 1 ELSE 1000.0::DOUBLE / parcels END AS per, k.s, k.lo, k.hi
+  FROM par p, {sk} LEFT JOIN dv6 k ON k.geo_type = p.geo_type AND k.geo_id = p.geo_id AND k.subgroup = s.subgroup AND k.variant = v.variant AND k.window_start = w.window_start"""),
+            ("dv", f"""SELECT 'declared_value_per_1000_parcels' AS metric, variant, subgroup, geo_type, geo_id, window_start, DATE '{P.THROUGH}' AS window_end, CASE WHEN NOT suppressed THEN s * per END AS value,
+  CASE WHEN NOT suppressed THEN round(least(lo * per, s * per), 1) END AS ci_low, CASE WHEN NOT suppressed THEN round(greatest(hi * per, s * per), 1) END AS ci_high, n, suppressed FROM dv7""")]
 
 
 def _sql_demo() -> list:
     return [("dr0", f"SELECT nation, region, window_start, 1 AS d FROM dp, {_PW} WHERE issue_date BETWEEN window_start AND DATE '{P.THROUGH}' UNION ALL SELECT nation, region, window_start, 0 FROM pp, {_PW} WHERE category = 'new' AND issue_date BETWEEN window_start AND DATE '{P.THROUGH}'"),
-            ("dr", f"""SELECT 'demolition_to_new_ratio' AS metric, 'primary' AS variant, 'all' AS subgroup, p.geo_type, p.geo_id, w.window_start, DATE '{P.THROUGH}' AS window_end, CASE WHEN coalesce(d + m, 0) >= 20 AND m > 0 THEN CAST(d AS DOUBLE) / m END AS value, CAST(coalesce(d + m, 0) AS BIGINT) AS n, NOT (coalesce(d + m, 0) >= 20 AND m > 0) AS suppressed
+            ("dr", f"""SELECT 'demolition_to_new_ratio' AS metric, 'primary' AS variant, 'all' AS subgroup, p.geo_type, p.geo_id, w.window_start, DATE '{P.THROUGH}' AS window_end, CASE WHEN coalesce(d + m, 0) >= 20 AND m > 0 THEN CAST(d AS DOUBLE) / m END AS value, CASE WHEN coalesce(d + m, 0) >= 20 AND m > 0 THEN {w_low('d', '(d+m)')} / (1 - {w_low('d', '(d+m)')}) END AS ci_low,
+  CASE WHEN coalesce(d + m, 0) >= 20 AND m > 0 THEN {w_high('d', '(d+m)')} / (1 - {w_high('d', '(d+m)')}) END AS ci_high, CAST(coalesce(d + m, 0) AS BIGINT) AS n, NOT (coalesce(d + m, 0) >= 20 AND m > 0) AS suppressed
   FROM par p, {_PW} LEFT JOIN (SELECT geo_type, geo_id, window_start, sum(d) AS d, sum(1 - d) AS m FROM ({P.sql_levels('dr0')}) GROUP BY ALL) k ON k.geo_type = p.geo_type AND k.geo_id = p.geo_id AND k.window_start = w.window_start""")]
 
 
-_K = "metric, variant, subgroup, geo_type, geo_id, window_start, window_end, value, n, suppressed"
+def _in_tenths(m):
+    """Intervals of declared values in tenths: sums of fourth powers differ by more in the last digits."""
+    return m.withColumns({c: F.when(F.col("metric") == "declared_value_per_1000_parcels", F.round(c, 1)).otherwise(F.col(c)) for c in CI[1:]})
 
 
-@query("declared_value", sql("pp par", f"SELECT {_K.replace(' value,', ' round(value, 6) AS value,')} FROM dv", _sql_value()))
+@query("declared_value", sql("pp par", f"SELECT {_r(6)} FROM dv", _sql_value()))
 def declared_value(t):
-    m = metrics.declared_value(permit_points(t), parcels(t), P.levels(), day(P.THROUGH), width=5000.0)
-    return rnd(m, 6, "value").select(*[c.strip() for c in _K.split(",")])
+    m = metrics.declared_value(permit_points(t), parcels(t), P.levels(), day(P.THROUGH))
+    return shaped(_in_tenths(m), 6)
 
 
-@query("m_permits_all", sql("pp dp par", _with_city("al", ci=False), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
-    ("al", f"SELECT {_K} FROM pr UNION ALL SELECT {_K} FROM dx UNION ALL SELECT {_K} FROM dv UNION ALL SELECT {_K} FROM dr")]))
+@query("m_permits_all", sql("pp dp par", _with_city("al", 4), sql_rate("pp", _SUBS, _SUBLIST, "pr") + sql_rate("dp", "('demolition')", "['demolition']", "dx") + _sql_value() + _sql_demo() + [
+    ("al", " UNION ALL ".join(f"SELECT {_C} FROM {x}" for x in ("pr", "dx", "dv", "dr")))]))
 def m_permits_all(t):
     pts, dem, par = cut_lineage(permit_points(t)), cut_lineage(demolition_points(t)), cut_lineage(parcels(t))
     th, lv = day(P.THROUGH), P.levels()
-    parts = [metrics.permits_rate(pts, par, lv, th), metrics.declared_value(pts, par, lv, th, width=5000.0),
+    parts = [metrics.permits_rate(pts, par, lv, th), _in_tenths(metrics.declared_value(pts, par, lv, th)),
              metrics.permits_rate(dem, par, lv, th, F.array(F.lit("demolition")), ["demolition"]),
              metrics.demolition_ratio(dem, pts, par, lv, th).withColumn("variant", F.lit("primary")).withColumn("subgroup", F.lit("all"))]
-    # SQL has no counterpart of the declared value's interval, so the comparison leaves the intervals out.
-    return assembled([p.select(*COLS) for p in parts], ci=False)
+    return assembled([p.select(*COLS) for p in parts], digits=4)
 
 
 # --- inspections ------------------------------------------------------------------
@@ -472,7 +490,7 @@ def m_power_all(t):
 SPECS = [("primary", "2000-07-16", "contiguity", ()), ("two_years", "1999-07-16", "contiguity", ()), ("knn", "2000-07-16", "knn", ()), ("no_low", "2000-07-16", "contiguity", ("5-LOW",))]
 
 
-LOCAL_SIMULATIONS, GLOBAL_SIMULATIONS = 9999, 999
+LOCAL_SIMULATIONS, GLOBAL_SIMULATIONS = 99_999, 9_999
 P.cte("xy", "SELECT n_name AS id, n_nationkey % 5 * 400 + 200.0 AS x, n_nationkey // 5 * 400 + 200.0 AS y FROM nation")
 P.cte("knn", "SELECT i, j FROM (SELECT a.id AS i, b.id AS j, row_number() OVER (PARTITION BY a.id ORDER BY (a.x-b.x)**2 + (a.y-b.y)**2, b.id) AS rank FROM xy a JOIN xy b ON a.id <> b.id) WHERE rank <= 6", "xy")
 

@@ -278,7 +278,7 @@ def geocoder_accuracy(t):
     dx, dy = F.col("x") - F.col("gx"), F.col("y") - F.col("gy")
     c = (c.withColumn("found", found).withColumn("dist", F.when(found, F.round(F.sqrt(dx * dx + dy * dy), 1)))
          .withColumn("tc", geo.hex_cell(F.col("x"), F.col("y"), "h9")).withColumn("gc", geo.hex_cell(F.col("gx"), F.col("gy"), "h9")))
-    q = aggregates.quantiles(c, [], "dist", 10.0, {"p50": 0.5, "p90": 0.9, "p95": 0.95}).drop("n")
+    q = aggregates.quantiles(c, [], "dist", {"p50": 0.5, "p90": 0.9, "p95": 0.95}).drop("n")
     share = lambda cond: F.round(F.avg(F.coalesce(cond, F.lit(False)).cast("int")), 6)
     s = c.agg(F.count(F.lit(1)).alias("sample"), share(F.col("found")).alias("found"), share(F.col("dist") <= 100).alias("within_100"),
               share(F.col("found") & (F.col("tc") == F.col("gc"))).alias("same_cell"),
