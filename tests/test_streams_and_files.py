@@ -5,10 +5,10 @@ import json
 
 import pytest
 
-from wardstat.operators import polygons
 from pyspark.sql import functions as F
 
 from wardstat import session
+from wardstat.operators import polygons
 from wardstat.operators.sequences import covered_spans, outage_events
 from wardstat.sources import files, sinks
 from wardstat.streaming import streams
@@ -16,36 +16,50 @@ from wardstat.streaming import streams
 from tests.test_sequences import at, outage_case
 
 
-def test_stream_chains_equal_batch_events(spark):
+def chains(spark, obs, polls, files, tail, name, **kw):
+    """Events of the stream, ``tail`` being poll times after the last, and the progress of its micro-batches."""
+    last = polls.agg(F.max("t")).first()[0]
+    polls = polls.unionByName(spark.createDataFrame([(last + k,) for k in tail], "t bigint"))
+    obs, notes = streams.with_heartbeats(obs, polls), streams.poll_notes(polls)
+    paths = [streams.land_in_order(d, name, "t", files) for d in (obs, notes)]
+    s, n = (streams.read_landed(spark, p, d.schema, per_trigger=1) for p, d in zip(paths, (obs, notes)))
+    progress = []
+    out = streams.drain(streams.event_chains(streams.with_next_polls(s, n, "0 seconds"), **kw), name, progress=progress).collect()
+    return out, progress, paths
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_stream_chains_equal_batch_events(spark, files):
     obs, polls = outage_case(spark)
-    # Ten more empty polls after the scenario, so that every event but none of the others can finish.
-    later = spark.range(1, 41).select((F.lit(at("12:00")) + F.col("id") * 300).alias("t"))
-    polls = polls.unionByName(later)
-    rows = streams.chain_input(obs.select("t", "outage", "cust"), polls, shards=4)
-    path = streams.land(rows, "chains", "t", files=1)
-    got = streams.drain(streams.event_chains(streams.read_landed(spark, path, rows.schema)), "chains").collect()
+    # Forty more empty polls after the scenario, so that every event can finish.
+    polls = polls.unionByName(spark.range(1, 41).select((F.lit(at("12:00")) + F.col("id") * 300).alias("t")))
+    got, progress, _ = chains(spark, obs, polls, files, (1, 2, 3), f"chains{files}")
     want = {r["event_id"]: r for r in outage_events(obs, polls).collect()}
-    assert {f"{r['outage']}-{r['event']}" for r in got} == set(want)
+    assert {f"{r['outage']}-{r['event']}" for r in got} == set(want) and sum(p["rows"] > 0 for p in progress) >= files
     for r in got:
         w = want[f"{r['outage']}-{r['event']}"]
         assert (r["first_seen"], r["last_seen"], r["restored_hi"], r["reappeared"], r["max_cust"]) == (w["first_seen"], w["last_seen"], w["restored_hi"], w["reappeared"], w["max_cust"])
 
 
-def test_stream_chains_carry_state_over_micro_batches(spark, tmp_path):
+def test_state_is_removed_after_the_last_event_and_late_sightings_are_counted(spark):
     obs, polls = outage_case(spark)
-    polls = polls.unionByName(spark.range(1, 41).select((F.lit(at("12:00")) + F.col("id") * 300).alias("t")))
-    rows = streams.chain_input(obs.select("t", "outage", "cust"), polls, shards=4).collect()
-    cuts = [at("09:05"), at("10:40"), at("11:05"), 2**40]
-    for i, hi in enumerate(cuts):
-        lo = cuts[i - 1] if i else 0
-        part = [r for r in rows if lo < r["t"] <= hi]
-        spark.createDataFrame(part, "shard int, t bigint, outage string, cust double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        import time
-        time.sleep(1.1)                      # files are taken in the order they landed
-    s = streams.read_landed(spark, str(tmp_path / "in"), "shard int, t bigint, outage string, cust double", per_trigger=1)
-    got = streams.drain(streams.event_chains(s), "chains2").collect()
-    want = {r["event_id"]: r for r in outage_events(obs, polls).collect()}
-    assert {f"{r['outage']}-{r['event']}": (r["last_seen"], r["restored_hi"]) for r in got} == {k: (w["last_seen"], w["restored_hi"]) for k, w in want.items()}
+    far = (86_400, 86_401, 86_402, 20 * 86_400, 20 * 86_400 + 1, 20 * 86_400 + 2, 20 * 86_400 + 3)
+    got, progress, _ = chains(spark, obs, polls, 4, far, "forget", forget_s=10 * 86_400)
+    assert {f"{r['outage']}-{r['event']}" for r in got} == {r["event_id"] for r in outage_events(obs, polls).collect()}
+    join, events = (next(k for k in progress[-1]["state"] if ("Join" in k) == j) for j in (True, False))
+    assert max(p["state"][events] for p in progress) > 0 == progress[-1]["state"][events] and not any(p["late"] for p in progress)
+    assert progress[-1]["state"][join] <= 2                                 # the last two polls wait for the ones after them
+    # a sighting long before what has been read is dropped and counted, and changes no event
+    early = spark.createDataFrame([(at("09:00"), "999", 1.0)], "t bigint, outage string, cust double")
+    polls = polls.unionByName(spark.createDataFrame([(at("20:00") + k,) for k in range(9)], "t bigint"))
+    rows, notes = streams.with_heartbeats(obs, polls), streams.poll_notes(polls)
+    path = streams.land_in_order(rows, "late", "t", 3)
+    n = streams.land_in_order(notes, "late-polls", "t", 3)
+    early.coalesce(1).write.mode("append").parquet(path)
+    s, n = (streams.read_landed(spark, p, d.schema, per_trigger=1) for p, d in ((path, rows), (n, notes)))
+    progress = []
+    out = streams.drain(streams.event_chains(streams.with_next_polls(s, n, "0 seconds")), "late", progress=progress).collect()
+    assert sum(p["late"] for p in progress) == 1 and not [r for r in out if r.outage == "999"]
 
 
 def test_stream_spans_equal_batch_spans(spark):

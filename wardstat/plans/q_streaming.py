@@ -98,11 +98,13 @@ def stream_uptime_windows(t):
 @query("stream_event_chains", sql("obs pidx oe", """SELECT outage, event, first_seen, last_seen, restored_hi, reappeared, round(max_cust, 4) AS max_cust FROM oe WHERE confirmed AND (SELECT max(t) FROM pidx) - restored_hi > 7200"""))
 def stream_event_chains(t):
     obs, polls = outage_obs(t).select("t", "outage", "cust"), outage_polls(t)
-    rows = streams.chain_input(obs, polls, shards=8)
-    path = streams.land(rows, "sightings", "t", files=4)
-    # The replay is one ordered batch; a live run lands one file per poll.
-    s = streams.read_landed(t.spark, path, rows.schema, per_trigger=100)
-    out = streams.drain(streams.event_chains(s), "chains")
+    # closing ticks right after the last poll: they release the last sightings and move the watermark past the last poll
+    close = polls.agg(F.max("t").alias("t")).select(F.explode(F.array(*(F.col("t") + k for k in (1, 2, 3)))).alias("t"))
+    polls = polls.unionByName(close)
+    obs, notes = streams.with_heartbeats(obs, polls), streams.poll_notes(polls)
+    paths = [streams.land_in_order(obs, "sightings", "t", files=5), streams.land_in_order(notes, "polls", "t", files=5)]
+    s, n = (streams.read_landed(t.spark, p, d.schema, per_trigger=1) for p, d in zip(paths, (obs, notes)))
+    out = streams.drain(streams.event_chains(streams.with_next_polls(s, n, "0 seconds")), "chains")
     return out.withColumn("max_cust", F.round("max_cust", 4))
 
 

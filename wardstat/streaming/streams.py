@@ -6,14 +6,13 @@ Functions on streaming DataFrames are plain DataFrame -> DataFrame code; only
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from wardstat.session import scratch_path
+from wardstat.operators.sequences import poll_index
+from wardstat.session import cut_lineage, scratch_path
 
 # Properties an outage feature must carry.
 OUTAGE_PROPERTIES = ("OUTAGE_NO", "TIME_STAMP", "STATUS", "EST_REPAIR_TIME", "CUR_CUST_AFF")
@@ -21,12 +20,14 @@ OUTAGE_PROPERTIES = ("OUTAGE_NO", "TIME_STAMP", "STATUS", "EST_REPAIR_TIME", "CU
 
 # --- running a stream over landed files ---------------------------------------
 
-def drain(stream: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+def drain(stream: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None, progress: list | None = None) -> DataFrame:
     """Run a stream over everything that has landed and read the result table back.
 
     In update mode every micro-batch writes its rows with the batch number and
     the reader keeps the newest row per key. The checkpoint makes a restarted
     run go on where it stopped; a repeated batch is written to the same folder.
+    ``progress`` gets, for each micro-batch, the rows in, the rows dropped as late
+    and the rows of state each operator holds after it.
     """
     spark = stream.sparkSession
     base = scratch_path(spark, name)
@@ -39,6 +40,10 @@ def drain(stream: DataFrame, name: str, mode: str = "append", keys: list[str] |
             batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
         q = w.foreachBatch(save).start()
     q.awaitTermination()
+    if progress is not None:
+        for p in q.recentProgress:
+            ops = p["stateOperators"]
+            progress.append({"rows": p["numInputRows"], "late": sum(o["numRowsDroppedByWatermark"] for o in ops), "state": {o["operatorName"]: o["numRowsTotal"] for o in ops}})
     schema = stream.schema
     if mode == "append":
         return spark.read.schema(schema).parquet(out)
@@ -56,6 +61,16 @@ def land(df: DataFrame, name: str, by: str, files: int = 4, fmt: str = "parquet"
     return path
 
 
+def land_in_order(df: DataFrame, name: str, by: str, files: int = 4) -> str:
+    """Files of equal shares that land one after the other along ``by``, as a collector's do."""
+    path, df = scratch_path(df.sparkSession, name), cut_lineage(df)
+    cuts = df.agg(F.percentile_approx(by, [k / files for k in range(1, files)], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df.where((F.col(by) > low) if low is not None else F.lit(True)).where((F.col(by) <= high) if high is not None else F.lit(True))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def read_landed(spark: SparkSession, path: str, schema, fmt: str = "parquet", per_trigger: int = 2) -> DataFrame:
     r = spark.readStream.option("maxFilesPerTrigger", per_trigger).format(fmt)
     return (r.schema(schema) if schema is not None else r).load(path)
@@ -164,59 +179,79 @@ def poll_counts(obs: DataFrame, ts: str, width: str, delay: str, customers: str)
 
 CHAIN_SCHEMA = ("outage string, event bigint, first_seen bigint, last_seen bigint, restored_hi bigint, "
                 "reappeared boolean, max_cust double")
-SHARDS = 64
+#: One open or idle event of an outage: its number, sightings, the two polls after the last one, and whether it was reported.
+CHAIN_STATE = "event bigint, first bigint, last bigint, i bigint, after1 bigint, after2 bigint, back boolean, most double, reported boolean"
+#: Seconds after which an outage without a sighting is forgotten, number and all.
+FORGET_S = 30 * 86_400
+
 
+def poll_notes(polls: DataFrame) -> DataFrame:
+    """What each poll says of the poll two before it: after2 (its own time), after1, t and the number i of that poll."""
+    return poll_index(polls, "t").where("after2 is not null").select("t", "i", "after1", "after2")
 
-def chain_input(sightings: DataFrame, polls: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Sightings spread over shards by outage, and every poll tick sent to every shard.
 
-    Absence is a non-event: a shard only learns that an outage is gone by
-    seeing the tick without it. Ticks are one row per poll, so this is cheap.
+def with_heartbeats(sightings: DataFrame, polls: DataFrame) -> DataFrame:
+    """Sightings and one row without an outage for each poll, so that time goes on where nothing is out."""
+    return sightings.select("t", "outage", "cust").unionByName(polls.select("t", F.lit(None).cast("string").alias("outage"), F.lit(None).cast("double").alias("cust")))
+
+
+def with_next_polls(sightings: DataFrame, notes: DataFrame, delay: str) -> DataFrame:
+    """Stream of sightings ``with_heartbeats`` with the number of their poll and the times of the two polls after it.
+
+    A sighting waits in the join's state until the second poll after it has landed, and both sides are dropped once the
+    watermark has passed them.
     """
-    s = sightings.select(F.pmod(F.xxhash64("outage"), F.lit(shards)).cast("int").alias("shard"), "t", "outage", "cust")
-    p = polls.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "t",
-                     F.lit(None).cast("string").alias("outage"), F.lit(None).cast("double").alias("cust"))
-    return s.unionByName(p)
+    s = sightings.withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", delay)
+    n = notes.select(F.timestamp_seconds("t").alias("poll_ts"), "i", "after1", "after2").withWatermark("poll_ts", delay)
+    return s.join(n, F.col("ts") == F.col("poll_ts")).select("ts", "outage", "t", "cust", "i", "after1", "after2")
 
 
-def event_chains(rows: DataFrame, reappear_s: int = 7200) -> DataFrame:
-    """Finished outage events from an ordered stream of sightings and ticks.
+def event_chains(rows: DataFrame, reappear_s: int = 7200, forget_s: int = FORGET_S) -> DataFrame:
+    """Finished outage events from a stream of sightings ``with_next_polls``; state is kept per outage.
 
-    State per shard: the outages not yet finished. An event is finished at the
-    first tick that finds it absent from two polls and gone for more than
-    ``reappear_s``; coming back earlier continues it. Ticks of a micro-batch
-    are handled in time order; a row older than the last tick handled is late
-    and is left out (the batch operator is the ground truth for those).
+    A sighting continues its outage's event unless two polls or more were without it and it was gone for more than
+    ``reappear_s``. An event is finished by the watermark: once that is past ``reappear_s`` after the poll that first
+    lacked the outage, and past a second poll, no sighting to come can continue it. After ``forget_s`` without a sighting
+    the outage's state is removed. Sightings behind the watermark are dropped by the join and counted in the query's
+    progress (see ``drain``).
     """
+    def ends(st: dict) -> int:
+        return 1000 * max(st["after1"] + reappear_s + 1, st["after2"])
+
+    def report(outage: str, st: dict) -> tuple:
+        st["reported"] = True
+        return outage, st["event"], st["first"], st["last"], st["after1"], st["back"], st["most"]
+
     def step(key, frames, state):
-        doc = json.loads(state.get[0]) if state.exists else {"last": None, "open": {}, "events": {}}
-        pdf = pd.concat(list(frames))
-        if doc["last"] is not None:
-            pdf = pdf[pdf["t"] > doc["last"]]
-        done = []
-        for t, at in pdf.sort_values("t", kind="stable").groupby("t", sort=True):
-            t = int(t)
-            seen = at[at["outage"].notna()].groupby("outage")["cust"].max()
-            for o in list(doc["open"]):
-                e = doc["open"][o]
-                if o not in seen.index:
-                    e["absent"] += 1
-                    e["gone"] = t if e["gone"] is None else e["gone"]
-                if e["gone"] is not None and t - e["gone"] > reappear_s and e["absent"] >= 2:
-                    done.append((o, e["event"], e["first"], e["last"], e["gone"], e["back"], e["max"]))
-                    del doc["open"][o]
-            for o, cust in seen.items():
-                e = doc["open"].get(o)
-                if e is None:
-                    doc["events"][o] = doc["events"].get(o, 0) + 1
-                    doc["open"][o] = {"event": doc["events"][o], "first": t, "last": t, "absent": 0, "gone": None,
-                                      "back": False, "max": float(cust)}
+        if key[0] is None:                                  # heartbeats
+            return
+        names = [c.split()[0] for c in CHAIN_STATE.split(", ")]
+        st = dict(zip(names, state.get)) if state.exists else None
+        now, done = state.getCurrentWatermarkMs(), []
+        if state.hasTimedOut:
+            if st["reported"]:
+                state.remove()
+                return
+            done.append(report(key[0], st))
+        for frame in () if state.hasTimedOut else [pd.concat(list(frames)).groupby("t", as_index=False).agg({"i": "max", "after1": "max", "after2": "max", "cust": "max"})]:
+            for t, i, after1, after2, cust in frame.sort_values("t").itertuples(index=False):
+                absent = i - st["i"] - 1 if st else 0
+                if st is None or absent >= 2 and t - st["after1"] > reappear_s:
+                    if st and not st["reported"]:
+                        done.append(report(key[0], st))
+                    st = {"event": (st["event"] if st else 0) + 1, "first": int(t), "back": False, "most": float(cust), "reported": False}
                 else:
-                    e["back"] = e["back"] or e["absent"] >= 2
-                    e.update(last=t, absent=0, gone=None, max=max(e["max"], float(cust)))
-            doc["last"] = t
-        state.update((json.dumps(doc),))
-        yield pd.DataFrame(done, columns=["outage", "event", "first_seen", "last_seen", "restored_hi", "reappeared", "max_cust"])
-
-    return rows.groupBy("shard").applyInPandasWithState(step, CHAIN_SCHEMA, "doc string", "append",
-                                                        GroupStateTimeout.NoTimeout)
+                    st |= {"back": bool(st["back"] or absent >= 2), "most": max(st["most"], float(cust))}
+                st |= {"last": int(t), "i": int(i), "after1": int(after1), "after2": int(after2)}
+        if not st["reported"] and ends(st) <= now:
+            done.append(report(key[0], st))
+        wake = ends(st) if not st["reported"] else 1000 * (st["last"] + forget_s)
+        if wake <= now:
+            state.remove()
+        else:
+            state.update(tuple(st[n] for n in names))
+            state.setTimeoutTimestamp(wake)
+        if done:
+            yield pd.DataFrame(done, columns=["outage", "event", "first_seen", "last_seen", "restored_hi", "reappeared", "max_cust"])
+
+    return rows.groupBy("outage").applyInPandasWithState(step, CHAIN_SCHEMA, CHAIN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
