@@ -152,3 +152,23 @@ def test_near_duplicates_over_years_at_one_spot(spark, monkeypatch, block_rows):
         if not near:
             primaries[g].append((i, g, x, y, t))
     assert got == want and len(rounds) < 10
+
+
+def test_a_dense_tile_is_divided(spark, monkeypatch):
+    """Thousands of reports within a few hundred metres and days are decided in blocks of bounded size."""
+    monkeypatch.setattr(S, "BLOCK_ROWS", 150)
+    rng = random.Random(11)
+    rows = [(k, "a", rng.uniform(0, 600), rng.uniform(0, 600), float(rng.randint(0, 20))) for k in range(4000)] + [(9000 + k, "b", rng.uniform(0, 90_000), 5.0, float(k)) for k in range(50)]
+    sizes, keep = [], S.stored
+
+    def watch(df, path):
+        out = keep(df, path)
+        if "slab" in out.columns and "id" in out.columns and "link" not in out.columns and "/places" in path:
+            sizes.extend(out.groupBy("type", "gx", "gy", "slab").count().collect())
+        return out
+
+    monkeypatch.setattr(S, "stored", watch)
+    got = {r["id"]: r["duplicate_of"] for r in S.near_duplicates(spark.createDataFrame(rows, "id long, type string, x double, y double, t double"), 50, 7).collect()}
+    assert got == greedy(rows, 50, 7)
+    a = [r["count"] for r in sizes if r["type"] == "a"]
+    assert len(a) > 20 and max(a) <= 300 and len({(r.gx, r.gy) for r in sizes if r["type"] == "b"}) <= 2

@@ -71,9 +71,8 @@ def grid_pairs(a: DataFrame, b: DataFrame, meters: float, *, group: bool = True,
 
 # --- near duplicates ------------------------------------------------------
 
-#: Edge of the smallest tile in search radii, how often it may double, the windows of a stretch of time, and the places
-#: and times that one block should hold.
-TILE_RADII, DOUBLINGS, STRETCH, BLOCK_ROWS = 20, 16, 10, 50_000
+#: Edge of the smallest tile in search radii, how often it may double, and the places and times that one block should hold.
+TILE_RADII, DOUBLINGS, BLOCK_ROWS = 2, 20, 50_000
 
 
 def _tile(c: Column, side: float) -> Column:
@@ -121,10 +120,10 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
     without a place, time or type are primaries.
 
     Records of one type, place and time are decided as one. The rest is cut into
-    blocks: a type, a tile, and stretches of ``STRETCH`` windows with about
+    blocks: a type, a tile, and as many windows of ``days`` as hold about
     ``BLOCK_ROWS`` rows. A type's tiles are as large as they can be without one
-    stretch of a tile exceeding that, so most types have a single tile and a hot
-    tile has many blocks. All blocks decide in parallel, given the primaries around
+    window of a tile exceeding that, so most types have a single tile, a hot tile has
+    many blocks, and tiles shrink to ``TILE_RADII`` radii where places are dense. All blocks decide in parallel, given the primaries around
     them as the last round left them; a block whose surroundings changed decides
     again, until none has. The greedy result is the only fixed point: the earliest
     wrong decision gets right in each round. How many rounds that takes depends on
@@ -139,14 +138,14 @@ def near_duplicates(df: DataFrame, meters: float = 50.0, days: float = 7.0) -> D
     heads = stored(heads, scratch_path(spark, "places"))
     tile = ["type", "gx", "gy"]
     up = lambda c: F.expr(f"shiftright({c}, level)")
-    weeks = heads.groupBy(*tile, "tb").agg(F.count("*").alias("n")).withColumn("stretch", F.floor(F.col("tb") / STRETCH))
-    fits = (weeks.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(DOUBLINGS)))).groupBy("type", "level", "stretch", up("gx"), up("gy"))
+    weeks = heads.groupBy(*tile, "tb").agg(F.count("*").alias("n"))
+    fits = (weeks.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(DOUBLINGS)))).groupBy("type", "level", "tb", up("gx"), up("gy"))
             .agg(F.sum("n").alias("n")).groupBy("type", "level").agg(F.max("n").alias("n")))
     level = stored(fits.groupBy("type").agg(F.coalesce(F.max(F.when(F.col("n") <= BLOCK_ROWS, F.col("level"))), F.lit(0)).alias("level")),
                    scratch_path(spark, "levels"))
-    weeks = weeks.join(small_side(level), "type").select("type", "level", up("gx").alias("gx"), up("gy").alias("gy"), "tb", "stretch", "n")
-    weeks = weeks.groupBy(*tile, "level", "tb", "stretch").agg(F.sum("n").alias("n"))
-    before = F.sum("n").over(Window.partitionBy(*tile).orderBy("stretch").rangeBetween(Window.unboundedPreceding, -1))
+    weeks = weeks.join(small_side(level), "type").select("type", "level", up("gx").alias("gx"), up("gy").alias("gy"), "tb", "n")
+    weeks = weeks.groupBy(*tile, "level", "tb").agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*tile).orderBy("tb").rangeBetween(Window.unboundedPreceding, -1))
     weeks = stored(weeks.select(*tile, "level", "tb", F.floor(F.coalesce(before, F.lit(0)) / BLOCK_ROWS).cast("long").alias("slab")),
                    scratch_path(spark, "blocks"))
     block = [*tile, "slab"]
