@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,51 +142,44 @@ def median_metric(df: DataFrame, cells: list[str], value: str,
                     F.when(shown, F.col("high")).alias("ci_high"), "n", (~shown).alias("suppressed"))
 
 
+def poisson_steps(digits: int = 8) -> list[str]:
+    """Hexadecimal bounds of a uniform number: a Poisson(1) draw is how many of them it is not below."""
+    out, p, total, k = [], math.exp(-1.0), 0.0, 0
+    while math.ceil((total := total + p) * 16**digits) < 16**digits:
+        out.append(f"{math.ceil(total * 16**digits):0{digits}x}")
+        p /= (k := k + 1)
+    return out
+
+
 def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REPS, seed: int = SEED) -> DataFrame:
     """n, total, ci_low, ci_high: percentile bootstrap of the sum of each cell.
 
-    Resampling n values with replacement is drawn as Poisson weights with a
-    ratio correction, n * sum(wx) / sum(w). Equal values are counted first (c
-    copies take one Poisson(c) weight), weights come from a hash of cell, value
-    and seed, so the result depends on neither partitioning nor record order,
-    and only (cell, replicate) sums are shuffled.
+    Resampling n values with replacement is drawn as Poisson(1) weights with a ratio correction, n * sum(wx) / sum(w).
+    Weights come by inversion from the digits of a hash of seed, cell, value, which copy of the value it is, and
+    replicate, four replicates to a hash; values are told apart to four decimals. The result depends on neither
+    partitioning nor record order, any engine with the same hash draws alike, and only (cell, four replicates) sums are
+    shuffled.
     """
-    v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("x"))
-         .agg(F.count(F.lit(1)).cast("double").alias("c"))
-         .withColumn("h", F.xxhash64(*cells, "x", F.lit(seed))))
-
-    def partial(batches):
-        sums: dict[tuple, np.ndarray] = {}
-        for pdf in batches:
-            for key, g in pdf.groupby(cells, dropna=False, sort=False):
-                key = key if isinstance(key, tuple) else (key,)
-                acc = sums.setdefault(key, np.zeros((2, reps)))
-                for x, c, h in zip(g["x"].to_numpy(), g["c"].to_numpy(), g["h"].to_numpy()):
-                    w = np.random.Generator(np.random.Philox(key=int(h) & (2**64 - 1))).poisson(c, reps)
-                    acc[0] += w
-                    acc[1] += w * x
-            if len(sums) > 256:
-                yield from flush(sums)
-                sums.clear()
-        yield from flush(sums)
-
-    def flush(sums):
-        for key, acc in sums.items():
-            out = pd.DataFrame({"rep": np.arange(reps), "w": acc[0], "wx": acc[1]})
-            for name, val in zip(cells, key):
-                out[name] = val
-            yield out[[*cells, "rep", "w", "wx"]]
-
-    types = dict(df.dtypes)
-    schema = ", ".join([f"{c} {types[c]}" for c in cells] + ["rep int", "w double", "wx double"])
-    per_rep = (v.select(*cells, "x", "c", "h").mapInPandas(partial, schema)
-               .groupBy(*cells, "rep").agg(F.sum("w").alias("w"), F.sum("wx").alias("wx")))
+    v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c")))
     total = v.groupBy(*cells).agg(F.sum("c").alias("n"), F.sum(F.col("x") * F.col("c")).alias("total"))
-    # At most ``reps`` rows per cell reach this percentile.
-    sims = (per_rep.join(total.select(*cells, "n"), cells)
-            .withColumn("s", F.col("n") * F.col("wx") / F.nullif(F.col("w"), F.lit(0.0))))
+    draws = v.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "c"))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(-(-reps // 4) - 1))))
+    draws = draws.withColumn("h", F.md5(F.concat_ws(":", F.lit(f"w:{seed}"), *[F.col(c).cast("string") for c in cells], F.col("x").cast("decimal(24,4)").cast("string"), F.col("copy").cast("string"), F.col("b").cast("string"))))
+    steps = poisson_steps()
+
+    def weight(k: int) -> Column:
+        u, out = F.substring("h", 8 * k + 1, 8), F.when(F.substring("h", 8 * k + 1, 8) < steps[0], 0)
+        for i, bound in enumerate(steps[1:], 1):
+            out = out.when(u < bound, i)
+        return out.otherwise(len(steps))
+
+    draws = draws.withColumns({f"w{k}": weight(k) for k in range(4)})
+    sums = draws.groupBy(*cells, "b").agg(*[a for k in range(4) for a in (F.sum(f"w{k}").alias(f"w{k}"), F.sum(F.col(f"w{k}") * F.col("x")).alias(f"s{k}"))])
+    each = F.array(*[F.struct((F.col("b") * 4 + k).alias("rep"), F.col(f"w{k}").alias("w"), F.col(f"s{k}").alias("wx")) for k in range(4)])
+    # at most ``reps`` rows per cell reach this percentile
+    sims = (sums.select(*cells, F.inline(each)).where(F.col("rep") < reps).join(total.select(*cells, "n"), cells)
+            .withColumn("s", F.col("n") * F.col("wx") / F.nullif(F.col("w").cast("double"), F.lit(0.0))))
     ci = sims.groupBy(*cells).agg(F.percentile("s", 0.025).alias("ci_low"), F.percentile("s", 0.975).alias("ci_high"))
-    return total.withColumn("n", F.col("n").cast("bigint")).join(ci, cells)
+    return total.join(ci, cells)
 
 
 POWERS = ("n", "s1", "s2", "s3", "s4")
@@ -289,11 +282,15 @@ def null_sum(c: Column) -> Column:
     return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
 
 
-def even_share(df: DataFrame, group: list[str], value: str, out: str = "share") -> DataFrame:
-    """Share of the group total; an even split when the total is zero."""
-    tot = df.groupBy(*group).agg(F.sum(value).alias("_tot"), F.count(F.lit(1)).alias("_cnt"))
-    return (df.join(tot, group).withColumn(out, F.when(F.col("_tot") > 0, F.col(value) / F.col("_tot"))
-                                           .otherwise(1.0 / F.col("_cnt"))).drop("_tot", "_cnt"))
+def even_share(df: DataFrame, group: list[str], value: str | dict[str, str], out: str = "share") -> DataFrame:
+    """Share of the group total; an even split when the total is zero.
+
+    ``value`` may name several values and their shares: the groups are added up once for all of them.
+    """
+    values = {value: out} if isinstance(value, str) else value
+    tot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"), *[F.sum(v).alias(f"_tot_{v}") for v in values])
+    share = lambda v: F.when(F.col(f"_tot_{v}") > 0, F.col(v) / F.col(f"_tot_{v}")).otherwise(1.0 / F.col("_cnt"))
+    return df.join(tot, group).withColumns({o: share(v) for v, o in values.items()}).drop("_cnt", *[f"_tot_{v}" for v in values])
 
 
 def apportion(bg: DataFrame, blocks: DataFrame, levels: dict[str, str], hu_vars: list[str] = ()) -> DataFrame:

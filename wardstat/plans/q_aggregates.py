@@ -86,15 +86,19 @@ def bootstrap_median(t):
     return rnd(A.median_metric(o, ["nation"], "o_totalprice"), 4, *CI)
 
 
-@query("bootstrap_total", sql("pl", """SELECT nation, count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS plausible FROM orders JOIN pl ON o_custkey = custkey GROUP BY nation"""))
+def _sql_draws(reps: int) -> str:
+    """Poisson weights of every copy of a value: four replicates to a hash, as the operator draws them."""
+    cases = " ".join(f"WHEN u < '{b}' THEN {i}" for i, b in enumerate(A.poisson_steps()))
+    return f"""SELECT nation, x, 4 * b + k AS rep, CASE {cases} ELSE {len(A.poisson_steps())} END AS w FROM (
+  SELECT nation, x, b, k, substr(h, 8 * k + 1, 8) AS u FROM (SELECT *, md5('w:{A.SEED}:' || nation || ':' || CAST(x AS DECIMAL(24,4)) || ':' || copy || ':' || b) AS h FROM bt, range(0, {-(-reps // 4)}) g(b)), range(0, 4) q(k))"""
+
+
+@query("bootstrap_total", sql("pl", """SELECT nation, any_value(n) AS n, round(any_value(total), 2) AS total, round(quantile_cont(s, 0.025), 2) AS ci_low, round(quantile_cont(s, 0.975), 2) AS ci_high FROM (
+  SELECT nation, rep, any_value(n) AS n, any_value(total) AS total, any_value(n) * sum(w * x) / sum(w) AS s FROM bw JOIN (SELECT nation, count(*) AS n, sum(x) AS total FROM bt GROUP BY 1) USING (nation) GROUP BY nation, rep) GROUP BY nation""", [
+    ("bt", "SELECT nation, o_totalprice AS x, row_number() OVER (PARTITION BY nation, o_totalprice) AS copy FROM orders JOIN pl ON o_custkey = custkey"), ("bw", _sql_draws(A.REPS))]))
 def bootstrap_total(t):
-    # The interval is random by design: it must bracket the total, about 2 standard errors wide.
     o = t.orders.join(P.places(t), F.col("o_custkey") == F.col("custkey")).select("nation", "o_totalprice")
-    b = A.bootstrap_total(o, ["nation"], "o_totalprice")
-    sd = o.groupBy("nation").agg((F.stddev_pop("o_totalprice") * F.sqrt(F.count(F.lit(1)))).alias("se"))
-    half = (F.col("ci_high") - F.col("ci_low")) / 2
-    return b.join(sd, "nation").select("nation", "n", F.round("total", 2).alias("total"),
-                                       (F.col("total").between(F.col("ci_low"), F.col("ci_high")) & half.between(1.75 * F.col("se"), 2.2 * F.col("se"))).alias("plausible"))
+    return rnd(A.bootstrap_total(o, ["nation"], "o_totalprice"), 2, "total", "ci_low", "ci_high")
 
 
 _KM = [("tm", "SELECT *, CASE WHEN is_closed THEN bd_to_close ELSE age_bd END AS time, CAST(is_closed AS INTEGER) AS ev FROM base WHERE close_problem IS NULL")]
@@ -132,7 +136,7 @@ def hex_proportion(t):
   x AS (SELECT geo, 'people' AS variable, e * wp AS e, m * wp AS m FROM w JOIN bg USING (bg) UNION ALL SELECT geo, 'homes', e * wh, m * wh FROM w JOIN bg USING (bg))
   SELECT 'flag' AS geo_type, geo AS geo_id, variable, round(sum(e), 2) AS estimate, CASE WHEN count(m) = count(*) THEN round(sqrt(sum(m * m)), 2) END AS moe FROM x GROUP BY ALL""").replace("WITH RECURSIVE pl AS", "WITH RECURSIVE pl AS").replace("\nWITH bg AS", ",\nbg AS", 1))
 def weighted_apportion(t):
-    li = A.even_share(A.even_share(t.lineitem, ["l_orderkey"], "l_quantity", "weight_pop"), ["l_orderkey"], "l_extendedprice", "weight_hu")
+    li = A.even_share(t.lineitem, ["l_orderkey"], {"l_quantity": "weight_pop", "l_extendedprice": "weight_hu"})
     blocks = li.select(F.col("l_orderkey").alias("bg"), "weight_pop", "weight_hu", "l_returnflag")
     moe = F.when(~((F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 2000)), F.col("o_totalprice") / 10)
     bg = t.orders.select(F.col("o_orderkey").alias("bg"), F.explode(F.array(F.lit("people"), F.lit("homes"))).alias("variable"), F.col("o_totalprice").alias("estimate"), moe.alias("moe"))

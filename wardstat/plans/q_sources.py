@@ -105,21 +105,34 @@ def scan_poll_log(t):
     return log.select(F.col("time.who").alias("feed"), F.col("time.time").alias("time"), "ok")
 
 
-@query("scan_gtfs_tables", """SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_linenumber AS INTEGER) AS stop_sequence,
-  l_quantity AS shape_dist_traveled, l_returnflag = 'A' AS timepoint, '0' || CAST(l_suppkey AS VARCHAR) AS stop_id, count(*) AS n
-  FROM lineitem GROUP BY ALL""")
+@query("scan_gtfs_tables", """SELECT 'trips' AS tbl, CAST(o_orderkey AS VARCHAR) AS k, o_orderpriority || '|' || o_orderstatus || '|' || CAST(o_orderkey % 2 AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR) AS v, 1 AS n, NULL::DOUBLE AS num FROM orders
+  UNION ALL SELECT 'stop_times', CAST(l_orderkey AS VARCHAR), CAST(CAST(l_linenumber AS INTEGER) AS VARCHAR) || '|0' || CAST(l_suppkey AS VARCHAR) || '|' || CASE WHEN l_returnflag = 'A' THEN 'true' ELSE 'false' END, count(*), sum(l_quantity) FROM lineitem GROUP BY ALL
+  UNION ALL SELECT 'stops', '0' || CAST(s_suppkey AS VARCHAR), s_name, 1, s_suppkey / 7.0::DOUBLE FROM supplier
+  UNION ALL SELECT 'shapes', CAST(p_partkey AS VARCHAR), CAST(p_size AS VARCHAR), 1, p_retailprice FROM part
+  UNION ALL SELECT 'calendar', o_orderstatus, strftime(min(o_orderdate), '%Y%m%d') || '|' || strftime(max(o_orderdate), '%Y%m%d'), 5, NULL FROM orders GROUP BY o_orderstatus
+  UNION ALL SELECT DISTINCT 'calendar_dates', o_orderstatus, strftime(o_orderdate, '%Y%m%d'), CASE WHEN day(o_orderdate) = 1 THEN 1 ELSE 2 END, NULL FROM orders WHERE day(o_orderdate) < 3""")
 def scan_gtfs_tables(t):
     base = scratch_path(t.spark, "gtfs")
-    (t.lineitem.select(F.col("l_orderkey").alias("trip_id"), F.concat(F.lit("0"), "l_suppkey").alias("stop_id"),
-                       F.col("l_linenumber").alias("stop_sequence"), F.col("l_quantity").alias("shape_dist_traveled"),
-                       (F.col("l_returnflag") == "A").cast("int").alias("timepoint"),
-                       F.lit("06:00:00").alias("arrival_time"))
-     .write.csv(f"{base}/version=2001-01-01/stop_times.txt", header=True))
-    for name in set(files.GTFS) - {"stop_times"}:
-        head = files.GTFS[name].split(",")[0].split(" ")[0]
-        t.spark.range(1).select(F.lit("x").alias(head)).write.csv(f"{base}/version=2001-01-01/{name}.txt", header=True)
-    st = files.read_gtfs(t.spark, base)["stop_times"]
-    return st.groupBy("trip_id", "stop_sequence", "shape_dist_traveled", "timepoint", "stop_id").agg(F.count(F.lit(1)).alias("n"))
+    o, txt = t.orders.withColumn("day", F.date_format("o_orderdate", "yyyyMMdd")), lambda c: F.col(c).cast("string")
+    tables = {
+        "trips": o.select(F.col("o_orderpriority").alias("route_id"), F.col("o_orderstatus").alias("service_id"), txt("o_orderkey").alias("trip_id"), (F.col("o_orderkey") % 2).alias("direction_id"), txt("o_custkey").alias("shape_id")),
+        "stop_times": t.lineitem.select(F.col("l_orderkey").alias("trip_id"), F.concat(F.lit("0"), "l_suppkey").alias("stop_id"), F.col("l_linenumber").alias("stop_sequence"), F.col("l_quantity").alias("shape_dist_traveled"),
+                                        (F.col("l_returnflag") == "A").cast("int").alias("timepoint"), F.lit("06:00:00").alias("arrival_time")),
+        "stops": t.supplier.select(F.concat(F.lit("0"), "s_suppkey").alias("stop_id"), F.col("s_name").alias("stop_name"), (F.col("s_suppkey") / 7.0).alias("stop_lat"), F.lit(-90.0).alias("stop_lon")),
+        "shapes": t.part.select(F.col("p_partkey").alias("shape_id"), F.col("p_retailprice").alias("shape_pt_lat"), F.lit(-90.0).alias("shape_pt_lon"), F.col("p_size").alias("shape_pt_sequence")),
+        "calendar": o.groupBy(F.col("o_orderstatus").alias("service_id")).agg(F.min("day").alias("start_date"), F.max("day").alias("end_date")).select("service_id", *(F.lit(int(d[0] != "s")).alias(d) for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")), "start_date", "end_date"),
+        "calendar_dates": o.where(F.dayofmonth("o_orderdate") < 3).select(F.col("o_orderstatus").alias("service_id"), F.col("day").alias("date"), F.when(F.dayofmonth("o_orderdate") == 1, 1).otherwise(2).alias("exception_type")).distinct(),
+    }
+    for name, df in tables.items():
+        df.write.csv(f"{base}/version=2001-01-01/{name}.txt", header=True)
+    g = files.read_gtfs(t.spark, base)
+    row = lambda name, k, v, n=F.lit(1), num=F.lit(None): g[name].select(F.lit(name).alias("tbl"), F.col(k).alias("k"), v.alias("v"), n.cast("bigint").alias("n"), num.cast("double").alias("num"))
+    text = lambda *cols: F.concat_ws("|", *(F.col(c).cast("string") for c in cols))
+    days = sum((F.col(d) for d in ("tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")), F.col("monday"))
+    st = row("stop_times", "trip_id", text("stop_sequence", "stop_id", "timepoint"), num=F.col("shape_dist_traveled")).groupBy("tbl", "k", "v").agg(F.count(F.lit(1)).alias("n"), F.sum("num").alias("num"))
+    return (row("trips", "trip_id", text("route_id", "service_id", "direction_id", "shape_id")).unionByName(st).unionByName(row("stops", "stop_id", F.col("stop_name"), num=F.col("stop_lat")))
+            .unionByName(row("shapes", "shape_id", text("shape_pt_sequence"), num=F.col("shape_pt_lat"))).unionByName(row("calendar", "service_id", text("start_date", "end_date"), days))
+            .unionByName(row("calendar_dates", "service_id", F.col("date"), F.col("exception_type"))))
 
 
 _VERSIONS = """SELECT DISTINCT CAST(date_trunc('quarter', o_orderdate) AS DATE) + 20 AS vday,
@@ -219,7 +232,7 @@ def sink_metrics_csv(t):
     path = scratch_path(t.spark, "metrics")
     m = _ticket_metrics(t).select(*checks.METRIC_COLUMNS)
     sinks.write_metrics(m, path)
-    back = t.spark.read.parquet(path)
+    back = sinks.read_metrics(t.spark, path)
     return back.select("geo_type", "geo_id", "subgroup", "window_start", "window_end", "value", "ci_low", "ci_high", "n",
                        "suppressed", "citywide_median")
 

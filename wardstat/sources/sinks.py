@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.operators.checks import metrics_problems
+from wardstat.operators.checks import METRIC_COLUMNS, METRIC_TYPES, metrics_problems
 
 # Records per shard file. A busy shard is split into more parts, so no task
 # ever collects an unbounded group.
 SHARD_ROWS = 20_000
 
 
-def write_metrics(m: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Check the output contract, then write one folder per geography type."""
+def write_metrics(m: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Check the output contract, then write one folder per geography type, as CSV with a header unless told otherwise."""
     bad = metrics_problems(m).collect()      # at most nine rows
     if bad:
         raise ValueError("metrics table invalid: " + "; ".join(f"{r['problem']} ({r['rows']})" for r in bad))
-    m.write.mode("errorifexists").partitionBy("geo_type").format(fmt).save(path)
+    m.write.mode("errorifexists").partitionBy("geo_type").option("header", True).format(fmt).save(path)
+
+
+def read_metrics(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """A metrics table that ``write_metrics`` wrote, with the contract's columns and types."""
+    schema = ", ".join(f"{c} {METRIC_TYPES[c]}" for c in METRIC_COLUMNS)
+    return spark.read.schema(schema).option("header", True).option("positiveInf", "Infinity").format(fmt).load(path).select(*METRIC_COLUMNS)
 
 
 def points_geojson(points: DataFrame, fields: list[str]) -> DataFrame:
