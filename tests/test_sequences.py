@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -108,9 +109,8 @@ def test_transit_scenario(spark):
 
 
 def test_track_rules():
-    import numpy as np
     px, py, cum = np.array([0.0, 2500, 5000]), np.zeros(3), np.array([0.0, 2500, 5000])
-    p = T._progress(px, py, cum, np.array([1000.0, 2000, 3000]), np.array([0.0, 1100, 0]))
+    p = T._progress(T.Segments(px, py, cum), np.array([1000.0, 2000, 3000]), np.array([0.0, 1100, 0]))
     assert np.isnan(p[1]) and p[2] == 3000
     assert T._crossings(np.array([0.0, 400]), np.array([2000.0, 3000]), [2500]) == [None]
     assert T._crossings(np.array([0.0, 100]), np.array([2000.0, 3000]), [2500]) == [50.0]
@@ -134,3 +134,49 @@ def test_asof(spark):
     d = spark.createDataFrame([("2026-09-19",), ("2026-09-24",), ("2026-09-25",), ("2026-10-25",)], "day string").withColumn("day", F.col("day").cast("date"))
     out = J.asof_backward(d, v, "day", "vday", ["name"], lambda c: F.trunc(c, "MM"), tie=["name"])
     assert {str(r["day"]): r["name"] for r in out.collect()} == {"2026-09-19": None, "2026-09-24": "c", "2026-09-25": "c", "2026-10-25": "d"}
+
+
+def _plain_progress(px, py, cum, x, y):
+    """Every segment for every report."""
+    dx, dy = np.diff(px), np.diff(py)
+    l2 = dx * dx + dy * dy
+    out, reached = np.full(len(x), np.nan), -np.inf
+    for i in range(len(x)):
+        u = np.clip(((x[i] - px[:-1]) * dx + (y[i] - py[:-1]) * dy) / np.where(l2 == 0, 1.0, l2), 0.0, 1.0)
+        along, off = cum[:-1] + u * np.sqrt(l2), np.hypot(x[i] - px[:-1] - u * dx, y[i] - py[:-1] - u * dy)
+        off[along < reached - T.BACKTRACK_M] = np.inf
+        if off.min() <= T.OFF_SHAPE_M:
+            reached = out[i] = max(reached, along[off.argmin()])
+    return out
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_segment_index_finds_the_nearest_segment(seed):
+    rng = np.random.default_rng(seed)
+    n = 400
+    px, py = np.cumsum(rng.normal(3, 40, n)), np.cumsum(rng.normal(0, 40, n))
+    px[50:53], py[50:53] = px[50], py[50]                                     # a vertex that is repeated
+    px[200:], py[200:] = px[200:] + 3000, py[200:] - 900                     # one long segment
+    cum = np.concatenate([[0.0], np.cumsum(np.hypot(np.diff(px), np.diff(py)))])
+    k = np.sort(rng.integers(0, n, 300))
+    x, y = px[k] + rng.normal(0, 45, 300), py[k] + rng.normal(0, 45, 300)
+    got, want = T._progress(T.Segments(px, py, cum), x, y), _plain_progress(px, py, cum, x, y)
+    assert np.array_equal(got, want, equal_nan=True) and np.isnan(want).any() and (~np.isnan(want)).sum() > 40
+
+
+def test_work_per_report_does_not_grow_with_the_shape():
+    met = {}
+    for n in (100, 20_000):
+        px = np.arange(n) * 25.0
+        shape = T.Segments(px, np.zeros(n), px)
+        met[n] = max(len(shape.near(x, 10.0)) for x in px[:90])
+    assert met[100] == met[20_000] <= 16
+
+
+def test_a_trip_is_gathered_once(spark):
+    shapes = T.shape_arrays(spark.createDataFrame([("s", float(i), 0.0, i, float(i)) for i in range(3)], "shape_id string, x double, y double, seq int, dist double"))
+    reports = spark.createDataFrame([("2026-01-01", "t", "s", float(i), float(i), 0.0) for i in range(3)], "service_date string, trip_id string, shape_id string, t double, x double, y double")
+    stops = spark.createDataFrame([("2026-01-01", "t", "a", 1.5)], "service_date string, trip_id string, stop_id string, stop_along double")
+    out = T.crossing_times(reports, stops, shapes)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.split("ArrowEvalPython")[0].count("Exchange") == 0 and out.count() == 1

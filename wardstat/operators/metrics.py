@@ -11,7 +11,7 @@ from wardstat.operators import aggregates as agg
 from wardstat.operators.joins import by_area, fan_out, with_all_areas
 from wardstat.operators.sequences import headway_gaps, latest_per_key, scheduled_gaps
 from wardstat.operators.spatial import first_rereport
-from wardstat.session import attach, cut_lineage
+from wardstat.session import attach, cut_lineage, small_side
 
 CELL = ["geo_type", "geo_id"]
 WINDOW = ["window_start", "window_end"]
@@ -309,14 +309,22 @@ def ghost_rate(cls: DataFrame, stop_times: DataFrame, stop_cells: DataFrame, thr
 
     ``cls``: classified trips with a ``tolerance`` per variant; ``stop_cells``: stop_id, h8.
     """
-    d = cls.where(F.col("measurable") & (F.col("status") != "unobserved")).withColumn("ghost", F.col("status") == "ghost")
-    d = day_windows(d, "service_date", through, TRANSIT_WINDOWS).withColumn("variant", _tolerance_name())
-    cells = ["variant", *CELL, *WINDOW]
-    trips = agg.flag_proportion(by_area(d, transit_levels(False)), cells, F.col("ghost"))
-    at = (d.join(stop_times.select("service_date", "trip_id", "stop_id").distinct(), ["service_date", "trip_id"])
-          .join(stop_cells, "stop_id", "left"))
+    key, cells = ["service_date", "trip_id"], ["variant", *CELL, *WINDOW]
+    d = cls.where(F.col("measurable") & (F.col("status") != "unobserved")).withColumn("ghost", F.col("status") == "ghost").withColumn("variant", _tolerance_name())
+    # only days of some window; tolerances of a trip are one row until they are counted
+    days = day_windows(d.select("service_date").distinct(), "service_date", through, TRANSIT_WINDOWS).select("service_date").distinct()
+    d = d.join(small_side(days), "service_date", "left_semi")
     lv = transit_levels(True)
-    stops = agg.flag_proportion(by_area(at, {k: lv[k] for k in ("stop", "hex_461m")}), cells, F.col("ghost"))
+    trip = d.groupBy(*key).agg(F.collect_list(F.struct("variant", "ghost")).alias("ghosts"))
+    at = stop_times.select(*key, "stop_id").join(trip.select(*key), key, "left_semi").distinct().join(trip, key).join(stop_cells, "stop_id", "left").withColumn("g", F.explode("ghosts")).select("*", "g.*")
+
+    def rates(df: DataFrame, levels: dict[str, Column]) -> DataFrame:
+        """Counts of a day first; windows repeat those, not trips."""
+        daily = agg.roll_up(df, ["service_date", "variant"], levels, {"x": F.count_if("ghost"), "n": F.count(F.lit(1))})
+        c = day_windows(daily, "service_date", through, TRANSIT_WINDOWS).groupBy(*cells).agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+        return agg.proportion(c).drop("x")
+
+    trips, stops = rates(d, transit_levels(False)), rates(at, {k: lv[k] for k in ("stop", "hex_461m")})
     return trips.unionByName(stops).withColumn("metric", F.lit("ghost_bus_rate"))
 
 

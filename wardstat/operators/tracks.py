@@ -8,6 +8,8 @@ and the sequential matching of one trip is a small numpy helper.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,16 +48,43 @@ def shape_projection(px: Column, py: Column, cum: Column, x: Column, y: Column)
     return F.array_min(F.transform(F.sequence(F.lit(0), F.size(px) - 2), one))
 
 
-def _progress(px, py, cum, x, y) -> np.ndarray:
-    """Distance along the shape for each report, in time order; nan when off the shape."""
-    dx, dy = np.diff(px), np.diff(py)
-    l2 = dx * dx + dy * dy
-    safe, seg = np.where(l2 == 0, 1.0, l2), np.sqrt(l2)
+class Segments:
+    """A shape's segments by grid cell: each cell lists those within ``OFF_SHAPE_M`` of some place in it."""
+
+    def __init__(self, px, py, cum):
+        self.px, self.py, self.cum = (np.asarray(v, float) for v in (px, py, cum))
+        self.dx, self.dy = np.diff(self.px), np.diff(self.py)
+        self.l2 = self.dx**2 + self.dy**2
+        self.length, self.safe = np.sqrt(self.l2), np.where(self.l2 == 0, 1.0, self.l2)
+        # steps no longer than a cell along each segment; what is within a cell's width of one lies at most two cells off
+        n = np.maximum(1, np.ceil(self.length / OFF_SHAPE_M)).astype(int)
+        seg = np.repeat(np.arange(len(n)), n)
+        part = (np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n) + 0.5) / n[seg]
+        cx, cy = (np.floor((p[seg] + part * d[seg]) / OFF_SHAPE_M).astype(int) for p, d in ((self.px, self.dx), (self.py, self.dy)))
+        self.cells: dict[tuple[int, int], list[int]] = {}
+        for i, x, y in zip(seg.tolist(), cx.tolist(), cy.tolist()):
+            for key in [(x + a, y + b) for a in range(-2, 3) for b in range(-2, 3)]:
+                held = self.cells.setdefault(key, [])
+                if not held or held[-1] != i:
+                    held.append(i)
+
+    def near(self, x: float, y: float) -> list[int]:
+        return self.cells.get((math.floor(x / OFF_SHAPE_M), math.floor(y / OFF_SHAPE_M)), [])
+
+
+def _progress(shape: Segments, x, y) -> np.ndarray:
+    """Distance along the shape for each report, in time order; nan when off the shape.
+
+    A report looks at the segments of its cell only: no other one can be near enough.
+    """
     out, reached = np.full(len(x), np.nan), -np.inf
     for i in range(len(x)):
-        u = np.clip(((x[i] - px[:-1]) * dx + (y[i] - py[:-1]) * dy) / safe, 0.0, 1.0)
-        along = cum[:-1] + u * seg
-        off = np.hypot(x[i] - px[:-1] - u * dx, y[i] - py[:-1] - u * dy)
+        s = shape.near(x[i], y[i])
+        if not s:
+            continue
+        u = np.clip(((x[i] - shape.px[s]) * shape.dx[s] + (y[i] - shape.py[s]) * shape.dy[s]) / shape.safe[s], 0.0, 1.0)
+        along = shape.cum[s] + u * shape.length[s]
+        off = np.hypot(x[i] - shape.px[s] - u * shape.dx[s], y[i] - shape.py[s] - u * shape.dy[s])
         off[along < reached - BACKTRACK_M] = np.inf
         k = int(off.argmin())
         if off[k] <= OFF_SHAPE_M:
@@ -63,6 +92,17 @@ def _progress(px, py, cum, x, y) -> np.ndarray:
     return out
 
 
+def _tracks(batch: pd.DataFrame) -> list[np.ndarray]:
+    """Progress of the trips of a batch; a shape is indexed once."""
+    shapes: dict = {}
+    out = []
+    for shape_id, px, py, cum, x, y in batch.itertuples(index=False):
+        if shape_id not in shapes:
+            shapes[shape_id] = Segments(px, py, cum)
+        out.append(_progress(shapes[shape_id], x, y))
+    return out
+
+
 def _crossings(t, a, stops) -> list[float | None]:
     """Time each stop distance is first reached; None where the track cannot tell."""
     keep = ~np.isnan(a)
@@ -82,43 +122,50 @@ def _crossings(t, a, stops) -> list[float | None]:
     return out
 
 
+#: Shape points that may be sent to every executor.
+MOST_POINTS = 1_000_000
+
+
 def _trips(reports: DataFrame, shapes: DataFrame) -> DataFrame:
-    """One row per (service_date, trip_id): sorted reports and the trip's shape."""
+    """One row per (service_date, trip_id): sorted reports and the trip's shape.
+
+    Shapes are broadcast if their points are counted to be few; beyond that a shape that many trips share is left to the
+    join's skew splitting. Either way trips stay where their reports were gathered or are dealt one by one.
+    """
     r = (reports.dropDuplicates(["service_date", "trip_id", "t"])
          .groupBy("service_date", "trip_id", "shape_id")
          .agg(F.sort_array(F.collect_list(F.struct("t", "x", "y"))).alias("r")))
-    return r.join(shapes, "shape_id").select("service_date", "trip_id", "px", "py", "cum", "rescale",
-                                             *[F.col("r")[c].alias(c) for c in ("t", "x", "y")])
+    few = (shapes.agg(F.sum(F.size("px"))).first()[0] or 0) <= MOST_POINTS
+    return r.join(F.broadcast(shapes) if few else shapes, "shape_id").select("service_date", "trip_id", "shape_id", "px", "py", "cum", *[F.col("r")[c].alias(c) for c in ("t", "x", "y")])
 
 
 def trip_progress(reports: DataFrame, shapes: DataFrame) -> DataFrame:
     """service_date, trip_id, t, along. ``reports``: service_date, trip_id, shape_id, t, x, y."""
     @F.pandas_udf("array<double>")
-    def along(px: pd.Series, py: pd.Series, cum: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([[None if np.isnan(v) else float(v) for v in _progress(*map(np.asarray, row))]
-                          for row in zip(px, py, cum, x, y)])
+    def along(trip: pd.DataFrame) -> pd.Series:
+        return pd.Series([[None if np.isnan(v) else float(v) for v in a] for a in _tracks(trip)])
 
-    trips = _trips(reports, shapes).withColumn("along", along("px", "py", "cum", "x", "y"))
+    trips = _trips(reports, shapes).withColumn("along", along(F.struct("shape_id", "px", "py", "cum", "x", "y")))
     return (trips.withColumn("_z", F.explode(F.arrays_zip("t", "along")))
             .select("service_date", "trip_id", "_z.t", "_z.along"))
 
 
-def crossing_times(progress: DataFrame, stops: DataFrame) -> DataFrame:
-    """service_date, trip_id, stop_id, arrival. ``stops``: service_date, trip_id, stop_id, stop_along."""
-    p = (progress.dropDuplicates(["service_date", "trip_id", "t"]).groupBy("service_date", "trip_id")
-         .agg(F.sort_array(F.collect_list(F.struct("t", "along"))).alias("r"))
-         .select("service_date", "trip_id", F.col("r.t").alias("t"),
-                 F.col("r.along").alias("a")))
+def crossing_times(reports: DataFrame, stops: DataFrame, shapes: DataFrame) -> DataFrame:
+    """service_date, trip_id, stop_id, stop_along, arrival. ``stops``: service_date, trip_id, stop_id, stop_along.
+
+    One pass over a trip: its reports are placed on the shape and searched for its stops where they are. Trips without
+    reports have no arrivals.
+    """
     s = (stops.groupBy("service_date", "trip_id").agg(F.sort_array(F.collect_set(F.struct("stop_id", "stop_along"))).alias("s"))
-         .select("service_date", "trip_id", F.col("s.stop_id").alias("stop_id"),
-                 F.col("s.stop_along").alias("d")))
+         .select("service_date", "trip_id", F.col("s.stop_id").alias("stop_id"), F.col("s.stop_along").alias("d")))
 
     @F.pandas_udf("array<double>")
-    def reach(t: pd.Series, a: pd.Series, d: pd.Series) -> pd.Series:
-        return pd.Series([_crossings(np.asarray(x, float), np.array([np.nan if v is None else v for v in y], float), z)
-                          for x, y, z in zip(t, a, d)])
+    def reach(trip: pd.DataFrame) -> pd.Series:
+        progress = _tracks(trip[["shape_id", "px", "py", "cum", "x", "y"]])
+        return pd.Series([_crossings(np.asarray(t, float), a, d) for t, a, d in zip(trip["t"], progress, trip["d"])])
 
-    j = p.join(s, ["service_date", "trip_id"]).withColumn("arrival", reach("t", "a", "d"))
+    j = _trips(reports, shapes).join(s, ["service_date", "trip_id"])
+    j = j.withColumn("arrival", reach(F.struct("shape_id", "px", "py", "cum", "x", "y", "t", "d")))
     return (j.withColumn("_z", F.explode(F.arrays_zip("stop_id", "d", "arrival")))
             .select("service_date", "trip_id", "_z.stop_id", F.col("_z.d").alias("stop_along"), "_z.arrival"))
 
@@ -141,8 +188,7 @@ def infer_arrivals(matched: DataFrame, stop_times: DataFrame, reports: DataFrame
     trips = matched.where("observed and measurable").select(*key, "route_id", "direction_id", "shape_id")
     stops = (timepoints_after_first(stop_times).join(trips, key).join(shapes.select("shape_id", "rescale"), "shape_id")
              .withColumn("stop_along", F.col("dist") * F.col("rescale")))
-    track = trip_progress(reports.join(trips.select(*key, "shape_id"), key), shapes)
-    arr = crossing_times(track, stops).select(*key, "stop_id", "arrival", "stop_along")
+    arr = crossing_times(reports.join(trips.select(*key, "shape_id"), key), stops, shapes).select(*key, "stop_id", "arrival", "stop_along")
     return (stops.join(arr, [*key, "stop_id", "stop_along"], "left")
             .select(*key, "route_id", "direction_id", "stop_id", "stop_sequence", "scheduled", "arrival",
                     (F.col("arrival") - F.col("scheduled")).alias("delay_s")))

@@ -96,10 +96,9 @@ P.cte("crossed", """SELECT s.service_date, s.trip_id, s.stop_along, CASE WHEN p.
 
 @query("crossing_times", sql("crossed", "SELECT service_date, trip_id, stop_along, round(arrival, 4) AS arrival FROM crossed"))
 def crossing_times(t):
-    prog = tracks.trip_progress(order_tracks(t), order_shapes(t))
     stops = order_tracks(t).select("service_date", "trip_id").distinct().withColumn("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
     stops = stops.select("service_date", "trip_id", F.col("k").cast("string").alias("stop_id"), (F.col("k") * 300.0).alias("stop_along"))
-    return rnd(tracks.crossing_times(prog, stops), 4, "arrival").drop("stop_id")
+    return rnd(tracks.crossing_times(order_tracks(t), stops, order_shapes(t)), 4, "arrival").drop("stop_id")
 
 
 @query("infer_arrivals", sql("crossed", """SELECT c.service_date, c.trip_id, o_orderpriority AS route_id, CAST(round(stop_along / 300) AS INTEGER) AS stop_sequence, round(arrival, 4) AS arrival, round(arrival - 100 * round(stop_along / 300), 4) AS delay_s
