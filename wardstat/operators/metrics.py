@@ -11,6 +11,7 @@ from wardstat.operators import aggregates as agg
 from wardstat.operators.joins import by_area, fan_out, with_all_areas
 from wardstat.operators.sequences import headway_gaps, latest_per_key, scheduled_gaps
 from wardstat.operators.spatial import first_rereport
+from wardstat.functions.intervals import wilson
 from wardstat.session import attach, cut_lineage, small_side
 
 CELL = ["geo_type", "geo_id"]
@@ -459,20 +460,56 @@ def flag_slow(d: DataFrame, min_n: int = 20) -> DataFrame:
     return e.withColumn("slow", ~F.coalesce(F.col("is_closed") & (F.col("bd_to_close") <= F.col("threshold")), F.lit(False)))
 
 
+def cluster_groups(ratios: DataFrame, nb: DataFrame, area: str, nsim: int = 99_999, alpha: float = 0.05) -> DataFrame:
+    """area, grp: slow_core, fast_core or other, by each area's local class after adjustment.
+
+    ``ratios``: one row per area with observed, expected, null_var, suppressed; suppressed areas are in no group.
+    """
+    from wardstat.operators import spatial_stats as ss
+    shown = cut_lineage(ratios.where("not suppressed"))
+    z = cut_lineage(ss.eb_standardize(shown).select(F.col(area).alias("id"), F.coalesce("z", F.lit(0.0)).alias("z")))
+    links = nb.join(z.select(F.col("id").alias("i")), "i", "left_semi").join(z.select(F.col("id").alias("j")), "j", "left_semi").select("i", "j")
+    local = ss.lisa(z, links, "z", nsim, alpha=alpha).select(F.col("id").alias(area), "class")
+    grp = F.when(F.col("class") == "HH", "slow_core").when(F.col("class") == "LL", "fast_core").otherwise("other")
+    return shown.select(area).join(local, area, "left").select(area, grp.alias("grp"))
+
+
 def pool_groups(e: DataFrame, classes: DataFrame, area: str) -> DataFrame:
-    """Observed and expected slow share, their ratio and the median time per group of areas.
+    """Observed and expected slow share, their ratio with its interval, and the median time per group of areas.
 
     ``classes``: area, grp - one row per area.
     """
     p = e.groupBy("type").agg(F.avg(F.col("slow").cast("int")).alias("p"))
     # Counts per area and type carry everything the shares need.
     c = e.groupBy(area, "type").agg(F.count(F.lit(1)).alias("m"), F.count_if("slow").alias("k")).join(p, "type").join(classes, area)
-    g = c.groupBy("grp").agg(F.count_distinct(area).alias("areas"), F.sum("m").alias("n"), (F.sum("k") / F.sum("m")).alias("o"),
-                             (F.sum(F.col("m") * F.col("p")) / F.sum("m")).alias("x"))
+    g = c.groupBy("grp").agg(F.count_distinct(area).alias("areas"), F.sum("m").alias("n"), F.sum("k").alias("k"), (F.sum(F.col("m") * F.col("p")) / F.sum("m")).alias("x"))
+    low, high = wilson(F.col("k"), F.col("n"))
     km = agg.km_median(agg.km_counts(e.join(classes, area), ["grp"], "time", F.col("is_closed")), ["grp"])
-    return g.join(km.select("grp", "value"), "grp").select(
-        "grp", "areas", "n", F.round("o", 6).alias("observed_share"), F.round("x", 6).alias("expected_share"),
-        F.round(F.col("o") / F.col("x"), 6).alias("ratio"), F.round("value", 6).alias("median_days"))
+    share = F.col("k") / F.col("n")
+    return g.join(km.select("grp", F.col("value").alias("median_days")), "grp").select(
+        "grp", "areas", "n", share.alias("observed_share"), F.col("x").alias("expected_share"), (share / F.col("x")).alias("ratio"), (low / F.col("x")).alias("ci_low"), (high / F.col("x")).alias("ci_high"), "median_days")
+
+
+def group_context(components: DataFrame, classes: DataFrame, area: str, measures: list[tuple], events: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """grp, measure, value, moe, ci_low, ci_high, interval, count for each group of areas and for ``citywide``.
+
+    Survey measures come from components added up over a group's areas, with the margin of the sum; ``events`` names, for
+    each rate per 1,000, its records and the component that is its denominator. Citywide rows take all areas.
+    """
+    every = components.select(F.col("geo_id").alias(area)).distinct().withColumn("grp", F.lit("citywide"))
+    member = classes.select(area, "grp").unionByName(every)
+    pooled = components.join(member, components["geo_id"] == member[area]).groupBy("grp", "variable").agg(F.sum("estimate").alias("estimate"), F.sqrt(F.sum(F.pow("moe", 2))).alias("moe"))
+    pooled = cut_lineage(pooled.select(F.lit("group").alias("geo_type"), F.col("grp").alias("geo_id"), "variable", "estimate", "moe"))
+    dem = agg.derive_measures(pooled, measures).select(F.col("geo_id").alias("grp"), "measure", "value", "moe", (F.col("value") - F.col("moe")).alias("ci_low"), (F.col("value") + F.col("moe")).alias("ci_high"),
+                                                       F.lit("survey 90% margin").alias("interval"), F.lit(None).cast("bigint").alias("count"))
+    out = dem
+    for name, (rows, variable) in events.items():
+        per_area = rows.where(F.col(area).isNotNull()).groupBy(area).agg(F.count(F.lit(1)).alias("n"))
+        den = pooled.where(F.col("variable") == variable).select(F.col("geo_id").alias("grp"), F.col("estimate").alias("den"))
+        n = den.join(per_area.join(member, area).groupBy("grp").agg(F.sum("n").alias("n")), "grp", "left").fillna(0, ["n"])
+        rate = agg.poisson_rate(n, "n", F.col("den"), 1000)
+        out = out.unionByName(rate.select("grp", F.lit(name).alias("measure"), "value", F.lit(None).cast("double").alias("moe"), "ci_low", "ci_high", F.lit("95% Poisson").alias("interval"), F.col("n").alias("count")))
+    return out
 
 
 def top_values(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:

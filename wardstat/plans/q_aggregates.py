@@ -176,12 +176,12 @@ def components(t):
 
 P.cte("comp", "SELECT n_name AS geo_id, c_mktsegment AS v, round(sum(abs(c_acctbal)), 2) AS e, count(*) * 100.0 AS m FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
 MEASURES = [("homes", "count", "BUILDING+HOUSEHOLD", ""), ("pct_auto", "proportion", "AUTOMOBILE", "AUTOMOBILE+MACHINERY+FURNITURE"), ("per_home", "ratio", "FURNITURE", "BUILDING+HOUSEHOLD")]
-_DERIVE = """SELECT geo_id, measure, CASE WHEN den IS NULL THEN num WHEN den > 0 THEN num / den END AS value, CASE WHEN den IS NULL THEN mnum WHEN den > 0 AND measure = 'pct_auto' AND mnum**2 - (num/den)**2*mden**2 >= 0 THEN sqrt(mnum**2 - (num/den)**2*mden**2)/den
+DERIVE = """SELECT geo_id, measure, CASE WHEN den IS NULL THEN num WHEN den > 0 THEN num / den END AS value, CASE WHEN den IS NULL THEN mnum WHEN den > 0 AND measure = 'pct_auto' AND mnum**2 - (num/den)**2*mden**2 >= 0 THEN sqrt(mnum**2 - (num/den)**2*mden**2)/den
   WHEN den > 0 THEN sqrt(mnum**2 + (num/den)**2*mden**2)/den END AS moe FROM (
   SELECT geo_id, 'homes' AS measure, sum(e) FILTER (WHERE v IN ('BUILDING','HOUSEHOLD')) AS num, NULL::DOUBLE AS den, sqrt(sum(m*m) FILTER (WHERE v IN ('BUILDING','HOUSEHOLD'))) AS mnum, NULL::DOUBLE AS mden FROM comp GROUP BY 1
   UNION ALL SELECT geo_id, 'pct_auto', sum(e) FILTER (WHERE v = 'AUTOMOBILE'), sum(e) FILTER (WHERE v IN ('AUTOMOBILE','MACHINERY','FURNITURE')), sqrt(sum(m*m) FILTER (WHERE v = 'AUTOMOBILE')), sqrt(sum(m*m) FILTER (WHERE v IN ('AUTOMOBILE','MACHINERY','FURNITURE'))) FROM comp GROUP BY 1
   UNION ALL SELECT geo_id, 'per_home', sum(e) FILTER (WHERE v = 'FURNITURE'), sum(e) FILTER (WHERE v IN ('BUILDING','HOUSEHOLD')), sqrt(sum(m*m) FILTER (WHERE v = 'FURNITURE')), sqrt(sum(m*m) FILTER (WHERE v IN ('BUILDING','HOUSEHOLD'))) FROM comp GROUP BY 1)"""
-P.cte("derived", _DERIVE, "comp")
+P.cte("derived", DERIVE, "comp")
 
 
 @query("derive_measures", sql("derived", """SELECT 'zcta' AS geo_type, geo_id, measure, round(value, 5) AS value, round(moe, 5) AS moe, CASE WHEN moe/1.645/value < 0.12 THEN 'high' WHEN moe/1.645/value <= 0.4 THEN 'medium' ELSE 'low' END AS reliability FROM derived"""))
@@ -228,37 +228,6 @@ def indirect_standardization(t):
     return rnd(area_ratios(t), 6, "expected", "null_var", "ratio", "ci_low", "ci_high")
 
 
-@query("group_pooling", sql("slow ratios", """SELECT grp, areas, z.n, round(x / z.n, 6) AS observed_share, round(pe, 6) AS expected_share, round(x / z.n / pe, 6) AS ratio, round(km.value, 6) AS median_days FROM (
-  SELECT grp, count(DISTINCT area) AS areas, count(*) AS n, CAST(count(*) FILTER (WHERE is_slow) AS DOUBLE) AS x, avg(p) AS pe FROM sg GROUP BY 1) z JOIN km USING (grp)""", [
-    ("sg", """SELECT slow.*, p, CASE WHEN ratio >= 1.02 THEN 'slow_core' WHEN ratio <= 0.98 THEN 'fast_core' ELSE 'other' END AS grp FROM slow JOIN ratios USING (area)
-      JOIN (SELECT g, avg(CAST(is_slow AS INTEGER)) AS p FROM slow GROUP BY 1) q USING (g)""")] + P.sql_km("sg", "grp")))
-def group_pooling(t):
-    e = cut_lineage(slow_rows(t).select("nation", "type", "slow", "time", "is_closed"))
-    r = A.standardized_ratio(e, "nation", "type", F.col("slow"))
-    return metrics.pool_groups(e, _classes(r), "nation")
-
-
-def _classes(r):
-    return r.select("nation", F.when(F.col("ratio") >= 1.02, "slow_core").when(F.col("ratio") <= 0.98, "fast_core").otherwise("other").alias("grp"))
-
-
-@query("group_context", sql("comp pl", """WITH gm AS (SELECT n_name AS nation, CASE WHEN n_regionkey < 2 THEN 'slow_core' ELSE 'other' END AS grp FROM nation),
-  c2 AS (SELECT grp, v, sum(e) AS e, sqrt(sum(m*m)) AS m FROM comp JOIN gm ON nation = geo_id GROUP BY 1, 2),
-  o2 AS (SELECT grp, count(*) AS n FROM orders JOIN pl ON o_custkey = custkey JOIN gm USING (nation) WHERE o_orderdate >= '2000-07-16' GROUP BY 1)
-  SELECT grp, 'homes' AS measure, round(sum(e), 4) AS value FROM c2 WHERE v IN ('BUILDING', 'HOUSEHOLD') GROUP BY grp
-  UNION ALL SELECT grp, 'requests_per_1000', round(n * 1000.0 / (SELECT sum(e) FROM c2 x WHERE x.grp = o2.grp AND v = 'HOUSEHOLD'), 4) FROM o2""").replace("\nWITH gm AS", ",\ngm AS", 1))
-def group_context(t):
-    g = t.nation.select(F.col("n_name").alias("geo_id"), F.when(F.col("n_regionkey") < 2, "slow_core").otherwise("other").alias("grp"))
-    pooled = components(t).join(g, "geo_id").groupBy("grp", "variable").agg(F.sum("estimate").alias("estimate"), F.sqrt(F.sum(F.pow("moe", 2))).alias("moe"))
-    comps = pooled.select(F.lit("group").alias("geo_type"), F.col("grp").alias("geo_id"), "variable", "estimate", "moe")
-    dem = A.derive_measures(comps, MEASURES[:1]).select(F.col("geo_id").alias("grp"), "measure", "value")
-    o = (t.orders.where(F.col("o_orderdate") >= day("2000-07-16")).join(P.places(t), F.col("o_custkey") == F.col("custkey"))
-         .join(g.withColumnRenamed("geo_id", "nation"), "nation").groupBy("grp").agg(F.count(F.lit(1)).alias("n")))
-    den = pooled.where("variable = 'HOUSEHOLD'").select("grp", F.col("estimate").alias("den"))
-    rate = A.poisson_rate(o.join(den, "grp"), "n", F.col("den"), 1000).select("grp", F.lit("requests_per_1000").alias("measure"), "value")
-    return rnd(dem.unionByName(rate), 4, "value")
-
-
 @query("category_shares", sql("late", """WITH c AS (SELECT nation, coalesce(nullif(trim(code), ''), '(no code)') AS code, count(*) AS k FROM (SELECT nation, CASE WHEN l_quantity > 48 THEN ' ' WHEN l_quantity > 46 THEN 'rare ' || l_returnflag ELSE p_type END AS code FROM late) GROUP BY 1, 2),
   s AS (SELECT *, sum(k) OVER (PARTITION BY nation) AS tot FROM c), b AS (SELECT code, max(k / tot) >= 0.05 AS big FROM s GROUP BY 1)
   SELECT nation, CASE WHEN big THEN code ELSE 'other codes' END AS code, round(sum(k) / max(tot), 6) AS share, CAST(max(tot) AS BIGINT) AS n_group FROM s JOIN b USING (code) GROUP BY 1, 2""").replace("\nWITH c AS", ",\nc AS", 1))
@@ -319,7 +288,7 @@ def sql_moran(z: str, lag: str, nb: str, nsim: int, p: str) -> list[tuple[str, s
             (p, f"SELECT mi AS moran_i, -1/(n-1) AS expected, sd, (mi + 1/(n-1)) / sd AS zscore, (h + 1) / {nsim + 1}.0 AS p_perm, CAST(n AS BIGINT) AS n FROM (SELECT *, sqrt((n*((n*n-3*n+3)*s1 - n*s2 + 3*s0*s0) - k*((n*n-n)*s1 - 2*n*s2 + 6*s0*s0)) / ((n-1)*(n-2)*(n-3)*s0*s0) - 1/(n-1)**2) AS sd FROM {p}m, {p}s, {p}h)")]
 
 
-def sql_lisa(z: str, nb: str, nsim: int, p: str) -> list[tuple[str, str]]:
+def sql_lisa(z: str, nb: str, nsim: int, p: str, alpha: float = 0.05) -> list[tuple[str, str]]:
     """CTEs ending in <p>: id, ii, lag, z, p, q, quadrant, class."""
     return [(f"{p}l", f"SELECT a.id, a.z, avg(y.z) AS lag, count(*) AS k, (SELECT avg(z * z) FROM {z}) AS m2 FROM {z} a JOIN {nb} b ON b.i = a.id JOIN {z} y ON y.id = b.j GROUP BY 1, 2"),
             (f"{p}i", f"SELECT *, z * lag / m2 AS ii FROM {p}l")] + sql_orders(z, nsim, "l", f"{p}o") + [
@@ -327,7 +296,7 @@ def sql_lisa(z: str, nb: str, nsim: int, p: str) -> list[tuple[str, str]]:
   FROM {p}o o JOIN {p}i i ON i.id = o.id JOIN {p}o a ON a.r = o.r AND a.place = i.k JOIN {p}o b ON b.r = o.r AND b.place = i.k + 1) GROUP BY 1"""),
             (f"{p}p", f"SELECT i.*, least(1.0, 2 * (least(lo, hi) + 1) / {nsim + 1}.0) AS p, CASE WHEN z > 0 AND lag > 0 THEN 'HH' WHEN z < 0 AND lag < 0 THEN 'LL' WHEN z > 0 THEN 'HL' ELSE 'LH' END AS quadrant FROM {p}i i JOIN {p}t USING (id)"),
             (f"{p}q", f"SELECT *, p * count(*) OVER () / (SELECT count(*) FROM {p}p b WHERE b.p <= a.p) AS adj FROM {p}p a"),
-            (p, f"SELECT id, ii, lag, z, p, q, quadrant, CASE WHEN q < 0.05 THEN quadrant WHEN p < 0.05 THEN quadrant || '_unadj' ELSE 'ns' END AS class FROM (SELECT *, least(1.0, (SELECT min(adj) FROM {p}q b WHERE b.p >= a.p)) AS q FROM {p}q a)")]
+            (p, f"SELECT id, ii, lag, z, p, q, quadrant, CASE WHEN q < {alpha} THEN quadrant WHEN p < {alpha} THEN quadrant || '_unadj' ELSE 'ns' END AS class FROM (SELECT *, least(1.0, (SELECT min(adj) FROM {p}q b WHERE b.p >= a.p)) AS q FROM {p}q a)")]
 
 
 @query("moran_global", sql("lagz", "SELECT round(moran_i, 6) AS moran_i, round(expected, 6) AS expected, round(sd, 6) AS sd, round(zscore, 5) AS z, round(p_perm, 6) AS p_perm, n FROM mg", sql_moran("zz", "lagz", "nb", 9999, "mg")))

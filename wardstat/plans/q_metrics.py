@@ -11,7 +11,7 @@ from wardstat.operators import aggregates as A
 from wardstat.operators.joins import by_area, classify_trips
 from wardstat.plans import proxies as P
 from wardstat.plans.proxies import day, rnd, sql, w_high, w_low
-from wardstat.plans.q_aggregates import areas_slow, neighbors, sql_lisa, sql_moran
+from wardstat.plans.q_aggregates import DERIVE, MEASURES, areas_slow, components, neighbors, slow_rows, sql_lisa, sql_moran
 from wardstat.plans.q_joins import matched, sched_trips
 from wardstat.plans.q_mapping import demolitions, inspections, permits
 from wardstat.plans.q_sequences import food_places, outage_events, peak_events
@@ -547,3 +547,41 @@ def m_mix_table(t):
     pop = c.groupBy("nation").agg(F.count(F.lit(1)).alias("p"), F.round(F.avg((F.col("c_acctbal") >= 0).cast("int")), 3).alias("share_in_city"))
     return (wide.join(n, "nation", "left").join(pop, "nation").withColumn("requests_per_1000", F.round(F.col("requests_12m") * 1000 / F.col("p"), 4))
             .select("nation", "building", "machinery", "requests_12m", "requests_per_1000", "share_in_city"))
+
+
+#: The test areas are hardly clustered: at the usual 0.05 all would be in one group.
+GROUP_ALPHA = 0.6
+_GROUPS = ([("gz", "SELECT id, z - avg(z) OVER () AS z FROM (SELECT area AS id, coalesce(z, 0) AS z FROM eb)")] + sql_lisa("gz", "nb", LOCAL_SIMULATIONS, "gl", GROUP_ALPHA)
+           + [("gc", "SELECT eb.area, CASE class WHEN 'HH' THEN 'slow_core' WHEN 'LL' THEN 'fast_core' ELSE 'other' END AS grp FROM eb LEFT JOIN gl ON gl.id = eb.area")])
+
+
+def _groups(t, e):
+    return metrics.cluster_groups(A.standardized_ratio(e, "nation", "type", F.col("slow")), neighbors(t), "nation", LOCAL_SIMULATIONS, GROUP_ALPHA)
+
+
+@query("group_pooling", sql("slow eb nb", f"""SELECT grp, areas, z.n, round(x / z.n, 6) AS observed_share, round(pe, 6) AS expected_share, round(x / z.n / pe, 6) AS ratio, round({w_low('x', 'z.n')} / pe, 6) AS ci_low, round({w_high('x', 'z.n')} / pe, 6) AS ci_high, round(km.value, 6) AS median_days FROM (
+  SELECT grp, count(DISTINCT area) AS areas, count(*) AS n, CAST(count(*) FILTER (WHERE is_slow) AS DOUBLE) AS x, avg(p) AS pe FROM sg GROUP BY 1) z JOIN km USING (grp)""", _GROUPS + [
+    ("sg", "SELECT slow.*, p, grp FROM slow JOIN gc USING (area) JOIN (SELECT g, avg(CAST(is_slow AS INTEGER)) AS p FROM slow GROUP BY 1) q USING (g)")] + P.sql_km("sg", "grp")))
+def group_pooling(t):
+    e = cut_lineage(slow_rows(t).select("nation", "type", "slow", "time", "is_closed"))
+    return rnd(metrics.pool_groups(e, _groups(t, e), "nation"), 6, "observed_share", "expected_share", "ratio", "ci_low", "ci_high", "median_days")
+
+
+_EVENTS = {"renovation_permits_per_1000_homes": ("BUILDING", "SELECT nation FROM pp WHERE category = 'renovation'"), "new_home_permits_per_1000_homes": ("BUILDING", "SELECT nation FROM pp WHERE category = 'new'"),
+           "demolitions_per_1000_homes": ("BUILDING", "SELECT nation FROM dp"), "requests_per_1000_residents": ("HOUSEHOLD", "SELECT nation FROM base")}
+
+
+@query("group_context", sql("slow eb nb comp pp dp base", """SELECT geo_id AS grp, measure, round(value, 5) AS value, round(moe, 5) AS moe, round(value - moe, 5) AS ci_low, round(value + moe, 5) AS ci_high, 'survey 90% margin' AS interval, NULL::BIGINT AS count FROM gd
+  UNION ALL SELECT grp, measure, round(k.n * (1000 / den), 5), NULL, round(lo * (1000 / den), 5), round(hi * (1000 / den), 5), '95% Poisson', k.n FROM gk k JOIN gw ON gw.n = k.n""", _GROUPS + [
+    ("gm", "SELECT area, grp FROM gc UNION ALL SELECT DISTINCT geo_id, 'citywide' FROM comp"),
+    ("gp", "SELECT grp AS geo_id, v, sum(e) AS e, sqrt(sum(m * m)) AS m FROM comp JOIN gm ON geo_id = area GROUP BY 1, 2"),
+    ("gd", DERIVE.replace("FROM comp", "FROM gp")),
+    ("ge", " UNION ALL ".join(f"SELECT '{m}' AS measure, '{v}' AS v, nation FROM ({rows})" for m, (v, rows) in _EVENTS.items())),
+    ("gk", f"""SELECT p.geo_id AS grp, x.measure, p.e AS den, coalesce(n, 0) AS n FROM (VALUES {', '.join(f"('{m}', '{v}')" for m, (v, _) in _EVENTS.items())}) x(measure, v) JOIN gp p ON p.v = x.v
+  LEFT JOIN (SELECT grp, measure, count(*) AS n FROM ge JOIN gm ON nation = area GROUP BY 1, 2) c ON c.grp = p.geo_id AND c.measure = x.measure""")] + P.sql_garwood("gk", "gw")))
+def group_context(t):
+    pts = cut_lineage(permit_points(t).select("nation", "category"))
+    rows = {"renovation_permits_per_1000_homes": pts.where("category = 'renovation'"), "new_home_permits_per_1000_homes": pts.where("category = 'new'"), "demolitions_per_1000_homes": demolition_points(t), "requests_per_1000_residents": normalize.base_records(P.tickets(t))}
+    e = cut_lineage(slow_rows(t).select("nation", "type", "slow", "time", "is_closed"))
+    m = metrics.group_context(components(t), _groups(t, e), "nation", MEASURES, {k: (rows[k].select("nation"), v) for k, (v, _) in _EVENTS.items()})
+    return rnd(m, 5, *CI, "moe")
