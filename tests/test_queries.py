@@ -18,7 +18,8 @@ def test_every_query_has_sql():
     assert own == SURVEYED and own <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["business_days_between", "near_duplicates", "m_within_target", "assign_geography", "median_metric", "build_outage_events", "first_rereport", "headway_gaps"])
+@pytest.mark.parametrize("name", ["business_days_between", "near_duplicates", "m_within_target", "assign_geography", "median_metric", "build_outage_events", "first_rereport", "headway_gaps",
+                                  "point_in_polygon", "area_overlap_shares", "clip_areas_to_city", "scan_geojson_boundaries", "scan_gtfs_tables", "sink_metrics_csv", "infer_arrivals", "m_ghost_rate", "bh_adjust", "robust_volume_band", "weighted_apportion"])
 def test_sample_of_queries_against_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -31,7 +32,8 @@ def test_entry(spark):
     assert df.columns[0] == "metric" and df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["grid_pairs", "first_rereport", "match_trips", "interval_containment", "m_requests_per_1000", "assign_geography"])
+@pytest.mark.parametrize("name", ["grid_pairs", "first_rereport", "match_trips", "interval_containment", "m_requests_per_1000", "assign_geography",
+                                  "area_overlap_shares", "crossing_times", "median_metric", "bootstrap_total", "m_ghost_rate"])
 def test_plans_have_no_cross_join(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

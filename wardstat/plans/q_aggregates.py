@@ -322,12 +322,26 @@ def bh_adjust(t):
 
 # --- volumes and frequencies -----------------------------------------------------
 
-@query("robust_volume_band", """WITH d AS (SELECT CAST(g AS DATE) AS day FROM generate_series(TIMESTAMP '2001-04-02', TIMESTAMP '2001-06-30', INTERVAL 1 DAY) s(g)),
+def _sql_band(kind: str, flag: str) -> str:
+    return f"""SELECT '{flag}' AS pools, day, n AS count, CASE WHEN pool >= 30 THEN med END AS median, CASE WHEN pool >= 30 THEN round(mad, 4) END AS mad, CASE WHEN pool >= 30 THEN round(med - 3*mad, 4) END AS low, CASE WHEN pool >= 30 THEN round(med + 3*mad, 4) END AS high,
+  CASE WHEN pool >= 30 THEN n BETWEEN med - 3*mad AND med + 3*mad END AS in_band, CASE WHEN pool < 30 THEN 'insufficient history' END AS skipped FROM (
+  SELECT c.*, med, pool, (SELECT greatest(1, 1.4826 * median(abs(x.n - med))) FROM c x WHERE NOT x.target AND {kind.format('x')} = {kind.format('c')}) AS mad FROM c
+  JOIN (SELECT {kind.format('y')} AS k, median(n) AS med, count(*) AS pool FROM c y WHERE NOT target GROUP BY 1) m ON m.k = {kind.format('c')}) WHERE target"""
+
+
+@query("robust_volume_band", f"""WITH d AS (SELECT CAST(g AS DATE) AS day FROM generate_series(TIMESTAMP '2001-04-02', TIMESTAMP '2001-06-30', INTERVAL 1 DAY) s(g)),
   c AS (SELECT day, count(o_orderkey) AS n, isodow(day) >= 6 AS we, day >= DATE '2001-07-01' - 30 AS target FROM d LEFT JOIN orders ON CAST(o_orderdate AS DATE) = day GROUP BY 1),
-  m AS (SELECT we, median(n) AS med FROM c WHERE NOT target GROUP BY 1), s AS (SELECT c.we, med, greatest(1, 1.4826 * median(abs(n - med))) AS mad FROM c JOIN m ON m.we = c.we WHERE NOT target GROUP BY 1, 2)
-  SELECT day, n AS count, med AS median, round(mad, 4) AS mad, round(med - 3*mad, 4) AS low, round(med + 3*mad, 4) AS high, n BETWEEN med - 3*mad AND med + 3*mad AS in_band FROM c JOIN s ON s.we = c.we WHERE target""")
+  b AS ({_sql_band('{0}.we', 'by kind of day')} UNION ALL {_sql_band('({0}.we IS NULL)', 'all days')})
+  SELECT b.*, 'daily volume within band' AS name, max(CASE WHEN in_band THEN 0 ELSE CASE WHEN in_band IS NULL THEN 0 ELSE 1 END END) OVER (PARTITION BY pools) = 0 AS passed, 'warning' AS severity,
+    CAST(count(*) FILTER (WHERE NOT in_band) OVER (PARTITION BY pools) AS VARCHAR) || ' of 30 days out of band, ' || CAST(count(skipped) OVER (PARTITION BY pools) AS VARCHAR) || ' skipped' AS detail FROM b""")
 def robust_volume_band(t):
-    return rnd(checks.daily_volume(t.orders, F.to_date("o_orderdate"), day("2001-07-01"), check_days=30), 4, "mad", "low", "high")
+    out = None
+    for flag, by_kind in (("by kind of day", True), ("all days", False)):
+        # weekends have fewer than 30 earlier days and are skipped
+        days = cut_lineage(checks.daily_volume(t.orders, F.to_date("o_orderdate"), day("2001-07-01"), check_days=30, min_pool=30, by_day_type=by_kind))
+        one = days.withColumn("pools", F.lit(flag)).transform(attach, checks.volume_check(days, "warning").select("name", "passed", "severity", "detail"))
+        out = one if out is None else out.unionByName(one)
+    return rnd(out, 4, "mad", "low", "high")
 
 
 @query("month_volume_ratio", """WITH m AS (SELECT CAST(g AS DATE) AS month FROM generate_series(TIMESTAMP '2000-06-01', TIMESTAMP '2001-06-01', INTERVAL 1 MONTH) s(g)),
