@@ -81,13 +81,16 @@ def with_offsets(words: DataFrame) -> DataFrame:
     """
     ends = words.agg(F.min("word").alias("a"), F.max("word").alias("b")).first()
     levels = [words.select("lk", F.col("word").alias("w"), "n")]
-    while ends.a is not None and (ends.a >> DIRECTORY_BITS * (len(levels) - 1)) != (ends.b >> DIRECTORY_BITS * (len(levels) - 1)):
-        levels.append(levels[-1].groupBy("lk", F.shiftright("w", DIRECTORY_BITS).alias("w")).agg(F.sum("n").alias("n")))
-    start = levels[-1].select("lk", "w", F.lit(0).cast("long").alias("start"))
+    top = lambda w: w >> DIRECTORY_BITS * (len(levels) - 1)
+    while ends.a is not None and top(ends.a) != top(ends.b) and (top(ends.a), top(ends.b)) != (-1, 0):
+        levels.append(cut_lineage(levels[-1].groupBy("lk", F.shiftright("w", DIRECTORY_BITS).alias("w")).agg(F.sum("n").alias("n"))))
+    # one node a language, or one for negative ids and one for the others
+    first = Window.partitionBy("lk").orderBy("w").rowsBetween(Window.unboundedPreceding, -1)
+    start = levels[-1].select("lk", "w", F.coalesce(F.sum("n").over(first), F.lit(0)).alias("start"))
     for level in reversed(levels[:-1]):
         before = Window.partitionBy("lk", "up").orderBy("w").rowsBetween(Window.unboundedPreceding, -1)
         level = level.withColumn("up", F.shiftright("w", DIRECTORY_BITS)).withColumn("own", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        start = level.join(start.select("lk", F.col("w").alias("up"), "start"), ["lk", "up"]).select("lk", "w", (F.col("start") + F.col("own")).alias("start"))
+        start = cut_lineage(level.join(start.select("lk", F.col("w").alias("up"), "start"), ["lk", "up"]).select("lk", "w", (F.col("start") + F.col("own")).alias("start")))
     return words.join(start.withColumnRenamed("w", "word"), ["lk", "word"])
 
 
