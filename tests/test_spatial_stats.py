@@ -72,3 +72,11 @@ def test_adjustment_over_ranges(spark, ranges):
         assert np.allclose([by[i] for i in range(k, 5000, 2)], bh(p[k::2]), rtol=1e-12)
     plan = S.bh_adjust(df, "p")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition, ENSURE" not in plan.split("percentile_approx")[0] and S.bh_adjust(df.where("false"), "p").count() == 0
+
+
+@pytest.mark.parametrize("values,links", [([1.0], []), ([2.0, 2.0, 2.0], [("a0", "a1"), ("a1", "a2")]), ([1.0, 3.0], [("a0", "a1"), ("a1", "a0")])])
+def test_few_or_equal_areas_have_no_statistic(spark, values, links):
+    areas = spark.createDataFrame([(f"a{i}", v) for i, v in enumerate(values)], "id string, v double")
+    nb = spark.createDataFrame(links, "i string, j string")
+    assert S.moran_global(areas, nb, "v", nsim=9).first().z is None
+    assert all(r["class"] is not None for r in S.lisa(areas, nb, "v", nsim=9).collect())

@@ -72,21 +72,22 @@ def moran_global(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 9999,
     col = w.groupBy(F.col("j").alias("id")).agg(F.sum("w").alias("a"))
     s2 = (row.unionByName(col).groupBy("id").agg(F.pow(F.sum("a"), 2).alias("q")).agg(F.sum("q").alias("s2")))
     m = sums.transform(attach, (s0)).transform(attach, (s1)).transform(attach, (s2))
-    n, k = F.col("n"), F.col("n") * F.col("z4") / F.pow("z2", 2)
-    ei = -1.0 / (n - 1)
+    some = lambda c: F.nullif(c, F.lit(0.0))  # noqa: E731  too few or equal areas have no statistic
+    n, k = F.col("n"), F.col("n") * F.col("z4") / some(F.pow("z2", 2))
+    ei = -1.0 / some(n - 1)
     first = n * ((n * n - 3 * n + 3) * F.col("s1") - n * F.col("s2") + 3 * F.pow("s0", 2))
     second = k * ((n * n - n) * F.col("s1") - 2 * n * F.col("s2") + 6 * F.pow("s0", 2))
-    var = (first - second) / ((n - 1) * (n - 2) * (n - 3) * F.pow("s0", 2)) - ei * ei
-    m = m.withColumn("moran_i", F.col("zl") / F.col("z2")).withColumn("expected", ei).withColumn("sd", F.sqrt(var))
+    var = (first - second) / some((n - 1) * (n - 2) * (n - 3) * F.pow("s0", 2)) - ei * ei
+    m = m.withColumn("moran_i", F.col("zl") / some(F.col("z2"))).withColumn("expected", ei).withColumn("sd", F.sqrt(var))
 
     # Simulations: an area gets the value of the area at its place in a second order.
     given = (_orders(z, nsim, seed, "a").select("r", "place", "id").join(_orders(z, nsim, seed, "b").select("r", "place", "z"), ["r", "place"]))
     given = given.select("r", "id", "z")
     pairs = (given.join(w.select(F.col("i").alias("id"), "j", "w"), "id").select("r", F.col("j").alias("id"), F.col("z").alias("zi"), "w")
              .join(given, ["r", "id"]).groupBy("r").agg(F.sum(F.col("zi") * F.col("z") * F.col("w")).alias("s")))
-    hits = pairs.transform(attach, m.select("moran_i", "z2")).agg(F.count_if(F.col("s") / F.col("z2") >= F.col("moran_i") - TIE).alias("h"))
+    hits = pairs.transform(attach, m.select("moran_i", "z2")).agg(F.count_if(F.col("s") / some(F.col("z2")) >= F.col("moran_i") - TIE).alias("h"))
     return m.transform(attach, hits).select(
-        "moran_i", "expected", "sd", ((F.col("moran_i") - F.col("expected")) / F.col("sd")).alias("z"),
+        "moran_i", "expected", "sd", ((F.col("moran_i") - F.col("expected")) / some(F.col("sd"))).alias("z"),
         ((F.col("h") + 1) / (nsim + 1.0)).alias("p_perm"), F.lit(nsim).alias("nsim"),
         n.cast("bigint").alias("n"), "mean_neighbors")
 
@@ -155,7 +156,7 @@ def lisa(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 99999, seed: i
     z = cut_lineage(_centred(areas, value))
     base = spatial_lag(z, nb, "z").where("neighbors is not null")
     m2 = z.agg(F.avg(F.pow("z", 2)).alias("m2"))
-    base = cut_lineage(base.transform(attach, m2).withColumn("ii", F.col("z") * F.col("lag") / F.col("m2")))
+    base = cut_lineage(base.transform(attach, m2).withColumn("ii", F.col("z") * F.col("lag") / F.nullif(F.col("m2"), F.lit(0.0))))
     most = base.agg(F.max("neighbors")).first()[0] or 0
     firsts = first_places(z.where("z is not null"), most + 1, nsim, seed, "l")
     sums = F.aggregate("firsts", F.array(F.lit(0.0)), lambda acc, a: F.concat(acc, F.array(F.element_at(acc, -1) + a["z"])))
@@ -167,7 +168,7 @@ def lisa(areas: DataFrame, nb: DataFrame, value: str, nsim: int = 99999, seed: i
     among = sims.select("k", at_k.alias("with"), F.get("sums", F.col("k").cast("int") + 1).alias("next"), F.explode(F.slice("firsts", F.lit(1), F.col("k").cast("int"))).alias("a"))
     among = among.withColumn("id", F.col("a.id")).join(small_side(mine), ["k", "id"])
     among = among.select(*mine.columns, F.inline(F.array(F.struct(F.col("with").alias("drawn"), F.lit(-1).alias("sign")), F.struct((F.col("next") - F.col("own")).alias("drawn"), F.lit(1).alias("sign")))))
-    sim = F.col("own") * F.col("drawn") / F.col("k") / F.col("m2")
+    sim = F.col("own") * F.col("drawn") / F.col("k") / F.nullif(F.col("m2"), F.lit(0.0))
     counted = everywhere.select(*among.columns).unionByName(among).groupBy("id").agg(
         F.sum(F.when(sim <= F.col("ii") + TIE, F.col("sign")).otherwise(0)).alias("lo"), F.sum(F.when(sim >= F.col("ii") - TIE, F.col("sign")).otherwise(0)).alias("hi"))
     p = counted.select("id", F.least(F.lit(1.0), 2 * (F.least("lo", "hi") + 1) / (nsim + 1.0)).alias("p"))
