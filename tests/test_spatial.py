@@ -172,3 +172,32 @@ def test_a_dense_tile_is_divided(spark, monkeypatch):
     assert got == greedy(rows, 50, 7)
     a = [r["count"] for r in sizes if r["type"] == "a"]
     assert len(a) > 20 and max(a) <= 300 and len({(r.gx, r.gy) for r in sizes if r["type"] == "b"}) <= 2
+
+
+def test_near_duplicates_decide_each_row_once(spark, monkeypatch):
+    """Where a decision carries on for years, blocks follow each other instead of all deciding again and again."""
+    rng = random.Random(21)
+    rows = [(k, "a", rng.uniform(0, 400), rng.uniform(0, 400), float(rng.randint(0, 350))) for k in range(2400)]
+    decided, keep = [], S.stored
+
+    def watch(df, path):
+        out = keep(df, path)
+        if "link" in out.columns:
+            decided.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "stored", watch)
+    monkeypatch.setattr(S, "BLOCK_ROWS", 300)
+    got = {r["id"]: r["duplicate_of"] for r in S.near_duplicates(spark.createDataFrame(rows, "id long, type string, x double, y double, t double"), 50, 7).collect()}
+    assert got == greedy(rows, 50, 7)
+    assert len(decided) > 4 and sum(decided) <= 2 * len(rows)
+
+
+def test_near_duplicates_in_waves_and_tiles(spark, monkeypatch):
+    """Tiles of one wave settle before the next wave starts, for types of different length side by side."""
+    monkeypatch.setattr(S, "BLOCK_ROWS", 40)
+    rng = random.Random(22)
+    rows = [(k, "a", rng.uniform(0, 500), rng.uniform(0, 500), float(rng.randint(0, 20))) for k in range(500)]
+    rows += [(5000 + k, "b", rng.uniform(-200, 200), rng.uniform(-200, 200), rng.randint(0, 100) / 4) for k in range(200)]
+    got = {r["id"]: r["duplicate_of"] for r in S.near_duplicates(spark.createDataFrame(rows, "id long, type string, x double, y double, t double"), 50, 7).collect()}
+    assert got == greedy(rows, 50, 7)
