@@ -180,3 +180,50 @@ def test_a_trip_is_gathered_once(spark):
     out = T.crossing_times(reports, stops, shapes)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and plan.split("ArrowEvalPython")[0].count("Exchange") == 0 and out.count() == 1
+
+
+def _plain_crossings(t, a, stops):
+    keep = ~np.isnan(a)
+    t, a = t[keep], a[keep]
+    out = []
+    for s in stops:
+        j, c = int((a < s - T.STOP_SLACK_M).sum()), int((a < s - T.NEAR_STOP_M).sum())
+        hit = j if j < len(a) else c
+        if hit >= len(a) or hit == 0 or t[hit] - t[hit - 1] > T.BRACKET_S:
+            out.append(None)
+        elif j == len(a) or a[j] <= a[j - 1]:
+            out.append(float(t[hit]))
+        else:
+            out.append(float(t[j - 1] + (min(s, a[j]) - a[j - 1]) / (a[j] - a[j - 1]) * (t[j] - t[j - 1])))
+    return out
+
+
+@pytest.mark.parametrize("pairs", [40, 500_000])
+def test_a_batch_of_trips_matches_together(monkeypatch, pairs):
+    """Trips on shapes with few segments are placed together without an index of each; the rest shares one index a shape."""
+    import pyarrow as pa
+    rng, built, make = np.random.default_rng(5), [], T.Segments
+    monkeypatch.setattr(T, "PAIRS", pairs)
+    trips = []
+    for k in range(60):
+        corners = 30 if k % 20 == 7 else int(rng.integers(2, 6))
+        seed = np.random.default_rng(77) if corners == 30 else rng
+        px, py = (np.cumsum(seed.uniform(-50, 300, corners)) for _ in range(2))
+        cum = np.concatenate(([0.0], np.cumsum(np.hypot(np.diff(px), np.diff(py)))))
+        n = int(rng.integers(0, 12))
+        w = np.sort(rng.uniform(0, cum[-1], n))
+        x, y = (np.interp(w, cum, p) + rng.normal(0, 40, n) for p in (px, py))
+        trips.append((corners if corners == 30 else 100 + k, px, py, cum, x, y, np.cumsum(rng.uniform(20, 150, n)), np.sort(rng.uniform(0, cum[-1] + 40, k % 4))))
+    names = ["shape_id", "px", "py", "cum", "x", "y", "t", "d"]
+    batch = pa.StructArray.from_arrays([pa.array([v if c == "shape_id" else v.tolist() for v in col], pa.int64() if c == "shape_id" else pa.list_(pa.float64()))
+                                        for c, col in zip(names, zip(*trips))], names)
+    monkeypatch.setattr(T, "Segments", lambda *a: (built.append(1), make(*a))[1])
+    got, (t, reports), (d, wanted) = T._tracks(batch), T._lists(batch, "t"), T._lists(batch, "d")
+    assert len(built) == 1
+    cross = T._as_lists(T._all_crossings(t, got, reports, d, wanted), wanted).to_pylist()
+    for k, (_, px, py, cum, x, y, when, stops) in enumerate(trips):
+        mine, want = got[reports[k]:reports[k + 1]], T._progress(make(px, py, cum), x, y)
+        assert np.array_equal(mine, want, equal_nan=True)
+        assert cross[k] == pytest.approx(_plain_crossings(when, mine, stops), nan_ok=True) if stops.size else cross[k] == []
+    later = batch.slice(9, 30)
+    assert np.array_equal(T._tracks(later), got[reports[9]:reports[39]], equal_nan=True)

@@ -3,7 +3,7 @@
 Reports are unique per trip, service date and second, so one trip's track is at
 most a day of seconds and normally a few hundred reports. A trip is one row
 with its reports, stops and shape as arrays; Spark shuffles and balances trips
-and the sequential matching of one trip is a small numpy helper.
+and numpy matches a batch of trips together: the sequence that counts is within a trip.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,36 +93,119 @@ def _progress(shape: Segments, x, y) -> np.ndarray:
     return out
 
 
-def _tracks(batch: pd.DataFrame) -> list[np.ndarray]:
-    """Progress of the trips of a batch; a shape is indexed once."""
+#: Segments of a shape that needs no index, and pairs of a report and a segment or stop that are held at once.
+SHORT_SHAPE, PAIRS = 16, 500_000
+
+
+def _lists(batch: pa.StructArray, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column in one array (nulls as nan), and where each list starts; one more entry for the end."""
+    lists = batch.field(name)
+    n = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
+    return pc.cast(lists.flatten(), pa.float64()).to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(n)))
+
+
+def _within(starts: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the elements of lists ``k``, list after list, and how many each has."""
+    n = starts[k + 1] - starts[k]
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[k], n), n
+
+
+def _cuts(weight: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of neighbours that weigh about ``PAIRS`` together."""
+    if not len(weight):
+        return []
+    part = (np.cumsum(weight) - weight) // PAIRS
+    at = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(weight)])).tolist()
+    return list(zip(at[:-1], at[1:]))
+
+
+def _short_progress(px, py, cum, points, x, y, reports, k) -> np.ndarray:
+    """``_progress`` of trips ``k``, whose shapes have few segments, all together: the j-th reports of all trips at once."""
+    at, n = _within(reports, k)
+    out, first = np.full(len(at), np.nan), np.cumsum(n) - n
+    reached, segments = np.full(len(k), -np.inf), points[k + 1] - points[k] - 1
+    column = np.arange(segments.max(initial=1))
+    i = np.minimum(points[k][:, None] + column, np.maximum(points[k + 1] - 2, points[k])[:, None])
+    end = np.minimum(i + 1, len(px) - 1)
+    dx, dy = px[end] - px[i], py[end] - py[i]
+    l2 = dx**2 + dy**2
+    length, safe, none = np.sqrt(l2), np.where(l2 == 0, 1.0, l2), column >= segments[:, None]
+    order = np.argsort(-n, kind="stable")
+    for j in range(int(n.max(initial=0))):
+        now = order[:int(np.count_nonzero(n > j))]          # trips that have a j-th report
+        r = first[now] + j
+        ax, ay = x[at[r]][:, None] - px[i[now]], y[at[r]][:, None] - py[i[now]]
+        u = np.clip((ax * dx[now] + ay * dy[now]) / safe[now], 0.0, 1.0)
+        along = cum[i[now]] + u * length[now]
+        off = np.hypot(ax - u * dx[now], ay - u * dy[now])
+        off[none[now] | (along < reached[now][:, None] - BACKTRACK_M)] = np.inf
+        best = off.argmin(axis=1)
+        rows = np.arange(len(now))
+        hit = off[rows, best] <= OFF_SHAPE_M
+        to = np.maximum(reached[now], along[rows, best])
+        out[r[hit]] = to[hit]
+        reached[now[hit]] = to[hit]
+    return out
+
+
+def _tracks(batch: pa.StructArray) -> np.ndarray:
+    """Progress of the reports of a batch of trips, trip after trip; a shape with many segments is indexed once."""
+    (px, points), (py, _), (cum, _) = (_lists(batch, c) for c in ("px", "py", "cum"))
+    (x, reports), (y, _) = (_lists(batch, c) for c in ("x", "y"))
+    out, segments = np.full(len(x), np.nan), np.diff(points) - 1
+    short = np.flatnonzero(segments <= SHORT_SHAPE)
+    for a, b in _cuts((np.diff(reports) * np.maximum(segments, 1))[short]):
+        k = short[a:b]
+        out[_within(reports, k)[0]] = _short_progress(px, py, cum, points, x, y, reports, k)
     shapes: dict = {}
-    out = []
-    for shape_id, px, py, cum, x, y in batch.itertuples(index=False):
+    for k in np.flatnonzero(segments > SHORT_SHAPE).tolist():
+        shape_id, own, rows = batch.field("shape_id")[k].as_py(), slice(points[k], points[k + 1]), slice(reports[k], reports[k + 1])
         if shape_id not in shapes:
-            shapes[shape_id] = Segments(px, py, cum)
-        out.append(_progress(shapes[shape_id], x, y))
+            shapes[shape_id] = Segments(px[own], py[own], cum[own])
+        out[rows] = _progress(shapes[shape_id], x[rows], y[rows])
     return out
 
 
-def _crossings(t, a, stops) -> list[float | None]:
-    """Time each stop distance is first reached; None where the track cannot tell."""
+def _all_crossings(t, a, reports, stops, wanted) -> np.ndarray:
+    """Time each stop distance of each trip is first reached; nan where the track cannot tell.
+
+    ``t``, ``a``: times and progress of all trips, ``stops``: stop distances; ``reports`` and ``wanted`` say where a trip's start.
+    """
     keep = ~np.isnan(a)
+    reports = np.concatenate(([0], np.cumsum(keep)))[reports]
     t, a = t[keep], a[keep]
-    first = np.searchsorted(a, np.asarray(stops) - STOP_SLACK_M, side="left")
-    close = np.searchsorted(a, np.asarray(stops) - NEAR_STOP_M, side="left")
-    out: list[float | None] = []
-    for s, j, c in zip(stops, first, close):
-        hit = j if j < len(a) else c
-        if hit >= len(a) or hit == 0 or t[hit] - t[hit - 1] > BRACKET_S:
-            out.append(None)
-        elif j == len(a) or a[j] <= a[j - 1]:
-            out.append(float(t[hit]))
-        else:
-            part = (min(s, a[j]) - a[j - 1]) / (a[j] - a[j - 1])
-            out.append(float(t[j - 1] + part * (t[j] - t[j - 1])))
+    trip = np.repeat(np.arange(len(wanted) - 1), np.diff(wanted))
+    n, out = np.diff(reports)[trip], np.full(len(stops), np.nan)
+    for lo, hi in _cuts(n):
+        if not n[lo:hi].any():
+            continue
+        m, k, s = n[lo:hi], trip[lo:hi], stops[lo:hi]
+        at, _ = _within(reports, k)
+        stop = np.repeat(np.arange(hi - lo), m)
+        # a trip's progress never falls, so reports short of a stop are those before it
+        j, c = (np.bincount(stop[a[at] < (s - d)[stop]], minlength=hi - lo) for d in (STOP_SLACK_M, NEAR_STOP_M))
+        hit = np.where(j < m, j, c)
+        ok = (hit < m) & (hit > 0)
+        now, before = (reports[k] + np.where(ok, hit - e, 0) for e in (0, 1))
+        now, before = np.minimum(now, len(t) - 1), np.minimum(before, len(t) - 1)
+        ok &= t[now] - t[before] <= BRACKET_S
+        step = a[now] - a[before]
+        between = t[before] + (np.minimum(s, a[now]) - a[before]) / np.where(step > 0, step, 1.0) * (t[now] - t[before])
+        out[lo:hi] = np.where(ok, np.where((j == m) | (step <= 0), t[now], between), np.nan)
     return out
 
 
+def _crossings(t, a, stops) -> list[float | None]:
+    """``_all_crossings`` of one trip; None where the track cannot tell."""
+    found = _all_crossings(t, a, np.array([0, len(t)]), np.asarray(stops, float), np.array([0, len(stops)]))
+    return [None if np.isnan(v) else float(v) for v in found]
+
+
+def _as_lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The other way round: lists again, nan as null."""
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.float64(), from_pandas=True))
+
+
 #: Shape points that may be sent to every executor.
 MOST_POINTS = 1_000_000
 
@@ -141,9 +225,9 @@ def _trips(reports: DataFrame, shapes: DataFrame) -> DataFrame:
 
 def trip_progress(reports: DataFrame, shapes: DataFrame) -> DataFrame:
     """service_date, trip_id, t, along. ``reports``: service_date, trip_id, shape_id, t, x, y."""
-    @F.pandas_udf("array<double>")
-    def along(trip: pd.DataFrame) -> pd.Series:
-        return pd.Series([[None if np.isnan(v) else float(v) for v in a] for a in _tracks(trip)])
+    @F.arrow_udf("array<double>")
+    def along(trip: pa.Array) -> pa.Array:
+        return _as_lists(_tracks(trip), _lists(trip, "x")[1])
 
     trips = _trips(reports, shapes).withColumn("along", along(F.struct("shape_id", "px", "py", "cum", "x", "y")))
     return (trips.withColumn("_z", F.explode(F.arrays_zip("t", "along")))
@@ -159,10 +243,10 @@ def crossing_times(reports: DataFrame, stops: DataFrame, shapes: DataFrame) -> D
     s = (stops.groupBy("service_date", "trip_id").agg(F.sort_array(F.collect_set(F.struct("stop_id", "stop_along"))).alias("s"))
          .select("service_date", "trip_id", F.col("s.stop_id").alias("stop_id"), F.col("s.stop_along").alias("d")))
 
-    @F.pandas_udf("array<double>")
-    def reach(trip: pd.DataFrame) -> pd.Series:
-        progress = _tracks(trip[["shape_id", "px", "py", "cum", "x", "y"]])
-        return pd.Series([_crossings(np.asarray(t, float), a, d) for t, a, d in zip(trip["t"], progress, trip["d"])])
+    @F.arrow_udf("array<double>")
+    def reach(trip: pa.Array) -> pa.Array:
+        (t, reports), (d, wanted) = _lists(trip, "t"), _lists(trip, "d")
+        return _as_lists(_all_crossings(t, _tracks(trip), reports, d, wanted), wanted)
 
     j = _trips(reports, shapes).join(s, ["service_date", "trip_id"])
     j = j.withColumn("arrival", reach(F.struct("shape_id", "px", "py", "cum", "x", "y", "t", "d")))
