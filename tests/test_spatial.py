@@ -201,3 +201,44 @@ def test_near_duplicates_in_waves_and_tiles(spark, monkeypatch):
     rows += [(5000 + k, "b", rng.uniform(-200, 200), rng.uniform(-200, 200), rng.randint(0, 100) / 4) for k in range(200)]
     got = {r["id"]: r["duplicate_of"] for r in S.near_duplicates(spark.createDataFrame(rows, "id long, type string, x double, y double, t double"), 50, 7).collect()}
     assert got == greedy(rows, 50, 7)
+
+
+@pytest.mark.parametrize("near", [1, 5, 10**9])
+def test_rereport_in_stretches_equals_all_days(spark, monkeypatch, near):
+    """However short the first stretch of days is, the first report of each radius is found up to the last day."""
+    steps, keep = [], S.stored
+    monkeypatch.setattr(S, "stored", lambda df, path: (steps.append(path) if "/step=" in path else None, keep(df, path))[1])
+    monkeypatch.setattr(S, "NEAR_REPORTS", near)
+    rng = random.Random(31)
+    rows = [(k, rng.choice("ab"), round(rng.uniform(0, 500)) * 1.0, round(rng.uniform(0, 500)) * 1.0, rng.randint(0, 200)) for k in range(700)]
+    rows += [(k, None, 1.0, 1.0, 5) for k in (701, 702)] + [(703, "a", None, 1.0, 5), (704, "a", 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "id long, g string, x double, y double, t int")
+    got = {r["id"]: (r["r25"], r["r50"], r["r100"]) for r in S.first_rereport(df, df.drop("id"), [25, 50, 100]).collect()}
+    full = [r for r in rows if None not in r]
+    for i, g, x, y, t in full:
+        later = [(math.hypot(x - p[2], y - p[3]), p[4] - t) for p in full if p[1] == g and 0 < p[4] - t <= 60]
+        assert got[i] == tuple(min((l for d, l in later if d <= r), default=None) for r in (25, 50, 100))
+    assert len(got) == len(rows) and got[701] == got[703] == got[704] == (None, None, None)
+    assert len(steps) == 1 if near == 10**9 else len(steps) > 1
+
+
+def test_pairs_carry_their_type_and_no_side_is_sent_whole(spark):
+    rows, df = points(spark, 60, 5)
+    a = df.withColumnRenamed("type", "g")
+    pairs = S.grid_pairs(a, a, 60, lag=(0, 5), with_group=True)
+    kind = {r[0]: r[1] for r in rows}
+    assert all(p["g"] == kind[p["a_id"]] == kind[p["b_id"]] for p in pairs.collect())
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_semi_anti_join_takes_parts_by_rows(spark, monkeypatch, tmp_path):
+    from wardstat.plans import q_joins
+    from wardstat.plans.registry import Tables
+    monkeypatch.setattr(q_joins, "PART_ROWS", 50)
+    spark.createDataFrame([(k,) for k in (*range(40), 3, None)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(k % 30, "R" if k % 30 < 10 and k > 300 else "N") for k in range(700)] + [(None, "R")]
+    spark.createDataFrame(lines, "l_orderkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = q_joins.semi_anti_join(Tables(spark, str(tmp_path)))
+    assert sorted((r["o_orderkey"], r["returned"]) for r in df.collect()) == sorted([(k, k < 10) for k in (*range(30), 3)])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "hashpartitioning(l_orderkey#" in plan and ", 15), REPARTITION_BY_NUM" in plan
