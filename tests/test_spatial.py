@@ -222,13 +222,21 @@ def test_rereport_in_stretches_equals_all_days(spark, monkeypatch, near):
     assert len(steps) == 1 if near == 10**9 else len(steps) > 1
 
 
-def test_pairs_carry_their_type_and_no_side_is_sent_whole(spark):
-    rows, df = points(spark, 60, 5)
-    a = df.withColumnRenamed("type", "g")
-    pairs = S.grid_pairs(a, a, 60, lag=(0, 5), with_group=True)
-    kind = {r[0]: r[1] for r in rows}
-    assert all(p["g"] == kind[p["a_id"]] == kind[p["b_id"]] for p in pairs.collect())
-    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+def test_within_radius_looks_up_no_pair(spark, tmp_path):
+    """The join of pairs comes last but for the counts; an id that comes twice counts with each of its types."""
+    from wardstat.plans import q_spatial
+    from wardstat.plans.registry import Tables
+    rng = random.Random(41)
+    rows = [(k % 380, rng.choice("ab"), f"1995-01-{rng.randint(1, 28):02d}") for k in range(400)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderpriority string, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    df = q_spatial.within_radius(Tables(spark, str(tmp_path)))
+    at = [(k, g, k * 7919 % 1999, k * 104729 % 2003, int(d[-2:])) for k, g, d in rows]
+    hits = [(kind[1], math.hypot(a[2] - b[2], a[3] - b[3]), b[4] - a[4]) for a in at for b in at
+            if a[1] == b[1] and 0 < b[4] - a[4] <= 20 and math.hypot(a[2] - b[2], a[3] - b[3]) <= 100 for kind in at if kind[0] == a[0]]
+    want = {(g, r): (len(x), min(x, default=None)) for g in "ab" for r in (25, 100) for x in [[lag for h, d, lag in hits if h == g and d <= r]]}
+    assert {(r["type"], r["radius"]): (r["n"], r["min_lag"]) for r in df.collect()} == want
+    plan = S.grid_pairs(*[q_spatial.order_points(Tables(spark, str(tmp_path))).withColumnRenamed("type", "g")] * 2, 100, lag=(0, 20))
+    assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_semi_anti_join_takes_parts_by_rows(spark, monkeypatch, tmp_path):

@@ -136,8 +136,11 @@ def grid_pairs(t):
   AND (a.x-b.x)**2 + (a.y-b.y)**2 <= 10000) a GROUP BY 1"""))
 def within_radius(t):
     p = order_points(t).withColumnRenamed("type", "g")
-    pairs = spatial.grid_pairs(p, p, 100, lag=(0, 20), with_group=True).withColumnRenamed("g", "type")
-    one = pairs.groupBy("type").agg(*[a for r in (25, 100) for a in (F.count_if(F.col("dist") <= r).alias(f"n{r}"), F.min(F.when(F.col("dist") <= r, F.col("lag"))).alias(f"l{r}"))])
+    # a place brings the types of its id, and how often each is there, so that no pair is looked up
+    kinds = p.groupBy("id", F.col("g").alias("type")).agg(F.count(F.lit(1)).alias("times"))
+    a = p.join(kinds, "id").withColumn("id", F.struct("type", "times"))
+    pairs = spatial.grid_pairs(a, p, 100, lag=(0, 20)).select("a_id.*", "dist", "lag")
+    one = pairs.groupBy("type").agg(*[c for r in (25, 100) for c in (F.coalesce(F.sum(F.when(F.col("dist") <= r, F.col("times"))), F.lit(0)).alias(f"n{r}"), F.min(F.when(F.col("dist") <= r, F.col("lag"))).alias(f"l{r}"))])
     return one.select("type", F.inline(F.array(*[F.struct(F.lit(r).alias("radius"), F.col(f"n{r}").alias("n"), F.col(f"l{r}").alias("min_lag")) for r in (25, 100)])))
 
 
