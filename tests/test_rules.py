@@ -176,3 +176,22 @@ def test_declared_value_keeps_cells_that_a_variant_makes_small(spark):
     assert got["primary"]["value"] == pytest.approx(sum(kept)) and got["excl_top1pct"]["value"] == pytest.approx(sum(kept[:-3]))
     for r in got.values():
         assert r["ci_low"] <= r["value"] <= r["ci_high"]
+
+
+def test_address_report_joins_addresses_once(spark):
+    """Areas may be missing and ids may repeat; no join or pivot of addresses by type, only one with their areas."""
+    addr = spark.createDataFrame([(1, "h1", "A", "N"), (2, "h1", "A", "N"), (3, "h2", None, "N"), (4, None, "B", None), (2, "h1", "A", "N")],
+                                 "id bigint, cell string, zcta string, district string")
+    rows = "type string, geo_type string, geo_id string, value double, n bigint"
+    near = spark.createDataFrame([("p", "hex_174m", "h1", 1.0, 10)], rows)
+    area = spark.createDataFrame([("p", "citywide", "city", 2.0, 20), ("q", "citywide", "city", 3.0, 30), ("p", "zcta", "A", 4.0, 40),
+                                  ("q", "zcta", "B", 5.0, 50), ("p", "super_district", "N", None, 60)], rows)
+    out = metrics.address_report(addr, near, area)
+    assert out.columns == ["id", "type"] + [f"{lab}_{c}" for lab in ("near", "city", "zip", "district") for c in ("value", "n")]
+    none = (None, 0)
+    assert sorted(tuple(r) for r in out.collect()) == sorted(
+        [(i, "p", 1.0, 10, 2.0, 20, 4.0, 40, None, 60) for i in (1, 2)] + [(i, "q", *none, 3.0, 30, *none, *none) for i in (1, 2)]
+        + [(3, "p", *none, 2.0, 20, *none, None, 60), (3, "q", *none, 3.0, 30, *none, *none)]
+        + [(4, "p", *none, 2.0, 20, *none, *none), (4, "q", *none, 3.0, 30, 5.0, 50, *none)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "pivotfirst" not in plan and "Generate" not in plan

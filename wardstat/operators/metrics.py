@@ -539,15 +539,20 @@ def address_report(addresses: DataFrame, cell_rows: DataFrame, area_rows: DataFr
     """One row per address and type: the metric near it, citywide, in its ZIP area and in its district.
 
     ``addresses``: id, cell, zcta, district; metric rows: type, geo_type, geo_id, value, n. A type is listed for every
-    address as soon as it has a citywide row.
+    address as soon as it has a citywide row. What a report says depends on the areas alone, so it is put together once
+    per combination of areas, and an address brings only its combination.
     """
-    labels = ["near", "city", "zip", "district"]
+    labels, areas = ["near", "city", "zip", "district"], ["cell", "zcta", "district"]
+    homes = addresses.select("id", *areas).dropDuplicates(["id"])
+    spots = homes.select(*areas).distinct()
     places = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(g).alias("geo_type"), c.alias("geo_id")) for lab, g, c in zip(
         labels, ("hex_174m", "citywide", "zcta", "super_district"), (F.col("cell"), F.lit("city"), F.col("zcta"), F.col("district")))])
     rows = cell_rows.select("type", *CELL, "value", "n").unionByName(area_rows.select("type", *CELL, "value", "n"))
-    wide = (addresses.select("id", F.inline(places)).join(rows, CELL).groupBy("id", "type").pivot("label", labels)
+    wide = (spots.select(F.struct(*areas).alias("spot"), F.inline(places)).join(rows, CELL).groupBy("spot", "type").pivot("label", labels)
             .agg(F.first("value").alias("value"), F.first("n").alias("n")))
-    return wide.fillna(0, [f"{lab}_n" for lab in labels])
+    wide = cut_lineage(wide.fillna(0, [f"{lab}_n" for lab in labels]))
+    at = homes.select("id", F.struct(*areas).alias("at"))
+    return at.join(small_side(wide), F.col("at").eqNullSafe(F.col("spot"))).drop("at", "spot")
 
 
 def dispositions(closed: DataFrame, resolution: str, sub: str, type_col: str, shown_id: Column, types: int = 3, samples: int = 5) -> DataFrame:
