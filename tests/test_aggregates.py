@@ -160,3 +160,13 @@ def test_selection_among_values_that_lie_close(spark, monkeypatch):
         s, n = np.sort(part), len(part)
         assert [got[k].n, got[k].a, got[k].b, got[k].c, got[k].d, got[k].none] == [n, s[0], s[n // 4 - 1], s[n // 2 - 1], s[-1], None]
     assert A.order_statistics(df, [], "v", {"m": F.lit(4750)}).first().m == np.sort(x)[4749]
+
+
+def test_bootstrap_draws_are_dealt_by_number(spark):
+    """A few kilobytes of values are still many draws: they may not end up in one or two tasks."""
+    df = spark.range(3000).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    out = A.bootstrap_total(df, ["g"], "v", reps=40)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    cores = spark.sparkContext.defaultParallelism
+    assert any("REPARTITION_BY_NUM" in line and f", {cores})" in line for line in plan.splitlines()), plan
+    assert out.first()["n"] == 3000

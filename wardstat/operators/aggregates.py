@@ -151,6 +151,10 @@ def poisson_steps(digits: int = 8) -> list[str]:
     return out
 
 
+#: Copies of values that one task draws weights for.
+DRAWN_COPIES = 20_000
+
+
 def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REPS, seed: int = SEED) -> DataFrame:
     """n, total, ci_low, ci_high: percentile bootstrap of the sum of each cell.
 
@@ -161,9 +165,17 @@ def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REP
     shuffled.
     """
     v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c")))
+    v = cut_lineage(v)
+    n = v.agg(F.sum("c")).first()[0] or 0
     total = v.groupBy(*cells).agg(F.sum("c").alias("n"), F.sum(F.col("x") * F.col("c")).alias("total"))
-    draws = v.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "c"))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(-(-reps // 4) - 1))))
-    draws = draws.withColumn("h", F.md5(F.concat_ws(":", F.lit(f"w:{seed}"), *[F.col(c).cast("string") for c in cells], F.col("x").cast("decimal(24,4)").cast("string"), F.col("copy").cast("string"), F.col("b").cast("string"))))
+    # what is hashed differs by its last number only: the rest is written once per copy, not once per draw
+    named = F.concat_ws(":", F.lit(f"w:{seed}"), *[F.col(c).cast("string") for c in cells], F.col("x").cast("decimal(24,4)").cast("string"))
+    copies = v.withColumn("named", named).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "c")))
+    copies = copies.select(*cells, "x", F.concat_ws(":", "named", F.col("copy").cast("string"), F.lit("")).alias("named"))
+    # a copy is few bytes but ``reps`` draws: dealt by number, not by size, so that every core draws
+    copies = copies.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // DRAWN_COPIES)), "named")
+    numbers = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(str(b)).alias("last")) for b in range(-(-reps // 4))])
+    draws = copies.select("*", F.inline(numbers)).withColumn("h", F.md5(F.concat("named", "last")))
     steps = poisson_steps()
 
     def weight(k: int) -> Column:
