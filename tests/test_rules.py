@@ -195,3 +195,39 @@ def test_address_report_joins_addresses_once(spark):
         + [(4, "p", *none, 2.0, 20, *none, *none), (4, "q", *none, 3.0, 30, 5.0, 50, *none)])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and "pivotfirst" not in plan and "Generate" not in plan
+
+
+END = lambda: F.lit("2024-06-30").cast("date")
+
+
+def test_windows_drop_other_days_before_rows_are_repeated(spark):
+    """The condition on the date must stand below the repeat, where joins and tables can use it."""
+    d = spark.range(400).select(F.expr("date_sub(date'2024-06-30', cast(id as int))").alias("d"))
+    for out, n in ((metrics.day_windows(d, "d", END(), [{"days": 5}, {"days": 9}]), 14), (metrics.month_windows(d, "d", END(), [{"months": 1}, {"months": 2}]), 91),
+                   (metrics.month_windows(d, "d", END(), [{"months": 1}, {"months": 2}], F.lit("2024-06-10").cast("date")), 42)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ">=" in plan[plan.index("Generate"):]
+        assert out.count() == n
+
+
+def test_headway_ratio_is_missing_where_the_schedule_has_no_gap(spark):
+    """Trips scheduled within one second: no ratio, as in SQL, and no failure."""
+    day, cells = "date'2024-06-28'", spark.createDataFrame([("s", "h")], "stop_id string, h8 string")
+    ev = spark.range(60).select(F.expr(day).alias("service_date"), F.when(F.col("id") < 30, "a").otherwise("b").alias("route_id"), F.lit("0").alias("direction_id"),
+                                F.lit("s").alias("stop_id"), F.format_string("%02d", "id").alias("trip_id"), F.when(F.col("id") < 30, 1000).otherwise(1000 + F.col("id") * 600).alias("scheduled"),
+                                (5000 + F.col("id") * 300).alias("arrival"), F.lit("observed").alias("status"), F.lit(True).alias("measurable"))
+    got = {r.geo_id: r for r in metrics.headway_ratio(ev, cells, END()).where("geo_type = 'route' and window_start = date'2024-06-01'").collect()}
+    assert got["a"].value is None and got["a"].n == 29 and got["b"].value == 0.5
+
+
+def test_ghost_rate_reads_stop_times_of_its_windows(spark):
+    """Other days are dropped on both sides before trips meet their stops."""
+    days = spark.createDataFrame([("2024-06-30", "t1"), ("2024-06-29", "t2"), ("2023-01-01", "t3")], "d string, trip_id string").select(F.to_date("d").alias("service_date"), "trip_id")
+    cls = days.select("*", F.lit("r").alias("route_id"), F.lit("city").alias("city"), F.lit(15).alias("tolerance"), F.lit(True).alias("measurable"),
+                      F.when(F.col("trip_id") == "t1", "ghost").otherwise("observed").alias("status"))
+    times = days.select("*", F.lit("s").alias("stop_id")).repartition(2)
+    out = metrics.ghost_rate(cls, times, spark.createDataFrame([("s", "h")], "stop_id string, h8 string"), END())
+    got = {(r.geo_type, r.geo_id): r.n for r in out.where("window_start = date'2024-06-01'").collect()}
+    assert got == {("citywide", "city"): 2, ("route", "r"): 2, ("stop", "s"): 2, ("hex_461m", "h"): 2}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Filter" in x and ">= 2024-04-02" in x for x in plan.splitlines()) >= 3, plan       # trips twice, stop times

@@ -31,17 +31,23 @@ MATCH_FLOOR, FREQUENT_S = 0.85, 1800
 RESTORATION_SPAN_S, MIN_N_RESTORATION = 1800, 20
 
 
+def in_day_windows(df: DataFrame, day: str, through: Column, windows: list[dict]) -> DataFrame:
+    """Rows whose date falls in the longest trailing window: what no window counts need not be joined or repeated."""
+    return df.where(F.col(day).between(window_start_days(through, max(w["days"] for w in windows)), through))
+
+
 def day_windows(df: DataFrame, day: str, through: Column, windows: list[dict]) -> DataFrame:
     """Repeat rows for every trailing window of days their date falls in."""
-    out = fan_out(df, windows, {"days": "int"})
+    # a plain condition on the date reaches the tables, unlike the one on what the repeat adds
+    out = fan_out(in_day_windows(df, day, through, windows), windows, {"days": "int"})
     return (out.withColumn("window_start", window_start_days(through, F.col("days"))).withColumn("window_end", through)
             .where(F.col(day).between(F.col("window_start"), F.col("window_end"))).drop("days"))
 
 
 def month_windows(df: DataFrame, day: str, through: Column, windows: list[dict], data_from: Column | None = None) -> DataFrame:
-    out = fan_out(df, windows, {"months": "int"})
-    start = window_start_months(through, F.col("months"))
-    start = F.greatest(start, data_from) if data_from is not None else start
+    start_of = lambda m: window_start_months(through, m) if data_from is None else F.greatest(window_start_months(through, m), data_from)
+    longest = start_of(F.lit(max(w["months"] for w in windows)))
+    out, start = fan_out(df.where(F.col(day).between(longest, through)), windows, {"months": "int"}), start_of(F.col("months"))
     return (out.withColumn("window_start", start).withColumn("window_end", through)
             .where(F.col(day).between(F.col("window_start"), F.col("window_end"))).drop("months"))
 
@@ -312,9 +318,8 @@ def ghost_rate(cls: DataFrame, stop_times: DataFrame, stop_cells: DataFrame, thr
     """
     key, cells = ["service_date", "trip_id"], ["variant", *CELL, *WINDOW]
     d = cls.where(F.col("measurable") & (F.col("status") != "unobserved")).withColumn("ghost", F.col("status") == "ghost").withColumn("variant", _tolerance_name())
-    # only days of some window; tolerances of a trip are one row until they are counted
-    days = day_windows(d.select("service_date").distinct(), "service_date", through, TRANSIT_WINDOWS).select("service_date").distinct()
-    d = d.join(small_side(days), "service_date", "left_semi")
+    # only days of some window, on both sides of the join; tolerances of a trip are one row until they are counted
+    d, stop_times = (in_day_windows(x, "service_date", through, TRANSIT_WINDOWS) for x in (d, stop_times))
     lv = transit_levels(True)
     trip = d.groupBy(*key).agg(F.collect_list(F.struct("variant", "ghost")).alias("ghosts"))
     at = stop_times.select(*key, "stop_id").join(trip.select(*key), key, "left_semi").distinct().join(trip, key).join(stop_cells, "stop_id", "left").withColumn("g", F.explode("ghosts")).select("*", "g.*")
@@ -356,6 +361,7 @@ HEADWAY_KEY = ["service_date", "route_id", "direction_id", "stop_id"]
 def headway_ratio(events: DataFrame, stop_cells: DataFrame, through: Column, windows=None) -> DataFrame:
     """Median observed over median scheduled gap on routes scheduled every 30 minutes or better."""
     windows = windows or TRANSIT_WINDOWS
+    events = in_day_windows(events, "service_date", through, windows)      # a gap lies within its day
     ob = day_windows(headway_gaps(events, HEADWAY_KEY), "service_date", through, windows)
     sc = day_windows(scheduled_gaps(events, HEADWAY_KEY), "service_date", through, windows)
     route = agg.quantiles(sc, ["route_id", *WINDOW], "gap", {"med": 0.5}).where(F.col("med") <= FREQUENT_S)
@@ -367,7 +373,7 @@ def headway_ratio(events: DataFrame, stop_cells: DataFrame, through: Column, win
     obs = agg.median_metric(ready(ob), cells, "gap")
     r = obs.join(sched, cells)
     for c in ("value", "ci_low", "ci_high"):
-        r = r.withColumn(c, F.col(c) / F.col("sched"))
+        r = r.withColumn(c, F.col(c) / F.nullif(F.col("sched"), F.lit(0.0)))      # dense stops may be scheduled within one second
     return r.drop("sched").withColumn("metric", F.lit("peak_headway_ratio")).withColumn("variant", F.lit("primary"))
 
 

@@ -409,7 +409,7 @@ def m_headway_ratio(t):
 
 @query("m_transit_all", sql("cls stt sc hgap sgap", _with_city("al"), _sql_ghost() + _sql_ontime() + _sql_headway() + [("al", f"SELECT {_C} FROM gh UNION ALL SELECT {_C} FROM ot UNION ALL SELECT {_C} FROM hw2")]))
 def m_transit_all(t):
-    cls = cut_lineage(_cls(t))
+    cls = cut_lineage(metrics.in_day_windows(_cls(t), "service_date", day(P.THROUGH), metrics.TRANSIT_WINDOWS))
     return assembled([m.select(*COLS) for m in (_ghost(t, cls), _on_time(t, cls), _headway(t))])
 
 
