@@ -210,6 +210,18 @@ def test_windows_drop_other_days_before_rows_are_repeated(spark):
         assert out.count() == n
 
 
+def test_rereports_answer_closings_of_the_windows_only(spark):
+    """Closings before the longest window are in no rate; reports up to 60 days after the data's last day still answer."""
+    rows = [(1, "p", 0.0, 0.0, "2023-01-01", "2023-01-05"), (2, "p", 0.0, 10.0, "2023-01-20", None),       # closed before the window
+            (3, "p", 500.0, 0.0, "2023-01-01", "2023-07-02"), (4, "p", 500.0, 30.0, "2023-07-03", None),   # its first day
+            (5, "p", 900.0, 0.0, "2024-01-01", "2024-06-30"), (6, "p", 900.0, 0.0, "2024-08-29", None), (7, "p", 900.0, 5.0, "2024-08-30", None)]
+    pts = spark.createDataFrame(rows, "id int, type string, x double, y double, opened string, close_date string").select(
+        "id", "type", "x", "y", F.to_date("opened").alias("opened"), F.to_date("close_date").alias("close_date"), F.col("close_date").isNotNull().alias("is_closed"),
+        F.lit(None).cast("int").alias("duplicate_of"), F.lit(None).cast("string").alias("exclusion"), F.lit(True).alias("in_city"))
+    got = {r.id: (r.r25, r.r50, r.r100) for r in metrics.rereports(pts, END()).collect()}
+    assert got == {3: (None, 1, 1), 5: (60, 60, 60)}
+
+
 def test_headway_ratio_is_missing_where_the_schedule_has_no_gap(spark):
     """Trips scheduled within one second: no ratio, as in SQL, and no failure."""
     day, cells = "date'2024-06-28'", spark.createDataFrame([("s", "h")], "stop_id string, h8 string")

@@ -86,18 +86,20 @@ def within_target(base: DataFrame, targets: DataFrame, levels: dict[str, Column]
     return out.withColumnRenamed("type", "subgroup").withColumn("metric", F.lit("pct_within_target"))
 
 
-def rereports(pts: DataFrame) -> DataFrame:
-    """Closed primaries with days to the first later request of their type (r25, r50, r100).
+def rereports(pts: DataFrame, through: Column, windows=REQUEST_WINDOWS, max_days: int = 60) -> DataFrame:
+    """Primaries closed in some window, with days to the first later request of their type (r25, r50, r100).
 
     The pool of re-reports is every included, located, in-city request,
-    near-duplicates too.
+    near-duplicates too; only those up to ``max_days`` after a closing can answer it.
     """
     pool = pts.where(F.col("exclusion").isNull() & F.coalesce(F.col("in_city"), F.lit(False)) & F.col("x").isNotNull())
     day = lambda c: F.unix_date(F.col(c))
-    closed = (pool.where(F.col("duplicate_of").isNull() & F.col("is_closed"))
+    closed = (in_day_windows(pool.where(F.col("duplicate_of").isNull() & F.col("is_closed")), "close_date", through, windows)
               .withColumn("g", F.col("type")).withColumn("t", day("close_date")))
-    reports = pool.select(F.col("type").alias("g"), "x", "y", day("opened").alias("t"))
-    return first_rereport(closed, reports, [25, 50, 100]).drop("g", "t")
+    first = window_start_days(through, max(w["days"] for w in windows))
+    reports = (pool.where((F.col("opened") > first) & (F.col("opened") <= F.date_add(through, max_days)))
+               .select(F.col("type").alias("g"), "x", "y", day("opened").alias("t")))
+    return first_rereport(closed, reports, [25, 50, 100], max_days).drop("g", "t")
 
 
 def reopen_rate(rr: DataFrame, levels: dict[str, Column], through: Column) -> DataFrame:

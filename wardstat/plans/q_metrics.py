@@ -101,7 +101,7 @@ def m_within_target(t):
 
 @query("m_reopen_rate", sql("base", f"SELECT {_C} FROM ro", sql_link() + sql_reo()))
 def m_reopen_rate(t):
-    return shaped(metrics.reopen_rate(metrics.rereports(tickets_linked(t)), P.levels(), day(P.THROUGH)))
+    return shaped(metrics.reopen_rate(metrics.rereports(tickets_linked(t), day(P.THROUGH)), P.levels(), day(P.THROUGH)))
 
 
 @query("m_requests_per_1000", sql("base", f"SELECT {_r(4)} FROM rq", sql_req("base")))
@@ -130,7 +130,7 @@ def sql_hexm() -> list:
 @query("m_hex_metrics", sql("base", f"SELECT {_C} FROM hm", sql_hexm()))
 def m_hex_metrics(t):
     k = tickets_linked(t)
-    return shaped(metrics.hex_metrics(normalize.base_records(k), metrics.rereports(k), P.targets(t), HEADLINE, day(P.THROUGH)))
+    return shaped(metrics.hex_metrics(normalize.base_records(k), metrics.rereports(k, day(P.THROUGH)), P.targets(t), HEADLINE, day(P.THROUGH)))
 
 
 @query("m_address_report", sql("base", """SELECT a.id, c.type, h.value AS near_value, coalesce(h.n, 0) AS near_n, c.value AS city_value, coalesce(c.n, 0) AS city_n, z.value AS zip_value, coalesce(z.n, 0) AS zip_n, d.value AS district_value, coalesce(d.n, 0) AS district_n
@@ -173,7 +173,7 @@ def m_all_requests(t):
     b = normalize.base_records(k)
     th, lv = day(P.THROUGH), P.levels()
     return assembled([m.select(*COLS) for m in (
-        metrics.median_days(b, lv, th), metrics.within_target(b, P.targets(t), lv, th), metrics.reopen_rate(metrics.rereports(k), lv, th),
+        metrics.median_days(b, lv, th), metrics.within_target(b, P.targets(t), lv, th), metrics.reopen_rate(metrics.rereports(k, th), lv, th),
         metrics.requests_per_1000(b, population(t), lv, th))])
 
 
