@@ -170,3 +170,17 @@ def test_bootstrap_draws_are_dealt_by_number(spark):
     cores = spark.sparkContext.defaultParallelism
     assert any("REPARTITION_BY_NUM" in line and f", {cores})" in line for line in plan.splitlines()), plan
     assert out.first()["n"] == 3000
+
+
+def test_order_statistics_of_spread_rows(spark, monkeypatch):
+    """Rows repeated for their cells after they are stored: the same values at the same ranks, one value being in more rows than are opened."""
+    monkeypatch.setattr(A, "OPENED", 8)
+    monkeypatch.setattr(A, "PARTS", 4)
+    gs = F.array(F.lit("all"), F.when(F.col("id") % 3 == 0, "third"))
+    df = spark.range(300).select(gs.alias("gs"), (F.col("id") % 20).alias("leaf"), F.when(F.col("id") < 150, 7.0).otherwise((F.col("id") * 37 % 101).cast("double")).alias("v"))
+    df = df.unionByName(df.limit(1).select("gs", "leaf", F.lit(None).cast("double").alias("v")))
+    cells = lambda d: d.withColumn("g", F.explode("gs"))
+    ranks = {"low": F.lit(1), "mid": F.ceil(F.col("n") / 2), "odd": F.col("n") - 7, "high": F.col("n"), "beyond": F.col("n") + 1}
+    plain = {r.g: r for r in A.order_statistics(cells(df), ["g"], "v", ranks).collect()}
+    spread = {r.g: r for r in A.order_statistics(df, ["g"], "v", ranks, cells).collect()}
+    assert spread == plain and spread["all"].n == 300 and spread["third"].n == 100

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,17 +68,24 @@ def odds(counts: DataFrame, d: str, n: str, min_n: int = 20) -> DataFrame:
 OPENED, PARTS = 50_000, 1024
 
 
-def order_statistics(df: DataFrame, cells: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+def order_statistics(df: DataFrame, cells: list[str], value: str, ranks: dict[str, Column], spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per cell: n and, for each named rank (an expression of n), the value at it.
 
     Exact selection, however the values are spread. Equal values are counted first. A rank starts with its cell's whole
     stretch of values; while some stretch has more than ``OPENED`` distinct values it is divided into ``PARTS`` equal
     ones, their counts are added up, and each rank goes on with the part it falls into, from that part's least to its
     largest value. Only then are the stretches put in order. No task orders more than ``OPENED`` distinct values.
+
+    Where a record counts in many cells, ``spread`` repeats rows for them: values are counted per combination of the other
+    columns of ``df`` and stored once, and what is shuffled of the repeated rows is their sums per cell and part.
     """
-    v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    v = cut_lineage(v.withColumn("_cell", F.struct(*cells, *([] if cells else [F.lit(0).alias("_all")]))))
-    whole = v.groupBy("_cell").agg(F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_d"))
+    own = cells if spread is None else [c for c in df.columns if c != value]
+    v = (df.where(F.col(value).isNotNull()).groupBy(*own, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    cell = F.struct(*cells, *([] if cells else [F.lit(0).alias("_all")]))
+    v = cut_lineage(v.withColumn("_cell", cell)) if spread is None else spread(cut_lineage(v)).select(cell.alias("_cell"), "_v", "_c")
+    # distinct values at most: repeated rows may share one, and a stretch of a single value is not divided
+    distinct = F.when(F.min("_v") == F.max("_v"), F.lit(1)).otherwise(F.count("*"))
+    whole = v.groupBy("_cell").agg(F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), distinct.alias("_d"))
     wanted = F.array(*[F.struct(F.lit(k).alias("name"), e.cast("bigint").alias("rank")) for k, e in ranks.items()])
     at = whole.select("_cell", "n", "_lo", "_hi", "_d", F.lit(0).cast("bigint").alias("_before"), F.inline(wanted)).where("rank between 1 and n")
     at = cut_lineage(at)
@@ -87,7 +95,7 @@ def order_statistics(df: DataFrame, cells: list[str], value: str, ranks: dict[st
         step = (F.col("_hi") - F.col("_lo")) / PARTS
         part = F.least(F.lit(PARTS - 1), F.floor((F.col("_v") - F.col("_lo")) / step))
         divided = (v.join(wide.select(*stretch).distinct(), "_cell").where("_v between _lo and _hi").withColumn("_part", part)
-                   .groupBy(*stretch, "_part").agg(F.sum("_c").alias("_pc"), F.min("_v").alias("_plo"), F.max("_v").alias("_phi"), F.count("*").alias("_pd")))
+                   .groupBy(*stretch, "_part").agg(F.sum("_c").alias("_pc"), F.min("_v").alias("_plo"), F.max("_v").alias("_phi"), distinct.alias("_pd")))
         upto = F.sum("_pc").over(Window.partitionBy(*stretch).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
         narrowed = (wide.drop("_d").join(divided.withColumn("_upto", upto), stretch)
                     .where((F.col("rank") - F.col("_before") <= F.col("_upto")) & (F.col("rank") - F.col("_before") > F.col("_upto") - F.col("_pc"))))
@@ -95,7 +103,12 @@ def order_statistics(df: DataFrame, cells: list[str], value: str, ranks: dict[st
         at = cut_lineage(at.where(F.col("_d") <= OPENED).unionByName(narrowed))
     asked = at.groupBy(*stretch, "n", "_before").agg(F.collect_list(F.struct("name", "rank")).alias("_want"))
     upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*stretch).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    rows = (v.join(asked, "_cell").where("_v between _lo and _hi").withColumn("_upto", upto)
+    if spread is not None:                        # rows of one value are one before they are put in order
+        open_ = v.join(asked.select(*stretch), "_cell").where("_v between _lo and _hi").groupBy(*stretch, "_v").agg(F.sum("_c").alias("_c"))
+        found = open_.join(asked, stretch)
+    else:
+        found = v.join(asked, "_cell").where("_v between _lo and _hi")
+    rows = (found.withColumn("_upto", upto)
             .withColumn("_want", F.filter("_want", lambda r: (r.rank <= F.col("_upto")) & (r.rank > F.col("_upto") - F.col("_c"))))
             .where(F.size("_want") > 0).withColumn("_w", F.explode("_want")))
     return rows.groupBy("_cell").agg(F.max("n").alias("n"), *[
@@ -103,14 +116,14 @@ def order_statistics(df: DataFrame, cells: list[str], value: str, ranks: dict[st
 
 
 def quantiles(df: DataFrame, cells: list[str], value: str, probs: dict[str, float],
-              extra: dict[str, Column] | None = None) -> DataFrame:
-    """Linear-interpolation quantiles, h = (n - 1) p, plus any extra ranks asked for."""
+              extra: dict[str, Column] | None = None, spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles, h = (n - 1) p, plus any extra ranks asked for; ``spread`` as in ``order_statistics``."""
     ranks = dict(extra or {})
     for name, p in probs.items():
         h = (F.col("n") - 1) * F.lit(p)
         ranks[f"_{name}_lo"] = F.floor(h) + 1
         ranks[f"_{name}_hi"] = F.ceil(h) + 1
-    out = order_statistics(df, cells, value, ranks)
+    out = order_statistics(df, cells, value, ranks, spread)
     for name, p in probs.items():
         h = (F.col("n") - 1) * F.lit(p)
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
@@ -132,11 +145,11 @@ def bootstrap_ranks(z: float = Z95) -> dict[str, Column]:
 
 
 def median_metric(df: DataFrame, cells: list[str], value: str,
-                  min_n: int = MIN_N_MEDIAN) -> DataFrame:
-    """value, ci_low, ci_high, n, suppressed for the median of each cell."""
+                  min_n: int = MIN_N_MEDIAN, spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """value, ci_low, ci_high, n, suppressed for the median of each cell; ``spread`` as in ``order_statistics``."""
     ranks = bootstrap_ranks()
     q = quantiles(df, cells, value, {"median": 0.5},
-                  {"low": ranks["rank_low"], "high": ranks["rank_high"]})
+                  {"low": ranks["rank_low"], "high": ranks["rank_high"]}, spread)
     shown = F.col("n") >= min_n
     return q.select(*cells, F.when(shown, F.col("median")).alias("value"), F.when(shown, F.col("low")).alias("ci_low"),
                     F.when(shown, F.col("high")).alias("ci_high"), "n", (~shown).alias("suppressed"))

@@ -208,11 +208,10 @@ def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column
     cell afterwards: one method for cells of any size. The totals themselves are added up as decimals.
     """
     d = month_windows(base.where("value is not null"), "issue_date", through, PERMIT_WINDOWS)
+    # permits are put together once for the quantile, the sums and the medians
+    d = cut_lineage(d.select("value", *WINDOW, subgroup_names(F.col("category"), F.col("sector")).alias("_names"), *[c.alias(f"_lv_{g}") for g, c in levels.items()]))
     top = agg.quantiles(d, WINDOW, "value", {"top1": 0.99}).drop("n")
     d = d.join(F.broadcast(top), WINDOW)          # one row per window
-    d = d.withColumn("_names", subgroup_names(F.col("category"), F.col("sector")))
-    for g, c in levels.items():
-        d = d.withColumn(f"_lv_{g}", c)
     leaf = ["_names", *WINDOW, *[f"_lv_{g}" for g in levels]]
     lv = {g: F.col(f"_lv_{g}") for g in levels}
     values = {"primary": F.col("value"), "excl_top1pct": F.when(F.col("value") <= F.col("top1"), F.col("value")),
@@ -226,7 +225,8 @@ def declared_value(base: DataFrame, parcels: DataFrame, levels: dict[str, Column
     k = 1000.0 / F.col("parcels")
     tot = agg.total_interval(cell_sums).join(parcels, CELL).select(
         "variant", *cells, "n", (F.col("exact").cast("double") * k).alias("value"), (F.col("ci_low") * k).alias("lo"), (F.col("ci_high") * k).alias("hi"))
-    med = agg.median_metric(by_area(d, lv).withColumn("subgroup", F.explode("_names")), cells, "value", min_n=0).select(
+    in_cells = lambda v: by_area(v, lv).withColumn("subgroup", F.explode("_names"))
+    med = agg.median_metric(d.select(*leaf, "value"), cells, "value", min_n=0, spread=in_cells).select(
         F.lit("median_per_permit").alias("variant"), *cells, "n", "value", F.col("ci_low").alias("lo"), F.col("ci_high").alias("hi"))
     sk = _parcel_cells(parcels, ALL_SUBGROUPS, [*values, "median_per_permit"], through)
     r = sk.join(tot.unionByName(med), ["variant", *cells], "left").withColumn("n", F.coalesce("n", F.lit(0)))
