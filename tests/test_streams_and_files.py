@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from wardstat import session
@@ -142,3 +143,13 @@ def test_shared_folder_and_size_check(spark):
     small, big = spark.range(10), spark.range(100)
     plan = lambda d: big.join(session.small_side(d, max_rows=50), "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(small) and "broadcast" not in plan(big)
+
+
+def test_polls_seen_merges_repeated_sightings():
+    """One row per poll and in order over all frames; the largest of each, customers missing left out."""
+    nan = float("nan")
+    cols = ["t", "i", "after1", "after2", "cust"]
+    frames = [pd.DataFrame([(20, 2, 30, 40, nan), (10, 1, 20, 30, 5.0)], columns=cols), pd.DataFrame([(20, 2, 30, 40, 3.0), (30, 3, 40, 50, nan), (10, 1, 20, 30, 4.0)], columns=cols)]
+    got = [*streams.polls_seen(frames)]
+    assert got[:2] == [(10, 1, 20, 30, 5.0), (20, 2, 30, 40, 3.0)] and got[2][:4] == (30, 3, 40, 50) and got[2][4] != got[2][4]
+    assert all(isinstance(x, int) for r in got for x in r[:4])

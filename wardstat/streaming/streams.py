@@ -6,6 +6,9 @@ Functions on streaming DataFrames are plain DataFrame -> DataFrame code; only
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -206,6 +209,15 @@ def with_next_polls(sightings: DataFrame, notes: DataFrame, delay: str) -> DataF
     return s.join(n, F.col("ts") == F.col("poll_ts")).select("ts", "outage", "t", "cust", "i", "after1", "after2")
 
 
+def polls_seen(frames: list[pd.DataFrame]) -> Iterator[tuple]:
+    """t, i, after1, after2 and cust of an outage's sightings in order, one for each poll: the largest of each (no customers: left out)."""
+    t, *rest = (np.concatenate([f[c].to_numpy() for f in frames]) for c in ("t", "i", "after1", "after2", "cust"))
+    order = np.argsort(t, kind="stable")
+    t = t[order]
+    first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+    return zip(t[first].tolist(), *(np.fmax.reduceat(c[order], first).tolist() for c in rest))
+
+
 def event_chains(rows: DataFrame, reappear_s: int = 7200, forget_s: int = FORGET_S) -> DataFrame:
     """Finished outage events from a stream of sightings ``with_next_polls``; state is kept per outage.
 
@@ -233,16 +245,16 @@ def event_chains(rows: DataFrame, reappear_s: int = 7200, forget_s: int = FORGET
                 state.remove()
                 return
             done.append(report(key[0], st))
-        for frame in () if state.hasTimedOut else [pd.concat(list(frames)).groupby("t", as_index=False).agg({"i": "max", "after1": "max", "after2": "max", "cust": "max"})]:
-            for t, i, after1, after2, cust in frame.sort_values("t").itertuples(index=False):
-                absent = i - st["i"] - 1 if st else 0
-                if st is None or absent >= 2 and t - st["after1"] > reappear_s:
-                    if st and not st["reported"]:
-                        done.append(report(key[0], st))
-                    st = {"event": (st["event"] if st else 0) + 1, "first": int(t), "back": False, "most": float(cust), "reported": False}
-                else:
-                    st |= {"back": bool(st["back"] or absent >= 2), "most": max(st["most"], float(cust))}
-                st |= {"last": int(t), "i": int(i), "after1": int(after1), "after2": int(after2)}
+        # an outage has few sightings in a micro-batch: a data frame of its own would cost more than all the rest
+        for t, i, after1, after2, cust in () if state.hasTimedOut else polls_seen(list(frames)):
+            absent = i - st["i"] - 1 if st else 0
+            if st is None or absent >= 2 and t - st["after1"] > reappear_s:
+                if st and not st["reported"]:
+                    done.append(report(key[0], st))
+                st = {"event": (st["event"] if st else 0) + 1, "first": int(t), "back": False, "most": float(cust), "reported": False}
+            else:
+                st |= {"back": bool(st["back"] or absent >= 2), "most": max(st["most"], float(cust))}
+            st |= {"last": int(t), "i": int(i), "after1": int(after1), "after2": int(after2)}
         if not st["reported"] and ends(st) <= now:
             done.append(report(key[0], st))
         wake = ends(st) if not st["reported"] else 1000 * (st["last"] + forget_s)
