@@ -115,6 +115,19 @@ def test_segment_distance(spark):
     assert d(0, 5, -1, 0, 1, 0) == 5 and d(4, 4, 0, 0, 1, 0) == 5 and d(3, 4, 0, 0, 0, 0) == 5
 
 
+def test_round_distance_is_round(spark):
+    # multiples of half a unit are ties, or doubles next to one; then roots, large values and what is no number
+    odd = [0.0, 1e-300, 4.9e-7, 1.0000005, 2.5e-6, 2 ** 40 * 1e-6, 2.0 ** 40, 1e15 + 0.125, 1e300, math.inf, math.nan, None]
+    ties = [math.nextafter(k * 5e-7, to) for k in range(1, 4000, 7) for to in (0.0, k * 5e-7, 1.0)]
+    rows = [(v,) for v in odd + ties + [math.sqrt(n) for n in range(10_001)] + [n + 0.0000005 for n in range(0, 1_000_000, 997)]]
+    v = F.col("v")
+    df = spark.createDataFrame(rows, "v double").select(
+        v, *[f(v, d).alias(f"{n}{d}") for d in (0, 2, 6) for n, f in (("fast", geo.round_distance), ("slow", F.round))])
+    got = df.collect()
+    assert len(got) == len(rows)
+    assert [r for r in got if any(repr(r[f"fast{d}"]) != repr(r[f"slow{d}"]) for d in (0, 2, 6))] == []
+
+
 def test_poisson_bounds_have_one_formula_at_every_size():
     import numpy as np
 

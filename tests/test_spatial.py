@@ -63,6 +63,36 @@ def test_grid_pairs_equal_all_pairs(spark, lag):
     assert got == want
 
 
+@pytest.mark.parametrize("lag", [None, (0, 5)])
+def test_grid_pairs_where_cells_share_a_number(spark, monkeypatch, lag):
+    monkeypatch.setattr(S, "_cell_key", lambda *parts: F.xxhash64(*parts) % 3)
+    rows, df = points(spark, 90, 5)
+    a = df.withColumnRenamed("type", "g").unionByName(spark.createDataFrame(
+        [(90, None, 5.0, 5.0, 1.0), (91, "a", None, 5.0, 1.0), (92, "a", 5.0, None, 1.0)], "id bigint, g string, x double, y double, t double"))
+    got = [(r["a_id"], r["b_id"]) for r in S.grid_pairs(a, a.repartition(5), 60, lag=lag).collect()]
+    want = [(p[0], q[0]) for p in rows for q in rows if p[1] == q[1] and (p[2] - q[2]) ** 2 + (p[3] - q[3]) ** 2 <= 3600
+            and (lag is None or lag[0] < q[4] - p[4] <= lag[1])]
+    assert sorted(got) == sorted(want)
+
+
+def test_grid_pairs_sorts_one_number_and_rounds_without_decimals(spark, tmp_path):
+    """A row is joined by one number and its group, and F.round is left to near ties."""
+    from wardstat.plans import q_spatial
+    from wardstat.plans.registry import Tables
+    rng = random.Random(43)
+    rows = [(k, rng.choice("ab"), f"1995-01-{rng.randint(1, 28):02d}") for k in range(400)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderpriority string, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    df = q_spatial.grid_pairs(Tables(spark, str(tmp_path)))
+    at = [(k, g, k * 7919 % 1999, k * 104729 % 2003, int(d[-2:])) for k, g, d in rows]
+    want = [(a[0], b[0], round(math.hypot(a[2] - b[2], a[3] - b[3]), 6), b[4] - a[4]) for a in at for b in at
+            if a[1] == b[1] and 0 < b[4] - a[4] <= 20 and (a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2 <= 10000]
+    assert want and sorted(map(tuple, df.collect())) == sorted(want)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin"):].splitlines()[0]
+    assert join.startswith("SortMergeJoin [_cell#") and "_cx" not in join and "_tb" not in join
+    assert "AS dist" in plan and plan.count("rint(") and "CASE WHEN" in plan
+
+
 def test_grid_pairs_plan_has_no_cross_join(spark):
     _, df = points(spark, 50, 5)
     a = df.withColumnRenamed("type", "g")
