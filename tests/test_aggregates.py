@@ -1,12 +1,16 @@
 """Estimators against direct computation, on skewed cells and under repartitioning."""
 
+import collections
+import hashlib
 import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from wardstat.functions.md5 import numbered_md5
 from wardstat.operators import aggregates as A
 from wardstat.operators import spatial_stats as SS
 
@@ -184,3 +188,43 @@ def test_order_statistics_of_spread_rows(spark, monkeypatch):
     plain = {r.g: r for r in A.order_statistics(cells(df), ["g"], "v", ranks).collect()}
     spread = {r.g: r for r in A.order_statistics(df, ["g"], "v", ranks, cells).collect()}
     assert spread == plain and spread["all"].n == 300 and spread["third"].n == 100
+
+
+def test_numbered_md5_of_any_length():
+    """Every place a number can take in a block, also across two, and numbers of one to four digits."""
+    texts = ["x" * i + "\u00e9" * (i % 3) for i in range(200)] + ["", "a"]
+    for array, want in ((pa.array(texts), texts), (pa.array(texts).slice(57, 9), texts[57:66]), (pa.array([], pa.string()), [])):
+        order, digests = numbered_md5(array, 1002)
+        seen = 0
+        for b, words in digests:
+            assert b == seen and words.shape == (4, len(want))
+            seen += 1
+            if b in (0, 9, 10, 57, 99, 100, 999, 1000, 1001):
+                got = ["".join(f"{int(v):08x}" for v in words[:, i]) for i in range(len(want))]
+                assert got == [hashlib.md5(f"{want[j]}{b}".encode()).hexdigest() for j in order]
+        assert seen == 1002
+
+
+def test_bootstrap_draws_in_arrays(spark, monkeypatch):
+    """The digests, weights and sums of plain Python, for cells of two columns, repeats, long names and sums handed on in parts."""
+    monkeypatch.setattr(A, "SUMS_ROWS", 10)
+    rng = np.random.default_rng(5)
+    rows = [("n" * int(rng.integers(1, 90)), k % 3, float(rng.integers(0, 4))) for k in range(120)]
+    rows = [(g[:1] if k % 2 else g, h, v) for k, (g, h, v) in enumerate(rows)] + [("n", None, 1.5), ("n", 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(3)
+    out = A.bootstrap_total(df, ["g", "h"], "v", reps=30)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "md5(" not in plan
+    steps, count, sums = A.poisson_steps(), collections.Counter(), collections.defaultdict(lambda: np.zeros((30, 2)))
+    for g, h, v in rows[:-2]:
+        count[g, h, v] += 1
+        for rep in range(30):
+            u = hashlib.md5(f"w:{A.SEED}:{g}:{h}:{v:.4f}:{count[g, h, v]}:{rep // 4}".encode()).hexdigest()[8 * (rep % 4):][:8]
+            w = sum(u >= s for s in steps)
+            sums[g, h][rep] += w, w * v
+    got = {(r["g"], r["h"]): r for r in out.collect()}
+    assert got.keys() == sums.keys()
+    for k, s in sums.items():
+        n = sum(c for (g, h, _), c in count.items() if (g, h) == k)
+        want = [n * wx / w for w, wx in s if w]
+        assert got[k]["n"] == n and got[k]["ci_low"] == pytest.approx(np.quantile(want, 0.025)) and got[k]["ci_high"] == pytest.approx(np.quantile(want, 0.975))

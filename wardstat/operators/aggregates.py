@@ -5,10 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardstat.functions.intervals import MIN_N_MEDIAN, MIN_N_PROPORTION, Z95, garwood, wilson
+from wardstat.functions.md5 import numbered_md5
 from wardstat.session import cut_lineage
 
 REPS, SEED = 2000, 20260923
@@ -164,8 +168,53 @@ def poisson_steps(digits: int = 8) -> list[str]:
     return out
 
 
-#: Copies of values that one task draws weights for.
-DRAWN_COPIES = 20_000
+#: Copies of values that one task draws weights for, and the sums that it hands on at a time.
+DRAWN_COPIES, SUMS_ROWS = 100_000, 20_000
+
+
+def _drawn_sums(cells: list[str], reps: int):
+    """Weights of the copies of a batch and their sums per cell and four replicates."""
+    names = [*cells, "b", *[f"{s}{k}" for k in range(4) for s in "ws"]]
+    bounds = np.array([int(s, 16) for s in poisson_steps()], np.uint32)
+
+    def cell_codes(batch: pa.RecordBatch) -> np.ndarray:
+        codes = np.zeros(batch.num_rows, np.int64)
+        for c in cells:
+            one = batch.column(c).dictionary_encode("encode")
+            codes = np.unique(codes * max(1, len(one.dictionary)) + one.indices.to_numpy(), return_inverse=True)[1]
+        return codes
+
+    def rows(found: pa.RecordBatch, sums: list[tuple]) -> pa.RecordBatch:
+        b, *columns = zip(*sums)
+        every = np.tile(np.arange(found.num_rows), len(b))
+        numbers = [np.repeat(np.array(b, np.int32), found.num_rows), *map(np.concatenate, columns)]
+        return pa.RecordBatch.from_arrays([*(found.column(c).take(pa.array(every)) for c in cells), *map(pa.array, numbers)], names)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = cell_codes(batch)
+            n, found = codes.max() + 1, batch.take(pa.array(np.unique(codes, return_index=True)[1]))
+            order, digests = numbered_md5(batch.column("named"), -(-reps // 4))
+            codes, x = codes[order], batch.column("x").fill_null(0.0).to_numpy()[order]
+            sums = []
+            for b, digest in digests:
+                one = [b]
+                for u in digest:
+                    w = np.zeros(len(u), np.uint8)
+                    for bound in bounds:
+                        w += u >= bound
+                    w = w.astype(np.float64)
+                    one += [np.bincount(codes, w, n).astype(np.int64), np.bincount(codes, w * x, n)]
+                sums.append(one)
+                if len(sums) * n >= SUMS_ROWS:
+                    yield rows(found, sums)
+                    sums = []
+            if sums:
+                yield rows(found, sums)
+
+    return run
 
 
 def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REPS, seed: int = SEED) -> DataFrame:
@@ -174,8 +223,9 @@ def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REP
     Resampling n values with replacement is drawn as Poisson(1) weights with a ratio correction, n * sum(wx) / sum(w).
     Weights come by inversion from the digits of a hash of seed, cell, value, which copy of the value it is, and
     replicate, four replicates to a hash; values are told apart to four decimals. The result depends on neither
-    partitioning nor record order, any engine with the same hash draws alike, and only (cell, four replicates) sums are
-    shuffled.
+    partitioning nor record order, any engine with the same hash draws alike, and only copies and (cell, four replicates)
+    sums are shuffled. A task hashes and adds up a batch of copies at once for each number, in arrays: column functions
+    took about 2 microseconds a hash.
     """
     v = (df.where(F.col(value).isNotNull()).groupBy(*cells, F.col(value).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c")))
     v = cut_lineage(v)
@@ -187,18 +237,9 @@ def bootstrap_total(df: DataFrame, cells: list[str], value: str, reps: int = REP
     copies = copies.select(*cells, "x", F.concat_ws(":", "named", F.col("copy").cast("string"), F.lit("")).alias("named"))
     # a copy is few bytes but ``reps`` draws: dealt by number, not by size, so that every core draws
     copies = copies.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // DRAWN_COPIES)), "named")
-    numbers = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(str(b)).alias("last")) for b in range(-(-reps // 4))])
-    draws = copies.select("*", F.inline(numbers)).withColumn("h", F.md5(F.concat("named", "last")))
-    steps = poisson_steps()
-
-    def weight(k: int) -> Column:
-        u, out = F.substring("h", 8 * k + 1, 8), F.when(F.substring("h", 8 * k + 1, 8) < steps[0], 0)
-        for i, bound in enumerate(steps[1:], 1):
-            out = out.when(u < bound, i)
-        return out.otherwise(len(steps))
-
-    draws = draws.withColumns({f"w{k}": weight(k) for k in range(4)})
-    sums = draws.groupBy(*cells, "b").agg(*[a for k in range(4) for a in (F.sum(f"w{k}").alias(f"w{k}"), F.sum(F.col(f"w{k}") * F.col("x")).alias(f"s{k}"))])
+    sums_of = [T.StructField(f"{s}{k}", t) for k in range(4) for s, t in (("w", T.LongType()), ("s", T.DoubleType()))]
+    draws = copies.mapInArrow(_drawn_sums(cells, reps), T.StructType([*(copies.schema[c] for c in cells), T.StructField("b", T.IntegerType()), *sums_of]))
+    sums = draws.groupBy(*cells, "b").agg(*[F.sum(f"{s}{k}").alias(f"{s}{k}") for k in range(4) for s in "ws"])
     each = F.array(*[F.struct((F.col("b") * 4 + k).alias("rep"), F.col(f"w{k}").alias("w"), F.col(f"s{k}").alias("wx")) for k in range(4)])
     # at most ``reps`` rows per cell reach this percentile
     sims = (sums.select(*cells, F.inline(each)).where(F.col("rep") < reps).join(total.select(*cells, "n"), cells)
