@@ -93,6 +93,42 @@ def test_grid_pairs_sorts_one_number_and_rounds_without_decimals(spark, tmp_path
     assert "AS dist" in plan and plan.count("rint(") and "CASE WHEN" in plan
 
 
+def shuffled(node):
+    """Rows that each exchange of an executed plan wrote."""
+    kind = node.getClass().getSimpleName()
+    if kind == "ShuffleQueryStageExec":
+        return [node.shuffle().metrics().apply("shuffleRecordsWritten").value()]
+    inner = node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan() if kind == "ResultQueryStageExec" else None
+    return shuffled(inner) if inner else [n for i in range(node.children().size()) for n in shuffled(node.children().apply(i))]
+
+
+@pytest.mark.parametrize("lag", [None, (0, 5)])
+def test_grid_pairs_sends_few_copies(spark, lag):
+    """Rows are copied to the cells they reach, not to each square: under four copies of a row on average, where there were 9 or 18."""
+    rows, df = points(spark, 600, 21, size=6000.0, span=200.0)
+    a = df.withColumnRenamed("type", "g")
+    out = S.grid_pairs(a, a, 60, lag=lag)
+    out.collect()
+    sent = shuffled(out._jdf.queryExecution().executedPlan())
+    assert len(sent) == 2 and min(sent) == 600 and max(sent) < 4 * 600
+
+
+@pytest.mark.parametrize("lag", [None, (0, 5), (-3, 4)])
+@pytest.mark.parametrize("hot", [0.0, 0.6])
+def test_grid_pairs_of_small_cells_and_packs(spark, monkeypatch, lag, hot):
+    """Cells of two radii, three rows a pack, places below zero, ids that come twice, and two frames that differ."""
+    for name, n in (("CELL_RADII", 2), ("CELL_LAGS", 2), ("PACKED_ROWS", 3)):
+        monkeypatch.setattr(S, name, n)
+    rows, _ = points(spark, 140, 23, size=500.0, hot=hot)
+    rows = [(i // 2, g, x - 250.0, round(y / 60) * 60.0 - 240.0, float(round(t)) - 20) for i, g, x, y, t in rows]
+    schema = "id bigint, g string, x double, y double, t double"
+    a, b = rows[:90], rows[50:]
+    got = [(r["a_id"], r["b_id"], round(r["dist"], 6)) for r in S.grid_pairs(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 60, lag=lag).collect()]
+    want = [(p[0], q[0], round(math.hypot(p[2] - q[2], p[3] - q[3]), 6)) for p in a for q in b
+            if p[1] == q[1] and (p[2] - q[2]) ** 2 + (p[3] - q[3]) ** 2 <= 3600 and (lag is None or lag[0] < q[4] - p[4] <= lag[1])]
+    assert want and sorted(got) == sorted(want)
+
+
 def test_grid_pairs_plan_has_no_cross_join(spark):
     _, df = points(spark, 50, 5)
     a = df.withColumnRenamed("type", "g")
